@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media
+from . import media, pieces
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +17,12 @@ def op1_media_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(media.store_media(_documents(spark, sf_dir)))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digests(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
+    "op4_sentencepiece": op4_sentencepiece,
 }
 ORACLE_SQL: dict[str, str] = {}
