@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, pieces
+from . import media, pieces, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +21,13 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(_documents(spark, sf_dir))
 
 
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenids.token_digests(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op4_sentencepiece": op4_sentencepiece,
+    "op7_token_ids": op7_token_ids,
 }
 ORACLE_SQL: dict[str, str] = {}
