@@ -111,3 +111,10 @@ def planes(x: np.ndarray) -> bytes:
 def unplanes(data: bytes, dtype) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).reshape(-1)
+
+
+def one_per_id(docs: DataFrame) -> DataFrame:
+    """Of rows with equal doc_id only the smallest text stays. Costs a count of ids where none repeats."""
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs
+    return docs.groupBy("doc_id").agg(F.min("text").alias("text"))

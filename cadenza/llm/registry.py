@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, pieces, tokenids
+from . import media, mixing, pieces, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +25,14 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_digests(_documents(spark, sf_dir))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_token_ids": op7_token_ids,
+    "op8_mixing": op8_mixing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.ORACLE}
