@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, pieces, tokenids
+from . import media, mixing, pieces, secrets, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(_documents(spark, sf_dir))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
+
+
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_digests(_documents(spark, sf_dir))
 
@@ -32,7 +36,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_secrets": op6_secrets,
     "op7_token_ids": op7_token_ids,
     "op8_mixing": op8_mixing,
 }
-ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op6_secrets": secrets.ORACLE, "op8_mixing": mixing.ORACLE}
