@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, pieces, secrets, tokenids
+from . import media, mixing, pieces, secrets, sketch, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +33,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_secrets": op6_secrets,
     "op7_token_ids": op7_token_ids,
     "op8_mixing": op8_mixing,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLE_SQL: dict[str, str] = {"op6_secrets": secrets.ORACLE, "op8_mixing": mixing.ORACLE}
