@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, pieces, secrets, sketch, tokenids
+from . import media, mixing, pieces, quality, secrets, sketch, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(_documents(spark, sf_dir))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
     "op7_token_ids": op7_token_ids,
     "op8_mixing": op8_mixing,
+    "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
 }
 ORACLE_SQL: dict[str, str] = {"op6_secrets": secrets.ORACLE, "op8_mixing": mixing.ORACLE}
