@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, pieces, quality, secrets, sketch, tokenids
+from . import media, mixing, ngrams, pieces, quality, secrets, sketch, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(_documents(spark, sf_dir))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score(_documents(spark, sf_dir))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_lm_scores": op5_lm_scores,
     "op6_secrets": op6_secrets,
     "op7_token_ids": op7_token_ids,
     "op8_mixing": op8_mixing,
