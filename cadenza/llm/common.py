@@ -118,3 +118,13 @@ def one_per_id(docs: DataFrame) -> DataFrame:
     if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         return docs
     return docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
+def sliced(batch: pa.RecordBatch, most: int, column: str = "text"):
+    """A batch in slices of about ``most`` bytes of a string column, a row at least."""
+    _, offsets = string_bytes(batch.column(column))
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
+        yield batch.slice(first, last - first)
+        first = last

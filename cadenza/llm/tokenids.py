@@ -10,7 +10,7 @@ A row of the stored table is one segment file: its partition and number there, t
 ids and lengths, the words and the block offsets. Segments are of bounded size.
 
 A text is cut at ASCII white space, which the tokenizer drops anyway, so that every distinct
-chunk of a batch is tokenised once.
+word of a batch is tokenised once.
 
 Defined results: a null or empty text has only the end id; rows without doc_id are left out;
 rows with equal doc_id are ordered by their text and keep one result each; other columns are
@@ -26,13 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keyed_docs, words_of, written
+from .common import keyed_docs, sliced, words_of, written
 
-BLOCK, END_ID, SEGMENT_IDS, KEPT_CHUNKS = 256, 1, 1 << 20, 400_000
+BLOCK, END_ID, SEGMENT_IDS, SLICE_BYTES = 256, 1, 1 << 20, 16_000_000
+#: Letters that lower-casing and normalising leave alone, and words of them.
+LATIN = "[a-zß-öø-ÿ]"
+PLAIN = f"^{LATIN}+$"
 #: Ids per word and bits per id, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -46,17 +50,15 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    padded = np.zeros((blocks, BLOCK + COUNTS[0]), np.uint64)
     body = np.zeros(blocks * BLOCK, np.uint64)
     body[:n] = ids
-    padded[:, :BLOCK] = body.reshape(blocks, BLOCK)
-    width = np.frexp(padded.astype(np.float64))[1].astype(np.uint8)
-    large = padded >= np.uint64(1 << 52)
+    width = np.frexp(body.astype(np.float64))[1].astype(np.uint8)
+    large = body >= np.uint64(1 << 52)
     if large.any():  # no selector between 30 and 60 bits, so the width need not be exact
         width[large] = 60
     # widest id among the next k, for each k that a selector packs
     selector = np.full((blocks, BLOCK), 15, np.uint8)
-    reach, most = 1, width[:, : BLOCK + COUNTS[0]]
+    reach, most = 1, width.reshape(blocks, BLOCK)
     for choice in range(14, 0, -1):
         count = int(COUNTS[choice])
         while reach < count:
@@ -65,7 +67,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             ahead[:, :-step] = most[:, step:]
             most = np.maximum(most, ahead)
             reach += step
-        fits = most[:, :BLOCK] <= BITS[choice]
+        fits = most <= BITS[choice]
         if not fits.any():  # longer words of narrower ids don't fit either
             break
         selector = np.where(fits, choice, selector)
@@ -77,17 +79,18 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         here = at[live]
         chosen = selector[live, here]
         words = chosen.astype(np.uint64) << np.uint64(60)
-        escaped = (chosen == 15) & (padded[live, here] >= ESCAPE)
+        escaped = (chosen == 15) & (body[live * BLOCK + here] >= ESCAPE)
         for choice in np.unique(chosen):
             bits, count = int(BITS[choice]), int(COUNTS[choice])
             if bits:
                 of = np.flatnonzero((chosen == choice) & ~escaped)
-                values = padded[live[of, None], here[of, None] + np.arange(count)]
+                inside = here[of, None] + np.arange(count)
+                values = np.where(inside < BLOCK, body[np.minimum(live[of, None] * BLOCK + inside, len(body) - 1)], np.uint64(0))
                 words[of] |= (values << (np.arange(count) * bits).astype(np.uint64)).sum(axis=1, dtype=np.uint64)
         words[escaped] |= ESCAPE
         made.append((live, order, words))
         if escaped.any():
-            made.append((live[escaped], order + 1, padded[live[escaped], here[escaped]]))
+            made.append((live[escaped], order + 1, body[(live * BLOCK + here)[escaped]]))
         order += 2
         at[live] += COUNTS[chosen]
         live = live[at[live] < sizes[live]]
@@ -134,35 +137,66 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 
 
 class ChunkTokenizer:
-    """The library's tokenizer behind a bounded cache of chunks."""
+    """The library's tokenizer, called once for every distinct word of a batch.
+
+    A lower-case Latin word with one comma or point after it is two pretokens, and a text of such
+    words is tokenised word by word: these are given to the library many at a time, and cut apart
+    at the tokens that end a word. All other chunks are given to it one by one.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        names = self.tool.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(names.values()) + 1, bool)
+        self.ends_word[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self.stops = np.array([0, *(self.tool.encode(x, add_special_tokens=False).ids[0] for x in ".,")], np.uint32)
+
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids per word)."""
+        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(words), np.int64)
+        texts = words.filter(pa.array(plain)).to_pylist()
+        found = self.tool.encode_batch_fast([" ".join(texts[i : i + 2000]) for i in range(0, len(texts), 2000)], add_special_tokens=False)
+        many = np.concatenate([np.array(x.ids, np.uint32) for x in found] or [np.zeros(0, np.uint32)])
+        last = np.flatnonzero(self.ends_word[many])
+        sizes[plain] = np.diff(last, prepend=-1)
+        single = [np.array(x.ids, np.uint32) for x in self.tool.encode_batch_fast(words.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)]
+        sizes[~plain] = [len(x) for x in single]
+        ids = np.empty(sizes.sum(), np.uint32)
+        of = np.repeat(plain, sizes)
+        ids[of] = many
+        ids[~of] = np.concatenate(single) if single else []
+        return ids, sizes
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END_ID; ids per text)."""
-        words, index, per_row = words_of(column, lower=False)
-        names = words.to_pylist()
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
-        known = self.known
-        new = [x for x in names if x not in known]
-        for name, found in zip(new, self.tool.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[name] = np.array(found.ids, np.uint32)
-        table = [known[x] for x in names] + [np.array([END_ID], np.uint32)]
-        sizes = np.fromiter(map(len, table), np.int64, len(table))
-        flat, begin = np.concatenate(table), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        ends = np.cumsum(per_row)
-        index = np.insert(index, ends, len(names))
-        lengths = sizes[index]
+        chunks, index, per_row = words_of(column, lower=False)
+        low = pc.ascii_lower(chunks)
+        cut = pc.replace_substring_regex(low, f"({LATIN})[.,]$", r"\1")
+        stop = np.where(pc.not_equal(cut, low).to_numpy(zero_copy_only=False), np.where(pc.ends_with(low, ".").to_numpy(zero_copy_only=False), 1, 2), 0)
+        # other chunks keep their letters' case: the library's own rules decide
+        cut = pc.if_else(pc.match_substring_regex(cut, PLAIN), cut, chunks)
+        stop[pc.equal(cut, chunks).to_numpy(zero_copy_only=False)] = 0
+        coded = cut.dictionary_encode()
+        flat, sizes = self._ids(coded.dictionary)
+        of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        # one more chunk stands for the end of a text
+        index = np.insert(index, np.cumsum(per_row), len(of))
+        flat = np.append(flat, np.uint32(END_ID))
+        begin, sizes = np.append(begin[of], len(flat) - 1), np.append(sizes[of], 1)
+        stop = np.append(stop, 0)
+        lengths = sizes[index] + (stop[index] > 0)
         total = np.concatenate([[0], np.cumsum(lengths)])
-        ids = flat[np.repeat(begin[index] - total[:-1], lengths) + np.arange(total[-1])]
-        bounds = np.concatenate([[0], total[ends + np.arange(len(ends)) + 1]])
-        return ids, np.diff(bounds)
+        places = np.repeat(begin[index] - total[:-1], lengths) + np.arange(total[-1])
+        ids = flat[np.minimum(places, len(flat) - 1)]
+        stopped = np.flatnonzero(stop[index])
+        ids[total[stopped + 1] - 1] = self.stops[stop[index[stopped]]]
+        ends = np.cumsum(per_row) + np.arange(1, len(per_row) + 1)
+        return ids, np.diff(total[ends], prepend=0)
 
 
 _tokenizers: dict[str, ChunkTokenizer] = {}
@@ -183,7 +217,7 @@ def encode_segments(documents: DataFrame, path: str | None = None) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part, segment = tokenizer(model), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, SLICE_BYTES)):
             ids, lengths = tool.encode(batch.column("text"))
             ends = np.cumsum(lengths)
             first = 0
