@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, ngrams, pieces, quality, secrets, sketch, tokenids
+from . import media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_media_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(media.store_media(_documents(spark, sf_dir)))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_documents(spark, sf_dir))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(_documents(spark, sf_dir))
 
@@ -47,6 +51,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_lm_scores": op5_lm_scores,
     "op6_secrets": op6_secrets,
