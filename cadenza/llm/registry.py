@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, tokenids
+from . import media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, suffixes, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(_documents(spark, sf_dir))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(_documents(spark, sf_dir))
 
@@ -52,6 +56,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_lm_scores": op5_lm_scores,
     "op6_secrets": op6_secrets,
