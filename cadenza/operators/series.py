@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 
 def accepted(df: DataFrame, clip: str, order: str, columns: list[str], close: Callable[[np.ndarray, np.ndarray], bool], out: str = "accepted") -> DataFrame:
@@ -33,7 +34,7 @@ def accepted(df: DataFrame, clip: str, order: str, columns: list[str], close: Ca
             marks.append(good)
         return rows.assign(**{out: pd.array(marks, "boolean")})
 
-    schema = df.schema.add(out, "boolean")
+    schema = StructType([*df.schema.fields, StructField(out, BooleanType())])
     return df.groupBy(clip).applyInPandas(fold, schema)
 
 
@@ -161,7 +162,7 @@ def improvements(df: DataFrame, clip: str, order: str, column: str, least: float
             out.append((best, stale, stale >= patience))
         return rows.assign(best=[o[0] for o in out], stale=[o[1] for o in out], stopped=[o[2] for o in out])
 
-    schema = df.schema.add("best", "double").add("stale", "long").add("stopped", "boolean")
+    schema = StructType([*df.schema.fields, StructField("best", DoubleType()), StructField("stale", LongType()), StructField("stopped", BooleanType())])
     return df.groupBy(clip).applyInPandas(fold, schema)
 
 

@@ -22,13 +22,13 @@ def window_frames(frames: DataFrame, clip: str, width: int, stride: int) -> Data
     """Frames with the windows they lie in. A frame finds its windows by arithmetic: an equi-join on the start, not a range join."""
     windows = window_starts(frames, clip, width, stride)
     pos = F.col("frame_idx") - 1
-    n = F.max("frame_idx").over(Window.partitionBy(clip))
-    last = F.greatest(n - width, F.lit(0))
+    frames = frames.withColumn("__n", F.max("frame_idx").over(Window.partitionBy(clip)))
+    last = F.greatest(F.col("__n") - width, F.lit(0))
     low = F.greatest(F.lit(0), F.ceil((pos - width + 1) / stride) * stride)
     high = F.least(F.floor(pos / stride) * stride, last)
     regular = F.when(high >= low, F.sequence(low.cast("long"), high.cast("long"), F.lit(stride).cast("long"))).otherwise(F.array().cast("array<bigint>"))
     ending = F.when(pos >= last, F.array(last.cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    return frames.withColumn("start", F.explode(F.array_union(regular, ending))).join(windows, [clip, "start"])
+    return frames.withColumn("start", F.explode(F.array_union(regular, ending))).drop("__n").join(windows, [clip, "start"])
 
 
 def speech_windows(frames: DataFrame, clip: str, level: str, width: int, stride: int, voiced: float, share: float) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import pairing_queries
+from .plans import pairing_queries, series_queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _family in (pairing_queries,):
+for _family in (pairing_queries, series_queries):
     QUERIES |= _family.QUERIES
     ORACLE_SQL |= _family.ORACLE_SQL
