@@ -36,6 +36,14 @@ def position_split(df: DataFrame, clip: str, order: str, share: float) -> DataFr
     return df.withColumn("split", F.when(index >= keep, "val").otherwise("train"))
 
 
+def list_split(clips: DataFrame, column: str, share: float) -> DataFrame:
+    """The last max(1, round(n * share)) clips in order are val; none if there is at most one."""
+    n = clips.count()
+    val = max(1, round(n * share)) if n > 1 else 0
+    last = clips.orderBy(F.desc(column)).limit(val).withColumn("split", F.lit("val"))
+    return clips.join(last, column, "left").withColumn("split", F.coalesce("split", F.lit("train")))
+
+
 def capped_silence(df: DataFrame, clip: str, order: str, silent: Column, share: float) -> DataFrame:
     """All voiced rows and the first silent ones, so that these are at most ``share`` of what stays; one if nothing is voiced."""
     w = Window.partitionBy(clip)
