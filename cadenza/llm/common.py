@@ -29,8 +29,15 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, mb: int = 8) -> None:
+    """Arrow batches between the JVM and Python of at most ``mb`` MB: texts can be long, and both sides hold a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5000")
+
+
 def plain_docs(documents: DataFrame) -> DataFrame:
     """(doc_id long, text string without nulls); every other column is left behind."""
+    bounded_batches(documents.sparkSession)
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .census import census
 from .common import block_count, keyed_docs, mixed, one_per_id, string_bytes, written
 
-SPAN, KGRAM, BLOCK_MB, HOT = 200, 50, 12, 20_000
+SPAN, KGRAM, BLOCK_MB, HOT = 200, 50, 8, 20_000
 LEFT = SPAN - KGRAM
 WIDTH = LEFT + SPAN
 STRIDE = 2_000_000
@@ -110,16 +110,17 @@ FOUND = "doc_id long, spans array<long>, hot boolean, at long, left int, body bi
 
 def first_pass(blocked: DataFrame, blocks: int, hot: int = HOT) -> DataFrame:
     def ask(table: pa.Table):
+        # windows across rows may add anchors, so rows need the same order on both visits
+        table = table.sort_by("doc_id")
         data, offsets = string_bytes(table.column("text").combine_chunks())
         position, row, left, right, gram, context = anchors(data, offsets)
         both = np.concatenate([mixed(gram), mixed(~context)])
         distinct, place, counts = np.unique(both, return_inverse=True, return_counts=True)
-        return distinct, counts, (data, offsets, position, row, left, right, gram, context, place)
+        return distinct, counts, (table.column("doc_id").to_numpy(), data, offsets, position, row, left, right, gram, context, place)
 
     def finish(table: pa.Table, kept, distinct: np.ndarray, totals: np.ndarray) -> pa.Table:
-        data, offsets, position, row, left, right, gram, context, place = kept
+        ids, data, offsets, position, row, left, right, gram, context, place = kept
         of_gram, of_context = totals[place[: len(gram)]].astype(np.int64), totals[place[len(gram) :]].astype(np.int64)
-        ids = np.array(table.column("doc_id").to_pylist(), np.int64)
         whole = of_context >= 2
         starts, ends = merged_spans(position[whole] - left[whole], position[whole] + right[whole])
         # contexts end within their rows, but those of neighbouring rows may touch
