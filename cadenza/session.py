@@ -33,3 +33,12 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(root.parent))
     spark.sparkContext.addPyFile(target)
     _shipped.add(app)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir), or a temporary one where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="cadenza-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
