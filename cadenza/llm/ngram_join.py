@@ -6,12 +6,13 @@ Sets are the distinct five-word shingles of whole texts. Equal sets are one clas
    that has more than n // 4 to itself can't reach 75%; only the others keep their shared shingles.
 2. A second census counts these among class representatives; that gives the global order (count,
    then hash) and each set's prefix, whose shingles index the candidates.
-3. The global order is cut at fixed counts into fragments. Candidate pairs meet the two segments
-   of every fragment separately; partial overlaps are summed per pair and compared exactly.
+3. The global order is cut at fixed counts into fragments. Candidates meet the segments of every
+   fragment separately; partial overlaps are summed per pair and compared exactly.
 4. A prefix shingle's sets are not paired with each other. Each round pairs the sets of a shingle
    with one leader and joins components; what is left are pairs between different components,
-   which the last step verifies in full. So no link that could join two components is missed,
-   while most pairs inside a component are never made.
+   which the last step finds and verifies in full inside its tasks, sending on lists of
+   candidates and then links. So no link that could join two components is missed, while pairs
+   inside a component are not made.
 
 Defined results: a null, empty or wordless text has no shingles and links with nothing; rows
 without doc_id are left out; of rows with equal doc_id the smallest text counts; an empty table
@@ -29,7 +30,7 @@ from .census import census
 from .common import block_count, keyed_docs, mixed, one_per_id, word_hashes, words_of, written
 from .components import components
 
-WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS = 5, 75, 24, 3, 2_000
+WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 8, 3, 2_000, 2_048
 #: The global order is cut where counts pass these.
 PIVOTS = (2, 8, 64)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -174,42 +175,111 @@ def segments(sets: DataFrame) -> DataFrame:
     return census(blocked, blocks, ask, finish, SEGMENTS)
 
 
-def overlaps(pairs: DataFrame, cut: DataFrame, sets: int) -> DataFrame:
-    """``pairs`` (a, b, na, nb) with ``shared``: overlaps counted fragment by fragment and summed.
+#: Candidates of one set: the others, their sizes and their component labels.
+CANDIDATES = "a long, na long, bs array<long>, nbs array<long>, labels array<long>"
+LINKS = "a long, b long"
 
-    Pairs are dealt to cells by a; a cell gets each segment that its pairs need once.
+
+def enough(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Whether 100 * intersection >= LEAST * union, from the intersection and the sum of both sizes."""
+    return shared * (100 + LEAST) >= total * LEAST
+
+
+def verified(made: DataFrame, cut: DataFrame, sets: int) -> DataFrame:
+    """(a, b): of each set's candidates the links, one per component label.
+
+    Sets are dealt to cells. A cell gets each segment its candidates need once and goes through the
+    fragments one by one: partial overlaps of a fragment are counted apart and summed per pair.
     """
     cells = max(1, -(-sets // CELL_SETS))
-    dealt = pairs.withColumn("cell", F.pmod(F.xxhash64("a"), F.lit(cells)).cast("int"))
-    needed = dealt.select("cell", F.explode(F.array("a", "b")).alias("rep")).distinct()
-    there = needed.join(cut.select("rep", "fragment", "segment"), "rep").select(F.col("cell").alias("in_cell"), F.col("fragment").alias("in_fragment"), "rep", "segment")
-    asked = dealt.select("cell", "a", "b", F.explode(F.array(*(F.lit(f) for f in range(len(PIVOTS) + 1)))).alias("fragment"))
+    dealt = written(made.withColumn("cell", F.pmod(F.xxhash64("a"), F.lit(cells)).cast("int")), "candidates")
+
+    def name(key: tuple, table: pa.Table) -> pa.Table:
+        found = np.unique(np.concatenate([table.column("a").to_numpy(), table.column("bs").combine_chunks().flatten().to_numpy()]))
+        return pa.table([pa.array(np.full(len(found), key[0].as_py(), np.int32)), pa.array(found)], names=["in_cell", "rep"])
+
+    needed = dealt.groupBy("cell").applyInArrow(name, "in_cell int, rep long")
+    there = needed.join(cut.select("rep", "fragment", "segment"), "rep")
 
     def count(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        segment = dict(zip(right.column("rep").to_pylist(), (np.frombuffer(x, np.uint64) for x in right.column("segment").to_pylist()), strict=True))
-        a, b, shared = left.column("a").to_pylist(), left.column("b").to_pylist(), []
-        for x, y in zip(a, b, strict=True):
-            s, t = segment.get(x), segment.get(y)
-            if s is None or t is None or not len(s) or not len(t):
-                shared.append(0)
-                continue
-            if len(s) > len(t):
-                s, t = t, s
-            at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-            shared.append(int((t[at] == s).sum()))
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(shared, pa.int64())], names=["a", "b", "part"])
-
-    parts = asked.groupBy("cell", "fragment").cogroup(there.groupBy("in_cell", "in_fragment")).applyInArrow(count, "a long, b long, part long")
-    return pairs.join(parts.groupBy("a", "b").agg(F.sum("part").alias("shared")), ["a", "b"])
+        segments_of: list[dict[int, np.ndarray]] = [{} for _ in range(len(PIVOTS) + 1)]
+        for rep, fragment, segment in zip(*(right.column(c).to_pylist() for c in ("rep", "fragment", "segment")), strict=True):
+            segments_of[fragment][rep] = np.frombuffer(segment, np.uint64)
+        none, out = np.zeros(0, np.uint64), []
+        for row in left.to_pylist():
+            bs, shared = row["bs"], np.zeros(len(row["bs"]), np.int64)
+            for segment in segments_of:
+                own = segment.get(row["a"], none)
+                if not len(own):
+                    continue
+                others = [segment.get(b, none) for b in bs]
+                sizes = np.array([len(o) for o in others])
+                flat = np.concatenate(others)
+                at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                shared += np.bincount(np.repeat(np.arange(len(bs)), sizes), weights=own[at] == flat, minlength=len(bs)).astype(np.int64)
+            linked = np.flatnonzero(enough(shared, row["na"] + np.array(row["nbs"], np.int64)))
+            _, first = np.unique(np.array(row["labels"], np.int64)[linked], return_index=True)
+            out += [(row["a"], bs[k]) for k in linked[first]]
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.groupBy("cell").cogroup(there.groupBy("in_cell")).applyInArrow(count, LINKS)
+
+
+def between_components(named: DataFrame, divided: DataFrame, entries: int) -> DataFrame:
+    """CANDIDATES between components that share a prefix shingle, found inside tasks.
+
+    A shingle of more than CHUNK sets is split: every two chunks of its sets meet in a task of their own.
+    """
+    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    placed = named.join(divided.select("h", "members"), "h").withColumn("of", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
+    meets = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    cells = max(1, -(-entries // 50_000))
+    keyed = meets.select(
+        F.when(F.col("of") == 1, F.pmod(F.xxhash64("h"), F.lit(cells))).otherwise(F.col("h")).alias("cell"), F.least("chunk", "with").alias("i"), F.greatest("chunk", "with").alias("j"),
+        "h", "rep", "n", "at", "label", "chunk",
+    )
+
+    def pair(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("h", "ascending"), ("rep", "ascending")])
+        h, rep, n, at, label, chunk = (table.column(c).to_numpy() for c in ("h", "rep", "n", "at", "label", "chunk"))
+        i, j = key[1].as_py(), key[2].as_py()
+        sets, where = np.unique(rep, return_inverse=True)
+        size, of = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
+        size[where], of[where] = n, label
+        codes: list[np.ndarray] = [np.zeros(0, np.int64)]
+        edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            left = low + np.flatnonzero(chunk[low:high] == i)
+            right = left if i == j else low + np.flatnonzero(chunk[low:high] == j)
+            for k in range(0, len(left), 256):
+                a, b = left[k : k + 256, None], right[None]
+                # if this shingle is the first in common, no more can be shared than what follows it
+                most = np.minimum(n[a] - at[a], n[b] - at[b])
+                good = (label[a] != label[b]) & enough(most, n[a] + n[b])
+                if i == j:
+                    good &= rep[a] < rep[b]
+                x, y = np.nonzero(good)
+                codes.append(np.unique(where[a[x, 0]] * len(sets) + where[right[y]]))
+        code = np.unique(np.concatenate(codes))
+        a, b = code // max(1, len(sets)), code % max(1, len(sets))
+        starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
+        offsets = pa.array(np.append(starts, len(a)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v[b])) for v in (sets, size, of)]
+        return pa.table([pa.array(sets[a[starts]]), pa.array(size[a[starts]]), *lists], names=["a", "na", "bs", "nbs", "labels"])
+
+    parts = keyed.groupBy("cell", "i", "j").applyInArrow(pair, CANDIDATES)
+    # a set may meet another under several shingles
+    one = parts.groupBy("a", "na").agg(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("bs", "nbs", "labels")))).alias("all"))
+    return one.select("a", "na", *(F.col(f"all.{c}").alias(c) for c in ("bs", "nbs", "labels")))
 
 
 def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(a, b): verified links that join all that any links join."""
     spark = cut.sparkSession
     entries = written(cut.where("fragment = 0").select("rep", "n", F.inline("prefix")), "prefixes")
-    sets = entries.select("rep").distinct().count()
-    near = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * LEAST)
-    links = tested = spark.createDataFrame([], "a long, b long")
+    size = entries.agg(F.count("*").alias("entries"), F.count_distinct("rep").alias("sets")).first()
+    links = spark.createDataFrame([], LINKS)
     for turn in range(star_rounds + 1):
         if turn:
             labels = components(links)
@@ -217,24 +287,21 @@ def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
         else:
             named = entries.withColumn("label", F.col("rep"))
         # shingles whose sets are still in several components
-        divided = named.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min(F.struct(F.xxhash64("label", F.lit(turn)), "rep", "n", "label")).alias("lead")).where("x != y")
+        lead = F.min(F.struct(F.xxhash64("label", F.lit(turn)), "rep", "n", "label"))
+        divided = named.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("members"), lead.alias("lead")).where("x != y")
+        divided = written(divided, "divided")
+        if divided.isEmpty():
+            break
         if turn < star_rounds:
-            lead = divided.select("h", F.col("lead.rep").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.label").alias("other"))
-            made = named.join(lead, "h").where("label != other").select(F.col("rep").alias("a"), "b", F.col("n").alias("na"), "nb")
+            leads = divided.select("h", F.col("lead.rep").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.label").alias("other"))
+            near = F.least("n", "nb") * 100 >= F.greatest("n", "nb") * LEAST
+            pairs = named.join(leads, "h").where((F.col("label") != F.col("other")) & near)
+            # a set has at most one leader per shingle of its prefix
+            listed = pairs.groupBy(F.col("rep").alias("a"), F.col("n").alias("na")).agg(F.collect_set(F.struct("b", "nb", "other")).alias("all"))
+            made = listed.select("a", "na", F.col("all.b").alias("bs"), F.col("all.nb").alias("nbs"), F.col("all.other").alias("labels"))
         else:
-            left = named.join(divided.select("h"), "h")
-            right = left.select("h", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"), F.col("at").alias("at_b"))
-            # if this shingle is the first in common, no more can be shared than what follows it
-            most = 1 + F.least(F.col("n") - F.col("at"), F.col("nb") - F.col("at_b")) - 1
-            made = left.join(right, "h").where((F.col("rep") < F.col("b")) & (F.col("label") != F.col("other")) & (most * (100 + LEAST) >= (F.col("n") + F.col("nb")) * LEAST))
-            made = made.select(F.col("rep").alias("a"), "b", F.col("n").alias("na"), "nb")
-        made = made.where(near).distinct().join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        pairs = written(made, "pairs")
-        if pairs.isEmpty():
-            break
-        checked = written(overlaps(pairs, cut, sets).select("a", "b", (F.col("shared") * (100 + LEAST) >= (F.col("na") + F.col("nb")) * LEAST).alias("linked")), "checked")
-        tested = tested.unionByName(checked.select("a", "b"))
-        links = links.unionByName(checked.where("linked").select("a", "b"))
+            made = between_components(named, divided, size["entries"])
+        links = links.unionByName(written(verified(made, cut, size["sets"]), "links"))
     return links
 
 
