@@ -36,6 +36,8 @@ def write_json(spark: SparkSession, path: str, value: object) -> None:
 def publish(spark: SparkSession, staged: str, live: str) -> None:
     """Swap a staged directory in; the one before it is kept until the swap is done and put back if it fails."""
     fs, cls = _fs(spark, live)
+    if not fs.exists(cls(staged)):
+        raise OSError(f"nothing staged at {staged}")
     previous = cls(f"{live}.previous")
     fs.delete(previous, True)
     had = fs.exists(cls(live))
