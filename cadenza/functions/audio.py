@@ -50,21 +50,32 @@ def mel_to_hz(m: np.ndarray) -> np.ndarray:
     return np.where(m < 15, m * 200 / 3, 1000 * 6.4 ** ((m - 15) / 27))
 
 
-def mel_basis(rate: int = RATE, n_fft: int = 800, mels: int = 80, low: float = 55.0, high: float = 7600.0) -> np.ndarray:
-    """Triangles on the mel scale, each scaled to unit area."""
-    edges = mel_to_hz(np.linspace(hz_to_mel(low), hz_to_mel(high), mels + 2))
-    bins = np.fft.rfftfreq(n_fft, 1 / rate)
+def mel_basis(rate: int = RATE, n_fft: int = 1024, mels: int = 80) -> np.ndarray:
+    """[mels, bins] triangles, equally spaced on the mel scale from 0 to half the rate, each scaled to unit area."""
+    edges = mel_to_hz(np.linspace(0, hz_to_mel(rate / 2), mels + 2))
+    bins = np.linspace(0, rate / 2, n_fft // 2 + 1)
     up = (bins - edges[:-2, None]) / np.diff(edges)[:-1, None]
     down = (edges[2:, None] - bins) / np.diff(edges)[1:, None]
     return np.maximum(0, np.minimum(up, down)) * (2 / (edges[2:] - edges[:-2]))[:, None]
 
 
-def mel_spectrum(x: np.ndarray, n_fft: int = 800, hop: int = 200, basis: np.ndarray | None = None, floor: float = 1e-5) -> np.ndarray:
-    """[frames, mels] log magnitudes of centred, mirrored frames."""
-    basis = mel_basis(n_fft=n_fft) if basis is None else basis
-    padded = np.pad(x.astype(np.float64), n_fft // 2, mode="reflect" if len(x) > n_fft // 2 else "constant")
-    frames = np.lib.stride_tricks.sliding_window_view(padded, n_fft)[::hop] * np.hanning(n_fft + 1)[:-1]
-    return np.log10(np.maximum(np.abs(np.fft.rfft(frames)) @ basis.T, floor))
+#: Fixed values of the mel features.
+N_FFT, HOP, WINDOW, PREEMPHASIS, FLOOR, REFERENCE_DB = 1024, 160, 800, 0.97, 1e-5, 20.0
+
+
+def mel_spectrum(x: np.ndarray, basis: np.ndarray | None = None) -> np.ndarray:
+    """[frames, 80] in dB: pre-emphasis, centred mirrored frames under a Hann window inside the FFT, power, mels."""
+    if x.ndim != 1 or not len(x):
+        raise ValueError("one channel with at least one sample expected")
+    basis = mel_basis() if basis is None else basis
+    y = np.zeros(max(len(x), N_FFT))
+    y[1 : len(x)] = x[1:] - PREEMPHASIS * x[:-1]
+    window = np.zeros(N_FFT)
+    edge = (N_FFT - WINDOW) // 2
+    window[edge : edge + WINDOW] = np.hanning(WINDOW + 2)[1:-1]
+    frames = np.lib.stride_tricks.sliding_window_view(np.pad(y, N_FFT // 2, mode="reflect"), N_FFT)[::HOP]
+    power = np.abs(np.fft.rfft(frames * window)) ** 2
+    return (10 * np.log10(power @ basis.T + FLOOR) - REFERENCE_DB).astype(np.float32)
 
 
 def context_window(features: np.ndarray, index: int, width: int = 20) -> np.ndarray:

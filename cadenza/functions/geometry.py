@@ -68,14 +68,31 @@ def padded_box(xs: list[Column], ys: list[Column], width: Column, height: Column
     return [F.greatest(zero, F.floor(x1 - by)), F.greatest(zero, F.floor(y1 - by)), F.least(width, F.ceil(x2 + by)), F.least(height, F.ceil(y2 + by))]
 
 
+def mouth_part(b: Box) -> list[Column]:
+    """The mouth's part of a face box: the middle 60% of its width, from 45% to 95% of its height."""
+    x1, y1, x2, y2 = b
+    w, h = x2 - x1, y2 - y1
+    return [F.rint(v).cast("long") for v in (x1 + w * 0.2, y1 + h * 0.45, x1 + w * 0.8, y1 + h * 0.95)]
+
+
+def widened_box(b: Box, width: Column, height: Column) -> list[Column]:
+    """A detector's box grown by a tenth: to the left by its width, to the right by its new width, downwards by its height."""
+    x1, y1, x2, y2 = b
+    left, up = F.greatest(F.lit(0.0), x1 - (x2 - x1) * 0.1).cast("long"), F.greatest(F.lit(0), y1)
+    right = F.least(width - 1.0, x2 + (x2 - left) * 0.1).cast("long")
+    down = F.least(height - 1.0, y2 + (y2 - up) * 0.1).cast("long")
+    return [left, up.cast("long"), right, down]
+
+
 def scaled_box(b: Box, width: Column, height: Column, dx: int = 0, dy: int = 0, scale: float = 1.0, least: int = 32) -> list[Column]:
-    """A box scaled about its centre, shifted and clipped; halves round to even."""
+    """A box scaled about its centre, shifted and kept inside with at least a pixel; halves round to even."""
     x1, y1, x2, y2 = b
     w = F.greatest(F.lit(least), F.rint((x2 - x1) * scale))
     h = F.greatest(F.lit(least), F.rint((y2 - y1) * scale))
     nx, ny = F.rint((x1 + x2) / 2 - w / 2) + dx, F.rint((y1 + y2) / 2 - h / 2) + dy
-    clip = lambda v, top: F.greatest(F.lit(0), F.least(v, top)).cast("long")
-    return [clip(nx, width), clip(ny, height), clip(nx + w, width), clip(ny + h, height)]
+    left, up = F.greatest(F.lit(0), F.least(nx, width - 2)), F.greatest(F.lit(0), F.least(ny, height - 2))
+    right, down = F.greatest(left + 1, F.least(nx + w, width)), F.greatest(up + 1, F.least(ny + h, height))
+    return [v.cast("long") for v in (left, up, right, down)]
 
 
 def square_box(cx: Column, top: Column, side: Column, width: Column, height: Column) -> list[Column]:

@@ -47,6 +47,14 @@ def square_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("event_id", *(v.alias(n) for n, v in zip(("sx1", "sy1", "sx2", "sy2"), made, strict=True)))
 
 
+def part_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mouth's part of each box, and the box as widened before landmarks are looked for."""
+    b = boxes(spark, sf_dir).where("x1 is not null")
+    mouth, wide = geometry.mouth_part(geometry.box()), geometry.widened_box(geometry.box(), F.lit(WIDTH), F.lit(HEIGHT))
+    names = [f"{p}{c}" for p in ("m", "w") for c in ("x1", "y1", "x2", "y2")]
+    return b.select("event_id", *(v.alias(n) for n, v in zip(names, mouth + wide, strict=True)))
+
+
 def permuted_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Box JSON by frame in the order x1, x2, y1, y2, read back as x1, y1, x2, y2; rounded half to even and truncated."""
     b = boxes(spark, sf_dir).where("x1 is not null")
@@ -92,7 +100,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    normalized_boxes, angle_deltas, euler_angles, mouth_shapes, moved_boxes, square_boxes, permuted_boxes, safe_names, media_rates, speakers, content_hashes, json_presence, log_lines,
+    normalized_boxes, angle_deltas, euler_angles, mouth_shapes, moved_boxes, square_boxes, part_boxes, permuted_boxes, safe_names, media_rates, speakers, content_hashes, json_presence, log_lines,
 )}
 
 _E = "SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings"
@@ -104,8 +112,11 @@ ORACLE_SQL = {
     "angle_deltas": f"WITH {FRAMES}, d AS (SELECT event_id, value * 4 - k * -7.0::DOUBLE + 180 AS d FROM frames) SELECT event_id, round(CASE WHEN d - 360 * floor(d / 360) - 180 = -180 THEN 180 ELSE d - 360 * floor(d / 360) - 180 END, 6) AS delta FROM d",
     "euler_angles": f"WITH e AS ({_E}) SELECT vec_id, round(degrees(atan2(-e[7], sqrt(e[1]^2 + e[4]^2))), 6) AS yaw, round(degrees(CASE WHEN sqrt(e[1]^2 + e[4]^2) < 1e-6 THEN atan2(-e[6], e[5]) ELSE atan2(e[8], e[9]) END), 6) AS pitch, round(degrees(CASE WHEN sqrt(e[1]^2 + e[4]^2) < 1e-6 THEN 0 ELSE atan2(e[4], e[1]) END), 6) AS roll FROM e",
     "mouth_shapes": f"WITH e AS ({_E}), p AS (SELECT vec_id, {_PX} FROM e), b AS (SELECT *, least({_X4}) AS a, greatest({_X4}) AS c, least({_Y4}) AS b, greatest({_Y4}) AS d FROM p), q AS (SELECT *, greatest(c - a, d - b, 1) * 0.35::DOUBLE AS pad FROM b) SELECT vec_id, round(sqrt((px0 - px1)^2 + (py0 - py1)^2) / greatest(sqrt((px2 - px3)^2 + (py2 - py3)^2), 1e-6), 6) AS openness, greatest(0, floor(a - pad))::BIGINT AS x1, greatest(0, floor(b - pad))::BIGINT AS y1, least({WIDTH}, ceil(c + pad))::BIGINT AS x2, least({HEIGHT}, ceil(d + pad))::BIGINT AS y2 FROM q",
-    "moved_boxes": f"WITH {BOXES}, s AS (SELECT *, greatest(32, round_even((x2 - x1) * 1.15::DOUBLE, 0)) AS w, greatest(32, round_even((y2 - y1) * 1.15::DOUBLE, 0)) AS h FROM boxes WHERE x1 IS NOT NULL), n AS (SELECT *, round_even((x1 + x2) / 2 - w / 2, 0) + 3 AS nx, round_even((y1 + y2) / 2 - h / 2, 0) - 2 AS ny FROM s) SELECT event_id, greatest(0, least(nx, {WIDTH}))::BIGINT AS nx1, greatest(0, least(ny, {HEIGHT}))::BIGINT AS ny1, greatest(0, least(nx + w, {WIDTH}))::BIGINT AS nx2, greatest(0, least(ny + h, {HEIGHT}))::BIGINT AS ny2 FROM n",
+    "moved_boxes": f"WITH {BOXES}, s AS (SELECT *, greatest(32, round_even((x2 - x1) * 1.15::DOUBLE, 0)) AS w, greatest(32, round_even((y2 - y1) * 1.15::DOUBLE, 0)) AS h FROM boxes WHERE x1 IS NOT NULL), n AS (SELECT *, round_even((x1 + x2) / 2 - w / 2, 0) + 3 AS nx, round_even((y1 + y2) / 2 - h / 2, 0) - 2 AS ny FROM s) SELECT event_id, greatest(0, least(nx, {WIDTH} - 2))::BIGINT AS nx1, greatest(0, least(ny, {HEIGHT} - 2))::BIGINT AS ny1, greatest(greatest(0, least(nx, {WIDTH} - 2)) + 1, least(nx + w, {WIDTH}))::BIGINT AS nx2, greatest(greatest(0, least(ny, {HEIGHT} - 2)) + 1, least(ny + h, {HEIGHT}))::BIGINT AS ny2 FROM n",
     "square_boxes": f"WITH {BOXES}, s AS (SELECT *, least(greatest(1, round_even(x2 - x1 + 0.5::DOUBLE, 0)), {WIDTH}, {HEIGHT}) AS s FROM boxes WHERE x1 IS NOT NULL), n AS (SELECT *, greatest(0, least(round_even((x1 + x2) / 2 - s / 2, 0), {WIDTH} - s)) AS x, greatest(0, least(y1, {HEIGHT} - s)) AS y FROM s) SELECT event_id, x::BIGINT AS sx1, y::BIGINT AS sy1, (x + s)::BIGINT AS sx2, (y + s)::BIGINT AS sy2 FROM n",
+    "part_boxes": f"""WITH {BOXES}, b AS (SELECT *, greatest(0, trunc(greatest(0, x1 - (x2 - x1) * 0.1::DOUBLE)))::BIGINT AS l, greatest(0, y1) AS u FROM boxes WHERE x1 IS NOT NULL)
+      SELECT event_id, round_even(x1 + (x2 - x1) * 0.2::DOUBLE, 0)::BIGINT AS mx1, round_even(y1 + (y2 - y1) * 0.45::DOUBLE, 0)::BIGINT AS my1, round_even(x1 + (x2 - x1) * 0.8::DOUBLE, 0)::BIGINT AS mx2, round_even(y1 + (y2 - y1) * 0.95::DOUBLE, 0)::BIGINT AS my2,
+        l AS wx1, u AS wy1, trunc(least({WIDTH} - 1.0::DOUBLE, x2 + (x2 - l) * 0.1::DOUBLE))::BIGINT AS wx2, trunc(least({HEIGHT} - 1.0::DOUBLE, y2 + (y2 - u) * 0.1::DOUBLE))::BIGINT AS wy2 FROM b""",
     "permuted_boxes": f"WITH {BOXES} SELECT event_id, frame_idx AS frame, round_even(x1 + 0.5::DOUBLE, 0)::BIGINT AS x1, round_even(y1 + 0.5::DOUBLE, 0)::BIGINT AS y1, trunc(x2 + 0.5::DOUBLE)::BIGINT AS x2, trunc(y2 + 0.5::DOUBLE)::BIGINT AS y2 FROM boxes WHERE x1 IS NOT NULL",
     "safe_names": r"SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(left(text, 24), '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'sample') AS name FROM documents",
     "media_rates": f"WITH {FRAMES} SELECT event_id, round(CASE WHEN k % 3 = 0 THEN k::DOUBLE WHEN k % 4 <> 0 THEN k / (k % 4)::DOUBLE END, 6) AS rate FROM frames",

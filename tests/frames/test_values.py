@@ -241,10 +241,43 @@ def test_audio():
         audio.context_window(f[:5], 0)
     hz = np.array([100.0, 999.0, 1000.0, 5000.0])
     assert np.allclose(audio.mel_to_hz(audio.hz_to_mel(hz)), hz)
-    assert audio.mel_spectrum(np.zeros(1600)).shape == (9, 80)
+    m = audio.mel_spectrum(np.zeros(1600))
+    assert m.shape == (11, 80) and np.allclose(m, -70.0)
+    tone = audio.mel_spectrum(np.sin(2 * np.pi * 1000 * np.arange(8000) / 16000))
+    assert abs(audio.mel_to_hz(np.linspace(0, audio.hz_to_mel(8000.0), 82))[1 + tone.mean(axis=0).argmax()] - 1000) < 60
 
 
 def test_image_udf(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": [[0.0] * 256], "b": [[1.0] * 256]}))
     r = df.select(arrays.image_metrics_udf(16, 16)("a", "b").alias("m")).first()["m"]
     assert (r["mae"], r["rmse"]) == (1.0, 1.0)
+
+
+MARKS = {1: (100, 90), 10: (100, 45), 13: (100, 112), 14: (100, 120), 33: (70, 70), 61: (82, 118), 133: (90, 70), 152: (100, 150), 234: (55, 100), 263: (130, 70), 291: (118, 118), 362: (110, 70), 454: (145, 100)}
+
+
+def test_landmarks(spark):
+    from cadenza.functions import landmarks
+
+    kind = "a map<int,struct<x:double,y:double>>, b map<int,struct<x:double,y:double>>, x1 int, y1 int, x2 int, y2 int, u1 int, v1 int, u2 int, v2 int"
+    a = {k: (float(x), float(y)) for k, (x, y) in MARKS.items()}
+    b = {k: (x + 10, y + 20) for k, (x, y) in a.items()}
+    df = spark.createDataFrame([(a, b, 50, 40, 150, 160, 60, 60, 160, 180), ({k: v for k, v in a.items() if k != 61}, b, 50, 40, 150, 160, 60, 60, 160, 180)], kind)
+    rmse, mouth = landmarks.alignment(F.col("a"), geometry.box(), F.col("b"), geometry.box("u1", "v1", "u2", "v2"))
+    rows = df.select(rmse.alias("r"), mouth.alias("m"), landmarks.five_points(F.col("a")).alias("p")).collect()
+    assert (rows[0]["r"], rows[0]["m"]) == (0.0, 0.0) and rows[1]["p"] is None
+    assert [tuple(p) for p in rows[0]["p"]] == [(80, 70), (120, 70), (100, 90), (82, 118), (118, 118)]
+
+
+def test_contours(spark):
+    from cadenza.functions import landmarks
+
+    assert len(landmarks.CONTOUR_68) == 68
+    r = np.random.default_rng(2)
+    pts = r.uniform(40, 200, (98, 2))
+    df = spark.createDataFrame([([tuple(map(float, p)) for p in pts],)], "p array<struct<x:double,y:double>>")
+    row = df.select(landmarks.contour_68(F.col("p")).alias("c")).select("c", landmarks.contour_roi(F.col("c"), F.lit(640), F.lit(480)).alias("roi")).first()
+    c = np.array([tuple(x) for x in row["c"]])
+    assert np.allclose(c[0], pts[0]) and np.allclose(c[37], (pts[60] + pts[62]) / 2) and np.allclose(c[67], pts[95])
+    x1, y1, x2, y2 = row["roi"]
+    assert 0 <= x1 < x2 < 640 and 0 <= y1 < y2 < 480
