@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,28 +14,45 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 
+def folded(df: DataFrame, clip: str, order: str, columns: list[str], start: Callable[[], object], step: Callable[[object, np.ndarray], tuple[object, tuple]], fields: list[StructField]) -> DataFrame:
+    """Carry a state through each clip's rows in order; ``step`` returns the next state and the row's new fields.
+
+    Clips are partitioned and sorted by Spark and stream through in Arrow batches, so only a batch and
+    one state are held however long a clip is.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, state = object(), None
+        for part in parts:
+            keys = part[clip].astype(object).where(part[clip].notna(), None)
+            made = []
+            for key, values in zip(keys, part[columns].to_numpy(float), strict=True):
+                if key != current:
+                    current, state = key, start()
+                state, new = step(state, values)
+                made.append(new)
+            columns_made = list(zip(*made, strict=True)) or [()] * len(fields)
+            kinds = {"boolean": "boolean", "bigint": "Int64", "double": "float64"}
+            yield part.assign(**{f.name: pd.array(list(c), kinds[f.dataType.simpleString()]) for f, c in zip(fields, columns_made, strict=True)})
+
+    ordered = df.repartition(clip).sortWithinPartitions(clip, order)
+    return ordered.mapInPandas(run, StructType([*df.schema.fields, *fields]))
+
+
 def accepted(df: DataFrame, clip: str, order: str, columns: list[str], close: Callable[[np.ndarray, np.ndarray], bool], out: str = "accepted") -> DataFrame:
     """Mark rows that are close to the last accepted row of their clip; the first row with values is accepted.
 
     Rows with a null among ``columns`` get null and change nothing. A rejected row never becomes the
-    row to compare with, so this is a fold rather than a lag; a clip is folded in its own order.
+    row to compare with, so this is a fold rather than a lag.
     """
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        values, last, marks = rows[columns].to_numpy(float), None, []
-        for v in values:
-            if np.isnan(v).any():
-                marks.append(None)
-                continue
-            good = last is None or bool(close(last, v))
-            if good:
-                last = v
-            marks.append(good)
-        return rows.assign(**{out: pd.array(marks, "boolean")})
+    def step(last: np.ndarray | None, values: np.ndarray) -> tuple[np.ndarray | None, tuple]:
+        if np.isnan(values).any():
+            return last, (None,)
+        good = last is None or bool(close(last, values))
+        return (values if good else last), (good,)
 
-    schema = StructType([*df.schema.fields, StructField(out, BooleanType())])
-    return df.groupBy(clip).applyInPandas(fold, schema)
+    return folded(df, clip, order, columns, lambda: None, step, [StructField(out, BooleanType())])
 
 
 def near_value(most: float) -> Callable[[np.ndarray, np.ndarray], bool]:
@@ -148,22 +165,16 @@ def session_chunks(total: Column, first: int = 20, step: int = 50) -> Column:
 def improvements(df: DataFrame, clip: str, order: str, column: str, least: float, patience: int) -> DataFrame:
     """Best value so far, steps since it moved, and whether patience has run out.
 
-    The best moves only for a value smaller by more than ``least``, so it is folded per clip.
+    The best moves only for a value smaller by more than ``least``, so it is folded.
     """
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        best, stale, out = np.inf, 0, []
-        for v in rows[column].to_numpy(float):
-            if v < best - least:
-                best, stale = v, 0
-            else:
-                stale += 1
-            out.append((best, stale, stale >= patience))
-        return rows.assign(best=[o[0] for o in out], stale=[o[1] for o in out], stopped=[o[2] for o in out])
-
-    schema = StructType([*df.schema.fields, StructField("best", DoubleType()), StructField("stale", LongType()), StructField("stopped", BooleanType())])
-    return df.groupBy(clip).applyInPandas(fold, schema)
+    def step(state: tuple[float, int], values: np.ndarray) -> tuple[tuple[float, int], tuple]:
+        best, stale = state
+        best, stale = (float(values[0]), 0) if values[0] < best - least else (best, stale + 1)
+        return (best, stale), (best, stale, stale >= patience)
+
+    fields = [StructField("best", DoubleType()), StructField("stale", LongType()), StructField("stopped", BooleanType())]
+    return folded(df, clip, order, [column], lambda: (float("inf"), 0), step, fields)
 
 
 def phase(step: Column, last: int, warmup: int, stabilise: int) -> Column:
