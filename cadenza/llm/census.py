@@ -25,8 +25,13 @@ Ask = Callable[[pa.Table], tuple[np.ndarray, np.ndarray, object]]
 Finish = Callable[[pa.Table, object, np.ndarray, np.ndarray], pa.Table]
 
 
-def census(rows: DataFrame, fragments: int, ask: Ask, finish: Finish, schema: str) -> DataFrame:
-    """``rows`` has a column ``block``; ``ask`` runs twice per block, the second time beside the answers."""
+def census(rows: DataFrame, fragments: int, ask: Ask, finish: Finish, schema: str, width: int = 8) -> DataFrame:
+    """``rows`` has a column ``block``; ``ask`` runs twice per block, the second time beside the answers.
+
+    Only the first ``width`` bytes of a hash are sent and compared. With fewer than 8 some counts may
+    be too high, which a caller that only prunes with them can afford.
+    """
+    drop = np.uint64(64 - 8 * width)
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         hashes, counts, _ = ask(table)
@@ -36,13 +41,13 @@ def census(rows: DataFrame, fragments: int, ask: Ask, finish: Finish, schema: st
         return pa.table(
             [
                 pa.array(range(fragments), pa.int32()), pa.array([key[0].as_py()] * fragments, pa.int32()),
-                pa.array([planes(hashes[a:b]) for a, b in cuts], pa.binary()), pa.array([planes(counts[a:b].astype(np.uint32)) for a, b in cuts], pa.binary()),
+                pa.array([planes(hashes[a:b] >> drop, width) for a, b in cuts], pa.binary()), pa.array([planes(counts[a:b].astype(np.uint32)) for a, b in cuts], pa.binary()),
             ],
             names=["fragment", "block", "hashes", "counts"],
         )
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        hashes = [unplanes(x, np.uint64) for x in table.column("hashes").to_pylist()]
+        hashes = [unplanes(x, np.uint64, width) for x in table.column("hashes").to_pylist()]
         counts = np.concatenate([unplanes(x, np.uint32) for x in table.column("counts").to_pylist()])
         unique, place = np.unique(np.concatenate(hashes), return_inverse=True)
         totals = np.minimum(np.bincount(place, weights=counts, minlength=len(unique)), 2**32 - 1).astype(np.uint32)[place]

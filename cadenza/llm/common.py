@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,14 +111,18 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     return mixed(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
 
 
-def planes(x: np.ndarray) -> bytes:
-    """The bytes of fixed-width numbers, plane by plane: slowly changing high bytes compress well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.dtype.itemsize).T).tobytes()
+def planes(x: np.ndarray, width: int | None = None) -> bytes:
+    """The low ``width`` bytes of fixed-width numbers, plane by plane: slowly changing high bytes compress well."""
+    width = width or x.dtype.itemsize
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.dtype.itemsize)[:, :width].T).tobytes()
 
 
-def unplanes(data: bytes, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).reshape(-1)
+def unplanes(data: bytes, dtype, width: int | None = None) -> np.ndarray:
+    full = np.dtype(dtype).itemsize
+    width = width or full
+    out = np.zeros((len(data) // width, full), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    return out.view(dtype).reshape(-1)
 
 
 def one_per_id(docs: DataFrame) -> DataFrame:
@@ -127,11 +132,15 @@ def one_per_id(docs: DataFrame) -> DataFrame:
     return docs.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
-def sliced(batch: pa.RecordBatch, most: int, column: str = "text"):
-    """A batch in slices of about ``most`` bytes of a string column, a row at least."""
-    _, offsets = string_bytes(batch.column(column))
-    first = 0
-    while first < batch.num_rows:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
-        yield batch.slice(first, last - first)
-        first = last
+def gathered(batches: Iterator[pa.RecordBatch], least: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches joined until they hold at least ``least`` bytes of a string column."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= least:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size or held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from .census import census
 from .common import block_count, keyed_docs, mixed, one_per_id, word_hashes, words_of, written
 from .components import components
 
-WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 8, 3, 2_000, 2_048
+WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 8, 3, 500, 2_048
 #: The global order is cut where counts pass these.
 PIVOTS = (2, 8, 64)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -125,16 +126,17 @@ def classes(docs: DataFrame, block_mb: float) -> DataFrame:
             names=["d1", "d2", "n", "doc_ids", "core"],
         )
 
-    return census(blocked, blocks, ask, finish, CLASSES)
+    # counts only prune here, so six bytes of a hash do
+    return census(blocked, blocks, ask, finish, CLASSES, 6)
 
 
-SEGMENTS = "rep long, n long, fragment int, segment binary, prefix array<struct<h:long,at:int>>"
+SEGMENTS = "rep long, n long, fragment int, segment binary, prefix array<long>, at array<int>"
 
 
 def segments(sets: DataFrame) -> DataFrame:
     """From (rep, n, core): a row per fragment with its shingles in order of hash; the row of fragment 0 has the prefix."""
     entries = sets.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0)).alias("b")).first()["b"]
-    blocks = max(1, -(-entries // 16_000_000))
+    blocks = max(1, -(-entries // 6_000_000))
     blocked = sets.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"))
 
     def ask(table: pa.Table):
@@ -165,12 +167,13 @@ def segments(sets: DataFrame) -> DataFrame:
             own, part = hashes[a : a + sizes[r]], fragment[a : a + sizes[r]]
             cut = np.searchsorted(part, np.arange(len(PIVOTS) + 2))
             for f in range(len(PIVOTS) + 1):
-                first = [{"h": int(h), "at": int(single[r] + i)} for i, h in enumerate(own[: prefix[r]].view(np.int64))] if f == 0 else None
+                first = own[: prefix[r]].view(np.int64) if f == 0 else None
                 if f == 0 or cut[f] < cut[f + 1]:
-                    out.append((ids[r], int(n[r]), f, np.sort(own[cut[f] : cut[f + 1]]).tobytes(), first))
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32())]))]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["rep", "n", "fragment", "segment", "prefix"])
+                    places = None if first is None else np.arange(single[r], single[r] + len(first), dtype=np.int32)
+                    out.append((ids[r], int(n[r]), f, np.sort(own[cut[f] : cut[f + 1]]).tobytes(), first, places))
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["rep", "n", "fragment", "segment", "prefix", "at"])
 
     return census(blocked, blocks, ask, finish, SEGMENTS)
 
@@ -206,20 +209,23 @@ def verified(made: DataFrame, cut: DataFrame, sets: int) -> DataFrame:
         for rep, fragment, segment in zip(*(right.column(c).to_pylist() for c in ("rep", "fragment", "segment")), strict=True):
             segments_of[fragment][rep] = np.frombuffer(segment, np.uint64)
         none, out = np.zeros(0, np.uint64), []
-        for row in left.to_pylist():
-            bs, shared = row["bs"], np.zeros(len(row["bs"]), np.int64)
+        lists = [left.column(c).combine_chunks() for c in ("bs", "nbs", "labels")]
+        ends = np.cumsum(pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False))
+        all_bs, all_nbs, all_labels = (x.flatten().to_numpy() for x in lists)
+        for a, na, start, end in zip(left.column("a").to_pylist(), left.column("na").to_pylist(), [0, *ends[:-1]], ends, strict=False):
+            bs, shared = all_bs[start:end], np.zeros(end - start, np.int64)
             for segment in segments_of:
-                own = segment.get(row["a"], none)
+                own = segment.get(a, none)
                 if not len(own):
                     continue
-                others = [segment.get(b, none) for b in bs]
+                others = [segment.get(b, none) for b in bs.tolist()]
                 sizes = np.array([len(o) for o in others])
                 flat = np.concatenate(others)
                 at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
                 shared += np.bincount(np.repeat(np.arange(len(bs)), sizes), weights=own[at] == flat, minlength=len(bs)).astype(np.int64)
-            linked = np.flatnonzero(enough(shared, row["na"] + np.array(row["nbs"], np.int64)))
-            _, first = np.unique(np.array(row["labels"], np.int64)[linked], return_index=True)
-            out += [(row["a"], bs[k]) for k in linked[first]]
+            linked = np.flatnonzero(enough(shared, na + all_nbs[start:end]))
+            _, first = np.unique(all_labels[start:end][linked], return_index=True)
+            out += [(a, bs[k]) for k in linked[first]]
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -277,7 +283,7 @@ def between_components(named: DataFrame, divided: DataFrame, entries: int) -> Da
 def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(a, b): verified links that join all that any links join."""
     spark = cut.sparkSession
-    entries = written(cut.where("fragment = 0").select("rep", "n", F.inline("prefix")), "prefixes")
+    entries = written(cut.where("fragment = 0").select("rep", "n", F.inline(F.arrays_zip(F.col("prefix").alias("h"), F.col("at").alias("at")))), "prefixes")
     size = entries.agg(F.count("*").alias("entries"), F.count_distinct("rep").alias("sets")).first()
     links = spark.createDataFrame([], LINKS)
     for turn in range(star_rounds + 1):
