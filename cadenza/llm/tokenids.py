@@ -31,9 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keyed_docs, sliced, words_of, written
+from .common import gathered, keyed_docs, words_of, written
 
-BLOCK, END_ID, SEGMENT_IDS, SLICE_BYTES = 256, 1, 1 << 20, 16_000_000
+BLOCK, END_ID, SEGMENT_IDS, GATHERED_BYTES = 256, 1, 1 << 20, 12_000_000
 #: Letters that lower-casing and normalising leave alone, and words of them.
 LATIN = "[a-zß-öø-ÿ]"
 PLAIN = f"^{LATIN}+$"
@@ -217,7 +217,7 @@ def encode_segments(documents: DataFrame, path: str | None = None) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part, segment = tokenizer(model), TaskContext.get().partitionId(), 0
-        for batch in (part for whole in batches for part in sliced(whole, SLICE_BYTES)):
+        for batch in gathered(batches, GATHERED_BYTES):
             ids, lengths = tool.encode(batch.column("text"))
             ends = np.cumsum(lengths)
             first = 0
