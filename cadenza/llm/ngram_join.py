@@ -333,3 +333,20 @@ def keep_one(documents: DataFrame) -> DataFrame:
     stay = join(documents).where("doc_id = component_id").select(F.col("doc_id").alias("__stay"))
     kept = documents.join(stay.hint("shuffle_hash"), F.col("doc_id") == F.col("__stay"))
     return kept.select(*(F.col(f"`{c}`") for c in documents.columns))
+
+
+#: DuckDB: all overlaps by a join on shingles, components by reachability.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w
+), n AS (SELECT w.doc_id, count(s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+p AS (SELECT a, b, c, x.n AS na, y.n AS nb FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+r AS (SELECT doc_id, doc_id AS to_id FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.to_id = l.a),
+k AS (SELECT a AS doc_id, min(b) AS same FROM p WHERE c = na AND c = nb GROUP BY 1)
+SELECT n.doc_id, n.n AS n_shingles, min(to_id) AS component_id, least(n.doc_id, any_value(coalesce(same, n.doc_id))) AS class_id
+FROM n JOIN r ON n.doc_id = r.doc_id LEFT JOIN k ON n.doc_id = k.doc_id GROUP BY n.doc_id, n.n
+"""

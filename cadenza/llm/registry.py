@@ -65,4 +65,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
 }
-ORACLE_SQL: dict[str, str] = {"op6_secrets": secrets.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard": ngram_join.ORACLE,
+    "op3_suffix_dedup": suffixes.ORACLE,
+    "op6_secrets": secrets.ORACLE,
+    "op8_mixing": mixing.ORACLE,
+}

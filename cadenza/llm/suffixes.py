@@ -321,3 +321,19 @@ def removed(documents: DataFrame, block_mb: float = BLOCK_MB, hot: int = HOT) ->
 
     spans = repeated_spans(docs, block_mb, hot)
     return docs.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(cut, REMOVED)
+
+
+#: DuckDB: every window hashed and counted.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+w AS (SELECT doc_id, i, md5(hex(t[i:i + 199])) AS h FROM (SELECT doc_id, t, unnest(range(1, octet_length(t) - 198)) AS i FROM d)),
+c AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+m AS (SELECT doc_id, i AS a, i + 200 AS b FROM w SEMI JOIN c USING (h)),
+g AS (SELECT *, coalesce(max(b) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < a, true)::INT AS new FROM m),
+s AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY a) AS run FROM g) GROUP BY doc_id, run),
+e AS (SELECT doc_id, a, b FROM s UNION ALL SELECT doc_id, octet_length(t) + 1, octet_length(t) + 1 FROM d),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 1) AS k0 FROM e),
+q AS (SELECT doc_id, string_agg(hex(t[k0:a - 1]), '' ORDER BY a, b) AS kept FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, octet_length(t)::BIGINT AS n_bytes, coalesce((SELECT sum(b - a) FROM s WHERE s.doc_id = d.doc_id), 0)::BIGINT AS n_removed, (SELECT count(*) FROM s WHERE s.doc_id = d.doc_id) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN q USING (doc_id)
+"""
