@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -49,6 +49,16 @@ def keyed_docs(documents: DataFrame) -> DataFrame:
     return plain_docs(documents).where("doc_id is not null")
 
 
+def packed(documents: DataFrame) -> DataFrame:
+    """(kept struct of all columns, doc_id long, text string): work beside columns of any name."""
+    return documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("kept"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The columns that ``packed`` put away, some of them replaced."""
+    return df.select(*(replaced.get(c, F.col("kept").getField(c)).alias(c) for c in columns))
+
+
 def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
 

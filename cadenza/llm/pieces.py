@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from .common import plain_docs
 
 MARK = "▁"
-KEPT_CHUNKS, KEPT_PAIRS = 400_000, 1_500_000
+KEPT_CHUNKS, KEPT_PAIRS = 150_000, 400_000
 
 
 class PieceTable:
