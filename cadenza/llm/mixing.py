@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import packed, unpacked, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MAX_REPEATS, SEED, BINS_HEX, MAX_PATTERNS = (5, 2, 1), 1.5, 2, "mix:", 3, 100_000
@@ -166,12 +166,9 @@ def mix(documents: DataFrame) -> DataFrame:
 
 def mix_copies(documents: DataFrame) -> DataFrame:
     """The mix itself: each document as many times as it is taken (documents of size 0 go)."""
-    kind = dict(documents.dtypes)["source"]
-    taken = mix(documents).where("copies > 0 and size > 0").groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies"))
-    times = F.explode(F.expr("sequence(1, __copies)"))
-    own = documents.withColumn("source", F.col("source").cast(kind))
-    repeated = own.join(taken.hint("shuffle_hash").withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")))
-    return repeated.withColumn("__copy", times).select(*(F.col(f"`{c}`") for c in documents.columns))
+    taken = mix(documents).where("copies > 0 and size > 0").groupBy("doc_id").agg(F.max("copies").cast("int").alias("times"))
+    repeated = packed(documents).join(taken.withColumnRenamed("doc_id", "of_doc").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of_doc")))
+    return unpacked(repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))), documents.columns)
 
 
 ORACLE = r"""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .census import census
-from .common import block_count, keyed_docs, mixed, one_per_id, word_hashes, words_of, written
+from .common import block_count, keyed_docs, mixed, one_per_id, packed, unpacked, word_hashes, words_of, written
 from .components import components
 
 WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 8, 3, 500, 2_048
@@ -330,9 +330,9 @@ def join(documents: DataFrame, block_mb: float = BLOCK_MB) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """``documents`` with one of each component: the row whose doc_id is the component's."""
-    stay = join(documents).where("doc_id = component_id").select(F.col("doc_id").alias("__stay"))
-    kept = documents.join(stay.hint("shuffle_hash"), F.col("doc_id") == F.col("__stay"))
-    return kept.select(*(F.col(f"`{c}`") for c in documents.columns))
+    stay = join(documents).where("doc_id = component_id").select(F.col("doc_id").alias("stay"))
+    kept = packed(documents).join(stay.hint("shuffle_hash"), F.col("doc_id") == F.col("stay"))
+    return unpacked(kept, documents.columns)
 
 
 #: DuckDB: all overlaps by a join on shingles, components by reachability.

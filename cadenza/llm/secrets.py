@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_docs
+from .common import packed, plain_docs, unpacked
 
 _parser, _code = re._parser, re._constants
 
@@ -192,11 +192,12 @@ def redact(documents: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[
         "secret_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut,
         lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))),
     )
-    found = scanned(documents, rules).withColumn("text", F.when(F.size("secret_spans") > 0, clean).otherwise(F.col("text")))
+    found = scanned(packed(documents), rules).withColumn("clean", F.when(F.size("secret_spans") > 0, clean).otherwise(F.col("text")))
+    new = {"text": F.col("clean")}
     if "n_chars" in documents.columns:
         kind = dict(documents.dtypes)["n_chars"]
-        found = found.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select(*(F.col(f"`{c}`") for c in documents.columns))
+        new["n_chars"] = F.when(F.size("secret_spans") > 0, F.length("clean").cast(kind)).otherwise(F.col("kept.n_chars"))
+    return unpacked(found, documents.columns, **new)
 
 
 def _oracle() -> str:

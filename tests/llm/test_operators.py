@@ -392,3 +392,18 @@ def test_single_document(spark):
     df = spark.createDataFrame([(4, "just one text of six words")], "doc_id long, text string")
     assert sketch.fingerprints(df).first()["near_next"] == 1.0
     assert ngram_join.join(df).first()["component_id"] == 4
+
+
+STAGES = {"redact": lambda d, lab: secrets.redact(d), "mix": lambda d, lab: mixing.mix_copies(d), "keep_one": lambda d, lab: ngram_join.keep_one(d), "keep_good": lambda d, lab: quality.keep_good(d, lab)}
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stages_keep_columns_of_any_name(name, docs, labels, spark):
+    names = ["kept", "secret_spans", "secret_kinds", "secret_doc", "clean", "of_doc", "times", "copy", "copies", "stay", "label", "size", "a b", "x.y"]
+    odd = docs.select("doc_id", "text", "source", "n_chars", *(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names))
+    out = STAGES[name](odd, labels)
+    assert out.columns == odd.columns
+    rows = out.collect()
+    assert rows and all(r[n] == f"{n}:{r['doc_id']}" for r in rows for n in names)
+    empty = STAGES[name](odd.limit(0), labels)
+    assert empty.columns == odd.columns and empty.collect() == []
