@@ -35,6 +35,7 @@ def census(rows: DataFrame, fragments: int, ask: Ask, finish: Finish, schema: st
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         hashes, counts, _ = ask(table)
+        pa.default_memory_pool().release_unused()
         of = (hashes >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
         edges = np.searchsorted(of, np.arange(fragments + 1, dtype=np.uint64))
         cuts = list(zip(edges[:-1], edges[1:], strict=True))

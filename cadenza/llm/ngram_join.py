@@ -31,7 +31,7 @@ from .census import census
 from .common import block_count, keyed_docs, mixed, one_per_id, packed, unpacked, word_hashes, words_of, written
 from .components import components
 
-WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 8, 3, 500, 2_048
+WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 5, 3, 500, 2_048
 #: The global order is cut where counts pass these.
 PIVOTS = (2, 8, 64)
 STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -69,6 +69,11 @@ class PieceTable:
         self.halves: dict[int, tuple[int, int]] = {}
         self.chunks: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        """Drop the caches at the end of a task: a worker may go on to other work."""
+        self.chunks.clear()
+        self.pairs.clear()
+
     def merged(self, text: str) -> list[int]:
         """BPE by replaying merges, best rank first and leftmost among equals."""
         parts = list(text)
@@ -217,6 +222,7 @@ def encode_pieces(documents: DataFrame, model: str | None = None) -> DataFrame:
         for batch in batches:
             ids = [tool.encode(text) for text in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([tool.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+        tool.forget()
 
     return plain_docs(documents).mapInArrow(encode, "doc_id long, ids array<int>, decoded string")
 
@@ -238,5 +244,6 @@ def piece_digests(documents: DataFrame, model: str | None = None) -> DataFrame:
                 coded.append(hashlib.sha256(np.array(ids, "<u4")).hexdigest())
                 decoded.append(hashlib.sha256(tool.decode(ids).encode()).hexdigest())
             yield pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=[x.split()[0] for x in DIGEST.split(", ")])
+        tool.forget()
 
     return plain_docs(documents).mapInArrow(digest, DIGEST)
