@@ -50,13 +50,15 @@ def keyed_docs(documents: DataFrame) -> DataFrame:
 
 
 def packed(documents: DataFrame) -> DataFrame:
-    """(kept struct of all columns, doc_id long, text string): work beside columns of any name."""
-    return documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("kept"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    """(kept struct of all columns but text, doc_id long, text string): work beside columns of any name."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    return documents.select(F.struct(*others).alias("kept"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
 
 
 def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
     """The columns that ``packed`` put away, some of them replaced."""
-    return df.select(*(replaced.get(c, F.col("kept").getField(c)).alias(c) for c in columns))
+    own = {"text": F.col("text")} | replaced
+    return df.select(*(own.get(c, F.col("kept").getField(c)).alias(c) for c in columns))
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, plain_docs, string_bytes, unpacked
+from .common import mixed, packed, plain_docs, string_bytes, unpacked
 
 PASSAGE, CLASSES, EMBED, GATE = 512, 16, 32, 16
 FEATURES = CLASSES**2 + 2
@@ -197,14 +197,13 @@ def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     weights = train(documents, labels)
     if weights is None:
         return documents
-    whole = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("kept"))
-    text_at = documents.columns.index("text")
+    whole = packed(documents).select("kept", "text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model()
         model.w = weights
         for batch in batches:
-            found = np.round(model.scores(batch.column("kept").field(text_at).fill_null("")).astype(np.float64), 6)
+            found = np.round(model.scores(batch.column("text").fill_null("")).astype(np.float64), 6)
             yield batch.filter(pa.array(found >= THRESHOLD))
 
     return unpacked(whole.mapInArrow(keep, whole.schema), documents.columns)
