@@ -112,9 +112,9 @@ def trigram_query(pattern: str, widest: int = 32) -> Query:
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """(trigram, doc_id): the part of the inverted index that the rules can ask for."""
-    low = F.lower("text")
-    held = F.filter(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams)), lambda t: t.isNotNull())
-    return docs.where("doc_id is not null").select("doc_id", F.explode(held).alias("trigram")).select("trigram", "doc_id")
+    low = docs.where("doc_id is not null").select("doc_id", F.lower("text").alias("low"))  # lowered once, not per trigram
+    held = F.filter(F.array(*(F.lit(t) for t in trigrams)), lambda t: F.contains(F.col("low"), t))
+    return low.select("doc_id", F.explode(held).alias("trigram")).select("trigram", "doc_id")
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
