@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import block_count, keyed_docs, planes, unplanes, word_hashes, words_of
 
-ORDER, DISCOUNT, BLOCK_MB, HELD_OUT = 2, 0.75, 8, (7, 2)
+ORDER, DISCOUNT, BLOCK_MB, HELD_OUT = 2, 0.75, 6, (7, 2)
 FINGER, STEPS = np.uint64(40), 32
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFEB77B2B)
 
