@@ -13,6 +13,8 @@ Sets are the distinct five-word shingles of whole texts. Equal sets are one clas
    which the last step finds and verifies in full inside its tasks, sending on lists of
    candidates and then links. So no link that could join two components is missed, while pairs
    inside a component are not made.
+5. ``join_links`` also counts the links of every document: for that the last step runs over all
+   prefix candidates, of one component or not, and its tasks send on counts instead of links.
 
 Defined results: a null, empty or wordless text has no shingles and links with nothing; rows
 without doc_id are left out; of rows with equal doc_id the smallest text counts; an empty table
@@ -180,7 +182,7 @@ def segments(sets: DataFrame) -> DataFrame:
 
 #: Candidates of one set: the others, their sizes and their component labels.
 CANDIDATES = "a long, na long, bs array<long>, nbs array<long>, labels array<long>"
-LINKS = "a long, b long"
+LINKS, COUNTS = "a long, b long", "rep long, linked long"
 
 
 def enough(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -188,9 +190,12 @@ def enough(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
     return shared * (100 + LEAST) >= total * LEAST
 
 
-def verified(made: DataFrame, cut: DataFrame, sets: int) -> DataFrame:
+def verified(made: DataFrame, cut: DataFrame, sets: int, sizes: DataFrame | None = None) -> DataFrame:
     """(a, b): of each set's candidates the links, one per component label.
 
+    With ``sizes`` (rep, members), which gives the documents of every class, all links count instead: (rep,
+    linked) has, per cell, how many documents of other classes a class's set links with.
+
     Sets are dealt to cells. A cell gets each segment its candidates need once and goes through the
     fragments one by one: partial overlaps of a fragment are counted apart and summed per pair.
     """
@@ -203,12 +208,16 @@ def verified(made: DataFrame, cut: DataFrame, sets: int) -> DataFrame:
 
     needed = dealt.groupBy("cell").applyInArrow(name, "in_cell int, rep long")
     there = needed.join(cut.select("rep", "fragment", "segment"), "rep")
+    counted = sizes is not None
+    if counted:
+        there = there.join(sizes, "rep")
 
     def count(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         segments_of: list[dict[int, np.ndarray]] = [{} for _ in range(len(PIVOTS) + 1)]
         for rep, fragment, segment in zip(*(right.column(c).to_pylist() for c in ("rep", "fragment", "segment")), strict=True):
             segments_of[fragment][rep] = np.frombuffer(segment, np.uint64)
-        none, out = np.zeros(0, np.uint64), []
+        none, out, linked_by = np.zeros(0, np.uint64), [], dict.fromkeys(segments_of[0], 0)
+        members = {} if not counted else dict(zip(right.column("rep").to_pylist(), right.column("members").to_pylist(), strict=True))
         lists = [left.column(c).combine_chunks() for c in ("bs", "nbs", "labels")]
         ends = np.cumsum(pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False))
         all_bs, all_nbs, all_labels = (x.flatten().to_numpy() for x in lists)
@@ -224,12 +233,19 @@ def verified(made: DataFrame, cut: DataFrame, sets: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
                 shared += np.bincount(np.repeat(np.arange(len(bs)), sizes), weights=own[at] == flat, minlength=len(bs)).astype(np.int64)
             linked = np.flatnonzero(enough(shared, na + all_nbs[start:end]))
+            if counted:
+                for b in bs[linked].tolist():
+                    linked_by[a] += members[b]
+                    linked_by[b] += members[a]
+                continue
             _, first = np.unique(all_labels[start:end][linked], return_index=True)
             out += [(a, bs[k]) for k in linked[first]]
+        if counted:
+            out = [(k, v) for k, v in linked_by.items() if v]
         a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"] if not counted else ["rep", "linked"])
 
-    return dealt.groupBy("cell").cogroup(there.groupBy("in_cell")).applyInArrow(count, LINKS)
+    return dealt.groupBy("cell").cogroup(there.groupBy("in_cell")).applyInArrow(count, COUNTS if counted else LINKS)
 
 
 def between_components(named: DataFrame, divided: DataFrame, entries: int) -> DataFrame:
@@ -254,6 +270,7 @@ def between_components(named: DataFrame, divided: DataFrame, entries: int) -> Da
         size, of = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
         size[where], of[where] = n, label
         codes: list[np.ndarray] = [np.zeros(0, np.int64)]
+        held = 0
         edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
         for low, high in zip(edges[:-1], edges[1:], strict=True):
             left = low + np.flatnonzero(chunk[low:high] == i)
@@ -267,6 +284,10 @@ def between_components(named: DataFrame, divided: DataFrame, entries: int) -> Da
                     good &= rep[a] < rep[b]
                 x, y = np.nonzero(good)
                 codes.append(np.unique(where[a[x, 0]] * len(sets) + where[right[y]]))
+                held += len(codes[-1])
+                if held > max(4_000_000, 2 * len(codes[0])):  # the same pairs come back under other shingles
+                    codes = [np.unique(np.concatenate(codes))]
+                    held = len(codes[0])
         code = np.unique(np.concatenate(codes))
         a, b = code // max(1, len(sets)), code % max(1, len(sets))
         starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
@@ -280,10 +301,26 @@ def between_components(named: DataFrame, divided: DataFrame, entries: int) -> Da
     return one.select("a", "na", *(F.col(f"all.{c}").alias(c) for c in ("bs", "nbs", "labels")))
 
 
+def prefixes(cut: DataFrame) -> DataFrame:
+    return written(cut.where("fragment = 0").select("rep", "n", F.inline(F.arrays_zip(F.col("prefix").alias("h"), F.col("at").alias("at")))), "prefixes")
+
+
+def link_counts(cut: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(rep, linked): with how many documents of other classes a class's set links; classes without links are left out.
+
+    Every two sets that share a prefix shingle are compared, each set under a label of its own.
+    """
+    entries = prefixes(cut)
+    size = entries.agg(F.count("*").alias("entries"), F.count_distinct("rep").alias("sets")).first()
+    divided = written(entries.groupBy("h").agg(F.count("*").alias("members")).where("members > 1"), "divided")
+    made = between_components(entries.withColumn("label", F.col("rep")), divided, size["entries"])
+    return written(verified(made, cut, size["sets"], sizes), "counts").groupBy("rep").agg(F.sum("linked").alias("linked"))
+
+
 def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(a, b): verified links that join all that any links join."""
     spark = cut.sparkSession
-    entries = written(cut.where("fragment = 0").select("rep", "n", F.inline(F.arrays_zip(F.col("prefix").alias("h"), F.col("at").alias("at")))), "prefixes")
+    entries = prefixes(cut)
     size = entries.agg(F.count("*").alias("entries"), F.count_distinct("rep").alias("sets")).first()
     links = spark.createDataFrame([], LINKS)
     for turn in range(star_rounds + 1):
@@ -311,21 +348,35 @@ def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     return links
 
 
-def join(documents: DataFrame, block_mb: float = BLOCK_MB) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id): class_id is the smallest doc_id with the same set."""
-    docs = one_per_id(keyed_docs(documents))
+def labelled(docs: DataFrame, block_mb: float = BLOCK_MB, counted: bool = False) -> DataFrame:
+    """From (doc_id, text) without nulls or repeated ids: (doc_id, n_shingles, component_id, class_id), and n_links if ``counted``."""
     rows = written(classes(docs, block_mb), "classes")
-    reps = rows.groupBy("d1", "d2", "n").agg(F.min(F.array_min("doc_ids")).alias("rep"), F.max("core").alias("core"))
+    reps = rows.groupBy("d1", "d2", "n").agg(F.min(F.array_min("doc_ids")).alias("rep"), F.max("core").alias("core"), F.sum(F.size("doc_ids")).alias("members"))
     known = written(reps, "reps")
     cut = written(segments(known.where("core is not null").select("rep", "n", "core")), "segments")
     links = links_between(cut)
     labels = components(links)
-    named = known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "n", "rep", F.coalesce("label", "rep").alias("label"))
-    listed = rows.join(named, ["d1", "d2", "n"]).select(F.explode("doc_ids").alias("doc_id"), F.col("n").alias("n_shingles"), "label", "rep")
+    named = known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    others = [F.col("n").alias("n_shingles"), "label", "rep"]
+    if counted:
+        named = named.join(link_counts(cut, known.select("rep", "members")), "rep", "left").withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
+        others.append("n_links")
+    listed = rows.select("d1", "d2", "n", "doc_ids").join(named.drop("core"), ["d1", "d2", "n"]).select(F.explode("doc_ids").alias("doc_id"), *others)
     alone = F.col("n_shingles") == 0
-    return listed.select(
-        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("label")).alias("component_id"), F.when(alone, F.col("doc_id")).otherwise(F.col("rep")).alias("class_id")
-    )
+    found = [F.when(alone, F.col("doc_id")).otherwise(F.col("label")).alias("component_id"), F.when(alone, F.col("doc_id")).otherwise(F.col("rep")).alias("class_id")]
+    if counted:
+        found.append(F.when(alone, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+    return listed.select("doc_id", "n_shingles", *found)
+
+
+def join(documents: DataFrame, block_mb: float = BLOCK_MB) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id): class_id is the smallest doc_id with the same set."""
+    return labelled(one_per_id(keyed_docs(documents)), block_mb)
+
+
+def join_links(documents: DataFrame, block_mb: float = BLOCK_MB) -> DataFrame:
+    """The columns of ``join`` and n_links: how many other documents reach 75% with this one, same sets among them."""
+    return labelled(one_per_id(keyed_docs(documents)), block_mb, counted=True)
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
@@ -350,3 +401,8 @@ k AS (SELECT a AS doc_id, min(b) AS same FROM p WHERE c = na AND c = nb GROUP BY
 SELECT n.doc_id, n.n AS n_shingles, min(to_id) AS component_id, least(n.doc_id, any_value(coalesce(same, n.doc_id))) AS class_id
 FROM n JOIN r ON n.doc_id = r.doc_id LEFT JOIN k ON n.doc_id = k.doc_id GROUP BY n.doc_id, n.n
 """
+
+#: The same with the links of every document counted.
+LINKS_ORACLE = ORACLE.replace("AS class_id\n", "AS class_id, coalesce(any_value(g.n_links), 0)::BIGINT AS n_links\n").replace(
+    "GROUP BY n.doc_id, n.n\n", "LEFT JOIN (SELECT a, count(*) AS n_links FROM l GROUP BY 1) g ON n.doc_id = g.a GROUP BY n.doc_id, n.n\n"
+)

@@ -171,6 +171,24 @@ def test_ngram_join_of_near_copies(spark):
     assert got == want
 
 
+def test_ngram_links(docs, spark):
+    """All links count, also those inside a component that others already join, and copies once each."""
+    r = np.random.default_rng(4)
+    texts = [t or "" for t in TEXTS]
+    for i in range(120):
+        w = [f"w{k}" for k in range(120)]
+        for k in r.choice(120, r.integers(0, 7), replace=False):
+            w[k] = f"own{i}x{k}"
+        texts += [" ".join(w)] * (1 + (i % 5 == 0))
+    sets = [_shingles(t) for t in texts]
+    want = {i: sum(bool(a) and i != j and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = _found(ngram_join.join_links(df, 0.02))
+    assert {i: x["n_links"] for i, x in found.items()} == want
+    assert sum(want.values()) > 10 * len(texts)
+    assert {i: x["component_id"] for i, x in found.items()} == _components(dict(enumerate(sets)))
+
+
 def test_keep_one(docs):
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
