@@ -128,8 +128,8 @@ def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SH
     return by_source, by_pattern
 
 
-def copies(sized: DataFrame, by_pattern: DataFrame, seed: str = SEED) -> DataFrame:
-    """``sized`` (row_key, sources, size) with ``pattern`` and ``copies``: how often the mix takes each document."""
+def copies(sized: DataFrame, by_pattern: DataFrame, seed: str = SEED, tie: str = "size") -> DataFrame:
+    """``sized`` (row_key, sources, size) with ``pattern`` and ``copies``: how often the mix takes each document; ``tie`` orders rows of equal key and size."""
     order = F.md5(F.concat(F.lit(seed), F.col("row_key")))
     docs = sized.withColumns({"pattern": F.to_json(F.array_sort(F.array_distinct("sources"))), "place": order})
     docs = docs.withColumn("bin", F.substring("place", 1, BINS_HEX))
@@ -141,7 +141,7 @@ def copies(sized: DataFrame, by_pattern: DataFrame, seed: str = SEED) -> DataFra
     known = need.join(cut, "pattern", "left")
     docs = docs.join(F.broadcast(known), "pattern")
     inside = docs.where(F.col("bin") == F.col("cut.bin"))
-    through = F.col("cut.before") + F.sum("size").over(Window.partitionBy("pattern").orderBy("place", "row_key", "size").rowsBetween(Window.unboundedPreceding, 0))
+    through = F.col("cut.before") + F.sum("size").over(Window.partitionBy("pattern").orderBy("place", "row_key", "size", tie).rowsBetween(Window.unboundedPreceding, 0))
     inside = inside.withColumn("copies", F.col("base") + (through - F.col("size") / 2 <= F.col("rest")).cast("long"))
     outside = docs.where(F.col("cut.bin").isNull() | (F.col("bin") != F.col("cut.bin")))
     outside = outside.withColumn("copies", F.col("base") + F.when(F.col("cut.bin").isNull(), F.lit(0)).otherwise((F.col("bin") < F.col("cut.bin")).cast("long")))
@@ -165,9 +165,16 @@ def mix(documents: DataFrame) -> DataFrame:
 
 
 def mix_copies(documents: DataFrame) -> DataFrame:
-    """The mix itself: each document as many times as it is taken (documents of size 0 go)."""
-    taken = mix(documents).where("copies > 0 and size > 0").groupBy("doc_id").agg(F.max("copies").cast("int").alias("times"))
-    repeated = packed(documents).join(taken.withColumnRenamed("doc_id", "of_doc").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of_doc")))
+    """The mix itself: each row as many times as it is taken (rows of size 0 go).
+
+    Rows are taken under a written number of their own. doc_id gives their order, as in ``mix``; rows without one
+    are ordered by that number.
+    """
+    whole = written(packed(documents).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.col("row").cast("string")))
+    sized = written(whole.select("row", F.array("kept.source").alias("sources"), word_count(F.col("text")).alias("size"), key.alias("row_key")), "mix-sizes")
+    taken = copies(sized, plan(sized)[1], tie="row").where("copies > 0 and size > 0").select(F.col("row").alias("of_row"), F.col("copies").cast("int").alias("times"))
+    repeated = whole.join(taken.hint("shuffle_hash"), F.col("row") == F.col("of_row"))
     return unpacked(repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))), documents.columns)
 
 

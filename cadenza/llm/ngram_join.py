@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .census import census
-from .common import block_count, keyed_docs, mixed, one_per_id, packed, unpacked, word_hashes, words_of, written
+from .common import block_count, bounded_batches, keyed_docs, mixed, one_per_id, packed, unpacked, word_hashes, words_of, written
 from .components import components
 
 WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 5, 3, 500, 2_048
@@ -380,9 +380,16 @@ def join_links(documents: DataFrame, block_mb: float = BLOCK_MB) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """``documents`` with one of each component: the row whose doc_id is the component's."""
-    stay = join(documents).where("doc_id = component_id").select(F.col("doc_id").alias("stay"))
-    kept = packed(documents).join(stay.hint("shuffle_hash"), F.col("doc_id") == F.col("stay"))
+    """``documents`` with one row of each component: that with the smallest doc_id, without doc_id only if all are.
+
+    Rows are compared under a written number of their own, so rows without doc_id and with a repeated one count each.
+    """
+    bounded_batches(documents.sparkSession)
+    whole = written(packed(documents).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = labelled(whole.select(F.col("row").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))).select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row"))
+    stay = found.join(whole.select("row", "doc_id"), "row").groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("stay"))
+    kept = whole.join(stay.hint("shuffle_hash"), F.col("row") == F.col("stay"))
     return unpacked(kept, documents.columns)
 
 

@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 of ``documents``. Stage by stage:
 
 quality        rows that the classifier rejects go
-ngram_join     of each component of near duplicates the row with its smallest doc_id stays
+ngram_join     of each component of near duplicates one row stays, that with its smallest doc_id
 secrets        secrets in texts become [SECRET], and n_chars follows
 mixing         each document appears as many times as the mix takes it
 sentencepiece  ids of every text, and the digest of what they decode to

@@ -196,6 +196,13 @@ def test_keep_one(docs):
     assert not {18, 24} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_keep_one_of_repeated_rows(doubled):
+    """Rows without doc_id stay, exact repeats go, and a text doesn't go with another of its id."""
+    rows = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(doubled).collect()]
+    assert (None, "no id at all") in rows and (21, "another text of the same id") in rows
+    assert rows.count((15, PASSAGE)) == 1 and (18, PASSAGE) not in rows
+
+
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_suffixes(docs, hot):
     seen = collections.Counter(t[k : k + 200] for t in ((x or "").encode() for x in TEXTS) for k in range(len(t) - 199))
@@ -358,6 +365,18 @@ def test_mix_copies(docs):
     assert out == {k: v for k, v in taken.items() if v}
 
 
+def test_mix_copies_of_repeated_rows(spark):
+    """Rows of one doc_id, or of none, are taken each as often as the plan says: words add up to the targets."""
+    rows = [(1 if i < 30 else None if i < 60 else i, " ".join(["w"] * (1 + i % 5) * (1 + 2 * (i % 2))) + f" t{i}", f"s{i % 2}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = collections.Counter(r["text"] for r in mixing.mix_copies(df).collect())
+    size = {t: len(t.split()) for _, t, _ in rows}
+    for name in ("s0", "s1"):
+        target = {r["target"] for r in mixing.mix(df).where(F.col("source_size") == sum(size[t] for _, t, s in rows if s == name)).collect()}
+        taken = sum(size[t] * out[t] for _, t, s in rows if s == name)
+        assert len(target) == 1 and abs(taken - target.pop()) <= max(size.values()) / 2
+
+
 def test_quality_learns(spark):
     r = np.random.default_rng(8)
     good = [" ".join("".join(r.choice(list("etaoins"), 4)) for _ in range(60)) for _ in range(150)]
