@@ -96,6 +96,15 @@ def epoch_order(df: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:
     return df.withColumn("epoch_key", F.md5(F.concat(F.lit(f"{seed}:{epoch}:"), F.col(key).cast("string"))))
 
 
+def placed(df: DataFrame, hashed: str, key: str, out: str) -> DataFrame:
+    """1-based place of every row in order of a hexadecimal hash: ranks within 4,096 bins after a count per bin, as in hash_split."""
+    binned = df.withColumn("__bin", F.substring(hashed, 1, 3))
+    bins = binned.groupBy("__bin").agg(F.count("*").alias("__in"))
+    upto = bins.select("__bin", (F.sum("__in").over(Window.orderBy("__bin")) - F.col("__in")).alias("__before"))  # at most 4,096 rows
+    place = F.col("__before") + F.row_number().over(Window.partitionBy("__bin").orderBy(hashed, key))
+    return binned.join(upto, "__bin").withColumn(out, place.cast("long")).drop("__bin", "__before")
+
+
 def top_by(df: DataFrame, group: list[str], keys: list[Column], k: int) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*keys)
     return df.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)

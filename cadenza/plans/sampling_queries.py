@@ -50,9 +50,9 @@ def media_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def epoch_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Resume after 40 of epoch 3's samples: the next 10 of the permutation."""
+    """Resume after 40 of epoch 3's samples: the rest of the permutation."""
     keyed = sampling.epoch_order(table(spark, sf_dir, "embeddings").select("vec_id"), "vec_id", 17, 3)
-    return keyed.orderBy("epoch_key").limit(50).withColumn("n", F.row_number().over(Window.orderBy("epoch_key")).cast("long")).where("n > 40").select("vec_id", "n")
+    return sampling.placed(keyed, "epoch_key", "vec_id", "n").where("n > 40").select("vec_id", "n")
 
 
 def final_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Queries over all their rows, against counts and values taken apart from them."""
 
-from cadenza.plans import metric_queries
+import hashlib
+
+from cadenza.plans import metric_queries, sampling_queries
 from cadenza.plans.standins import table
 
 SF = "/root/testdata/sf0.01"
@@ -15,3 +17,10 @@ def test_validation_means_has_all_orders(spark):
     assert len(rows) > 1001
     assert abs(got["loss"] - sum(sum(b) / len(b) for b in batches.values()) / len(batches)) < 1e-4
     assert abs(got["mae"] - sum(r[2] for r in rows) / len(rows)) < 1e-4
+
+
+def test_epoch_order_goes_to_the_end(spark):
+    ids = [r[0] for r in table(spark, SF, "embeddings").select("vec_id").collect()]
+    order = sorted(ids, key=lambda i: hashlib.md5(f"17:3:{i}".encode()).hexdigest())
+    assert len(order) > 50
+    assert sorted((r["n"], r["vec_id"]) for r in sampling_queries.epoch_order(spark, SF).collect()) == list(enumerate(order, 1))[40:]
