@@ -66,7 +66,7 @@ def permuted_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 24).alias("t"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("t"))
     return d.select("doc_id", text.safe_component(F.col("t")).alias("name"))
 
 
@@ -95,7 +95,7 @@ def json_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frames(spark, sf_dir).where("frame_idx <= 3")
+    f = frames(spark, sf_dir)
     return f.select("event_id", F.format_string("step=%d clip=%d loss=%.4f", "frame_idx", "clip_id", "value").alias("line"))
 
 

@@ -1,9 +1,10 @@
 """Queries over all their rows, against counts and values taken apart from them."""
 
 import hashlib
+import re
 
-from cadenza.plans import metric_queries, sampling_queries
-from cadenza.plans.standins import table
+from cadenza.plans import metric_queries, sampling_queries, scalar_queries
+from cadenza.plans.standins import frames, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,3 +25,11 @@ def test_epoch_order_goes_to_the_end(spark):
     order = sorted(ids, key=lambda i: hashlib.md5(f"17:3:{i}".encode()).hexdigest())
     assert len(order) > 50
     assert sorted((r["n"], r["vec_id"]) for r in sampling_queries.epoch_order(spark, SF).collect()) == list(enumerate(order, 1))[40:]
+
+
+def test_names_of_whole_texts_and_lines_of_all_frames(spark):
+    texts = {r[0]: r[1] for r in table(spark, SF, "documents").select("doc_id", "text").collect() if r[1] is not None}
+    got = {r["doc_id"]: r["name"] for r in scalar_queries.safe_names(spark, SF).collect()}
+    assert max(map(len, got.values())) > 24
+    assert all(got[i] == (re.sub(r"[^A-Za-z0-9._-]+", "_", t).strip("._") or "sample") for i, t in texts.items())
+    assert scalar_queries.log_lines(spark, SF).count() == frames(spark, SF).count()
