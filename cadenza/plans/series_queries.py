@@ -95,12 +95,14 @@ def shift_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First and last of the 20-element context of every fifth frame."""
-    f = frames(spark, sf_dir)
-    clips = f.groupBy("clip_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame_idx", "k"))), lambda x: x["k"]).alias("v"))
-    at = clips.select("clip_id", "v", F.explode(F.sequence(F.lit(0), F.size("v") - 1, F.lit(5))).alias("i"))
-    own = at.withColumn("c", series.context_window(F.col("v"), F.col("i")))
-    return own.select("clip_id", F.col("i").cast("long").alias("index"), F.get("c", F.lit(0)).alias("first"), F.get("c", F.lit(19)).alias("last"))
+    """First and last of the 20-element context of every frame; windows over the clip, no array of it."""
+    w = Window.partitionBy("clip_id").orderBy("frame_idx")
+    index, n = F.col("frame_idx") - 1, F.count("*").over(Window.partitionBy("clip_id"))
+    f = frames(spark, sf_dir).select("clip_id", index.alias("index"), "frame_idx", "k", n.alias("n"))
+    # contexts near the end start at the last place that leaves 20; a struct, as k itself may be null
+    start = F.last(F.when(F.col("index") <= F.col("n") - 20, F.struct("k")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    stop = F.when(F.col("index") <= F.col("n") - 20, F.lead("k", 19).over(w)).otherwise(F.last("k").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return f.select("clip_id", "index", start["k"].alias("first"), F.when(F.col("n") >= 20, stop).alias("last"))
 
 
 def session_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

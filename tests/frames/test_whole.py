@@ -3,7 +3,7 @@
 import hashlib
 import re
 
-from cadenza.plans import metric_queries, sampling_queries, scalar_queries
+from cadenza.plans import metric_queries, sampling_queries, scalar_queries, series_queries
 from cadenza.plans.standins import frames, table
 
 SF = "/root/testdata/sf0.01"
@@ -33,3 +33,15 @@ def test_names_of_whole_texts_and_lines_of_all_frames(spark):
     assert max(map(len, got.values())) > 24
     assert all(got[i] == (re.sub(r"[^A-Za-z0-9._-]+", "_", t).strip("._") or "sample") for i, t in texts.items())
     assert scalar_queries.log_lines(spark, SF).count() == frames(spark, SF).count()
+
+
+def test_context_of_every_frame(spark):
+    clips = {}
+    for r in sorted(frames(spark, SF).select("clip_id", "frame_idx", "k").collect()):
+        clips.setdefault(r[0], []).append(r[2])
+    want = {}
+    for c, v in clips.items():
+        for i in range(len(v)):
+            at = min(i, len(v) - 20)
+            want[c, i] = (v[at], v[at + 19]) if len(v) >= 20 else (None, None)
+    assert {(r["clip_id"], r["index"]): (r["first"], r["last"]) for r in series_queries.context_windows(spark, SF).collect()} == want
