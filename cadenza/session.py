@@ -36,9 +36,26 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir), or a temporary one where none is set."""
+    """This application's folder under spark.checkpoint.dir, which driver and executors share.
+
+    Where that is unset, a temporary folder does on a local master; on a cluster its executors would
+    each write to a disk of their own, so there it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="cadenza-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return f"{base.rstrip('/')}/cadenza-{spark.sparkContext.applicationId}"
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system that Spark can write to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete the tables that this application's queries have written; results not yet read are lost with them."""
+    removed(spark, shared_dir(spark))

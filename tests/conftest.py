@@ -10,8 +10,9 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    from cadenza.session import ship
+    from cadenza.session import clear_shared, ship
 
     ship(session)
     yield session
+    clear_shared(session)
     session.stop()
