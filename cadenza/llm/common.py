@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,14 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, or a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="cadenza-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+from ..session import shared_dir
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -30,10 +22,14 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, mb: int = 8) -> None:
-    """Arrow batches between the JVM and Python of at most ``mb`` MB: texts can be long, and both sides hold a batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5000")
+#: Both sides hold a batch of texts, which can be long.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "5000"}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Small Arrow batches between the JVM and Python, unless the session's owner has set their size."""
+    for name in BATCHES.keys() - spark.conf.getAll.keys():
+        spark.conf.set(name, BATCHES[name])
 
 
 def plain_docs(documents: DataFrame) -> DataFrame:

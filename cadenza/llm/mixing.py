@@ -2,144 +2,203 @@
 
 Documents are aggregated by membership pattern (the set of sources they belong to). A flow
 routes each pattern's words to the quotas of its sources; the k-th repetition of a pattern costs
-k, so repetitions are spread before they are stacked. Only pattern totals reach the driver, and
-their number is bounded by ``max_patterns`` (more raise an error).
+k, so repetitions are spread before they are stacked. Everything is a DataFrame, whatever the
+number of sources: their order and the level at which shares stop come from running sums over
+ranges, a pattern that shares its only source with no other needs no search, and the others are
+routed in one task per group of sources that overlap (it holds totals, not documents).
 
 A pattern's words become whole documents: every document is taken floor(flow / size) times, and
-those first in a seeded order once more until the rest is used up. The order is cut into BINS
-bins whose sizes are summed first, so that documents are only ranked within one bin.
+those first in a seeded order once more until the rest is used up. The order is cut into bins
+whose sizes are summed first, so that documents are only ranked within one bin.
 
 Defined results: a null source is a source of its own, last in order; a null or empty text has
-size 0 and is taken 0 words; repeated rows count as separate documents; an empty table gives an
-empty table; other columns are kept by ``mix_copies`` and ignored by ``mix``.
+size 0 and is taken 0 words; repeated rows count as separate documents; rows without any source
+are taken 0 times; equal ratios and hashes are ordered by source and row; very long texts are
+only counted; an empty table gives an empty table; other columns are kept by ``mix_copies`` and
+ignored by ``mix``.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import packed, unpacked, written
+from .components import components
 
 WORD = r"[^\x20\x09-\x0D]+"
-WEIGHTS, SHARE, MAX_REPEATS, SEED, BINS_HEX, MAX_PATTERNS = (5, 2, 1), 1.5, 2, "mix:", 3, 100_000
+WEIGHTS, SHARE, MAX_REPEATS, SEED, BINS_HEX = (5, 2, 1), 1.5, 2, "mix:", 3
 
 
-def fill(sizes: Sequence[int], weights: Sequence[float], total: float, most: float = MAX_REPEATS) -> list[float]:
-    """Share ``total`` by weight; a share stops at ``most`` times its size and the excess is shared anew."""
-    order = sorted(range(len(sizes)), key=lambda i: most * sizes[i] / weights[i])
-    used, weight = 0.0, float(sum(weights))
-    level = 0.0
-    for i in order:
-        level = (total - used) / weight
-        if level <= most * sizes[i] / weights[i]:
-            break
-        used, weight = used + most * sizes[i], weight - weights[i]
-    return [min(float(most * s), level * w) for s, w in zip(sizes, weights, strict=True)]
+def flow(capacity: Sequence[float], members: Sequence[Sequence[int]], quota: Sequence[float], most: int = MAX_REPEATS) -> list[float]:
+    """Min-cost flow from patterns to quotas: the words that each pattern gives.
 
+    ``members`` lists each pattern's sources by their place in ``quota``. Only arcs out of the start
+    cost anything, k for the k-th repetition, so cheapest paths first means: a maximum flow with every
+    pattern once, then from there with every pattern twice, and so on. Each maximum is found by
+    blocking flows over levels (breadth first, then depth first with a current arc per node).
+    """
+    n, m = len(capacity), len(quota)
+    start, stop = n + m, n + m + 1
+    to: list[int] = []
+    room: list[float] = []
+    arcs: list[list[int]] = [[] for _ in range(n + m + 2)]
 
-def flow(capacity: dict[str, float], members: dict[str, list[str | None]], quota: dict[str | None, float], most: int = MAX_REPEATS) -> dict[tuple[str, str | None], float]:
-    """Min-cost flow from patterns to quotas: words by (pattern, source).
+    def arc(a: int, b: int, size: float) -> None:
+        for end, other, width in ((a, b, size), (b, a, 0.0)):
+            arcs[end].append(len(to))
+            to.append(other)
+            room.append(width)
 
-    Successive cheapest paths. A path may take words of a source from one pattern to another, so
-    residual arcs are searched with Dijkstra over reduced costs.
-    """
-    # nodes: start, patterns, sources, stop; arcs: [to, room, cost, index of the reverse]
-    names = ["start", *(("p", p) for p in capacity), *(("s", s) for s in quota), "stop"]
-    number = {n: i for i, n in enumerate(names)}
-    arcs: list[list[list]] = [[] for _ in names]
-
-    def arc(a, b, room: float, cost: int) -> None:
-        arcs[number[a]].append([number[b], room, cost, len(arcs[number[b]])])
-        arcs[number[b]].append([number[a], 0.0, -cost, len(arcs[number[a]]) - 1])
-
-    for p, size in capacity.items():
-        for k in range(1, most + 1):
-            arc("start", ("p", p), float(size), k)
-        for s in members[p]:
-            arc(("p", p), ("s", s), float("inf"), 0)
-    for s, words in quota.items():
-        arc(("s", s), "stop", float(words), 0)
-    first, last, tiny = 0, len(names) - 1, 1e-6
-    height = [0.0] * len(names)
-    while True:
-        cost, via = [float("inf")] * len(names), [None] * len(names)
-        cost[first], heap = 0.0, [(0.0, first)]
-        while heap:
-            c, a = heapq.heappop(heap)
-            if c > cost[a]:
-                continue
-            for i, (b, room, price, _) in enumerate(arcs[a]):
-                if room > tiny and (d := c + price + height[a] - height[b]) < cost[b] - 1e-12:
-                    cost[b], via[b] = d, (a, i)
-                    heapq.heappush(heap, (d, b))
-        if cost[last] == float("inf"):
-            break
-        height = [h + min(c, cost[last]) for h, c in zip(height, cost, strict=True)]
-        # all paths of this cost: augment depth first over arcs of reduced cost 0
+    for p in range(n):  # arc 2 p leads from the start to pattern p
+        arc(start, p, 0.0)
+    for p, own in enumerate(members):
+        for s in own:
+            arc(p, n + s, float("inf"))
+    for s, words in enumerate(quota):
+        arc(n + s, stop, float(words))
+    tiny = 1e-6
+    for _ in range(most):
+        for p, size in enumerate(capacity):
+            room[2 * p] += float(size)
         while True:
-            path, seen, stack = None, {first}, [(first, [])]
-            while stack:
-                a, trail = stack.pop()
-                if a == last:
-                    path = trail
-                    break
-                for i, (b, room, price, _) in enumerate(arcs[a]):
-                    if room > tiny and b not in seen and abs(price + height[a] - height[b]) < 1e-9:
-                        seen.add(b)
-                        stack.append((b, [*trail, (a, i)]))
-            if path is None:
+            level = [-1] * len(arcs)
+            level[start], reached = 0, [start]
+            for a in reached:
+                for i in arcs[a]:
+                    if room[i] > tiny and level[to[i]] < 0:
+                        level[to[i]] = level[a] + 1
+                        reached.append(to[i])
+            if level[stop] < 0:
                 break
-            amount = min(arcs[a][i][1] for a, i in path)
-            for a, i in path:
-                b, _, _, back = arcs[a][i]
-                arcs[a][i][1] -= amount
-                arcs[b][back][1] += amount
-    return {(p, s): arcs[to][back][1] for p in capacity for to, _, price, back in arcs[number["p", p]] if price == 0 and isinstance(names[to], tuple) and names[to][0] == "s" for s in [names[to][1]]}
+            current, trail, at = [0] * len(arcs), [], start
+            while True:
+                if at == stop:
+                    amount = min(room[i] for i in trail)
+                    for i in trail:
+                        room[i] -= amount
+                        room[i ^ 1] += amount
+                    full = next(k for k, i in enumerate(trail) if room[i] <= tiny)
+                    at = to[trail[full] ^ 1]
+                    del trail[full:]
+                elif current[at] < len(arcs[at]):
+                    i = arcs[at][current[at]]
+                    if room[i] > tiny and level[to[i]] == level[at] + 1:
+                        trail.append(i)
+                        at = to[i]
+                    else:
+                        current[at] += 1
+                elif trail:
+                    at = to[trail.pop() ^ 1]
+                    current[at] += 1
+                else:
+                    break
+    return [room[2 * p + 1] for p in range(n)]
+
+
+def running(rows: DataFrame, order: list[Column], sums: dict[str, str], name: str) -> DataFrame:
+    """``rows`` with ``place`` (1, 2, ...) in an order without ties, and running sums before each row.
+
+    Rows are range-partitioned by the order and written with their range, so each task adds up one
+    range; a row per range gives what lies before it.
+    """
+    ranged = written(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), name)
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = ranged.groupBy("range").agg(F.count("*").alias("rows"), *(F.sum(c).alias(f"all_{out}") for out, c in sums.items()))
+    ahead = whole.select("range", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"ahead_{out}") for out, c in [("place", "rows"), *((o, f"all_{o}") for o in sums)]))
+    inside = Window.partitionBy("range").orderBy(*order)
+    held = ranged.withColumns({"place": F.row_number().over(inside), **{out: F.coalesce(F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) for out, c in sums.items()}})
+    found = held.join(ahead, "range")
+    return found.withColumns({out: F.col(out) + F.col(f"ahead_{out}") for out in ("place", *sums)}).drop("range", *(f"ahead_{out}" for out in ("place", *sums)))
+
+
+def targets(sizes: DataFrame, total: float, weights: Sequence[float] = WEIGHTS, most: int = MAX_REPEATS) -> DataFrame:
+    """From (source, source_size): (source, source_size, target, node), node being the source's place in order.
+
+    ``total`` words are divided by weight; a share stops at ``most`` times its size and the
+    excess is divided anew. In order of size / weight there is one level at which the rest stops.
+    """
+    null_last = [F.col("source").isNull(), F.col("source")]
+    placed = running(sizes, null_last, {}, "mix-sources").withColumnRenamed("place", "node")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.pmod(F.col("node") - 1, F.lit(len(weights))) + 1).cast("int"))
+    weighed = placed.withColumn("weight", weight).withColumn("most", F.col("source_size") * most)
+    ordered = running(weighed.withColumn("ratio", F.col("most") / F.col("weight")), [F.col("ratio"), F.col("node")], {"used": "most", "lighter": "weight"}, "mix-ratios")
+    all_weight = ordered.agg(F.coalesce(F.sum("weight"), F.lit(1.0)).alias("w")).first()["w"]
+    level = (F.lit(float(total)) - F.col("used")) / (F.lit(all_weight) - F.col("lighter"))
+    # the first source that its share does not fill, or the last one
+    found = ordered.agg(F.min_by(level, F.when(level <= F.col("ratio"), F.col("place"))).alias("level"), F.max_by(level, "place").alias("last")).first()
+    known = ordered.withColumn("level", F.lit(found["last"] if found["level"] is None else found["level"]).cast("double"))
+    return known.select("source", "source_size", F.least(F.col("most").cast("double"), F.col("level") * F.col("weight")).alias("target"), F.col("node").cast("long").alias("node"))
+
+
+def routed(patterns: DataFrame, quotas: DataFrame, overlap: bool, most: int = MAX_REPEATS) -> DataFrame:
+    """(pattern, flow): patterns (pattern, words, sources) routed to quotas (source, source_size, target, node).
+
+    Without ``overlap`` no pattern has more than one source, so each has its quota to itself.
+    """
+    if not overlap:
+        own = quotas.select(pattern_of(F.array("source")).alias("pattern"), "target")
+        return patterns.join(own, "pattern").select("pattern", F.least("target", (F.col("words") * most).cast("double")).alias("flow"))
+    named = quotas.select(F.col("source").alias("of_source"), "target", "node")
+    arcs = written(patterns.select("pattern", "words", F.size("sources").alias("width"), F.explode("sources").alias("source")).join(named, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source", "source"), "mix-arcs")
+    shared = arcs.groupBy("node").agg(F.count("*").alias("patterns"))
+    judged = arcs.join(shared, "node").withColumn("alone", (F.col("width") == 1) & (F.col("patterns") == 1))
+    alone = judged.where("alone").select("pattern", F.least("target", (F.col("words") * most).cast("double")).alias("flow"))
+    several = written(judged.where("not alone").select("pattern", "words", "node", "target"), "mix-overlaps")
+    first = several.groupBy("pattern").agg(F.min("node").alias("first"))
+    links = several.join(first, "pattern").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    group = several.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def route(arcs_of: pd.DataFrame) -> pd.DataFrame:
+        arcs_of = arcs_of.sort_values(["pattern", "node"])
+        names, first = arcs_of["pattern"].unique(), arcs_of.drop_duplicates("pattern")
+        nodes = arcs_of.drop_duplicates("node")
+        place = {node: i for i, node in enumerate(nodes["node"])}
+        members = [[place[x] for x in own] for _, own in arcs_of.groupby("pattern", sort=False)["node"]]
+        return pd.DataFrame({"pattern": names, "flow": flow(first["words"].tolist(), members, nodes["target"].tolist(), most)})
+
+    return alone.unionByName(group.groupBy("label").applyInPandas(route, "pattern string, flow double"))
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MAX_REPEATS, max_patterns: int = MAX_PATTERNS) -> tuple[DataFrame, DataFrame]:
+def pattern_of(sources: Column) -> Column:
+    return F.to_json(F.array_sort(F.array_distinct(sources)))
+
+
+def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MAX_REPEATS) -> tuple[DataFrame, DataFrame]:
     """From (sources array<string>, size): per source (source, source_size, target), per pattern (pattern, words, flow)."""
-    spark = sized.sparkSession
-    key = F.to_json(F.array_sort(F.array_distinct("sources"))).alias("pattern")
-    totals = sized.groupBy(key).agg(F.sum("size").alias("words"), F.first(F.array_distinct("sources")).alias("sources")).limit(max_patterns + 1).collect()
-    if len(totals) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
-    size: dict[str | None, int] = {}
-    for row in totals:
-        for s in row["sources"]:
-            size[s] = size.get(s, 0) + row["words"]
-    sources = sorted(size, key=lambda s: (s is None, s or ""))
-    total = share * sum(row["words"] for row in totals)
-    targets = fill([size[s] for s in sources], [weights[i % len(weights)] for i in range(len(sources))], total, most) if sources else []
-    routed = flow({r["pattern"]: r["words"] for r in totals}, {r["pattern"]: list(r["sources"]) for r in totals}, dict(zip(sources, targets, strict=True)), most)
-    taken: dict[str, float] = {r["pattern"]: 0.0 for r in totals}
-    for (p, _), words in routed.items():
-        taken[p] += words
-    by_source = spark.createDataFrame([(s, size[s], t) for s, t in zip(sources, targets, strict=True)], "source string, source_size long, target double")
-    by_pattern = spark.createDataFrame([(r["pattern"], r["words"], min(taken[r["pattern"]], float(most * r["words"]))) for r in totals], "pattern string, words long, flow double")
-    return by_source, by_pattern
+    patterns = written(sized.groupBy(pattern_of(F.col("sources")).alias("pattern")).agg(F.sum("size").alias("words"), F.first(F.array_distinct("sources")).alias("sources")), "mix-patterns")
+    sizes = patterns.select("words", F.explode("sources").alias("source")).groupBy("source").agg(F.sum("words").alias("source_size"))
+    whole = patterns.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.max(F.size("sources")), F.lit(0)).alias("width")).first()
+    by_source = written(targets(sizes, share * whole["words"], weights, most), "mix-targets")
+    # a pattern without sources has no arc, and no flow
+    by_pattern = patterns.select("pattern", "words").join(routed(patterns, by_source, whole["width"] > 1, most), "pattern", "left")
+    capped = F.least(F.coalesce("flow", F.lit(0.0)), (F.col("words") * most).cast("double"))
+    return by_source.drop("node"), by_pattern.select("pattern", "words", capped.alias("flow"))
 
 
 def copies(sized: DataFrame, by_pattern: DataFrame, seed: str = SEED, tie: str = "size") -> DataFrame:
-    """``sized`` (row_key, sources, size) with ``pattern`` and ``copies``: how often the mix takes each document; ``tie`` orders rows of equal key and size."""
+    """``sized`` (row_key, sources, size) with ``pattern`` and ``copies``: how often the mix takes each document; ``tie`` orders rows of equal key and size.
+
+    Patterns are read from a written table, so Catalyst knows its size and broadcasts it only below
+    the session's limit; beyond, both sides are shuffled and AQE splits a hot pattern.
+    """
     order = F.md5(F.concat(F.lit(seed), F.col("row_key")))
-    docs = sized.withColumns({"pattern": F.to_json(F.array_sort(F.array_distinct("sources"))), "place": order})
+    docs = sized.withColumns({"pattern": pattern_of(F.col("sources")), "place": order})
     docs = docs.withColumn("bin", F.substring("place", 1, BINS_HEX))
     need = by_pattern.withColumn("base", F.when(F.col("words") > 0, F.floor(F.col("flow") / F.col("words"))).otherwise(0).cast("long"))
     need = need.withColumn("rest", F.col("flow") - F.col("base") * F.col("words")).select("pattern", "base", "rest")
     bins = docs.groupBy("pattern", "bin").agg(F.sum("size").alias("in_bin")).withColumn("upto", F.sum("in_bin").over(Window.partitionBy("pattern").orderBy("bin")))
-    cut = bins.join(F.broadcast(need), "pattern").where(F.col("upto") > F.col("rest"))  # patterns are bounded, and so are cuts
+    cut = bins.join(need, "pattern").where(F.col("upto") > F.col("rest"))
     cut = cut.groupBy("pattern").agg(F.min_by(F.struct("bin", (F.col("upto") - F.col("in_bin")).alias("before")), "bin").alias("cut"))
-    known = need.join(cut, "pattern", "left")
-    docs = docs.join(F.broadcast(known), "pattern")
+    known = written(need.join(cut, "pattern", "left"), "mix-cuts")
+    docs = docs.join(known, "pattern")
     inside = docs.where(F.col("bin") == F.col("cut.bin"))
     through = F.col("cut.before") + F.sum("size").over(Window.partitionBy("pattern").orderBy("place", "row_key", "size", tie).rowsBetween(Window.unboundedPreceding, 0))
     inside = inside.withColumn("copies", F.col("base") + (through - F.col("size") / 2 <= F.col("rest")).cast("long"))
@@ -158,8 +217,9 @@ def mix(documents: DataFrame) -> DataFrame:
     sized = _sized(documents)
     by_source, by_pattern = plan(sized)
     taken = copies(sized, by_pattern)
-    known = F.broadcast(by_source.withColumnRenamed("source", "of_source"))  # at most max_patterns sources
-    return taken.join(known, F.col("source").eqNullSafe(F.col("of_source"))).select(
+    # a source is joined by its pattern, which is never null
+    known = by_source.select(pattern_of(F.array("source")).alias("pattern"), "source_size", "target")
+    return taken.join(known, "pattern").select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"), "copies"
     )
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import struct
@@ -350,13 +351,60 @@ def test_mix(docs):
 
 
 def test_flow_of_overlapping_sources():
-    capacity, members = {"a": 10, "b": 10, "ab": 10}, {"a": ["a"], "b": ["b"], "ab": ["a", "b"]}
-    routed = mixing.flow(capacity, members, {"a": 15.0, "b": 12.0})
-    taken = {p: sum(v for (q, _), v in routed.items() if q == p) for p in capacity}
-    assert {s: sum(v for (_, t), v in routed.items() if t == s) for s in "ab"} == pytest.approx({"a": 15.0, "b": 12.0})
-    assert max(taken.values()) <= 10  # once each before anything is repeated
-    short = mixing.flow({"a": 10, "ab": 4}, {"a": ["a"], "ab": ["a", "b"]}, {"a": 24.0, "b": 6.0})
-    assert short["ab", "b"] == pytest.approx(6.0) and short["a", "a"] == pytest.approx(20.0)
+    taken = mixing.flow([10, 10, 10], [[0], [1], [0, 1]], [15.0, 12.0])
+    assert sum(taken) == pytest.approx(27) and max(taken) <= 10  # once each before anything is repeated
+    assert mixing.flow([10, 4], [[0], [0, 1]], [24.0, 6.0]) == pytest.approx([20.0, 8.0])
+
+
+def test_flow_is_cheapest():
+    """Small cases against all splits in whole words."""
+    r = np.random.default_rng(3)
+    for _ in range(40):
+        sources, size = int(r.integers(1, 4)), [int(x) for x in r.integers(1, 4, 3)]
+        members = [sorted({int(x) for x in r.integers(0, sources, 2)}) for _ in size]
+        quota = [int(x) for x in r.integers(0, 7, sources)]
+        ways = [[w for w in itertools.product(*(range(2 * c + 1) if s in m else (0,) for s in range(sources))) if sum(w) <= 2 * c] for c, m in zip(size, members, strict=True)]
+        best = max(
+            (sum(map(sum, way)), -sum(sum(w) + max(0, sum(w) - c) for w, c in zip(way, size, strict=True)))
+            for way in itertools.product(*ways) if all(sum(w[s] for w in way) <= quota[s] for s in range(sources))
+        )
+        taken = mixing.flow(size, members, quota)
+        assert (sum(taken), -sum(t + max(0, t - c) for t, c in zip(taken, size, strict=True))) == pytest.approx(best)
+
+
+def test_mix_of_overlapping_sources(spark):
+    """Through the tables: patterns of several sources reach the targets of all of them; rows without source are not taken."""
+    rows = [(f"{i}", [["a"], ["b"], ["a", "b"], ["c", None], []][i % 5], 10 + i % 7) for i in range(400)]
+    sized = spark.createDataFrame(rows, "row_key string, sources array<string>, size long").repartition(3)
+    by_source, by_pattern = mixing.plan(sized)
+    want = {r["source"]: r["target"] for r in by_source.collect()}
+    flows = {r["pattern"]: r["flow"] for r in by_pattern.collect()}
+    words = {r["pattern"]: r["words"] for r in by_pattern.collect()}
+    pairs = {p: f for p, f in flows.items() if "a" in p or "b" in p}
+    assert sum(pairs.values()) == pytest.approx(want["a"] + want["b"])
+    assert flows["[]"] == 0 and flows['["c",null]'] == pytest.approx(min(2 * words['["c",null]'], want["c"] + want[None]))
+    assert flows['["a"]'] <= want["a"] + 1e-6 and all(f <= 2 * words[p] + 1e-6 for p, f in flows.items())
+    taken = collections.Counter()
+    for r in mixing.copies(sized, by_pattern).collect():
+        taken[r["pattern"]] += r["size"] * r["copies"]
+    assert all(abs(taken[p] - f) <= 8.5 for p, f in flows.items())
+
+
+def test_mix_of_many_sources(spark):
+    """200,000 sources, against the water level found directly."""
+    n = 200_000
+    df = spark.range(n).select("id", F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("source"), (F.col("id") * 7919 % 97).alias("source_size"))
+    found = sorted((r["source"], r["target"]) for r in mixing.targets(df.select("source", "source_size"), 1.5 * float((np.arange(n) * 7919 % 97).sum())).collect())
+    size = np.arange(n) * 7919 % 97
+    weight = np.array([5.0, 2.0, 1.0])[np.arange(n) % 3]
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if np.minimum(2 * size, middle * weight).sum() < 1.5 * size.sum() else (low, middle)
+    assert np.allclose([t for _, t in found], np.minimum(2 * size, high * weight))
+    one = df.select(F.col("id").cast("string").alias("row_key"), F.array("source").alias("sources"), F.col("source_size").alias("size"))
+    flows = mixing.plan(one)[1].agg(F.sum("flow")).first()[0]
+    assert flows == pytest.approx(1.5 * size.sum())
 
 
 def test_mix_copies(docs):
