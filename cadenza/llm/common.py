@@ -45,6 +45,15 @@ def keyed_docs(documents: DataFrame) -> DataFrame:
     return plain_docs(documents).where("doc_id is not null")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt anew where there are fewer partitions than cores: texts cost more to work on than to move.
+
+    An input of many files or row groups is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def packed(documents: DataFrame) -> DataFrame:
     """(kept struct of all columns but text, doc_id long, text string): work beside columns of any name."""
     others = [F.col(f"`{c}`") for c in documents.columns if c != "text"]

@@ -76,4 +76,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_suffix_dedup": suffixes.ORACLE,
     "op6_secrets": secrets.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op10_fingerprints": sketch.ORACLE,
 }

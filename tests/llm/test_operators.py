@@ -441,19 +441,79 @@ def test_quality_learns(spark):
     assert kept.columns == df.columns and kept.count() < 200
 
 
+def _forward(w, bag):
+    """One document by the formulas, passage by passage."""
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    hidden = [[math.tanh(sum(x * e for x, e in zip(p, col, strict=True)) + b) for col, b in zip(w["E"].T, w["e"], strict=True)] for p in bag]
+    gate = [sum(a * math.tanh(np.dot(h, v)) * sigmoid(np.dot(h, u)) for a, v, u in zip(w["a"], w["V"].T, w["U"].T, strict=True)) for h in hidden]
+    share = [math.exp(g) / sum(map(math.exp, gate)) for g in gate]
+    return sigmoid(sum(s * np.dot(h, w["c"]) for s, h in zip(share, hidden, strict=True)) + w["b"][0])
+
+
 def test_quality_gradients():
-    """Analytic gradients against differences."""
+    """The forward pass against the formulas, and every kind of weight's gradient against differences."""
     model = quality.Model()
     model.w = {k: v.astype(np.float64) for k, v in model.w.items()}
     r = np.random.default_rng(9)
     x, sizes, y = r.random((7, quality.FEATURES)), np.array([3, 1, 3]), np.array([1.0, 0.0, 1.0])
+    bags = np.split(x, np.cumsum(sizes)[:-1])
+    assert model.forward(x, sizes)[-1] == pytest.approx([_forward(model.w, bag) for bag in bags])
     loss = lambda: -np.mean([math.log(p if t else 1 - p) for p, t in zip(model.forward(x, sizes)[-1], y, strict=True)])
+    grads = model.gradients(x, sizes, y)
+    for name, g in grads.items():
+        for at in r.integers(0, g.size, 6):
+            place, step = np.unravel_index(at, g.shape), 1e-6
+            model.w[name][place] += step
+            up = loss()
+            model.w[name][place] -= 2 * step
+            down = loss()
+            model.w[name][place] += step
+            assert g[place] == pytest.approx((up - down) / 2 / step, rel=1e-4, abs=1e-8)
     before = loss()
     for _ in range(60):
         model.step(x, sizes, y, 0.01)
     assert loss() < before / 2
 
 
+def test_quality_passages():
+    """Class bigrams and repeated words of passages, counted one by one; passages don't see each other."""
+    texts = ["The cat cat sat. " * 50, "", "ab ab ab", "x" * 600]
+    found = [(x, n) for x, n in quality.encode_passages(pa.array(texts))]
+    rows, sizes = np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found])
+    assert sizes.tolist() == [-(-len(t) // 512) or 1 for t in texts]
+    want = []
+    for t in texts:
+        for at in range(0, max(1, len(t)), 512):
+            part = t[at : at + 512].encode()
+            counts, before = np.zeros(quality.CLASSES**2), 0
+            for k in part:
+                counts[before * quality.CLASSES + quality.CLASS_OF[k]] += 1
+                before = quality.CLASS_OF[k]
+            words = part.split()
+            repeats = [sum(a == b for a, b in zip(words, words[gap:], strict=False)) / max(1, len(words)) for gap in (1, 2)]
+            want.append(np.sqrt(np.concatenate([counts / max(1, len(part)), repeats])))
+    assert rows == pytest.approx(np.array(want), abs=1e-6)
+
+
+def test_quality_sample_is_bounded_by_passages(spark):
+    rows = [(i, ("good words here " if i % 2 else "#$% &*# ") * (200 if i < 40 else 4)) for i in range(200)]
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    few = quality.scored(df, quality.train(df, lab, passages=40)).collect()
+    assert len(few) == 200 and np.mean([x["predicted"] == x["doc_id"] % 2 for x in few]) > 0.9
+    assert quality.train(df, lab, sample=1) is None
+
+
+def _sketch(text, fraction=sketch.FRACTION):
+    w = "".join(c.lower() if c.isascii() else c for c in text)
+    w = re.findall(sketch.WORD, w)
+    hashes = {hashlib.md5(" ".join(w[k : k + 5]).encode()).hexdigest()[:16] for k in range(max(1, len(w) - 4))} if w else set()
+    return sorted(h for h in hashes if int(h, 16) < fraction * 2**64) or sorted(hashes)[:1]
+
+
+def _likeness(a, b):
+    return len(set(a) & set(b)) / min(len(a), len(b)) if a and b else float(len(a) == len(b))
+
+
 def test_sketch(docs):
     order = sorted((i * 3 for i in range(len(TEXTS))), reverse=True)
     rows = _found(sketch.fingerprints(docs))
@@ -461,16 +521,22 @@ def test_sketch(docs):
         text, after = _text(i), _text(order[(k + 1) % len(order)])
         edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
         assert (rows[i]["n_chars"], rows[i]["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= rows[i]["near_edited"] <= 1 and 0 <= rows[i]["near_next"] <= 1
+        assert (rows[i]["fingerprint"], rows[i]["edited_fingerprint"]) == ("".join(_sketch(text)), "".join(_sketch(edited)))
+        assert rows[i]["near_edited"] == pytest.approx(_likeness(_sketch(text), _sketch(edited)))
+        assert rows[i]["near_next"] == pytest.approx(_likeness(_sketch(text), _sketch(after)))
     assert rows[15]["fingerprint"] == rows[18]["fingerprint"] != rows[21]["fingerprint"]
     assert rows[18]["near_next"] == 1.0
 
 
 def test_sketches_merge(spark):
-    a, b = _words(300), _words(200)
-    df = spark.createDataFrame([(a, b)], "a string, b string").select(sketch.sketch(F.col("a")).alias("x"), sketch.sketch(F.col("b")).alias("y"), sketch.sketch(F.concat_ws(" ", "a", "b")).alias("z"))
-    row = df.select(F.size(F.array_except(sketch.merged(F.array("x", "y")), "z")).alias("lost"), F.size(F.array_except("z", sketch.merged(F.array("x", "y")))).alias("seam")).first()
-    assert row["lost"] == 0 and row["seam"] <= 4
+    """Parts of 1 to 400 words, among them many whose shingles all miss the fraction."""
+    parts = [[_words(int(n)) for n in RANDOM.choice([1, 3, 5, 7, 10, 60, 400], 3)] for _ in range(60)]
+    df = spark.createDataFrame([(p,) for p in parts], "parts array<string>")
+    rows = df.select("parts", sketch.merged(F.transform("parts", lambda p: sketch.sketch(p))).alias("merged")).collect()
+    for r in rows:
+        shingles = {" ".join(w[k : k + 5]) for w in (p.split() for p in r["parts"]) for k in range(max(1, len(w) - 4))}
+        hashes = sorted(hashlib.md5(x.encode()).hexdigest()[:16] for x in shingles)
+        assert r["merged"] == ([h for h in hashes if h < sketch.edge(sketch.FRACTION)] or hashes[:1])
 
 
 def test_single_document(spark):
