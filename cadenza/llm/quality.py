@@ -3,15 +3,18 @@
 A document is a bag of passages of PASSAGE bytes over its whole text. A passage is encoded as the
 square roots of its character-class bigram shares; a small layer embeds it, gated attention
 (tanh times sigmoid) weighs the passages of a document, and a logistic unit scores the weighted
-sum. All weights are learned together from document labels, with numpy on the driver, from at most
-``sample`` labelled documents (first by a hash of doc_id) of at most ``bag`` evenly spaced
-passages. Labels are learned only where crc32(doc_id as text) mod 5 is not 0. Scoring reads
-nothing but the text, every passage of it.
+sum. All weights are learned together from document labels, with numpy on the driver, from a
+bounded sample of labelled rows: in order of a hash of doc_id at most ``sample`` of them, as long as
+all their passages together are at most ``passages``. A row in the sample is learned from whole;
+one that has over a sixteenth of ``passages`` alone is not chosen. Labels are learned only where
+crc32(doc_id as text) mod 5 is not 0. Scoring reads nothing but the text, every passage of it.
 
 Defined results: a null or empty text is one empty passage; a null doc_id is not held out;
 repeated rows give repeated results; labels with a null or repeated doc_id or null quality:
-the first are left out, of the second the smallest quality counts; without usable labels every
-score is 0.5; other columns are ignored.
+the first are left out, of the second the smallest quality counts, and it is learned from the
+smallest text of a repeated doc_id; without usable labels every
+score is 0.5 and ``keep_good`` keeps all rows; a very long text is worked through in slices of
+documents, its passages at once; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,14 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mixed, packed, plain_docs, string_bytes, unpacked
+from .common import mixed, packed, plain_docs, spread, string_bytes, unpacked, written
 
 PASSAGE, CLASSES, EMBED, GATE = 512, 16, 32, 16
 FEATURES = CLASSES**2 + 2
-SAMPLE, BAG, EPOCHS, THRESHOLD, SLICE_BYTES = 6_000, 64, 14, 0.3, 1_500_000
+SAMPLE, PASSAGES, EPOCHS, THRESHOLD, SLICE_BYTES = 6_000, 80_000, 14, 0.3, 1_500_000
 
 
 def _class_table() -> np.ndarray:
@@ -109,7 +112,8 @@ class Model:
         p = 1 / (1 + np.exp(-np.clip(z @ w["c"] + w["b"], -30, 30)))
         return h, t, s, attention, starts, z, p
 
-    def step(self, x: np.ndarray, sizes: np.ndarray, y: np.ndarray, rate: float) -> None:
+    def gradients(self, x: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy of a batch of bags."""
         w = self.w
         h, t, s, attention, starts, z, p = self.forward(x, sizes)
         of = np.repeat(np.arange(len(sizes)), sizes)
@@ -120,7 +124,10 @@ class Model:
         d_t, d_s = d_logit[:, None] * w["a"] * s * (1 - t * t), d_logit[:, None] * w["a"] * t * s * (1 - s)
         d_h = attention[:, None] * d_z[of] + d_t @ w["V"].T + d_s @ w["U"].T
         d_e = d_h * (1 - h * h)
-        grads = {"E": x.T @ d_e, "e": d_e.sum(axis=0), "V": h.T @ d_t, "U": h.T @ d_s, "a": (d_logit[:, None] * t * s).sum(axis=0), "c": z.T @ d_out, "b": np.array([d_out.sum()])}
+        return {"E": x.T @ d_e, "e": d_e.sum(axis=0), "V": h.T @ d_t, "U": h.T @ d_s, "a": (d_logit[:, None] * t * s).sum(axis=0), "c": z.T @ d_out, "b": np.array([d_out.sum()])}
+
+    def step(self, x: np.ndarray, sizes: np.ndarray, y: np.ndarray, rate: float) -> None:
+        w, grads = self.w, self.gradients(x, sizes, y)
         self.steps += 1
         for k, g in grads.items():
             m, v = self.moments[k]
@@ -136,31 +143,34 @@ def fold(doc_id: Column, parts: int = 5) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, bag: int = BAG) -> dict[str, np.ndarray] | None:
+def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, passages: int = PASSAGES) -> dict[str, np.ndarray] | None:
     """The learned weights; None without usable labels."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna().where(fold(F.col("doc_id")) != 0)
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    place = F.xxhash64("doc_id")
+    chosen = usable.orderBy(place, "doc_id").limit(sample)
+    # the sample is bounded, and so is what is broadcast and collected
+    labelled = plain_docs(documents).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    many = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE)).cast("long")
+    whole = written(labelled.withColumn("passages", many).where(F.col("passages") <= max(1, passages // 16)), "labelled")
+    so_far = F.sum("passages").over(Window.orderBy(place, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    fits = whole.select("doc_id", so_far.alias("so_far")).where(F.col("so_far") <= passages).select("doc_id")
+    learned = whole.join(F.broadcast(fits), "doc_id").select("doc_id", "text", "quality")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for x, sizes in encode_passages(batch.column("text")):
                 ends = np.cumsum(sizes)
-                rows = []
-                for a, b in zip(ends - sizes, ends, strict=True):
-                    own = x[a:b] if b - a <= bag else x[a + np.arange(bag) * (b - a) // bag]
-                    rows.append(own.astype("<f2").tobytes())
+                rows = [x[a:b].astype("<f2").tobytes() for a, b in zip(ends - sizes, ends, strict=True)]
                 n = len(sizes)
                 yield pa.record_batch([batch.column("doc_id").slice(at, n), batch.column("quality").slice(at, n), pa.array(rows, pa.binary())], names=["doc_id", "quality", "bag"])
                 at += n
 
-    # the sample is bounded, and so is what is broadcast and collected
-    labelled = plain_docs(documents).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
-    rows = sorted(labelled.mapInArrow(bags, "doc_id long, quality int, bag binary").collect())
+    rows = sorted(learned.mapInArrow(bags, "doc_id long, quality int, bag binary").collect())
     if len({r["quality"] for r in rows}) < 2:
         return None
-    x = [np.frombuffer(r["bag"], "<f2").reshape(-1, FEATURES).astype(np.float32) for r in rows]
+    x = [np.frombuffer(r["bag"], "<f2").reshape(-1, FEATURES) for r in rows]
     y = np.array([float(r["quality"] > 0) for r in rows])
     model, order = Model(), np.random.default_rng(11)
     batch, total = 64, EPOCHS * -(-len(x) // 64)
@@ -168,7 +178,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, bag: in
         places = order.permutation(len(x))
         for i in range(0, len(x), batch):
             own = places[i : i + batch]
-            model.step(np.concatenate([x[j] for j in own]), np.array([len(x[j]) for j in own]), y[own], 0.01 * (1 - model.steps / (total + 1)))
+            model.step(np.concatenate([x[j] for j in own]).astype(np.float32), np.array([len(x[j]) for j in own]), y[own], 0.01 * (1 - model.steps / (total + 1)))
     return model.w
 
 
@@ -183,7 +193,7 @@ def scored(documents: DataFrame, weights: dict[str, np.ndarray] | None) -> DataF
             found = model.scores(batch.column("text")) if weights is not None else np.full(batch.num_rows, 0.5)
             yield pa.record_batch([batch.column("doc_id"), pa.array(np.round(found.astype(np.float64), 6))], names=["doc_id", "score"])
 
-    found = plain_docs(documents).mapInArrow(score, "doc_id long, score double")
+    found = spread(plain_docs(documents)).mapInArrow(score, "doc_id long, score double")
     held = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
