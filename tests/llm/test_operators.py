@@ -6,6 +6,7 @@ import itertools
 import math
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -247,6 +248,21 @@ def test_pieces_random():
         assert table.decode(ids) == model.decode(ids)
 
 
+def test_pieces_of_very_long_runs():
+    """A megabyte of spaces, of one word, of mixed indents, and of all separators: as the library, within seconds."""
+    table = pieces.table(pieces.default_model())
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    r = np.random.default_rng(12)
+    indents = "".join("\n" + " " * int(n) + "word" for n in r.integers(0, 90, 20_000))
+    for text in [" " * 1_000_000, "abcde" * 200_000, indents, " " * 100_000 + "x" + " " * 70_001, "".join(map(chr, range(0xF0000, 0xF0100))) + " a  b"]:
+        began = time.perf_counter()
+        ids = table.encode(text)
+        assert time.perf_counter() - began < 30
+        assert ids == model.encode(text, add_bos=True, add_eos=True)
+        assert table.decode(ids) == model.decode(ids)
+    table.forget()
+
+
 def test_lm(docs):
     tokens = {i * 3: (t or "").encode().lower().split() + [None] for i, t in enumerate(TEXTS)}
     train = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
