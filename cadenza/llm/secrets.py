@@ -1,15 +1,19 @@
 """Secret scans through a trigram inverted index, with DataFrame functions only.
 
 Each rule's regular expression gives a Boolean trigram query (an AND of ORs of trigram sets over
-the lower-cased text). The index has a posting (trigram, doc_id) for every trigram that some rule
-asks for and every text that holds it. A rule's postings are intersected per document; candidates
-are verified by the expression itself. Rules without a mandatory trigram scan every text.
+the lower-cased text). The index lists, for every trigram that some rule asks for, the documents
+whose texts hold it. It is cut into segments by the partition that was scanned, so that a posting
+list is bounded by a partition's documents. Per segment a rule's posting lists are intersected, and
+united over alternatives. Only ids travel: the candidates are broadcast to a second scan of the texts
+if they are few, and only beyond BROADCAST_IDS of them texts are shuffled to meet them. There the
+expression itself verifies them. Rules without a mandatory trigram scan every text.
 
 Spans are code points, end exclusive, leftmost and non-overlapping within a kind.
 
 Defined results: a null or empty text has no spans; a row without doc_id is scanned by every rule;
-repeated rows give repeated results; an empty table gives an empty table; columns other than
-doc_id and text are ignored by ``scan`` and kept by ``redact``.
+repeated rows give repeated results; a very long text is one row, searched whole; spans of equal start
+follow the rules' order; an empty table gives an empty table; columns other than doc_id and text are
+ignored by ``scan`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -22,9 +26,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, plain_docs, unpacked
+from .common import packed, plain_docs, spread, unpacked, written
 
 _parser, _code = re._parser, re._constants
+#: Candidates (an id and at most ten short names each, some 100 bytes) that may be broadcast.
+BROADCAST_IDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -111,23 +117,27 @@ def trigram_query(pattern: str, widest: int = 32) -> Query:
 
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """(trigram, doc_id): the part of the inverted index that the rules can ask for."""
+    """(segment, trigram, ids): the part of the inverted index that the rules can ask for."""
     low = docs.where("doc_id is not null").select("doc_id", F.lower("text").alias("low"))  # lowered once, not per trigram
     held = F.filter(F.array(*(F.lit(t) for t in trigrams)), lambda t: F.contains(F.col("low"), t))
-    return low.select("doc_id", F.explode(held).alias("trigram")).select("trigram", "doc_id")
+    placed = low.select("doc_id", F.explode(held).alias("trigram"), F.spark_partition_id().alias("segment"))
+    return placed.groupBy("segment", "trigram").agg(F.collect_set("doc_id").alias("ids"))  # of one scanned partition
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(doc_id, kinds): the rules whose trigram query a document's postings meet."""
+    """(doc_id, kinds): the rules whose trigram query a document meets, from intersected posting lists."""
+    none = F.array().cast("array<bigint>")
+    segments = index.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "ids"))).alias("lists"))
 
-    def meets(query: Query, held: Column) -> Column:
-        clause = lambda alternatives: reduce(Column.__or__, (reduce(Column.__and__, (F.array_contains(held, t) for t in sorted(a))) for a in alternatives))
-        return reduce(Column.__and__, (clause(c) for c in query))
+    def meeting(query: Query) -> Column:
+        ids = lambda trigram: F.coalesce(F.try_element_at("lists", F.lit(trigram)), none)
+        clause = lambda alternatives: reduce(F.array_union, (reduce(F.array_intersect, map(ids, sorted(a))) for a in sorted(alternatives, key=sorted)))
+        return reduce(F.array_intersect, map(clause, sorted(query, key=lambda c: sorted(map(sorted, c)))))
 
-    held = index.groupBy("doc_id").agg(F.collect_set("trigram").alias("held"))  # no more than the rules' trigrams
     asked = [(r, q) for r in rules if (q := trigram_query(r.pattern))]
-    kinds = F.filter(F.array(*(F.when(meets(q, F.col("held")), F.lit(r.kind)) for r, q in asked)), lambda k: k.isNotNull())
-    return held.select("doc_id", kinds.alias("kinds")).where(F.size("kinds") > 0)
+    found = F.array(*(F.struct(F.lit(r.kind).alias("kind"), meeting(q).alias("ids")) for r, q in asked))
+    each = segments.select(F.inline(found)).select("kind", F.explode("ids").alias("doc_id"))
+    return each.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))  # no more than there are rules
 
 
 def rule_spans(text: Column, rule: Rule, order: int) -> Column:
@@ -149,12 +159,13 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     return F.aggregate(named, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s["spans"])
 
 
-def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``docs`` (doc_id, text and more) with ``secret_spans``, sorted by start and then by the rules' order."""
     trigrams = sorted({t for r in rules for c in trigram_query(r.pattern) for a in c for t in a})
     asked = {r.kind for r in rules if trigram_query(r.pattern)}
-    kinds = candidates(postings(docs.select("doc_id", "text"), trigrams), rules).select(F.col("doc_id").alias("secret_doc"), F.col("kinds").alias("secret_kinds"))
-    joined = docs.join(kinds.hint("shuffle_hash"), F.col("doc_id") == F.col("secret_doc"), "left")
+    kinds = written(candidates(postings(spread(docs.select("doc_id", "text")), trigrams), rules).select(F.col("doc_id").alias("secret_doc"), F.col("kinds").alias("secret_kinds")), "candidates")
+    few = kinds.count() <= broadcast_ids
+    joined = spread(docs).join(kinds.hint("broadcast" if few else "merge"), F.col("doc_id") == F.col("secret_doc"), "left")
     empty = F.array().cast("array<struct<start:int,order:int,end:int>>")
     found = []
     for order, rule in enumerate(rules):

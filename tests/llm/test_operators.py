@@ -316,6 +316,22 @@ def test_secrets(docs):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[1] == k for x in base) for k in range(3)]
 
 
+def test_secrets_beyond_the_broadcast(docs):
+    few, many = (secrets.scanned(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), broadcast_ids=n) for n in (10**6, 0))
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().toString() and "SortMergeJoin" in many._jdf.queryExecution().toString()
+    assert sorted(few.drop("text").collect(), key=str) == sorted(many.drop("text").collect(), key=str)
+
+
+def test_candidates_are_those_of_the_queries(docs):
+    """Intersected posting lists against the queries evaluated text by text."""
+    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    queries = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES}
+    trigrams = sorted({t for q in queries.values() for c in q for a in c for t in a})
+    got = {r["doc_id"]: set(r["kinds"]) for r in secrets.candidates(secrets.postings(plain, trigrams)).collect()}
+    want = {i * 3: {k for k, q in queries.items() if q and all(any(all(t in (x or "").lower() for t in a) for a in c) for c in q)} for i, x in enumerate(TEXTS)}
+    assert got == {k: v for k, v in want.items() if v}
+
+
 def test_trigram_queries_hold_for_matches():
     samples = {"assign": "Token: abcdefgh", "access": "AKIAABCDEFGHIJKL", "github": "ghp_" + "a" * 20, "slack": "xoxb-1234567890", "google": "AIza" + "b" * 30, "live": "sk_test_" + "c" * 16, "pem": "-----BEGIN RSA PRIVATE KEY-----"}
     for rule in secrets.RULES:
