@@ -2,8 +2,10 @@
 
 A text's UTF-8 bytes, zero-padded to a positive multiple of 64, are the samples of a mono
 8-bit WAV. The WAVs are written as a Parquet media column and read back before any feature
-is computed. Each row is processed alone, so memory is bounded by the longest document and
-equal texts give equal values.
+is computed. Features are stored in their turn: per row an Arrow stream of fixed-shape float16
+tensors with the time span of each, and energy segments in seconds; they are read back too. Each
+row is processed alone, so memory is bounded by the longest document and equal texts give equal
+values.
 
 Defined results: a null or empty text gives 64 zero samples; a null doc_id stays null;
 repeated rows give repeated results; an empty table gives an empty table; columns other than
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import plain_docs, written
+from .common import plain_docs, spread, written
 
 RATE, UP, DOWN, TAPS = 16_000, 5, 8, 12
 FRAME, HOP, MELS, FRAMES_PER_TENSOR = 256, 128, 40, 32
@@ -108,11 +110,11 @@ class Features:
         return edges[strong[edges[:, 1]] > strong[edges[:, 0]]]
 
     def tensors(self, log_mel: np.ndarray) -> pa.RecordBatch:
-        """Fixed-shape tensors of FRAMES_PER_TENSOR x MELS with the time span each one covers."""
+        """Fixed-shape float16 tensors of FRAMES_PER_TENSOR x MELS with the time span each one covers; the last is zero-padded."""
         n = -(-len(log_mel) // FRAMES_PER_TENSOR)
-        padded = np.zeros((n * FRAMES_PER_TENSOR, MELS), np.float32)
+        padded = np.zeros((n * FRAMES_PER_TENSOR, MELS), np.float16)
         padded[: len(log_mel)] = log_mel
-        kind = pa.fixed_shape_tensor(pa.float32(), [FRAMES_PER_TENSOR, MELS])
+        kind = pa.fixed_shape_tensor(pa.float16(), [FRAMES_PER_TENSOR, MELS])
         storage = pa.FixedSizeListArray.from_arrays(pa.array(padded.reshape(-1)), FRAMES_PER_TENSOR * MELS)
         start = np.arange(n) * FRAMES_PER_TENSOR
         end = np.minimum(start + FRAMES_PER_TENSOR, len(log_mel))
@@ -134,7 +136,7 @@ def encode_media(documents: DataFrame) -> DataFrame:
                 media.append(to_wav(text + bytes(-len(text) % 64 or (0 if text else 64))))
             yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return plain_docs(documents).mapInArrow(encode, "doc_id long, n_bytes long, media binary")
+    return spread(plain_docs(documents)).mapInArrow(encode, "doc_id long, n_bytes long, media binary")
 
 
 def store_media(documents: DataFrame) -> DataFrame:
@@ -142,51 +144,62 @@ def store_media(documents: DataFrame) -> DataFrame:
     return written(encode_media(documents), "media")
 
 
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, tensors binary, segments array<struct<start_s:double,end_s:double>>"
+SPANS = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
+
+
 def media_features(media: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, tensors, segments): Arrow IPC streams of log-mel tensors, and energy spans in seconds."""
+    """FEATURES of every stored medium: what was read back of it, an Arrow IPC stream of log-mel tensors, energy spans in seconds."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = Features()
         for batch in batches:
-            streams, spans = [], []
-            for media in batch.column("media").to_pylist():
-                log_mel = tools.log_mel(from_wav(media)[0])
-                sink = pa.BufferOutputStream()
-                table = tools.tensors(log_mel)
+            rows = []
+            for doc_id, n_bytes, stored in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "media")), strict=True):
+                samples = from_wav(stored)[0]
+                log_mel = tools.log_mel(samples)
+                sink, table = pa.BufferOutputStream(), tools.tensors(log_mel)
                 with pa.ipc.new_stream(sink, table.schema) as out:
                     out.write_batch(table)
-                streams.append(sink.getvalue().to_pybytes())
-                spans.append([{"start_s": a * HOP / tools.rate, "end_s": b * HOP / tools.rate} for a, b in tools.segments(log_mel)])
-            kind = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("n_bytes"), pa.array(streams, pa.binary()), pa.array(spans, kind)], names=["doc_id", "n_bytes", "tensors", "segments"])
+                spans = [{"start_s": a * HOP / tools.rate, "end_s": b * HOP / tools.rate} for a, b in tools.segments(log_mel).tolist()]
+                rows.append((doc_id, n_bytes, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), sink.getvalue().to_pybytes(), spans))
+            columns = list(zip(*rows, strict=True)) or [()] * 9
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), SPANS]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in FEATURES.split(", ")])
+
+    return media.mapInArrow(features, FEATURES)
 
-    return media.mapInArrow(features, "doc_id long, n_bytes long, tensors binary, segments array<struct<start_s:double,end_s:double>>")
+
+def store_features(media: DataFrame) -> DataFrame:
+    """The feature columns, written to the shared folder and read back."""
+    return written(media_features(media), "features")
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, n_segments long"
 
 
-def media_digests(media: DataFrame) -> DataFrame:
-    """One row per medium: what was read back, and a digest of its tensors and spans."""
+def feature_digests(features: DataFrame) -> DataFrame:
+    """One row per row of stored features: the tensors and spans that were read back, as shape, number of spans and digest."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = Features()
         for batch in batches:
-            rows = []
-            for doc_id, n_bytes, media in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "media")), strict=True):
-                samples = from_wav(media)[0]
-                log_mel = tools.log_mel(samples)
-                spans = tools.segments(log_mel)
-                tensor = tools.tensors(log_mel)
-                state = hashlib.sha256(np.ascontiguousarray(tensor.column("log_mel").storage.flatten().to_numpy()))
-                state.update(np.ascontiguousarray(spans, "<i8").tobytes())
-                rows.append((
-                    doc_id, n_bytes, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(media),
-                    hashlib.sha256(media).hexdigest(), f"{len(log_mel)}x{MELS}:{len(spans)}:{state.hexdigest()}", len(log_mel), len(spans),
-                ))
-            columns = list(zip(*rows, strict=True)) or [()] * 10
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-            names = [x.split()[0] for x in DIGEST.split(", ")]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    return media.mapInArrow(digest, DIGEST)
+            names, frames, segments = [], [], []
+            for stream, spans in zip(batch.column("tensors").to_pylist(), batch.column("segments").to_pylist(), strict=True):
+                table = pa.ipc.open_stream(stream).read_all().combine_chunks()
+                tensors = table.column("log_mel").chunk(0)
+                n = int(table.column("frames").to_numpy().sum())
+                state = hashlib.sha256(np.ascontiguousarray(tensors.storage.flatten().to_numpy(zero_copy_only=False)))
+                state.update(np.ascontiguousarray(np.stack([table.column(c).to_numpy() for c in ("start_s", "end_s")])))
+                state.update(np.array([[s["start_s"], s["end_s"]] for s in spans], "<f8").tobytes())
+                names.append(f"{n}x{tensors.type.shape[1]}:{len(spans)}:{state.hexdigest()}")
+                frames.append(n)
+                segments.append(len(spans))
+            own = [batch.column(x.split()[0]) for x in DIGEST.split(", ")[:7]]
+            yield pa.record_batch([*own, pa.array(names, pa.string()), pa.array(frames, pa.int64()), pa.array(segments, pa.int64())], names=[x.split()[0] for x in DIGEST.split(", ")])
+
+    return features.mapInArrow(digest, DIGEST)
+
+
+def digests(documents: DataFrame) -> DataFrame:
+    """Media stored and read back, features made of them stored and read back, and both described."""
+    return feature_digests(store_features(store_media(documents)))

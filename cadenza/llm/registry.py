@@ -14,7 +14,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_media_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_digests(media.store_media(_documents(spark, sf_dir)))
+    return media.digests(_documents(spark, sf_dir))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

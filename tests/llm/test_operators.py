@@ -74,7 +74,7 @@ def _text(i):
 
 
 OPERATORS = {
-    "media": lambda d, lab: media.media_digests(media.store_media(d)), "join": lambda d, lab: ngram_join.join(d), "suffixes": lambda d, lab: suffixes.removed(d), "pieces": lambda d, lab: pieces.piece_digests(d),
+    "media": lambda d, lab: media.digests(d), "join": lambda d, lab: ngram_join.join(d), "suffixes": lambda d, lab: suffixes.removed(d), "pieces": lambda d, lab: pieces.piece_digests(d),
     "lm": lambda d, lab: ngrams.score(d), "secrets": lambda d, lab: secrets.scan(d), "tokens": lambda d, lab: tokenids.token_digests(d), "mix": lambda d, lab: mixing.mix(d),
     "quality": lambda d, lab: quality.classify(d, lab), "sketch": lambda d, lab: sketch.fingerprints(d),
 }
@@ -98,7 +98,7 @@ def test_repeated_rows(name, doubled, labels):
 
 
 def test_media(docs):
-    rows = _found(media.media_digests(media.store_media(docs)))
+    rows = _found(media.digests(docs))
     for i, r in rows.items():
         data = _text(i).encode()
         payload = data + bytes(-len(data) % 64 or (0 if data else 64))
@@ -117,14 +117,68 @@ def test_resampling_keeps_a_tone():
     assert np.corrcoef(y[100:-100], want[100:-100])[0, 1] > 0.98
 
 
-def test_media_tensors(docs):
-    rows = media.media_features(media.store_media(docs.where("doc_id in (0, 51)"))).collect()
+def _log_mel(samples):
+    """Resampling by zero stuffing and one long filter, a direct transform, filters bin by bin."""
+    x = (np.frombuffer(samples, np.uint8).astype(float) - 128) / 128
+    taps = media.UP * media.TAPS
+    h = np.sinc((np.arange(taps) - (taps - 1) / 2) / max(media.UP, media.DOWN)) * np.hamming(taps)
+    for p in range(media.UP):
+        h[p :: media.UP] /= h[p :: media.UP].sum()
+    up = np.zeros(len(x) * media.UP)
+    up[:: media.UP] = x
+    full = np.convolve(np.concatenate([up, np.zeros(taps)]), h)[(media.TAPS // 2 - 1) * media.UP :]
+    y = full[: len(up) : media.DOWN]
+    rate, frames = media.RATE * media.UP / media.DOWN, max(1, -(-(len(y) - media.FRAME) // media.HOP) + 1)
+    y = np.concatenate([y, np.zeros(frames * media.HOP + media.FRAME)])
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(media.FRAME // 2 + 1), np.arange(media.FRAME)) / media.FRAME)
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(media.FRAME) / media.FRAME)
+    top = 2595 * math.log10(1 + rate / 2 / 700)
+    edges = [700 * (10 ** (top * k / (media.MELS + 1) / 2595) - 1) for k in range(media.MELS + 2)]
+    out = np.zeros((frames, media.MELS))
+    for f in range(frames):
+        power = np.abs(turn @ (y[f * media.HOP :][: media.FRAME] * window)) ** 2
+        for m in range(media.MELS):
+            a, b, c = edges[m : m + 3]
+            total = 0.0
+            for k, p in enumerate(power):
+                hz = k * rate / media.FRAME
+                total += p * max(0.0, min((hz - a) / (b - a), (c - hz) / (c - b)))
+            out[f, m] = math.log(total + 1e-6)
+    return out
+
+
+def _segments(log_mel):
+    energy = [10 * math.log10(sum(math.exp(v) for v in row)) for row in log_mel.astype(float)]
+    middle, out, start = float(np.median(energy)), [], None
+    for i, e in enumerate([*energy, -1e9]):
+        if e - middle >= media.LOW_DB and start is None:
+            start = i
+        elif e - middle < media.LOW_DB and start is not None:
+            if max(energy[start:i]) - middle >= media.HIGH_DB:
+                out.append((start, i))
+            start = None
+    return out
+
+
+def test_media_features(docs):
+    """Stored tensors, their time spans and segments against a direct computation."""
+    rows = media.store_features(media.store_media(docs.where("doc_id in (0, 9, 15, 30, 45, 60)"))).collect()
+    assert len(rows) == 6
     for r in rows:
+        data = _text(r["doc_id"]).encode()
+        samples = data + bytes(-len(data) % 64 or (0 if data else 64))
+        want = _log_mel(samples)
         table = pa.ipc.open_stream(r["tensors"]).read_all()
-        assert table.column("log_mel").combine_chunks().to_numpy_ndarray().shape[1:] == (media.FRAMES_PER_TENSOR, media.MELS)
-        spans = table.column("end_s").to_numpy()
-        assert (np.diff(spans) > 0).all()
-        assert all(s["start_s"] < s["end_s"] for s in r["segments"])
+        kept = table.column("frames").to_numpy()
+        tensors = table.column("log_mel").combine_chunks().to_numpy_ndarray()
+        assert tensors.shape[1:] == (media.FRAMES_PER_TENSOR, media.MELS) and tensors.dtype == np.float16
+        got = np.concatenate([t[:n] for t, n in zip(tensors, kept, strict=True)]).astype(float)
+        assert got.shape == want.shape and np.allclose(got, want, atol=0.03, rtol=2e-3)
+        step = media.HOP / (media.RATE * media.UP / media.DOWN)
+        first = np.cumsum(kept) - kept
+        assert np.allclose(table.column("start_s").to_numpy(), first * step) and np.allclose(table.column("end_s").to_numpy(), (first + kept) * step)
+        spans = [(round(s["start_s"] / step), round(s["end_s"] / step)) for s in r["segments"]]
+        assert spans == _segments(media.Features().log_mel(samples))
 
 
 def _shingles(text):
