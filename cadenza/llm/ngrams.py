@@ -7,17 +7,18 @@ Elias-Fano form gives each context its range of successors, a successor is a fin
 that range, and smoothed probabilities are quantised to a byte. Levels are memory-mapped files.
 An n-gram is found by searching each next word within the range of the context before it.
 
-Documents are hashed into blocks of bounded size. A block sends every shard its distinct n-grams
-with their counts in training documents (the pre-aggregated shuffle); the shard adds the counts
-up, builds its levels, looks every block's n-grams up and answers; the block then sums the scores
-of its documents. The corpus crosses the network once (both visits to a block read one exchange).
+Documents are hashed into blocks of bounded size. A block sends every shard of which it holds words
+its distinct n-grams with their counts in training documents (the pre-aggregated shuffle); the shard
+adds the counts up, builds its levels, looks every distinct n-gram up and answers; the block then sums
+the scores of its documents. The corpus crosses the network once (both visits to a block read one
+exchange). Shards and relays between them and the blocks are laid out as in ``census``.
 
 Words are lower-cased (A-Z) runs other than ASCII white space and are told apart by 64-bit hashes.
 Successor fingerprints have 40 bits.
 
 Defined results: a null or empty text is the end token alone; rows without doc_id are left out;
 repeated rows are counted and scored each; with no training documents every count is 0; an empty
-table gives an empty table; columns other than doc_id and text are ignored.
+table gives an empty table; a very long text is one document of one block; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_count, keyed_docs, planes, unplanes, word_hashes, words_of
+from .census import MESSAGES, Route
+from .common import block_count, keyed_docs, planes, unplanes, word_hashes, words_of, written
 
-ORDER, DISCOUNT, BLOCK_MB, HELD_OUT = 2, 0.75, 6, (7, 2)
+ORDER, DISCOUNT, BLOCK_MB, HELD_OUT = 2, 0.75, 5, (7, 2)
 FINGER, STEPS = np.uint64(40), 32
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFEB77B2B)
 
@@ -105,8 +107,8 @@ def build_levels(counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], discou
         context, key, count = counts[n - 1]
         above = len(counts[n - 2][1])
         total = np.bincount(context, weights=count, minlength=above)
-        kinds = np.bincount(context, minlength=above)
-        arrays |= EliasFano.build(np.concatenate([[0], np.cumsum(kinds)]), f"{n}.from")
+        arrays |= EliasFano.build(np.concatenate([[0], np.cumsum(np.bincount(context, minlength=above))]), f"{n}.from")
+        kinds = np.bincount(context[count > 0], minlength=above)
         # fingerprints in five byte planes
         arrays[f"{n}.finger"] = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :5])
         arrays[f"{n}.share"] = quantised(np.maximum(count - discount, 0) / np.maximum(1, total[context]))
@@ -192,9 +194,13 @@ class Block:
         self.train = np.repeat(train, self.tokens)
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         self.stream = stream
+        begins = rank[-1]
         for n in range(1, order + 1):
-            codes = self.codes(n)
-            marked = np.sort(codes * 2 + self.train)
+            marked = self.codes(n) * 2 + self.train
+            if 1 < n < order:  # begin marks alone are a context too, though none of them is scored
+                begins = np.searchsorted(self.levels[-1][0], begins) * self.words + rank[-1]
+                marked = np.append(marked, begins * 2)
+            marked = np.sort(marked)
             own = marked >> 1
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
             trained = np.add.reduceat(marked & 1, first) if len(first) else np.zeros(0, np.int64)
@@ -221,22 +227,72 @@ class Block:
         return place
 
 
-def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
 def _message_schema(order: int) -> str:
-    return "shard int, block int, key binary, count1 binary" + "".join(f", sizes{n} binary, finger{n} binary, count{n} binary" for n in range(2, order + 1))
+    return "to int, sender int, key binary, count1 binary" + "".join(f", sizes{n} binary, finger{n} binary, count{n} binary" for n in range(2, order + 1))
 
 
 def _answer_schema(order: int) -> str:
-    return "block int, shard int, tokens long, kinds long, count1 binary" + "".join(f", rest{n - 1} binary, share{n} binary" for n in range(2, order + 1))
+    return "to int, part int, tokens long, kinds long, count1 binary" + "".join(f", rest{n - 1} binary, share{n} binary" for n in range(2, order + 1))
 
 
 def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
+#: Per level: (place of each n-gram's context in the level before, key: hash or fingerprint, count), sorted by both.
+Levels = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def letters(sender: int, cuts: list[tuple[int, int, int]], levels: Levels) -> pa.Table:
+    """A message for each run of first words: their n-grams, level by level."""
+    rows = []
+    for to, low, high in cuts:
+        row = [to, sender, planes(levels[0][1][low:high]), planes(levels[0][2][low:high].astype(np.uint32))]
+        for context, key, count in levels[1:]:
+            a, b = np.searchsorted(context, [low, high])
+            sizes = np.bincount(context[a:b] - low, minlength=high - low).astype(np.uint32)
+            row += [planes(sizes), planes(np.ascontiguousarray(key[a:b]), 5), planes(count[a:b].astype(np.uint32))]
+            low, high = int(a), int(b)
+        rows.append(row)
+    schema = _message_schema(len(levels))
+    kinds = [pa.int32(), pa.int32()] + [pa.binary()] * (schema.count(",") - 1)
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_names(schema))
+
+
+def combined(rows: list[dict], order: int) -> tuple[Levels, list[np.ndarray], list[list[int]]]:
+    """(levels of several messages together; per level the place of every message's n-grams in them; n-grams per message)."""
+    keys, place = np.unique(np.concatenate([unplanes(r["key"], np.uint64) for r in rows]), return_inverse=True)
+    counted = lambda n: np.concatenate([unplanes(r[f"count{n}"], np.uint32) for r in rows])
+    levels, places = [(np.zeros(len(keys), np.int64), keys, np.bincount(place, weights=counted(1), minlength=len(keys)))], [place]
+    sizes_of = [[len(r["key"]) // 8 for r in rows]]
+    for n in range(2, order + 1):
+        sizes = np.concatenate([unplanes(r[f"sizes{n}"], np.uint32) for r in rows]).astype(np.int64)
+        finger = np.concatenate([unplanes(r[f"finger{n}"], np.uint64, 5) for r in rows])
+        unique, place = np.unique(np.repeat(place, sizes).astype(np.uint64) << FINGER | finger, return_inverse=True)
+        levels.append(((unique >> FINGER).astype(np.int64), unique & np.uint64((1 << 40) - 1), np.bincount(place, weights=counted(n), minlength=len(unique))))
+        places.append(place)
+        sizes_of.append([len(r[f"finger{n}"]) // 5 for r in rows])
+    return levels, places, sizes_of
+
+
+def replies(part: int, rows: list[dict], order: int, totals: tuple[int, int], values: dict[str, np.ndarray], places: list[np.ndarray], sizes_of: list[list[int]]) -> pa.Table:
+    """An answer to every message from the values of the distinct n-grams."""
+    out: list[list] = [[r["sender"] for r in rows], [part] * len(rows), [totals[0]] * len(rows), [totals[1]] * len(rows)]
+    for name in _names(_answer_schema(order))[4:]:
+        level = int(name[-1]) - 1
+        out.append(_cut(values[name][places[level]], sizes_of[level]))
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * (len(out) - 4)
+    return pa.table([pa.array(c, k) for c, k in zip(out, types, strict=True)], names=_names(_answer_schema(order)))
+
+
+def values_of(rows: list[dict], order: int) -> dict[str, np.ndarray]:
+    """The values of answers, put together in order of their parts."""
+    rows = sorted(rows, key=lambda r: r["part"])
+    kind = lambda name: np.uint64 if name == "count1" else np.uint8
+    return {name: np.concatenate([np.zeros(0, kind(name)), *(unplanes(r[name], kind(name)) for r in rows)]) for name in _names(_answer_schema(order))[4:]}
+
+
 def held_out(doc_id: Column, parts: int, of: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)) == of
 
@@ -244,87 +300,66 @@ def held_out(doc_id: Column, parts: int, of: int) -> Column:
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(documents: DataFrame, order: int = ORDER, discount: float = DISCOUNT, fold: tuple[int, int] = HELD_OUT, block_mb: float = BLOCK_MB) -> DataFrame:
+def score(documents: DataFrame, order: int = ORDER, discount: float = DISCOUNT, fold: tuple[int, int] = HELD_OUT, block_mb: float = BLOCK_MB, messages: int = MESSAGES) -> DataFrame:
     docs = keyed_docs(documents)
-    blocks = shards = block_count(docs, block_mb)
+    blocks = block_count(docs, block_mb)
+    route = Route(blocks, blocks, messages)
     docs = docs.select("doc_id", "text", (~held_out(F.col("doc_id"), *fold)).alias("train"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"))
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
-        own = Block(table, order)
-        edges = np.searchsorted(shard_of(own.hashes, shards), np.arange(shards + 1))
-        rows = []
-        for shard in range(shards):
-            low, high = int(edges[shard]), int(edges[shard + 1])
-            row = [shard, key[0].as_py(), planes(own.hashes[low:high]), planes(own.levels[0][1][low:high].astype(np.uint32))]
-            for n in range(2, order + 1):
-                codes, counts = own.levels[n - 1]
-                a, b = np.searchsorted(codes, [low * own.words, high * own.words])
-                context = codes[a:b] // own.words - low
-                word = codes[a:b] % own.words
-                sizes = np.bincount(context, minlength=high - low).astype(np.uint32)
-                finger = own.hashes[word] >> (np.uint64(64) - FINGER)
-                row += [planes(sizes), np.ascontiguousarray(finger.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes(), planes(counts[a:b].astype(np.uint32))]
-                low, high = int(a), int(b)
-            rows.append(row)
-        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * (len(rows[0]) - 2)
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=_names(_message_schema(order)))
+        own, block = Block(table, order), key[0].as_py()
+        levels: Levels = []
+        for codes, counts in own.levels:
+            word = codes % own.words
+            levels.append((codes // own.words, own.hashes[word] >> (np.uint64(64) - FINGER) if levels else own.hashes, counts))
+        return letters(block, route.sent(own.hashes, block), levels)
+
+    def forward(key: tuple, table: pa.Table) -> pa.Table:
+        levels, _, _ = combined(table.to_pylist(), order)
+        return letters(key[0].as_py(), route.forwarded(levels[0][1], key[0].as_py()), levels)
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        hashes = [unplanes(r["key"], np.uint64) for r in rows]
-        keys, place = np.unique(np.concatenate(hashes), return_inverse=True)
-        count = np.bincount(place, weights=np.concatenate([unplanes(r["count1"], np.uint32) for r in rows]), minlength=len(keys))
-        tokens, kinds = int(count.sum()), int((count > 0).sum())
-        levels = [(np.zeros(len(keys), np.int64), keys, count)]
-        queries = []
-        for n in range(2, order + 1):
-            sizes = np.concatenate([unplanes(r[f"sizes{n}"], np.uint32) for r in rows]).astype(np.int64)
-            finger = []
-            for r in rows:
-                wide = np.zeros((len(r[f"finger{n}"]) // 5, 8), np.uint8)
-                wide[:, :5] = np.frombuffer(r[f"finger{n}"], np.uint8).reshape(5, -1).T
-                finger.append(wide.view(np.uint64)[:, 0])
-            finger = np.concatenate(finger)
-            counted = np.concatenate([unplanes(r[f"count{n}"], np.uint32) for r in rows])
-            queries.append((sizes, finger))
-            both = np.repeat(place, sizes).astype(np.uint64) << FINGER | finger
-            # only n-grams of training documents enter the model
-            unique, inverse = np.unique(both, return_inverse=True)
-            total = np.bincount(inverse, weights=counted, minlength=len(unique))
-            kept = total > 0
-            context = (unique >> FINGER).astype(np.int64)
-            if n < order:
-                kept[:] = True  # a context keeps its place even if it is not counted
-            levels.append((context[kept], unique[kept] & np.uint64((1 << 40) - 1), total[kept]))
-            place = inverse
+        levels, places, sizes_of = combined(rows, order)
+        count = levels[0][2]
+        model: Levels = levels[:1]
+        for n, (context, finger, total) in enumerate(levels[1:], 2):
+            # only n-grams of training documents enter the model, but a context keeps its place even if it is not counted
+            kept = total > 0 if n == order else np.ones(len(total), bool)
+            model.append((context[kept], finger[kept], total[kept]))
         with tempfile.TemporaryDirectory() as folder:
-            trie = Trie(build_levels(levels, discount), folder)
-            at = trie.words(np.concatenate(hashes))
-            out: list[list] = [[r["block"] for r in rows], [key[0].as_py()] * len(rows), [tokens] * len(rows), [kinds] * len(rows)]
-            sizes_of = [len(h) for h in hashes]
-            out.append(_cut(trie.value("1.count", at).astype(np.uint64), sizes_of))
-            for n in range(2, order + 1):
-                sizes, finger = queries[n - 2]
-                out.append(_cut(trie.value(f"{n - 1}.rest", at).astype(np.uint8), sizes_of))
-                at = trie.successors(n, np.repeat(at, sizes), finger)
-                sizes_of = [len(r[f"finger{n}"]) // 5 for r in rows]
-                out.append(_cut(trie.value(f"{n}.share", at).astype(np.uint8), sizes_of))
-        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * (len(out) - 4)
-        return pa.table([pa.array(c, k) for c, k in zip(out, types, strict=True)], names=_names(_answer_schema(order)))
+            trie = Trie(build_levels(model, discount), folder)
+            at = trie.words(levels[0][1])
+            values = {"count1": trie.value("1.count", at).astype(np.uint64)}
+            for n, (context, finger, _) in enumerate(levels[1:], 2):
+                values[f"rest{n - 1}"] = trie.value(f"{n - 1}.rest", at).astype(np.uint8)
+                at = trie.successors(n, at[context], finger)
+                values[f"share{n}"] = trie.value(f"{n}.share", at).astype(np.uint8)
+        return replies(key[0].as_py(), rows, order, (int(count.sum()), int((count > 0).sum())), values, places, sizes_of)
+
+    def back(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
+        rows, answered = table.to_pylist(), found.to_pylist()
+        _, places, sizes_of = combined(rows, order)
+        return replies(key[0].as_py(), rows, order, (0, 0), values_of(answered, order), places, sizes_of)
+
+    sent = docs.groupBy("block").applyInArrow(send, _message_schema(order))
+    ranged = sent.groupBy("to").applyInArrow(forward, _message_schema(order)) if route.relayed else sent
+    # written, as the totals of all shards are needed before the first document is scored
+    answered = written(ranged.groupBy("to").applyInArrow(answer, _answer_schema(order)), "answers")
+    totals = answered.groupBy("part").agg(F.max("tokens").alias("tokens"), F.max("kinds").alias("kinds")).agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).first()
+    tokens, kinds = totals["tokens"] or 0, totals["kinds"] or 0
+    if route.relayed:
+        answered = sent.groupBy("to").cogroup(answered.groupBy("to")).applyInArrow(back, _answer_schema(order))
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
-        own = Block(table, order)
-        rows = sorted(answers.to_pylist(), key=lambda r: r["shard"])
-        tokens, kinds = sum(r["tokens"] for r in rows), sum(r["kinds"] for r in rows)
-        count = np.concatenate([unplanes(r["count1"], np.uint64) for r in rows]).astype(np.float64)
+        own, values = Block(table, order), values_of(answers.to_pylist(), order)
+        count = values["count1"].astype(np.float64)
         here = own.codes(1)
         p = ((count + 1) / (tokens + kinds + 1))[here]
         base = np.bincount(own.doc, weights=np.log10(p), minlength=len(own.tokens))
         for n in range(2, order + 1):
-            rest = VALUE_OF[np.frombuffer(b"".join(r[f"rest{n - 1}"] for r in rows), np.uint8)]
-            share = VALUE_OF[np.frombuffer(b"".join(r[f"share{n}"] for r in rows), np.uint8)]
-            weight = rest[own.places(n - 1, 1)]
-            p = share[np.searchsorted(own.levels[n - 1][0], own.codes(n))] + np.where(weight > 0, weight, 1) * p
+            weight = VALUE_OF[values[f"rest{n - 1}"]][own.places(n - 1, 1)]
+            p = VALUE_OF[values[f"share{n}"]][np.searchsorted(own.levels[n - 1][0], own.codes(n))] + np.where(weight > 0, weight, 1) * p
         total = np.bincount(own.doc, weights=np.log10(np.minimum(p, 1)), minlength=len(own.tokens))
         known = np.bincount(own.doc, weights=count[here] > 0, minlength=len(own.tokens)).astype(np.int64)
         held = np.array([not x for x in table.column("train").to_pylist()], bool)
@@ -334,9 +369,7 @@ def score(documents: DataFrame, order: int = ORDER, discount: float = DISCOUNT,
             names=_names(SCORES),
         )
 
-    sent = docs.groupBy("block").applyInArrow(send, _message_schema(order))
-    answered = sent.groupBy("shard").applyInArrow(answer, _answer_schema(order))
-    return docs.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, SCORES)
+    return docs.groupBy("block").cogroup(answered.groupBy("to")).applyInArrow(finish, SCORES)
 
 
 def _cut(values: np.ndarray, sizes: list[int]) -> list[bytes]:
