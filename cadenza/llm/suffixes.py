@@ -7,17 +7,19 @@ meet at an anchor with the same LEFT (before it) and SPAN (after it) bytes or pa
 1. A census counts anchors' k-grams and whole contexts over all documents. Where a whole context
    repeats, all of it goes. Where all contexts of a k-gram are equal or it does not repeat, that is all.
 2. Of the other anchors (near the ends of repeated passages), suffixes with their left contexts are
-   range-partitioned by their leading bytes with sampled splitters. Equal leading bytes stay in one
-   range, so no run of equal suffixes crosses a boundary. Each range sorts its suffixes by multikey
-   quicksort, a machine word at a time, and the reversed left contexts likewise. Common-prefix
+   range-partitioned by their leading k-gram with sampled splitters. Equal k-grams stay in one
+   range, so no run of equal suffixes crosses a boundary, and a k-gram's run is at most HOT long. Each
+   range sorts its suffixes by multikey quicksort, a machine word at a time, and the reversed left
+   contexts likewise. Common-prefix
    lengths of neighbours then tell for each distance d which anchors agree on the d bytes before
    and the SPAN - d bytes after.
-3. A k-gram in more than HOT anchors is not gathered: windows of its contexts are counted by a
-   second census, which sends each distinct window once per block.
+3. A k-gram in more than HOT anchors is not gathered, as one task would have to hold them all:
+   windows of its contexts are counted by a second census, which sends each distinct window once per
+   block. Both ways give the same spans.
 
 Defined results: a null or empty text has no bytes and keeps none; rows without doc_id are left
-out; of rows with equal doc_id the smallest text counts; an empty table gives an empty table;
-columns other than doc_id and text are ignored.
+out; of rows with equal doc_id the smallest text counts; a very long text is cut into strides for its
+anchors; an empty table gives an empty table; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +39,6 @@ SPAN, KGRAM, BLOCK_MB, HOT = 200, 50, 8, 20_000
 LEFT = SPAN - KGRAM
 WIDTH = LEFT + SPAN
 STRIDE = 2_000_000
-LEAD = 32
 BASE = 0x9E3779B97F4A7C15
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
 
@@ -143,7 +144,7 @@ def first_pass(blocked: DataFrame, blocks: int, hot: int = HOT) -> DataFrame:
             names=[x.split()[0] for x in FOUND.split(", ")],
         )
 
-    return census(blocked, blocks, ask, finish, FOUND)
+    return census(blocked, blocks, ask, finish, FOUND, per_range=4)  # anchors are few beside bytes
 
 
 def split_at(starts: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,25 +155,35 @@ def split_at(starts: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> tuple
 
 
 def multikey_order(group: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Order of rows by group and then text, a word of 8 bytes at a time: only rows still tied are sorted further."""
+    """Order of rows by group and then text: multikey quicksort, a word of 8 bytes at a time.
+
+    All open runs are split at once: rows less than, equal to and greater than their run's pivot word.
+    Equal ones go on with the next word, the others with the same one; runs of one row are done.
+    """
     words = np.ascontiguousarray(text).view(">u8").astype(np.uint64)
     order = np.argsort(group, kind="stable")
-    run = np.concatenate([[0], np.cumsum(group[order][1:] != group[order][:-1])])
-    tied = np.arange(len(order))
-    for depth in range(words.shape[1]):
-        size = np.bincount(run[tied], minlength=run[-1] + 1 if len(run) else 0)
-        tied = tied[size[run[tied]] > 1]
-        if not len(tied):
+    start = np.ones(len(order), bool)
+    start[1:] = group[order][1:] != group[order][:-1]
+    places, depth = np.arange(len(order)), np.zeros(len(order), np.int64)
+    while len(places):
+        first = np.flatnonzero(start)
+        size = np.diff(np.append(first, len(places)))
+        open_ = np.repeat((size > 1) & (depth[first] < words.shape[1]), size)
+        places, depth, start = places[open_], depth[open_], start[open_]
+        if not len(places):
             break
-        key = words[order[tied], depth]
-        by = np.lexsort((key, run[tied]))
-        order[tied] = order[tied[by]]
-        key, of = key[by], run[tied]
-        # runs keep their places, so new run numbers only have to differ between neighbours
-        new = np.zeros(len(order), np.int64)
-        new[tied[1:]] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
-        start = np.concatenate([[0], (run[1:] != run[:-1]).astype(np.int64)])
-        run = np.cumsum(np.maximum(start, new))
+        first = np.flatnonzero(start)
+        size = np.diff(np.append(first, len(places)))
+        rows = order[places]
+        key = words[rows, depth]
+        pivot = np.sort(np.stack([key[first], key[first + size // 2], key[first + size - 1]]), axis=0)[1]
+        pivot = np.repeat(pivot, size)
+        side = (key >= pivot).astype(np.int8) + (key > pivot)
+        run = np.cumsum(start) - 1
+        to = np.argsort(run * 3 + side, kind="stable")
+        order[places], side = rows[to], side[to]
+        depth = depth + (side == 1)
+        start[1:] |= side[1:] != side[:-1]
     return order
 
 
@@ -240,7 +251,7 @@ def sorted_spans(contexts: DataFrame, mb: float = BLOCK_MB) -> DataFrame:
 
     size = contexts.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("b")).first()["b"]
     ranges = max(1, -(-size // int(mb * 1_000_000)))
-    ranged = contexts.repartitionByRange(ranges, F.expr(f"substring(body, left + 1, {LEAD})"))
+    ranged = contexts.repartitionByRange(ranges, F.expr(f"substring(body, left + 1, {KGRAM})"))
     return ranged.mapInArrow(resolve, ANSWER)
 
 

@@ -17,7 +17,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cadenza.llm import media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, suffixes, tokenids
+from cadenza.llm import census, media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, suffixes, tokenids
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block int, size string, n int, label string, sketch int, spans string, rep long, h int"
 PASSAGE = " ".join(f"word{i}" for i in range(60))
@@ -317,25 +317,58 @@ def test_pieces_of_very_long_runs():
     table.forget()
 
 
-def test_lm(docs):
+@pytest.mark.parametrize("order", [2, 3])
+def test_lm(docs, order):
     tokens = {i * 3: (t or "").encode().lower().split() + [None] for i, t in enumerate(TEXTS)}
-    train = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
-    one, two = collections.Counter(), collections.Counter()
-    for w in train:
-        one.update(w)
-        two.update(zip([0, *w[:-1]], w, strict=True))
+    grams = lambda w, n: [tuple([0] * (order - 1) + w)[k + order - n : k + order] for k in range(len(w))]
+    counts = [collections.Counter(g for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for g in grams(w, n)) for n in range(1, order + 1)]
     total, after = collections.Counter(), collections.Counter()
-    for (a, _), c in two.items():
-        total[a] += c
-        after[a] += 1
-    n, v = sum(one.values()), len(one)
-    for i, r in _found(ngrams.score(docs, block_mb=0.005)).items():
+    for level in counts[1:]:
+        for g, c in level.items():
+            total[g[:-1]] += c
+            after[g[:-1]] += 1
+    n, v = sum(counts[0].values()), len(counts[0])
+
+    def smooth(gram):
+        if len(gram) == 1:
+            return (counts[0][gram] + 1) / (n + v + 1)
+        below, context = smooth(gram[1:]), gram[:-1]
+        return max(counts[len(gram) - 1][gram] - 0.75, 0) / total[context] + 0.75 * after[context] / total[context] * below if total[context] else below
+
+    for i, r in _found(ngrams.score(docs, order=order, block_mb=0.005)).items():
         w = tokens[i]
-        base = [(one[x] + 1) / (n + v + 1) for x in w]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(w), sum(one[x] > 0 for x in w), n, zlib.crc32(str(i).encode()) % 7 == 2)
+        base = [smooth((x,)) for x in w]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(w), sum(counts[0][x,] > 0 for x in w), n, zlib.crc32(str(i).encode()) % 7 == 2)
         assert r["base_score"] == pytest.approx(sum(map(math.log10, base)))
-        smooth = [max(two[a, x] - 0.75, 0) / total[a] + 0.75 * after[a] / total[a] * p if total[a] else p for a, x, p in zip([0, *w[:-1]], w, base, strict=True)]
-        assert r["score"] == pytest.approx(sum(map(math.log10, smooth)), abs=0.02 * len(w))
+        assert r["score"] == pytest.approx(sum(math.log10(smooth(g)) for g in grams(w, order)), abs=0.02 * len(w))
+
+
+def test_lm_through_relays(docs):
+    """With relays between blocks and shards every score is the same."""
+    direct = _found(ngrams.score(docs, order=3, block_mb=0.002))
+    assert _found(ngrams.score(docs, order=3, block_mb=0.002, messages=1)) == direct
+
+
+def test_census_through_relays(spark):
+    """Counts of hashes with and without relays, against a count by hand; few messages and none empty."""
+    r = np.random.default_rng(13)
+    rows = [(i, int(x)) for i, x in enumerate(np.minimum(r.zipf(1.3, 4000), 500))]
+    df = spark.createDataFrame(rows, "id long, x long").withColumn("block", (F.col("id") % 40).cast("int"))
+    want = collections.Counter(x for _, x in rows)
+
+    def ask(table):
+        values = ngram_join.mixed(table.column("x").to_numpy().astype(np.uint64))
+        distinct, place, counts = np.unique(values, return_inverse=True, return_counts=True)
+        return distinct, counts, place
+
+    def finish(table, place, distinct, totals):
+        return pa.table([table.column("id"), table.column("x"), pa.array(totals[place].astype(np.int64))], names=["id", "x", "n"])
+
+    for width, per_range, messages in ((8, 1, 10**6), (6, 3, 10**6), (8, 1, 1), (6, 2, 1)):
+        got = census.census(df, 40, ask, finish, "id long, x long, n long", width, per_range, messages).collect()
+        assert len(got) == 4000 and all(x["n"] == want[x["x"]] for x in got)
+    route = census.Route(12_500, 12_500, 20_000_000)
+    assert route.relayed and route.groups * 12_500 + route.homes * 12_500 < 2_900_000
 
 
 def test_lm_of_order_three(docs):
