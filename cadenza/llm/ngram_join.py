@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by vertical partitioning, with the components of its links.
+"""N-gram Jaccard join by vertical partitioning, with the components and the number of its links.
 
 Sets are the distinct five-word shingles of whole texts. Equal sets are one class from the start.
 
@@ -6,19 +6,21 @@ Sets are the distinct five-word shingles of whole texts. Equal sets are one clas
    that has more than n // 4 to itself can't reach 75%; only the others keep their shared shingles.
 2. A second census counts these among class representatives; that gives the global order (count,
    then hash) and each set's prefix, whose shingles index the candidates.
-3. The global order is cut at fixed counts into fragments. Candidates meet the segments of every
-   fragment separately; partial overlaps are summed per pair and compared exactly.
+3. The global order is cut into fragments of about equal size, at counts taken from a histogram. Tasks
+   of (cell of candidates, fragment) count partial overlaps, each fragment apart from the others;
+   then the partial overlaps of every pair are summed and compared exactly.
 4. A prefix shingle's sets are not paired with each other. Each round pairs the sets of a shingle
    with one leader and joins components; what is left are pairs between different components,
-   which the last step finds and verifies in full inside its tasks, sending on lists of
-   candidates and then links. So no link that could join two components is missed, while pairs
-   inside a component are not made.
-5. ``join_links`` also counts the links of every document: for that the last step runs over all
-   prefix candidates, of one component or not, and its tasks send on counts instead of links.
+   which the last step finds inside its tasks, sending on lists of candidates. So no link that could
+   join two components is missed, while pairs inside a component are not made.
+5. All links lie within components. To count them, a component's sets are dealt to chunks, and every
+   two chunks meet in one task. It adds up partial overlaps of rare shingles by their pairs and of
+   common ones by products of membership matrices, and sends on counts, never pairs.
 
 Defined results: a null, empty or wordless text has no shingles and links with nothing; rows
-without doc_id are left out; of rows with equal doc_id the smallest text counts; an empty table
-gives an empty table; columns other than doc_id and text are ignored.
+without doc_id are left out; of rows with equal doc_id the smallest text counts; a very long text is
+one set of one block; an empty table gives an empty table; columns other than doc_id and text are
+ignored by ``join`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -33,9 +35,9 @@ from .census import census
 from .common import block_count, bounded_batches, keyed_docs, mixed, one_per_id, packed, unpacked, word_hashes, words_of, written
 from .components import components
 
-WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK = 5, 75, 5, 3, 500, 2_048
-#: The global order is cut where counts pass these.
-PIVOTS = (2, 8, 64)
+WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK, FRAGMENTS = 5, 75, 5, 3, 500, 2_048, 4
+#: Sets of a component that one task holds twice, and how many of them a membership matrix has at a time.
+DEALT, SLICE = 4_096, 1_024
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,11 +134,11 @@ def classes(docs: DataFrame, block_mb: float) -> DataFrame:
     return census(blocked, blocks, ask, finish, CLASSES, 6)
 
 
-SEGMENTS = "rep long, n long, fragment int, segment binary, prefix array<long>, at array<int>"
+ORDERED = "rep long, n long, ordered binary, ends array<int>, prefix array<long>, at array<int>"
 
 
-def segments(sets: DataFrame) -> DataFrame:
-    """From (rep, n, core): a row per fragment with its shingles in order of hash; the row of fragment 0 has the prefix."""
+def in_order(sets: DataFrame) -> DataFrame:
+    """From (rep, n, core): the shared shingles in the global order, how many have counts of at most k bits, and the prefix."""
     entries = sets.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0)).alias("b")).first()["b"]
     blocks = max(1, -(-entries // 6_000_000))
     blocked = sets.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"))
@@ -161,28 +163,31 @@ def segments(sets: DataFrame) -> DataFrame:
         sizes = np.bincount(rows, minlength=len(n))
         single = n - sizes
         prefix = np.minimum(prefix_length(n) - single, sizes)
-        fragment = np.searchsorted(PIVOTS, count)
+        bits = np.frexp(count.astype(np.float64))[1]
         ids, starts = table.column("rep").to_pylist(), np.cumsum(sizes) - sizes
         out = []
         for r in np.flatnonzero(prefix > 0):
-            a = starts[r]
-            own, part = hashes[a : a + sizes[r]], fragment[a : a + sizes[r]]
-            cut = np.searchsorted(part, np.arange(len(PIVOTS) + 2))
-            for f in range(len(PIVOTS) + 1):
-                first = own[: prefix[r]].view(np.int64) if f == 0 else None
-                if f == 0 or cut[f] < cut[f + 1]:
-                    places = None if first is None else np.arange(single[r], single[r] + len(first), dtype=np.int32)
-                    out.append((ids[r], int(n[r]), f, np.sort(own[cut[f] : cut[f + 1]]).tobytes(), first, places))
+            own = slice(starts[r], starts[r] + sizes[r])
+            first = hashes[own][: prefix[r]].view(np.int64)
+            places = np.arange(single[r], single[r] + len(first), dtype=np.int32)
+            out.append((ids[r], int(n[r]), hashes[own].tobytes(), np.searchsorted(bits[own], np.arange(33), "right").astype(np.int32), first, places))
         columns = list(zip(*out, strict=True)) or [()] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["rep", "n", "fragment", "segment", "prefix", "at"])
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in ORDERED.split(", ")])
 
-    return census(blocked, blocks, ask, finish, SEGMENTS)
+    return census(blocked, blocks, ask, finish, ORDERED)
+
+
+def pivots(cut: DataFrame, fragments: int = FRAGMENTS) -> list[int]:
+    """Numbers of bits of a count at which the global order is cut, so that fragments hold about equally many entries."""
+    upto = list(cut.agg(*(F.coalesce(F.sum(F.get("ends", F.lit(k))), F.lit(0)).alias(f"b{k}") for k in range(33))).first())
+    return sorted({next(k for k in range(33) if upto[k] * fragments >= upto[-1] * f) for f in range(1, fragments)} - {32})
 
 
 #: Candidates of one set: the others, their sizes and their component labels.
 CANDIDATES = "a long, na long, bs array<long>, nbs array<long>, labels array<long>"
-LINKS, COUNTS = "a long, b long", "rep long, linked long"
+LINKS = "a long, b long"
+PARTIAL = f"in_cell int, {CANDIDATES}, shared array<int>"
 
 
 def enough(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -190,62 +195,73 @@ def enough(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
     return shared * (100 + LEAST) >= total * LEAST
 
 
-def verified(made: DataFrame, cut: DataFrame, sets: int, sizes: DataFrame | None = None) -> DataFrame:
-    """(a, b): of each set's candidates the links, one per component label.
+def fragments_of(ordered: DataFrame, cuts: list[int]) -> DataFrame:
+    """(cell, fragment, rep, segment) from (cell, rep, ordered, ends): each fragment's shingles in order of hash."""
+
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for cell, rep, ordered, ends in zip(*(batch.column(c).to_pylist() for c in ("cell", "rep", "ordered", "ends")), strict=True):
+                own = np.frombuffer(ordered, np.uint64)
+                edges = [0, *(ends[k] for k in cuts), len(own)]
+                out += [(cell, f, rep, np.sort(own[a:b]).tobytes()) for f, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["at_cell", "at_fragment", "rep", "segment"])
 
-    With ``sizes`` (rep, members), which gives the documents of every class, all links count instead: (rep,
-    linked) has, per cell, how many documents of other classes a class's set links with.
+    return ordered.mapInArrow(cut, "at_cell int, at_fragment int, rep long, segment binary")
+
+
+def verified(made: DataFrame, cut: DataFrame, cuts: list[int], sets: int) -> DataFrame:
+    """(a, b): of each set's candidates the links, one per component label.
 
-    Sets are dealt to cells. A cell gets each segment its candidates need once and goes through the
-    fragments one by one: partial overlaps of a fragment are counted apart and summed per pair.
+    Sets are dealt to cells. A cell gets the segments that its candidates need once per fragment; a task
+    counts one cell's partial overlaps in one fragment, and the last one sums them per pair.
     """
     cells = max(1, -(-sets // CELL_SETS))
     dealt = written(made.withColumn("cell", F.pmod(F.xxhash64("a"), F.lit(cells)).cast("int")), "candidates")
 
     def name(key: tuple, table: pa.Table) -> pa.Table:
         found = np.unique(np.concatenate([table.column("a").to_numpy(), table.column("bs").combine_chunks().flatten().to_numpy()]))
-        return pa.table([pa.array(np.full(len(found), key[0].as_py(), np.int32)), pa.array(found)], names=["in_cell", "rep"])
+        return pa.table([pa.array(np.full(len(found), key[0].as_py(), np.int32)), pa.array(found)], names=["cell", "rep"])
 
-    needed = dealt.groupBy("cell").applyInArrow(name, "in_cell int, rep long")
-    there = needed.join(cut.select("rep", "fragment", "segment"), "rep")
-    counted = sizes is not None
-    if counted:
-        there = there.join(sizes, "rep")
+    needed = dealt.groupBy("cell").applyInArrow(name, "cell int, rep long")
+    there = fragments_of(needed.join(cut.select("rep", "ordered", "ends"), "rep"), cuts)
+    asked = dealt.withColumn("fragment", F.explode(F.array(*(F.lit(f) for f in range(len(cuts) + 1)))))
 
     def count(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        segments_of: list[dict[int, np.ndarray]] = [{} for _ in range(len(PIVOTS) + 1)]
-        for rep, fragment, segment in zip(*(right.column(c).to_pylist() for c in ("rep", "fragment", "segment")), strict=True):
-            segments_of[fragment][rep] = np.frombuffer(segment, np.uint64)
-        none, out, linked_by = np.zeros(0, np.uint64), [], dict.fromkeys(segments_of[0], 0)
-        members = {} if not counted else dict(zip(right.column("rep").to_pylist(), right.column("members").to_pylist(), strict=True))
-        lists = [left.column(c).combine_chunks() for c in ("bs", "nbs", "labels")]
-        ends = np.cumsum(pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False))
-        all_bs, all_nbs, all_labels = (x.flatten().to_numpy() for x in lists)
-        for a, na, start, end in zip(left.column("a").to_pylist(), left.column("na").to_pylist(), [0, *ends[:-1]], ends, strict=False):
-            bs, shared = all_bs[start:end], np.zeros(end - start, np.int64)
-            for segment in segments_of:
-                own = segment.get(a, none)
-                if not len(own):
-                    continue
-                others = [segment.get(b, none) for b in bs.tolist()]
-                sizes = np.array([len(o) for o in others])
+        segment = {rep: np.frombuffer(x, np.uint64) for rep, x in zip(right.column("rep").to_pylist(), right.column("segment").to_pylist(), strict=True)}
+        none, lists = np.zeros(0, np.uint64), left.column("bs").combine_chunks()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        all_bs, shared = lists.flatten().to_numpy(), np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+        for a, start, end in zip(left.column("a").to_pylist(), [0, *ends[:-1]], ends, strict=True):
+            own = segment.get(a, none)
+            if len(own):
+                others = [segment.get(b, none) for b in all_bs[start:end].tolist()]
                 flat = np.concatenate(others)
                 at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-                shared += np.bincount(np.repeat(np.arange(len(bs)), sizes), weights=own[at] == flat, minlength=len(bs)).astype(np.int64)
-            linked = np.flatnonzero(enough(shared, na + all_nbs[start:end]))
-            if counted:
-                for b in bs[linked].tolist():
-                    linked_by[a] += members[b]
-                    linked_by[b] += members[a]
-                continue
-            _, first = np.unique(all_labels[start:end][linked], return_index=True)
-            out += [(a, bs[k]) for k in linked[first]]
-        if counted:
-            out = [(k, v) for k, v in linked_by.items() if v]
+                shared[start:end] = np.bincount(np.repeat(np.arange(len(others)), [len(o) for o in others]), weights=own[at] == flat, minlength=len(others))
+        offsets = pa.array(np.append(0, ends).astype(np.int32))
+        first = key[1].as_py() == 0  # one fragment's rows bring what the sum compares with
+        rest = [left.column(c).combine_chunks() if first else pa.nulls(left.num_rows, pa.list_(pa.int64())) for c in ("bs", "nbs", "labels")]
+        columns = [pa.array([key[0].as_py()] * left.num_rows, pa.int32()), left.column("a").combine_chunks(), left.column("na").combine_chunks(), *rest, pa.ListArray.from_arrays(offsets, pa.array(shared))]
+        return pa.table(columns, names=[x.split()[0] for x in PARTIAL.split(", ")])
+
+    partial = asked.groupBy("cell", "fragment").cogroup(there.groupBy("at_cell", "at_fragment")).applyInArrow(count, PARTIAL)
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total: dict[int, np.ndarray] = {}
+        for a, shared in zip(table.column("a").to_pylist(), table.column("shared").combine_chunks(), strict=True):
+            total[a] = total.get(a, 0) + shared.values.to_numpy().astype(np.int64)
+        out = []
+        whole = table.filter(pc.is_valid(table.column("bs"))).combine_chunks()
+        for a, na, bs, nbs, labels in zip(whole.column("a").to_pylist(), whole.column("na").to_pylist(), *(whole.column(c).chunk(0) if whole.num_rows else [] for c in ("bs", "nbs", "labels")), strict=True):
+            linked = np.flatnonzero(enough(total[a], na + nbs.values.to_numpy()))
+            _, first = np.unique(labels.values.to_numpy()[linked], return_index=True)
+            out += [(a, b) for b in bs.values.to_numpy()[linked[first]].tolist()]
         a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"] if not counted else ["rep", "linked"])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.groupBy("cell").cogroup(there.groupBy("in_cell")).applyInArrow(count, COUNTS if counted else LINKS)
+    return partial.groupBy("in_cell").applyInArrow(add, LINKS)
 
 
 def between_components(named: DataFrame, divided: DataFrame, entries: int) -> DataFrame:
@@ -302,25 +318,100 @@ def between_components(named: DataFrame, divided: DataFrame, entries: int) -> Da
 
 
 def prefixes(cut: DataFrame) -> DataFrame:
-    return written(cut.where("fragment = 0").select("rep", "n", F.inline(F.arrays_zip(F.col("prefix").alias("h"), F.col("at").alias("at")))), "prefixes")
+    return written(cut.select("rep", "n", F.inline(F.arrays_zip(F.col("prefix").alias("h"), F.col("at").alias("at")))), "prefixes")
+
 
+def overlaps(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], rows: int, others: int) -> np.ndarray:
+    """[rows, others]: shared shingles of every two sets, from the (hash, row) of both sides in order of hash.
 
-def link_counts(cut: DataFrame, sizes: DataFrame) -> DataFrame:
+    Partial overlaps of rare shingles are added up pair by pair, those of common ones by matrix products.
+    """
+    out = np.zeros((rows, others), np.float32)
+    (ha, ra), (hb, rb) = a, b
+    common = np.intersect1d(ha, hb)
+    sides = [(np.searchsorted(h, common), np.searchsorted(h, common, "right")) for h in (ha, hb)]
+    (a0, a1), (b0, b1) = sides
+    pairs = (a1 - a0) * (b1 - b0)
+    dense = pairs * 200 > rows * others
+    rare = np.flatnonzero(~dense)
+    upto = np.cumsum(pairs[rare])
+    at = 0
+    while at < len(rare):  # a few million pairs at a time
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 4_000_000, "right")))
+        own = rare[at:stop]
+        of = np.repeat(own, pairs[own])
+        place = np.arange(len(of)) - np.repeat(np.cumsum(pairs[own]) - pairs[own], pairs[own])
+        width = (b1 - b0)[of]
+        np.add.at(out, (ra[a0[of] + place // width], rb[b0[of] + place % width]), 1)
+        at = stop
+    often = np.flatnonzero(dense)
+    for at in range(0, len(often), 512):
+        own = often[at : at + 512]
+        x, y = np.zeros((rows, len(own)), np.float32), np.zeros((others, len(own)), np.float32)
+        for matrix, of, low, high in ((x, ra, a0, a1), (y, rb, b0, b1)):
+            size = (high - low)[own]
+            column = np.repeat(np.arange(len(own)), size)
+            matrix[of[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low[own], size)], column] = 1
+        out += x @ y.T
+    return out
+
+
+COUNTS = "rep long, linked long"
+
+
+def link_counts(labels: DataFrame, cut: DataFrame, sizes: DataFrame, dealt: int = DEALT) -> DataFrame:
     """(rep, linked): with how many documents of other classes a class's set links; classes without links are left out.
 
-    Every two sets that share a prefix shingle are compared, each set under a label of its own.
+    ``labels`` (node, label) has the components of all links, ``sizes`` (rep, members) the documents of a class.
     """
-    entries = prefixes(cut)
-    size = entries.agg(F.count("*").alias("entries"), F.count_distinct("rep").alias("sets")).first()
-    divided = written(entries.groupBy("h").agg(F.count("*").alias("members")).where("members > 1"), "divided")
-    made = between_components(entries.withColumn("label", F.col("rep")), divided, size["entries"])
-    return written(verified(made, cut, size["sets"], sizes), "counts").groupBy("rep").agg(F.sum("linked").alias("linked"))
+    named = written(labels.select(F.col("node").alias("rep"), "label"), "named")
+    chunks = named.groupBy("label").agg(F.ceil(F.count("*") / dealt).cast("int").alias("of"))
+    placed = named.join(chunks, "label").join(sizes, "rep").join(cut.select("rep", "n", "ordered"), "rep")
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
+    meets = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    cells = max(1, -(-named.count() // CELL_SETS))
+    # small components share a task
+    keyed = meets.select(
+        F.when(F.col("of") == 1, F.pmod(F.xxhash64("label"), F.lit(cells))).otherwise(F.col("label")).alias("cell"), F.least("chunk", "with").alias("i"), F.greatest("chunk", "with").alias("j"),
+        "label", "chunk", "rep", "n", "members", "ordered",
+    )
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("label", "ascending"), ("rep", "ascending")])
+        label, chunk, rep, n, members = (table.column(c).to_numpy() for c in ("label", "chunk", "rep", "n", "members"))
+        shingle = [np.frombuffer(x, np.uint64) for x in table.column("ordered").to_pylist()]
+        linked = np.zeros(len(rep), np.int64)
+
+        def entries(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            flat, of = np.concatenate([shingle[r] for r in rows]), np.repeat(np.arange(len(rows)), [len(shingle[r]) for r in rows])
+            order = np.argsort(flat, kind="stable")
+            return flat[order], of[order]
+
+        edges = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1], [True]]))
+        i, j = key[1].as_py(), key[2].as_py()
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            left = low + np.flatnonzero(chunk[low:high] == i)
+            right = left if i == j else low + np.flatnonzero(chunk[low:high] == j)
+            if not len(left) or not len(right):
+                continue
+            theirs = entries(right)
+            for at in range(0, len(left), SLICE):
+                own = left[at : at + SLICE]
+                shared = overlaps(entries(own), theirs, len(own), len(right)).astype(np.int64)
+                link = enough(shared, n[own][:, None] + n[right]) & (own[:, None] != right)
+                linked[own] += link @ members[right]
+                if i != j:
+                    linked[right] += members[own] @ link
+        found = np.flatnonzero(linked)
+        return pa.table([pa.array(rep[found]), pa.array(linked[found])], names=["rep", "linked"])
+
+    return keyed.groupBy("cell", "i", "j").applyInArrow(count, COUNTS).groupBy("rep").agg(F.sum("linked").alias("linked"))
 
 
 def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(a, b): verified links that join all that any links join."""
     spark = cut.sparkSession
-    entries = prefixes(cut)
+    entries, cuts = prefixes(cut), pivots(cut)
     size = entries.agg(F.count("*").alias("entries"), F.count_distinct("rep").alias("sets")).first()
     links = spark.createDataFrame([], LINKS)
     for turn in range(star_rounds + 1):
@@ -344,7 +435,7 @@ def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
             made = listed.select("a", "na", F.col("all.b").alias("bs"), F.col("all.nb").alias("nbs"), F.col("all.other").alias("labels"))
         else:
             made = between_components(named, divided, size["entries"])
-        links = links.unionByName(written(verified(made, cut, size["sets"]), "links"))
+        links = links.unionByName(written(verified(made, cut, cuts, size["sets"]), "links"))
     return links
 
 
@@ -353,13 +444,13 @@ def labelled(docs: DataFrame, block_mb: float = BLOCK_MB, counted: bool = False)
     rows = written(classes(docs, block_mb), "classes")
     reps = rows.groupBy("d1", "d2", "n").agg(F.min(F.array_min("doc_ids")).alias("rep"), F.max("core").alias("core"), F.sum(F.size("doc_ids")).alias("members"))
     known = written(reps, "reps")
-    cut = written(segments(known.where("core is not null").select("rep", "n", "core")), "segments")
+    cut = written(in_order(known.where("core is not null").select("rep", "n", "core")), "ordered")
     links = links_between(cut)
     labels = components(links)
     named = known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     others = [F.col("n").alias("n_shingles"), "label", "rep"]
     if counted:
-        named = named.join(link_counts(cut, known.select("rep", "members")), "rep", "left").withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
+        named = named.join(written(link_counts(labels, cut, known.select("rep", "members")), "counts"), "rep", "left").withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
         others.append("n_links")
     listed = rows.select("d1", "d2", "n", "doc_ids").join(named.drop("core"), ["d1", "d2", "n"]).select(F.explode("doc_ids").alias("doc_id"), *others)
     alone = F.col("n_shingles") == 0
@@ -370,12 +461,10 @@ def labelled(docs: DataFrame, block_mb: float = BLOCK_MB, counted: bool = False)
 
 
 def join(documents: DataFrame, block_mb: float = BLOCK_MB) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id): class_id is the smallest doc_id with the same set."""
-    return labelled(one_per_id(keyed_docs(documents)), block_mb)
+    """(doc_id, n_shingles, component_id, class_id, n_links).
 
-
-def join_links(documents: DataFrame, block_mb: float = BLOCK_MB) -> DataFrame:
-    """The columns of ``join`` and n_links: how many other documents reach 75% with this one, same sets among them."""
+    class_id is the smallest doc_id with the same set, n_links how many other documents reach 75% with this one, same sets among them.
+    """
     return labelled(one_per_id(keyed_docs(documents)), block_mb, counted=True)
 
 
@@ -393,7 +482,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
     return unpacked(kept, documents.columns)
 
 
-#: DuckDB: all overlaps by a join on shingles, components by reachability.
+#: DuckDB: all overlaps by a join on shingles, components by reachability, links counted.
 ORACLE = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -405,11 +494,6 @@ p AS (SELECT a, b, c, x.n AS na, y.n AS nb FROM o JOIN n x ON a = x.doc_id JOIN
 l AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
 r AS (SELECT doc_id, doc_id AS to_id FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.to_id = l.a),
 k AS (SELECT a AS doc_id, min(b) AS same FROM p WHERE c = na AND c = nb GROUP BY 1)
-SELECT n.doc_id, n.n AS n_shingles, min(to_id) AS component_id, least(n.doc_id, any_value(coalesce(same, n.doc_id))) AS class_id
-FROM n JOIN r ON n.doc_id = r.doc_id LEFT JOIN k ON n.doc_id = k.doc_id GROUP BY n.doc_id, n.n
+SELECT n.doc_id, n.n AS n_shingles, min(to_id) AS component_id, least(n.doc_id, any_value(coalesce(same, n.doc_id))) AS class_id, coalesce(any_value(g.n_links), 0)::BIGINT AS n_links
+FROM n JOIN r ON n.doc_id = r.doc_id LEFT JOIN k ON n.doc_id = k.doc_id LEFT JOIN (SELECT a, count(*) AS n_links FROM l GROUP BY 1) g ON n.doc_id = g.a GROUP BY n.doc_id, n.n
 """
-
-#: The same with the links of every document counted.
-LINKS_ORACLE = ORACLE.replace("AS class_id\n", "AS class_id, coalesce(any_value(g.n_links), 0)::BIGINT AS n_links\n").replace(
-    "GROUP BY n.doc_id, n.n\n", "LEFT JOIN (SELECT a, count(*) AS n_links FROM l GROUP BY 1) g ON n.doc_id = g.a GROUP BY n.doc_id, n.n\n"
-)

@@ -21,10 +21,6 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_documents(spark, sf_dir))
 
 
-def op2_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_links(_documents(spark, sf_dir))
-
-
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed(_documents(spark, sf_dir))
 
@@ -60,7 +56,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op2_ngram_jaccard": op2_ngram_jaccard,
-    "op2_ngram_links": op2_ngram_links,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_lm_scores": op5_lm_scores,
@@ -72,7 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_jaccard": ngram_join.ORACLE,
-    "op2_ngram_links": ngram_join.LINKS_ORACLE,
     "op3_suffix_dedup": suffixes.ORACLE,
     "op6_secrets": secrets.ORACLE,
     "op8_mixing": mixing.ORACLE,

@@ -239,12 +239,31 @@ def test_ngram_links(docs, spark):
     sets = [_shingles(t) for t in texts]
     want = {i: sum(bool(a) and i != j and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = _found(ngram_join.join_links(df, 0.02))
+    found = _found(ngram_join.join(df, 0.02))
     assert {i: x["n_links"] for i, x in found.items()} == want
     assert sum(want.values()) > 10 * len(texts)
     assert {i: x["component_id"] for i, x in found.items()} == _components(dict(enumerate(sets)))
 
 
+def test_overlaps_and_chunks(spark):
+    """Partial overlaps of rare and common shingles, and a component dealt to several chunks, against set intersections."""
+    r = np.random.default_rng(14)
+    sets = [np.flatnonzero(r.random(60) < 0.86).astype(np.uint64) for _ in range(90)]
+    sets = [np.append(x, np.uint64(100 + i // 2)) for i, x in enumerate(sets)]
+    side = lambda rows: (np.concatenate(rows)[o := np.argsort(np.concatenate(rows), kind="stable")], np.repeat(np.arange(len(rows)), [len(x) for x in rows])[o])
+    got = ngram_join.overlaps(side(sets[:40]), side(sets[40:]), 40, 50)
+    assert (got == [[len(np.intersect1d(a, b)) for b in sets[40:]] for a in sets[:40]]).all()
+    rows = [(i, len(x), x.tobytes()) for i, x in enumerate(sets)]
+    cut = spark.createDataFrame(rows, "rep long, n long, ordered binary")
+    labels = spark.createDataFrame([(i, 0 if i < 60 else 60 + i % 3) for i in range(90)], "node long, label long")
+    sizes = spark.createDataFrame([(i, 1 + i % 4) for i in range(90)], "rep long, members long")
+    label = [0 if i < 60 else 60 + i % 3 for i in range(90)]
+    want = {i: sum(1 + j % 4 for j, b in enumerate(sets) if i != j and label[i] == label[j] and 175 * len(np.intersect1d(a, b)) >= 75 * (len(a) + len(b))) for i, a in enumerate(sets)}
+    for dealt in (4096, 7):
+        found = {x["rep"]: x["linked"] for x in ngram_join.link_counts(labels, cut, sizes, dealt).collect()}
+        assert found == {k: v for k, v in want.items() if v} and len(found) > 5
+
+
 def test_keep_one(docs):
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
