@@ -19,8 +19,8 @@ def quality_reason(b: Box, width: Column, height: Column, least: int = 32, most:
     x1, y1, x2, y2 = b
     w, h = x2 - x1, y2 - y1
     return (
-        F.when((w <= 0) | (h <= 0), "bbox_invalid").when((x1 < 0) | (y1 < 0) | (x2 > width) | (y2 > height), "bbox_outside_frame")
-        .when((w < least) | (h < least), "bbox_too_small").when((w > width * most) | (h > height * most), "bbox_too_large")
+        F.when((w <= 0) | (h <= 0), "invalid").when((x1 < 0) | (y1 < 0) | (x2 > width) | (y2 > height), "outside_frame")
+        .when((w < least) | (h < least), "too_small").when((w > width * most) | (h > height * most), "too_large")
     )
 
 
@@ -115,6 +115,7 @@ class MatchGates:
     high_ratio: float = 1.1
     similarity: float = 0.35
     alignment: float = 0.04
+    mouth: float = 0.04
     pose_weight: float = 1.0
     position_weight: float = 1.0
     scale_weight: float = 1.0

@@ -72,8 +72,8 @@ def grid_search(params: DataFrame, samples: DataFrame, error: Column, keys: list
     return scored.groupBy(*keys, ordinal).agg(F.round(F.avg("__e"), 9).alias("mean_error"))
 
 
-def suppressed(df: DataFrame, group: str, score: str, overlap: float = 0.45) -> DataFrame:
-    """Greedy non-maximum suppression per group: by falling score, keep a box that overlaps no kept one by more."""
+def suppressed(df: DataFrame, group: list[str], score: str, overlap: float = 0.45) -> DataFrame:
+    """Greedy non-maximum suppression among one frame's boxes (``group``): by falling score, keep a box that overlaps no kept one by more."""
 
     def keep(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values([score, "box_id"], ascending=[False, True], kind="stable")
@@ -91,7 +91,7 @@ def suppressed(df: DataFrame, group: str, score: str, overlap: float = 0.45) ->
             kept.append(i)
         return rows.iloc[kept]
 
-    return df.groupBy(group).applyInPandas(keep, df.schema)
+    return df.groupBy(*group).applyInPandas(keep, df.schema)
 
 
 def largest(df: DataFrame, group: str, columns: list[str]) -> DataFrame:

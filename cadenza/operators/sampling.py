@@ -37,11 +37,18 @@ def position_split(df: DataFrame, clip: str, order: str, share: float) -> DataFr
 
 
 def list_split(clips: DataFrame, column: str, share: float) -> DataFrame:
-    """The last max(1, round(n * share)) clips in order are val; none if there is at most one."""
-    n = clips.count()
-    val = max(1, round(n * share)) if n > 1 else 0
-    last = clips.orderBy(F.desc(column)).limit(val).withColumn("split", F.lit("val"))
-    return clips.join(last, column, "left").withColumn("split", F.coalesce("split", F.lit("train")))
+    """The last max(1, round(n * share)) clips in order are val; none if there is at most one.
+
+    The order is cut into ranges whose sizes are summed first, so that no task ranks more than one.
+    """
+    ranged = clips.repartitionByRange(column).withColumn("__range", F.spark_partition_id())
+    inside = ranged.withColumn("__place", F.row_number().over(Window.partitionBy("__range").orderBy(column)))
+    sizes = inside.groupBy("__range").agg(F.count("*").alias("__in"))
+    upto = sizes.select("__range", (F.sum("__in").over(Window.orderBy("__range")) - F.col("__in")).alias("__before"))  # a row per range
+    n = inside.agg(F.count("*").alias("__n"))
+    val = F.when(F.col("__n") > 1, F.greatest(F.lit(1), F.rint(F.col("__n") * share))).otherwise(0)
+    placed_ = inside.join(upto, "__range").crossJoin(F.broadcast(n))  # one row
+    return placed_.select(*clips.columns, F.when(F.col("__place") + F.col("__before") > F.col("__n") - val, "val").otherwise("train").alias("split"))
 
 
 def capped_silence(df: DataFrame, clip: str, order: str, silent: Column, share: float) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
@@ -18,25 +18,27 @@ def folded(df: DataFrame, clip: str, order: str, columns: list[str], start: Call
     """Carry a state through each clip's rows in order; ``step`` returns the next state and the row's new fields.
 
     Clips are partitioned and sorted by Spark and stream through in Arrow batches, so only a batch and
-    one state are held however long a clip is.
+    one state are held however long a clip is. Only the fold's own columns are turned into numbers;
+    all others pass as they are.
     """
+    kinds = {"boolean": pa.bool_(), "bigint": pa.int64(), "double": pa.float64()}
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = object(), None
-        for part in parts:
-            keys = part[clip].astype(object).where(part[clip].notna(), None)
+        for batch in batches:
+            own = np.column_stack([batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns]) if batch.num_rows else []
             made = []
-            for key, values in zip(keys, part[columns].to_numpy(float), strict=True):
+            for key, values in zip(batch.column(clip).to_pylist(), own, strict=True):
                 if key != current:
                     current, state = key, start()
                 state, new = step(state, values)
                 made.append(new)
-            columns_made = list(zip(*made, strict=True)) or [()] * len(fields)
-            kinds = {"boolean": "boolean", "bigint": "Int64", "double": "float64"}
-            yield part.assign(**{f.name: pd.array(list(c), kinds[f.dataType.simpleString()]) for f, c in zip(fields, columns_made, strict=True)})
+            new_columns = list(zip(*made, strict=True)) or [()] * len(fields)
+            arrays = [pa.array(c, kinds[f.dataType.simpleString()]) for f, c in zip(fields, new_columns, strict=True)]
+            yield pa.record_batch([*batch.columns, *arrays], names=[*batch.schema.names, *(f.name for f in fields)])
 
     ordered = df.repartition(clip).sortWithinPartitions(clip, order)
-    return ordered.mapInPandas(run, StructType([*df.schema.fields, *fields]))
+    return ordered.mapInArrow(run, StructType([*df.schema.fields, *fields]))
 
 
 def accepted(df: DataFrame, clip: str, order: str, columns: list[str], close: Callable[[np.ndarray, np.ndarray], bool], out: str = "accepted") -> DataFrame:
@@ -142,6 +144,14 @@ def shift_window(values: Column, by: int) -> Column:
     return F.when(n == 0, values).otherwise(F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at(values, F.least(i + by, n))))
 
 
+def shifted(df: DataFrame, clip: str, order: str, column: str, by: int, out: str) -> DataFrame:
+    """The value ``by`` rows on in the clip; the last row's value where the clip has ended."""
+    w = Window.partitionBy(clip).orderBy(order)
+    there = F.lead(F.struct(column), by).over(w)  # a struct, as the value itself may be null
+    last = F.last(F.struct(column)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return df.withColumn(out, F.coalesce(there, last)[column])
+
+
 def context_window(values: Column, index: Column, width: int = 20) -> Column:
     """``width`` elements from ``index`` on, moved back at the end; null if there are fewer."""
     start = F.greatest(F.lit(0), F.least(index, F.size(values) - width))

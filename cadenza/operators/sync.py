@@ -60,12 +60,46 @@ def best_lags(frames: DataFrame, clip: str, left: str, right: str, width: int, s
     return ranked.withColumn("__rank", F.row_number().over(best)).where("__rank = 1").drop("__rank")
 
 
-def nearest_window(frames: DataFrame, windows: DataFrame, clip: str) -> DataFrame:
-    """Frames with the window whose centre is nearest to frame_idx - 1; ties to the smaller id."""
-    center = (F.col("start") + F.col("stop")) / 2
-    listed = windows.groupBy(clip).agg(F.array_sort(F.collect_list(F.struct(center.alias("center"), "window_id"))).alias("__windows"))
-    gaps = F.transform("__windows", lambda w: F.struct(F.abs(w["center"] - (F.col("frame_idx") - 1)).alias("gap"), w["window_id"].alias("window_id")))
-    return frames.join(listed, clip).withColumn("window_id", F.array_min(gaps)["window_id"]).drop("__windows")
+def center(start: Column, stop: Column) -> Column:
+    """The middle of the 0-based frames start..stop - 1."""
+    return (start + stop - 1) / 2
+
+
+def window_records(frames: DataFrame, clip: str, left: str, right: str, width: int, stride: int, voiced: float, share: float, least: float = 0.20, most: int = 3) -> DataFrame:
+    """A row per window: its frames and centre, whether it has speech, its best lag and correlation, and the confidence in them."""
+    speech = speech_windows(frames, clip, left, width, stride, voiced, share)
+    lags = best_lags(frames, clip, left, right, width, stride, most)
+    found = speech.join(lags, [clip, "window_id"])
+    return found.withColumns({"center": center(F.col("start"), F.col("stop")), "confidence": F.when(F.col("correlation") >= least, "high").otherwise("low")})
+
+
+def window_flags(has_speech: Column, confidence: Column) -> Column:
+    """array<string> of the flags that a kept frame takes from its window."""
+    return F.when(has_speech & (confidence == "low"), F.array(F.lit("low_sync_confidence"))).otherwise(F.array().cast("array<string>"))
+
+
+def nearest_window(frames: DataFrame, clip: str, width: int, stride: int) -> DataFrame:
+    """Frames with window_id, start and center of the window whose centre is nearest to frame_idx - 1; ties to the smaller id.
+
+    Starts are regular but for the last, so three candidates by arithmetic do: the regular windows on
+    either side, and the last one.
+    """
+    n = F.max("frame_idx").over(Window.partitionBy(clip))
+    placed = frames.withColumn("__n", n)
+    last = F.greatest(F.col("__n") - width, F.lit(0)).cast("long")
+    regular = F.floor(last / stride)  # the last regular start's number
+    middle = (F.least(F.col("__n"), F.lit(width)) - 1) / 2
+    pos = F.col("frame_idx") - 1
+    low = F.least(F.greatest(F.floor((pos - middle) / stride), F.lit(0)), regular)
+
+    def candidate(number: Column, start: Column) -> Column:
+        at = start + middle
+        return F.struct(F.abs(at - pos).alias("gap"), number.cast("long").alias("window_id"), start.cast("long").alias("start"), at.alias("center"))
+
+    high = F.least(low + 1, regular)
+    ending = regular + (last % stride != 0).cast("long")
+    nearest = F.array_min(F.array(candidate(low, low * stride), candidate(high, high * stride), candidate(ending, last)))
+    return placed.withColumn("__w", nearest).select(*frames.columns, "__w.window_id", "__w.start", "__w.center")
 
 
 def reject_reason(has_speech: Column, correlation: Column, lag: Column, least: float = 0.20, most: int = 2) -> Column:

@@ -145,13 +145,13 @@ ORACLE_SQL = {
     "distribution": f"WITH {FRAMES} SELECT event_type, count(*) AS count, round(min(value), 6) AS min, round(max(value), 6) AS max, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90 FROM frames WHERE value <= 350 GROUP BY 1",
     "metric_summary": f"WITH {FRAMES} SELECT event_type, count(*) AS count, round(avg(value), 6) AS mean, round(min(value), 6) AS min, round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(max(value), 6) AS max FROM frames GROUP BY 1",
     "quartile_buckets": f"WITH {FRAMES}, q AS (SELECT event_type, quantile_cont(value, [0.0, 0.25, 0.5, 0.75, 1.0]) AS q FROM frames GROUP BY 1), b AS (SELECT event_type, value, k, q, CASE WHEN value < q[2] THEN 0 WHEN value < q[3] THEN 1 WHEN value < q[4] THEN 2 ELSE 3 END AS bucket FROM frames JOIN q USING (event_type)) SELECT event_type, bucket::BIGINT AS bucket, count(*) AS count, round(any_value(q[bucket + 1]), 6) AS low, round(any_value(q[bucket + 2]), 6) AS high, round(avg(k), 6) AS k_mean, round(stddev_pop(k), 6) AS k_std FROM b GROUP BY 1, 2",
-    "reason_counts": f"WITH {BOXES} SELECT CASE WHEN x1 IS NULL THEN 'missing' WHEN x2 - x1 <= 0 OR y2 - y1 <= 0 THEN 'bbox_invalid' WHEN x1 < 0 OR y1 < 0 OR x2 > {WIDTH} OR y2 > {HEIGHT} THEN 'bbox_outside_frame' WHEN x2 - x1 < 32 OR y2 - y1 < 32 THEN 'bbox_too_small' WHEN x2 - x1 > {WIDTH} * 0.9 OR y2 - y1 > {HEIGHT} * 0.9 THEN 'bbox_too_large' ELSE 'ok' END AS reason, count(*) AS count FROM boxes GROUP BY 1",
+    "reason_counts": f"WITH {BOXES} SELECT CASE WHEN x1 IS NULL THEN 'missing' WHEN x2 - x1 <= 0 OR y2 - y1 <= 0 THEN 'invalid' WHEN x1 < 0 OR y1 < 0 OR x2 > {WIDTH} OR y2 > {HEIGHT} THEN 'outside_frame' WHEN x2 - x1 < 32 OR y2 - y1 < 32 THEN 'too_small' WHEN x2 - x1 > {WIDTH} * 0.9 OR y2 - y1 > {HEIGHT} * 0.9 THEN 'too_large' ELSE 'ok' END AS reason, count(*) AS count FROM boxes GROUP BY 1",
     "clip_report": f"WITH {FRAMES} SELECT clip_id, count(*) AS frames, count(*) FILTER (event_type <> 'error') AS valid, count(*) FILTER (event_type = 'error') AS rejected, count(*) FILTER (event_type = 'view' AND value < 20) AS low_views, round(avg(value) FILTER (event_type = 'click'), 6) AS click_mean, round(quantile_cont(value, 0.9) FILTER (event_type <> 'error'), 6) AS valid_p90, round(stddev_pop(k), 6) AS k_std, CASE WHEN count(*) FILTER (event_type = 'purchase') > 0 THEN 'ready' ELSE 'no_valid_samples' END AS status FROM frames GROUP BY 1",
     "split_counts": f"WITH {FRAMES} SELECT CASE WHEN clip_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, count(*) AS rows, count(DISTINCT clip_id) AS clips FROM frames GROUP BY 1",
     "drop_counters": f"WITH {FRAMES} SELECT event_type AS reason, count(*) AS count, count(DISTINCT clip_id) AS clips FROM frames WHERE event_type IN ('error', 'view') GROUP BY 1",
     "stage_cache": f"WITH {FRAMES} SELECT event_type AS stage, count(*) FILTER (k < 50) AS hits, count(*) FILTER (k >= 50) AS misses, round(sum(value), 4) AS seconds FROM frames WHERE event_type <> 'signup' GROUP BY 1",
     "pooled_errors": "WITH e AS (SELECT l_returnflag, abs(l_discount - l_tax) AS e FROM lineitem) SELECT l_returnflag, round(avg(e), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(max(e), 6) AS max_abs, round(20 * log10(255 / sqrt(avg(e * e))), 6) AS psnr FROM e GROUP BY 1",
-    "validation_means": "WITH b AS (SELECT o_orderkey // 64 AS b, avg(o_totalprice) AS loss FROM orders WHERE o_orderkey < 1001 GROUP BY 1) SELECT round((SELECT avg(loss) FROM b), 6) AS loss, round((SELECT avg(o_custkey) FROM orders WHERE o_orderkey < 1001), 6) AS mae",
+    "validation_means": "WITH b AS (SELECT o_orderkey // 64 AS b, avg(o_totalprice) AS loss FROM orders GROUP BY 1) SELECT round((SELECT avg(loss) FROM b), 6) AS loss, round((SELECT avg(o_custkey) FROM orders), 6) AS mae",
     "weighted_loss": "SELECT l_returnflag, round(sum(l_extendedprice * l_discount) / sum(l_discount), 6) AS weighted, count(*) AS count FROM lineitem GROUP BY 1",
     "box_metrics": f"WITH {_PAIRS} SELECT event_type, round(avg(iou), 6) AS iou_mean, round(quantile_cont(iou, 0.95), 6) AS iou_p95, round(avg((iou >= 0.9)::INT), 6) AS iou_pass, round(avg(drift), 6) AS drift_mean, round(quantile_cont(drift, 0.95), 6) AS drift_p95, round(avg((drift <= 5)::INT), 6) AS drift_pass FROM p GROUP BY 1",
     "geometry_report": f"WITH {_PAIRS} SELECT clip_id, round(avg((iou >= 0.8)::INT), 6) AS passed, bool_and(iou > 0) AS all_overlap, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS kinds FROM p GROUP BY 1",

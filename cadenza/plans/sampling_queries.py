@@ -108,8 +108,10 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = boxes(spark, sf_dir).where("x1 is not null and x2 > x1 and y2 > y1").select("clip_id", F.col("frame_idx").alias("box_id"), "x1", "y1", "x2", "y2", F.col("value").alias("score"))
-    return metrics.suppressed(b, "clip_id", "score", 0.3).select("clip_id", "box_id")
+    """Eight frames' boxes stand for the detections in one frame."""
+    picture = F.floor(F.col("frame_idx") / 8).alias("picture")
+    b = boxes(spark, sf_dir).where("x1 is not null and x2 > x1 and y2 > y1").select("clip_id", picture, F.col("frame_idx").alias("box_id"), "x1", "y1", "x2", "y2", F.col("value").alias("score"))
+    return metrics.suppressed(b, ["clip_id", "picture"], "score", 0.3).select("clip_id", "picture", "box_id")
 
 
 def largest_box(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +141,19 @@ ORACLE_SQL = {
     "preview_picks": f"""WITH {FRAMES}, p AS (SELECT clip_id, frame_idx, row_number() OVER (PARTITION BY clip_id ORDER BY frame_idx) - 1 AS place, count(*) OVER (PARTITION BY clip_id) AS m FROM frames),
       q AS (SELECT DISTINCT clip_id, {_SPREAD} AS pick FROM (SELECT clip_id, m, least(m, 8) AS c, unnest(range(0, least(m, 8))) AS k FROM (SELECT DISTINCT clip_id, m FROM p))) SELECT p.clip_id, frame_idx FROM p JOIN q ON p.clip_id = q.clip_id AND place = pick""",
     "media_selection": f"WITH {FRAMES}, c AS (SELECT clip_id, min(event_id) AS f FROM frames GROUP BY 1 ORDER BY f LIMIT 5) SELECT clip_id::VARCHAR AS clip, event_id FROM frames JOIN c USING (clip_id) QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY event_id) <= 4",
-    "epoch_order": "SELECT vec_id, n FROM (SELECT vec_id, row_number() OVER (ORDER BY md5('17:3:' || vec_id)) AS n FROM embeddings) WHERE n BETWEEN 41 AND 50",
+    "suppression": f"""WITH RECURSIVE {BOXES}, b AS (
+      SELECT clip_id, frame_idx // 8 AS picture, frame_idx AS box_id, x1, y1, x2, y2, row_number() OVER (PARTITION BY clip_id, frame_idx // 8 ORDER BY value DESC, frame_idx) AS n
+      FROM boxes WHERE x2 > x1 AND y2 > y1
+    ), fold AS (
+      SELECT clip_id, picture, n, [{{'id': box_id, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}}] AS kept FROM b WHERE n = 1
+      UNION ALL
+      SELECT b.clip_id, b.picture, b.n, CASE WHEN len(list_filter(kept, lambda k: 1.0 * greatest(0, least(k.x2, b.x2) - greatest(k.x1, b.x1)) * greatest(0, least(k.y2, b.y2) - greatest(k.y1, b.y1))
+        / ((k.x2 - k.x1) * (k.y2 - k.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) - greatest(0, least(k.x2, b.x2) - greatest(k.x1, b.x1)) * greatest(0, least(k.y2, b.y2) - greatest(k.y1, b.y1))) > 0.3)) = 0
+        THEN list_append(kept, {{'id': b.box_id, 'x1': b.x1, 'y1': b.y1, 'x2': b.x2, 'y2': b.y2}}) ELSE kept END
+      FROM fold f JOIN b ON b.clip_id = f.clip_id AND b.picture = f.picture AND b.n = f.n + 1
+    ), last AS (SELECT clip_id, picture, max_by(kept, n) AS kept FROM fold GROUP BY 1, 2)
+    SELECT clip_id, picture, unnest(kept).id AS box_id FROM last""",
+    "epoch_order": "SELECT vec_id, n FROM (SELECT vec_id, row_number() OVER (ORDER BY md5('17:3:' || vec_id)) AS n FROM embeddings) WHERE n > 40",
     "final_order": f"WITH {FRAMES} SELECT CASE WHEN clip_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, clip_id, frame_idx, row_number() OVER (PARTITION BY clip_id ORDER BY frame_idx) AS place, printf('%s__target_%06d__silent_%06d', clip_id::VARCHAR, frame_idx, k) AS pair_id, CASE WHEN value < 10 THEN 0.25::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM frames WHERE event_type = 'click'",
     "preview_groups": f"""WITH {FRAMES}, g AS (SELECT 'lowest' AS "group", event_id, round(value, 6) AS key FROM frames UNION ALL SELECT 'highest', event_id, round(-value, 6) FROM frames
       UNION ALL SELECT 'near_edge', event_id, round((-abs(k - 50))::DOUBLE, 6) FROM frames WHERE event_type = 'view' UNION ALL SELECT 'late_idle', event_id, frame_idx::DOUBLE FROM frames WHERE event_type = 'signup')

@@ -118,10 +118,10 @@ ORACLE_SQL = {
       SELECT event_id, round_even(x1 + (x2 - x1) * 0.2::DOUBLE, 0)::BIGINT AS mx1, round_even(y1 + (y2 - y1) * 0.45::DOUBLE, 0)::BIGINT AS my1, round_even(x1 + (x2 - x1) * 0.8::DOUBLE, 0)::BIGINT AS mx2, round_even(y1 + (y2 - y1) * 0.95::DOUBLE, 0)::BIGINT AS my2,
         l AS wx1, u AS wy1, trunc(least({WIDTH} - 1.0::DOUBLE, x2 + (x2 - l) * 0.1::DOUBLE))::BIGINT AS wx2, trunc(least({HEIGHT} - 1.0::DOUBLE, y2 + (y2 - u) * 0.1::DOUBLE))::BIGINT AS wy2 FROM b""",
     "permuted_boxes": f"WITH {BOXES} SELECT event_id, frame_idx AS frame, round_even(x1 + 0.5::DOUBLE, 0)::BIGINT AS x1, round_even(y1 + 0.5::DOUBLE, 0)::BIGINT AS y1, trunc(x2 + 0.5::DOUBLE)::BIGINT AS x2, trunc(y2 + 0.5::DOUBLE)::BIGINT AS y2 FROM boxes WHERE x1 IS NOT NULL",
-    "safe_names": r"SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(left(text, 24), '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'sample') AS name FROM documents",
+    "safe_names": r"SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(text, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'sample') AS name FROM documents",
     "media_rates": f"WITH {FRAMES} SELECT event_id, round(CASE WHEN k % 3 = 0 THEN k::DOUBLE WHEN k % 4 <> 0 THEN k / (k % 4)::DOUBLE END, 6) AS rate FROM frames",
     "speakers": "WITH d AS (SELECT source, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN source ELSE lang END AS other FROM documents) SELECT CASE WHEN source <> '' AND (other = '' OR other = source) THEN source ELSE '' END AS speaker, count(*) AS count FROM d GROUP BY 1",
     "content_hashes": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
     "json_presence": "SELECT json_extract(props, '$.k') IS NOT NULL AS has_k, json_extract(props, '$.k.z') IS NOT NULL AS has_z, value > 300 AS infinite, count(*) AS count FROM events GROUP BY 1, 2, 3",
-    "log_lines": f"WITH {FRAMES} SELECT event_id, printf('step=%d clip=%d loss=%.4f', frame_idx, clip_id, value) AS line FROM frames WHERE frame_idx <= 3",
+    "log_lines": f"WITH {FRAMES} SELECT event_id, printf('step=%d clip=%d loss=%.4f', frame_idx, clip_id, value) AS line FROM frames",
 }

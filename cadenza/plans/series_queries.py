@@ -69,7 +69,15 @@ def best_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nearest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = frames(spark, sf_dir).select("clip_id", "frame_idx")
-    return sync.nearest_window(f, sync.window_starts(f, "clip_id", 20, 10), "clip_id").select("clip_id", "frame_idx", "window_id")
+    return sync.nearest_window(f, "clip_id", 20, 10).select("clip_id", "frame_idx", "window_id", "center")
+
+
+def window_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window with centre, speech, lag, confidence and the flags it gives its frames."""
+    f = frames(spark, sf_dir).select("clip_id", "frame_idx", "value", F.col("k").cast("double").alias("k"))
+    w = sync.window_records(f, "clip_id", "value", "k", 20, 10, 15.0, 0.7)
+    flags = F.array_join(sync.window_flags(F.col("has_speech"), F.col("confidence")), ",")
+    return w.select("clip_id", "window_id", "start", "stop", "center", "has_speech", "lag", F.round("correlation", 6).alias("correlation"), "confidence", flags.alias("flags"))
 
 
 def sync_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +98,8 @@ def lag_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shift_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clips = frames(spark, sf_dir).groupBy("clip_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame_idx", "k"))), lambda x: x["k"]).alias("v"))
-    return clips.select("clip_id", F.array_join(series.shift_window(F.col("v"), 5), ",").alias("shifted"))
+    """Every frame's value five frames on, the last one repeated at the end; windows over the clip, no array of it."""
+    return series.shifted(frames(spark, sf_dir), "clip_id", "frame_idx", "k", 5, "shifted").select("clip_id", "frame_idx", "shifted")
 
 
 def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +173,7 @@ best AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY clip_id, window
 _ARRAYS = f"{FRAMES}, v AS (SELECT clip_id, list(k ORDER BY frame_idx) AS v FROM frames GROUP BY 1)"
 
 QUERIES = {f.__name__: f for f in (
-    continuity_fold, box_continuity, jump_fold, gap_fill, fill_signal, smooth_index, smooth_rows, temporal_pairs, temporal_delta, sync_windows, best_lag, nearest_window,
+    continuity_fold, box_continuity, jump_fold, gap_fill, fill_signal, smooth_index, smooth_rows, temporal_pairs, temporal_delta, sync_windows, best_lag, nearest_window, window_records,
     sync_reject, lag_sweep, shift_audio, context_windows, session_chunks, session_rows, early_stop, training_phase,
 )}
 
@@ -184,11 +192,12 @@ ORACLE_SQL = {
     "temporal_delta": f"WITH {FRAMES}, d AS (SELECT clip_id, abs(value - lag(value) OVER (PARTITION BY clip_id ORDER BY frame_idx)) AS d FROM frames) SELECT clip_id, round(coalesce(avg(d), 0), 6) AS temporal_delta FROM d GROUP BY 1",
     "sync_windows": f"WITH {_WINDOWS}, {_SPEECH} SELECT clip_id, window_id, start, stop, round(voiced, 6) AS voiced, voiced >= 0.7 AS has_speech FROM speech",
     "best_lag": f"WITH {_WINDOWS}, {_LAGS} SELECT clip_id, window_id, lag, round(correlation, 6) AS correlation FROM best",
-    "nearest_window": f"WITH {_WINDOWS} SELECT f.clip_id, f.frame_idx, w.window_id FROM frames f JOIN windows w ON f.clip_id = w.clip_id QUALIFY row_number() OVER (PARTITION BY f.clip_id, f.frame_idx ORDER BY abs((start + stop) / 2.0 - (f.frame_idx - 1)), window_id) = 1",
+    "nearest_window": f"WITH {_WINDOWS} SELECT f.clip_id, f.frame_idx, w.window_id, (start + stop - 1) / 2.0 AS center FROM frames f JOIN windows w ON f.clip_id = w.clip_id QUALIFY row_number() OVER (PARTITION BY f.clip_id, f.frame_idx ORDER BY abs((start + stop - 1) / 2.0 - (f.frame_idx - 1)), window_id) = 1",
+    "window_records": f"WITH {_WINDOWS}, {_SPEECH}, {_LAGS} SELECT clip_id, window_id, start, stop, (start + stop - 1) / 2.0 AS center, voiced >= 0.7 AS has_speech, lag, round(correlation, 6) AS correlation, CASE WHEN correlation >= 0.20 THEN 'high' ELSE 'low' END AS confidence, CASE WHEN voiced >= 0.7 AND correlation < 0.20 THEN 'low_sync_confidence' ELSE '' END AS flags FROM best JOIN speech USING (clip_id, window_id)",
     "sync_reject": f"WITH {_WINDOWS}, {_SPEECH}, {_LAGS} SELECT CASE WHEN voiced >= 0.7 AND correlation >= 0.20 AND abs(lag) > 2 THEN 'sync_lag' ELSE '' END AS reason, count(*) AS count FROM best JOIN speech USING (clip_id, window_id) GROUP BY 1",
     "lag_sweep": f"WITH {FRAMES} SELECT lag, round(avg(abs(a.value - b.value)), 6) AS mae FROM frames a, (SELECT unnest(range(-5, 6)) AS lag) l JOIN frames b ON a.clip_id = b.clip_id AND b.frame_idx = a.frame_idx + lag GROUP BY 1",
-    "shift_audio": f"WITH {_ARRAYS} SELECT clip_id, array_to_string([v[least(i + 5, len(v))] FOR i IN range(1, len(v) + 1)], ',') AS shifted FROM v",
-    "context_windows": f"WITH {_ARRAYS}, i AS (SELECT clip_id, v, unnest(range(0, len(v), 5)) AS i FROM v) SELECT clip_id, i AS index, CASE WHEN len(v) >= 20 THEN v[greatest(0, least(i, len(v) - 20)) + 1] END AS first, CASE WHEN len(v) >= 20 THEN v[greatest(0, least(i, len(v) - 20)) + 20] END AS last FROM i",
+    "shift_audio": f"WITH {_ARRAYS} SELECT clip_id, i AS frame_idx, v[least(i + 5, len(v))] AS shifted FROM (SELECT clip_id, v, unnest(range(1, len(v) + 1)) AS i FROM v)",
+    "context_windows": f"WITH {_ARRAYS}, i AS (SELECT clip_id, v, unnest(range(0, len(v))) AS i FROM v) SELECT clip_id, i AS index, CASE WHEN len(v) >= 20 THEN v[greatest(0, least(i, len(v) - 20)) + 1] END AS first, CASE WHEN len(v) >= 20 THEN v[greatest(0, least(i, len(v) - 20)) + 20] END AS last FROM i",
     "session_chunks": f"WITH {FRAMES}, n AS (SELECT clip_id, count(*) AS n FROM frames GROUP BY 1) SELECT clip_id, 0::BIGINT AS start, least(20, n) AS length FROM n UNION ALL SELECT clip_id, s, least(50, n - s) FROM (SELECT clip_id, n, unnest(range(20, n, 50)) AS s FROM n)",
     "session_rows": f"WITH {FRAMES} SELECT clip_id, frame_idx, least(greatest(frame_idx - 1, 0), 39) AS row FROM frames",
     "early_stop": f"""WITH RECURSIVE {FRAMES}, fold AS (

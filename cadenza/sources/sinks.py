@@ -18,15 +18,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small driver-side file: written beside its target, then renamed."""
+    """A small driver-side file: written beside its target, then renamed over it in one step."""
     fs, cls = _fs(spark, path)
     part = cls(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(cls(path), False)
-    if not fs.rename(part, cls(path)):
-        raise OSError(f"could not publish {path}")
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(part), fs.makeQualified(cls(path)), over)
 
 
 def write_json(spark: SparkSession, path: str, value: object) -> None:
@@ -59,9 +61,13 @@ def write_manifest(rows: DataFrame, root: str) -> dict[str, int]:
 
 
 def write_snapshot(rows: DataFrame, live: str, clip: str = "clip_id") -> None:
-    """Parquet by split and clip, staged beside the live directory and then swapped in."""
+    """Parquet by split, staged beside the live directory and then swapped in.
+
+    Clips are dealt to the shuffle's partitions and sorted there: a clip lies in one file, and its
+    row groups' statistics prune the others. The number of files goes with the cluster, not with the clips.
+    """
     staged = f"{live}.building-{uuid.uuid4().hex}"
-    rows.repartition("split", clip).write.partitionBy("split", clip).parquet(staged)
+    rows.repartition("split", clip).sortWithinPartitions("split", clip).write.partitionBy("split").parquet(staged)
     publish(rows.sparkSession, staged, live)
 
 
