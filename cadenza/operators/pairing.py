@@ -1,12 +1,14 @@
 """Best-match pairing of target frames with source frames of the same persona.
 
-A pair has to pass seven range gates (pose, centre, size ratio), then an identity gate, then an
-alignment gate; of what is left the lowest score wins, ties to the smaller source frame. Every
-target gets one decision with the first reason that applies.
+A pair has to pass seven range gates (pose, centre, size ratio), then an identity gate on the cosine
+of its embeddings, then two alignment gates (stable landmarks, mouth centre); of what is left the
+lowest score wins, ties to the smaller source frame. Every target gets one decision with the first
+reason that applies; a target without box, pose or embedding is decided before any candidate.
 
-The join is an equi-join: yaw is cut into bins as wide as its gate and each source is listed in its
-own and the two neighbouring bins, so a persona with very long clips is spread over many keys and no
-side has to be broadcast. Vectors are compared only for pairs that pass the range gates.
+The join is an equi-join: yaw, pitch and horizontal centre are cut into bins as wide as their gates
+and each source is listed in its own and the neighbouring bins, so a persona whose frames all look
+ahead is still spread over many keys, and no side has to be broadcast. The join carries ids and
+geometry only; vectors are fetched for the pairs that pass.
 """
 
 from __future__ import annotations
@@ -16,60 +18,90 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import MatchGates, match_score
 from ..functions.numeric import angle_delta
-from ..functions.vectors import dot
+from ..functions.vectors import dot, unit
 
 GEOMETRY = ("yaw", "pitch", "roll", "cx", "cy", "w", "h")
 
 
-def candidates(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
-    """Pairs that pass the range gates: (persona, target_id, source_id), deltas, score, similarity, alignment.
+def in_reach(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
+    """Pairs that pass the range gates: (persona, target_id, source_id) and the differences d_*."""
 
-    Both sides have persona, id, GEOMETRY, embedding and point (array<double> of aligned coordinates).
-    """
-    bins = max(1, int(360 // gates.yaw))
-    at = lambda yaw: F.floor(F.pmod(yaw, F.lit(360.0)) / (360.0 / bins))
-    t = targets.select("persona", F.col("id").alias("target_id"), *(F.col(c).alias(f"t_{c}") for c in GEOMETRY), F.col("embedding").alias("t_embedding"), F.col("point").alias("t_point"), at(F.col("yaw")).alias("__bin"))
-    near = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(at(F.col("yaw")) + d, F.lit(bins))))
-    s = sources.select("persona", F.col("id").alias("source_id"), *(F.col(c).alias(f"s_{c}") for c in GEOMETRY), F.col("embedding").alias("s_embedding"), F.col("point").alias("s_point"), F.explode(near).alias("__bin"))
-    pairs = t.join(s, ["persona", "__bin"])
+    def turned_bin(angle: str, gate: float) -> tuple[Column, int]:
+        bins = max(1, int(360 // gate))
+        return F.floor(F.pmod(F.col(angle), F.lit(360.0)) / (360.0 / bins)), bins
+
+    def near(at: Column, bins: int | None) -> Column:
+        around = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: at + d if bins is None else F.pmod(at + d, F.lit(bins)))
+        return F.array_distinct(around)
+
+    yaw, yaws = turned_bin("yaw", gates.yaw)
+    pitch, pitches = turned_bin("pitch", gates.pitch)
+    across = F.floor(F.col("cx") / gates.center)
+    t = targets.select("persona", F.col("id").alias("target_id"), *(F.col(c).alias(f"t_{c}") for c in GEOMETRY), yaw.alias("__yaw"), pitch.alias("__pitch"), across.alias("__cx"))
+    s = sources.select("persona", F.col("id").alias("source_id"), *(F.col(c).alias(f"s_{c}") for c in GEOMETRY), near(yaw, yaws).alias("__yaw"), near(pitch, pitches).alias("__pitch"), near(across, None).alias("__cx"))
+    for c in ("__yaw", "__pitch", "__cx"):
+        s = s.withColumn(c, F.explode(c))
+    pairs = t.join(s, ["persona", "__yaw", "__pitch", "__cx"])
     turned = {c: angle_delta(F.col(f"t_{c}"), F.col(f"s_{c}")) for c in GEOMETRY[:3]}
     moved = {c: F.col(f"t_{c}") - F.col(f"s_{c}") for c in GEOMETRY[3:5]}
     sized = {c: F.col(f"t_{c}") / F.col(f"s_{c}") for c in GEOMETRY[5:]}
-    pairs = pairs.withColumns({f"d_{c}": v for c, v in (turned | moved | sized).items()})
+    pairs = pairs.select("persona", "target_id", "source_id", *(v.alias(f"d_{c}") for c, v in (turned | moved | sized).items()))
     d = {c: F.col(f"d_{c}") for c in GEOMETRY}
     inside = [F.abs(d["yaw"]) <= gates.yaw, F.abs(d["pitch"]) <= gates.pitch, F.abs(d["roll"]) <= gates.roll, F.abs(d["cx"]) <= gates.center, F.abs(d["cy"]) <= gates.center]
     inside += [d[c].between(gates.low_ratio, gates.high_ratio) for c in ("w", "h")]
     for gate in inside:
         pairs = pairs.where(gate)
-    gaps = F.zip_with("t_point", "s_point", lambda a, b: (a - b) * (a - b))
-    return pairs.withColumns({
-        "similarity": dot(F.col("t_embedding"), F.col("s_embedding")),
-        "alignment": F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda x, y: x + y) / F.size("t_point")),
-        "score": F.round(match_score(d, gates), 9),
-    }).drop("__bin", *(f"{p}_{c}" for p in "ts" for c in (*GEOMETRY, "embedding", "point")))
+    return pairs
+
+
+def candidates(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
+    """Pairs in reach with score, similarity, alignment and mouth_delta.
+
+    Both sides have persona, id, GEOMETRY, embedding, point (array<double> of aligned coordinates of the
+    stable landmarks) and mouth (array<double>, the mouth's centre likewise).
+    """
+    own = lambda df, p: df.select(F.col("id").alias("target_id" if p == "t" else "source_id"), unit(F.col("embedding")).alias(f"{p}_unit"), F.col("point").alias(f"{p}_point"), F.col("mouth").alias(f"{p}_mouth"))
+    pairs = in_reach(targets, sources, gates).join(own(targets, "t"), "target_id").join(own(sources, "s"), "source_id")
+    square = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y)
+    return pairs.select(
+        "persona", "target_id", "source_id", *(f"d_{c}" for c in GEOMETRY), dot(F.col("t_unit"), F.col("s_unit")).alias("similarity"),
+        F.sqrt(square("t_point", "s_point") / F.size("t_point")).alias("alignment"), F.sqrt(square("t_mouth", "s_mouth")).alias("mouth_delta"),
+        match_score({c: F.col(f"d_{c}") for c in GEOMETRY}, gates).alias("score"),
+    )
 
 
 def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
     """One row per target: winner, runner-up, margin, counts by stage, and the reason of the unmatched."""
-    pairs = candidates(targets, sources, gates)
+    seen = F.col("yaw").isNotNull()
+    for c in GEOMETRY[1:]:
+        seen = seen & F.col(c).isNotNull()
+    known = F.col("embedding").isNotNull()
+    pairs = candidates(targets.where(seen & known), sources.where(seen & known), gates)
     alike = F.coalesce(F.col("similarity") >= gates.similarity, F.lit(False))
-    good = alike & (F.col("alignment") <= gates.alignment)
+    stable, mouth = F.coalesce(F.col("alignment") <= gates.alignment, F.lit(False)), F.coalesce(F.col("mouth_delta") <= gates.mouth, F.lit(False))
     # one shuffle by target serves the ranking and the counts
     ranked = Window.partitionBy("target_id").orderBy(F.desc("__good"), "score", "source_id")
-    scored = pairs.withColumns({"__alike": alike, "__good": good}).withColumn("__rank", F.when(F.col("__good"), F.row_number().over(ranked)))
+    scored = pairs.withColumns({"__alike": alike, "__stable": stable, "__mouth": mouth, "__good": alike & stable & mouth}).withColumn("__rank", F.when(F.col("__good"), F.row_number().over(ranked)))
     pick = lambda c, n: F.max(F.when(F.col("__rank") == n, F.col(c)))
     counts = scored.groupBy("target_id").agg(
         F.count("*").alias("geometry_count"), F.count_if("__alike").alias("identity_count"), F.count_if("__good").alias("valid_candidate_count"),
-        F.count_if(F.col("similarity") < gates.similarity).alias("identity_mismatch_count"), F.max(F.when(~F.col("__alike"), F.col("similarity"))).alias("max_rejected_similarity"),
-        pick("source_id", 1).alias("source_id"), pick("score", 1).alias("score"), pick("similarity", 1).alias("similarity"), pick("score", 2).alias("second"),
+        F.count_if(~F.col("__alike")).alias("identity_mismatch_count"), F.max(F.when(~F.col("__alike"), F.col("similarity"))).alias("max_rejected_similarity"),
+        F.count_if(F.col("__alike") & ~F.col("__stable")).alias("stable_failures"), F.count_if(F.col("__alike") & ~F.col("__mouth")).alias("mouth_failures"),
+        *(pick(c, 1).alias(c) for c in ("source_id", "score", "similarity", "alignment", "mouth_delta")), pick("score", 2).alias("second"),
+    )
+    joined = targets.select("persona", F.col("id").alias("target_id"), seen.alias("__seen"), known.alias("__known")).join(counts, "target_id", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    none = count("valid_candidate_count") == 0
+    reason = (
+        F.when(~F.col("__seen"), "invalid_target_observation").when(~F.col("__known"), "identity_embedding_missing").when(count("geometry_count") == 0, "pose_geometry_no_match")
+        .when(F.col("identity_count") == 0, "identity_mismatch").when(none, "post_crop_alignment_mismatch")
     )
-    joined = targets.select("persona", F.col("id").alias("target_id")).join(counts, "target_id", "left")
-    none = F.coalesce(F.col("valid_candidate_count"), F.lit(0)) == 0
-    reason = F.when(F.coalesce("geometry_count", F.lit(0)) == 0, "pose_geometry_no_match").when(F.col("identity_count") == 0, "identity_mismatch").when(none, "post_crop_alignment_mismatch")
+    # failures explain a target without match; a match doesn't report those of its rivals
+    failed = lambda c: F.when(none & (F.col("identity_count") > 0), count(c)).otherwise(F.lit(0).cast("long")).alias(c)
     return joined.select(
         "persona", "target_id", F.when(none, "rejected").otherwise("matched").alias("status"), reason.alias("reject_reason"),
-        "source_id", F.round("score", 6).alias("matching_score"), F.round("similarity", 6).alias("identity_similarity"),
-        F.coalesce("valid_candidate_count", F.lit(0)).cast("long").alias("valid_candidate_count"), F.coalesce("identity_mismatch_count", F.lit(0)).cast("long").alias("identity_mismatch_count"),
+        "source_id", F.round("score", 6).alias("matching_score"), F.round("similarity", 6).alias("identity_similarity"), F.round("alignment", 6).alias("stable_alignment"), F.round("mouth_delta", 6).alias("mouth_delta"),
+        count("valid_candidate_count").alias("valid_candidate_count"), count("identity_mismatch_count").alias("identity_mismatch_count"), failed("stable_failures"), failed("mouth_failures"),
         F.round("max_rejected_similarity", 6).alias("max_rejected_similarity"), F.round("second", 6).alias("second_best_score"), F.round(F.col("second") - F.col("score"), 6).alias("score_margin"),
     )
 

@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from ..functions.numeric import spread_index
 
 
+def group_split(ids: DataFrame, group: str, column: str, salt: str, share: float) -> DataFrame:
+    """Per group: its distinct ids; in order of sha256(group:salt:id), the last max(1, round(n * share)), but not all, are val.
+
+    A group with fewer than two ids can't be split and gets a null. A group's ids are ranked in one task:
+    they are its clips, not its frames.
+    """
+    w = Window.partitionBy(group)
+    order = F.sha2(F.concat_ws(":", F.col(group).cast("string"), F.lit(salt), F.col(column).cast("string")), 256)
+    placed_ = ids.select(group, column).distinct().withColumns({"__n": F.count("*").over(w), "__rank": F.row_number().over(w.orderBy(order))})
+    val = F.least(F.col("__n") - 1, F.greatest(F.lit(1), F.rint(F.col("__n") * share)))
+    return placed_.select(group, column, F.when(F.col("__n") >= 2, F.when(F.col("__rank") > F.col("__n") - val, "val").otherwise("train")).alias("split"))
+
+
 def hash_split(ids: DataFrame, column: str, prefix: str, share: float) -> DataFrame:
     """Distinct ids; in order of sha256(prefix + id), the last max(1, round(n * share)) of them, but not all, are val.
 

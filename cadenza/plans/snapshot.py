@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import MatchGates
 from ..functions.text import pair_id
-from ..operators import pairing, sampling
+from ..operators import pairing, sampling, sync
 from ..sources import sinks
 
 Analyser = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -44,44 +44,86 @@ class BuildConfig:
 
 
 def early_reason(config: BuildConfig):
-    """The reasons that need no candidate, first one wins."""
-    return pairing.first_reason([
-        ("landmark_missing", ~F.col("landmark_valid")), ("bbox_discontinuity", ~F.col("bbox_continuity_valid")), ("target_face_blur", F.col("face_blur") < config.face_blur),
-        ("target_mouth_blur", F.col("mouth_blur") < config.mouth_blur), ("bnf_out_of_range", ~F.col("audio_available")), ("sync_lag", F.coalesce(F.col("sync_rejected"), F.lit(False))),
-    ])
+    """The reasons that need no candidate, first one wins; a reason that the analysis gave itself stands for the generic one."""
+    own = F.nullif("observed_reason", F.lit(""))
+    return (
+        F.when(~F.col("landmark_valid"), F.coalesce(own, F.lit("landmark_missing"))).when(~F.col("bbox_continuity_valid"), F.coalesce(own, F.lit("bbox_discontinuity")))
+        .when(F.col("face_blur") < config.face_blur, "target_face_blur").when(F.col("mouth_blur") < config.mouth_blur, "target_mouth_blur")
+        .when(~F.col("audio_available"), "bnf_out_of_range").when(F.coalesce("sync_rejected", F.lit(False)), "sync_lag")
+    )
 
 
 def build(targets: DataFrame, sources: DataFrame, config: BuildConfig = BuildConfig()) -> tuple[DataFrame, DataFrame]:
-    """(decisions, pairs). Both sides have the pairing columns; targets also clip_id, frame_idx, speech and the gated values.
+    """(decisions, pairs). Both sides have the pairing columns; targets also clip_id, frame_idx, speech, confidence and the gated values.
 
-    Rows that fail early never reach the join; exactly one decision is made per target frame.
+    Rows that fail early never reach the join; exactly one decision is made per target frame. Clips are
+    split within each persona, and a persona with fewer than two clips fails the build when a pair of it is read.
     """
     judged = targets.withColumn("early", early_reason(config))
     usable = sources.where(F.col("landmark_valid") & F.col("bbox_continuity_valid") & F.col("embedding").isNotNull() & (F.col("face_blur") >= config.face_blur))
     matched = pairing.decisions(judged.where("early is null"), usable, config.gates).drop("persona")
     joined = judged.join(matched, F.col("id") == F.col("target_id"), "left").withColumn("reason", F.coalesce("early", "reject_reason"))
-    splits = sampling.hash_split(targets, "clip_id", f"{config.salt}:", config.val_share)
-    kept = joined.where("reason is null").join(splits, "clip_id")
-    keyed = kept.withColumn("__part", F.concat_ws("/", "clip_id", "split"))
+    splits = sampling.group_split(targets, "persona", "clip_id", config.salt, config.val_share)
+    alone = F.raise_error(F.concat(F.lit("a split by clip needs at least two clips of persona "), F.col("persona").cast("string")))
+    splits = splits.withColumn("split", F.coalesce("split", alone.cast("string")))
+    kept = joined.where("reason is null").join(splits, ["persona", "clip_id"])
+    keyed = kept.withColumn("__part", F.concat_ws("/", "persona", "clip_id", "split"))
     idle = sampling.idle_sample(keyed, "__part", "frame_idx", ~F.col("speech"), config.idle_ratio)
     pairs = keyed.where("speech").unionByName(idle).drop("__part")
-    pairs = pairs.withColumns({"pair_id": pair_id(F.col("clip_id"), F.col("frame_idx"), F.col("source_id")), "sample_weight": F.when(F.col("speech"), 1.0).otherwise(config.idle_weight), "is_idle": ~F.col("speech")})
+    pairs = pairs.withColumns({
+        "pair_id": pair_id(F.col("clip_id"), F.col("frame_idx"), F.col("source_id")), "sample_weight": F.when(F.col("speech"), 1.0).otherwise(config.idle_weight), "is_idle": ~F.col("speech"),
+        "flags": sync.window_flags(F.col("speech"), F.col("confidence")),
+    })
     stay = pairs.select(F.col("id").alias("stay_id"))
     decided = joined.join(stay, F.col("id") == F.col("stay_id"), "left")
     reason = F.coalesce("reason", F.when(F.col("stay_id").isNull(), "idle_downsampled"))
     decided = decided.withColumns({"reject_reason": reason, "status": F.when(reason.isNull(), "retained").otherwise("rejected")})
-    return decided.drop("early", "reason", "target_id", "stay_id"), pairs.drop("early", "reason", "target_id", "status", "reject_reason")
+    return decided.drop("early", "reason", "target_id", "stay_id"), pairs.drop("early", "reason", "target_id", "status", "reject_reason", "observed_reason")
+
+
+def row_fault(pairs: DataFrame, audio: str | None = None, shape: tuple[int, int] = (20, 256)) -> DataFrame:
+    """(pair_id, fault) of rows that may not be published: numbers that are not finite, audio of another shape, no valid candidate."""
+    numbers = [F.col(f.name) for f in pairs.schema.fields if f.dataType.typeName() in ("double", "float")]
+    lists = [F.col(f.name) for f in pairs.schema.fields if f.dataType.simpleString() in ("array<double>", "array<float>") and f.name != audio]
+    odd = lambda x: F.isnan(x) | (F.abs(x) == float("inf"))
+    wild = F.lit(False)
+    for c in numbers:
+        wild = wild | F.coalesce(odd(c), F.lit(False))
+    for c in lists:
+        wild = wild | F.coalesce(F.exists(c, odd), F.lit(False))
+    wrong = F.lit(False)
+    if audio is not None:
+        wrong = (F.size(audio) != shape[0]) | F.exists(audio, lambda row: F.size(row) != shape[1])
+        wild = wild | F.coalesce(F.exists(audio, lambda row: F.exists(row, odd)), F.lit(False))
+    fault = F.when(wild, "not_finite").when(F.coalesce(wrong, F.lit(True)), "audio_shape").when(F.coalesce(F.col("valid_candidate_count") <= 0, F.lit(True)), "no_valid_candidate")
+    return pairs.select("pair_id", fault.alias("fault")).where("fault is not null")
+
+
+#: Reasons counted one by one in the report.
+REASONS = (
+    "landmark_missing", "bbox_discontinuity", "target_face_blur", "target_mouth_blur", "bnf_out_of_range", "sync_lag", "invalid_target_observation", "identity_embedding_missing",
+    "pose_geometry_no_match", "identity_mismatch", "post_crop_alignment_mismatch", "idle_downsampled",
+)
 
 
 def report(decisions: DataFrame) -> DataFrame:
-    """Counts and score distribution per clip in one aggregate."""
+    """Counts by reason, rates, and distributions of scores, similarities and alignments per clip, in one aggregate."""
+    kept = F.col("status") == "retained"
+    measures = ("matching_score", "identity_similarity", "stable_alignment", "mouth_delta", "score_margin")
     return decisions.groupBy("clip_id").agg(
-        F.count("*").alias("frames"), F.count_if(F.col("status") == "retained").alias("retained"), F.count_if(F.col("reject_reason") == "identity_mismatch").alias("identity_mismatch"),
-        F.count_if(F.col("reject_reason") == "pose_geometry_no_match").alias("no_match"), F.avg("matching_score").alias("score_mean"), F.percentile("matching_score", 0.9).alias("score_p90"),
+        F.count("*").alias("frames"), F.count_if(kept).alias("retained"), (F.count_if(kept) / F.count("*")).alias("retained_share"),
+        F.count_if(kept & F.col("speech")).alias("speech"), F.count_if(kept & ~F.col("speech")).alias("idle"), F.count_if(F.col("landmark_valid")).alias("landmarks"), F.count_if(F.col("bbox_continuity_valid")).alias("continuous"),
+        *(F.count_if(F.col("reject_reason") == r).alias(r) for r in REASONS),
+        F.count_if(kept & F.col("second_best_score").isNull()).alias("without_runner_up"), F.count_if(F.col("stable_failures") > 0).alias("stable_mismatch"), F.count_if(F.col("mouth_failures") > 0).alias("mouth_mismatch"),
+        F.avg(F.when(kept, F.col("valid_candidate_count"))).alias("candidates_mean"), F.count_distinct(F.when(kept, F.col("source_id"))).alias("sources_used"),
+        *(x for c in measures for x in (F.avg(F.when(kept, F.col(c))).alias(f"{c}_mean"), F.percentile(F.when(kept, F.col(c)), F.lit(0.5)).alias(f"{c}_p50"), F.percentile(F.when(kept, F.col(c)), F.lit(0.95)).alias(f"{c}_p95"))),
     )
 
 
 def publish(pairs: DataFrame, decisions: DataFrame, live: str) -> None:
-    """Pairs as a snapshot by split and clip, decisions beside it."""
+    """Pairs as a snapshot by split, decisions beside it; nothing is published if a row is at fault."""
+    worst = row_fault(pairs).groupBy("fault").agg(F.count("*").alias("rows"), F.min("pair_id").alias("first")).collect()  # a row per kind of fault
+    if worst:
+        raise ValueError("; ".join(f"{r['rows']} rows {r['fault']}, first {r['first']}" for r in worst))
     sinks.write_snapshot(pairs, live)
     sinks.write_decisions(decisions, f"{live}-decisions")

@@ -47,7 +47,7 @@ BOXES = (
 
 #: Components of an embedding that stand for geometry: (name, 1-based place, scale, offset).
 PARTS = (("yaw", 1, 30.0, 0.0), ("pitch", 2, 20.0, 0.0), ("roll", 3, 20.0, 0.0), ("cx", 4, 0.2, 0.5), ("cy", 5, 0.2, 0.5), ("w", 6, 0.3, 1.0), ("h", 7, 0.3, 1.0))
-POINT = (11, 4)
+POINT, MOUTH = (11, 4), (15, 2)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -56,7 +56,7 @@ def observations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     made = e.select(
         F.col("label").cast("long").alias("persona"), F.col("vec_id").alias("id"), "embedding",
         *((F.element_at("embedding", place).cast("double") * scale + offset).alias(name) for name, place, scale, offset in PARTS),
-        F.transform(F.slice("embedding", *POINT), lambda x: x.cast("double") * 0.2).alias("point"),
+        F.transform(F.slice("embedding", *POINT), lambda x: x.cast("double") * 0.2).alias("point"), F.transform(F.slice("embedding", *MOUTH), lambda x: x.cast("double") * 0.2).alias("mouth"),
     )
     return made.where("id % 2 = 1"), made.where("id % 2 = 0")
 

@@ -94,21 +94,29 @@ def test_cache_builds_once(spark, tmp_path):
 
 def _frames(spark, rows):
     schema = (
-        "persona string, clip_id string, frame_idx long, id long, yaw double, pitch double, roll double, cx double, cy double, w double, h double, embedding array<double>, point array<double>, "
-        "landmark_valid boolean, bbox_continuity_valid boolean, face_blur double, mouth_blur double, audio_available boolean, sync_rejected boolean, speech boolean"
+        "persona string, clip_id string, frame_idx long, id long, yaw double, pitch double, roll double, cx double, cy double, w double, h double, embedding array<double>, point array<double>, mouth array<double>, "
+        "landmark_valid boolean, bbox_continuity_valid boolean, face_blur double, mouth_blur double, audio_available boolean, sync_rejected boolean, speech boolean, observed_reason string, confidence string"
     )
     return spark.createDataFrame(rows, schema)
 
 
 def test_snapshot_build(spark):
-    row = lambda c, i, n, **k: ("p", c, i, n, k.get("yaw", 0.0), 0.0, 0.0, 0.5, 0.5, 0.5, 0.5, [1.0, 0.0], [0.0, 0.0], k.get("ok", True), True, k.get("blur", 100.0), 100.0, True, False, k.get("speech", True))
-    targets = [row(f"c{c}", i, c * 100 + i, ok=i != 3, blur=10.0 if i == 4 else 100.0, yaw=40.0 if i == 5 else 0.0, speech=i < 30) for c in range(4) for i in range(1, 41)]
+    row = lambda c, i, n, **k: ("p", c, i, n, k.get("yaw", 0.0), 0.0, 0.0, 0.5, 0.5, 0.5, 0.5, [1.0, 0.0], [0.0, 0.0], [0.0, 0.0], k.get("ok", True), True, k.get("blur", 100.0), 100.0, True, False, k.get("speech", True), k.get("why"), "low" if i % 2 else "high")
+    targets = [row(f"c{c}", i, c * 100 + i, ok=i not in (3, 6), why="face_too_small" if i == 6 else None, blur=10.0 if i == 4 else 100.0, yaw=40.0 if i == 5 else 0.0, speech=i < 30) for c in range(4) for i in range(1, 41)]
     decisions, pairs = snapshot.build(_frames(spark, targets), _frames(spark, [row("s", 1, 9001), row("s", 2, 9002, blur=20.0)]))
     decisions = decisions.cache()
     assert decisions.count() == len(targets)
     counts = {r["reject_reason"]: r["count"] for r in decisions.groupBy("reject_reason").count().collect()}
     assert counts["landmark_missing"] == counts["target_face_blur"] == counts["pose_geometry_no_match"] == 4
+    assert counts["face_too_small"] == 4
     kept = pairs.collect()
+    assert all(r["flags"] == (["low_sync_confidence"] if r["speech"] and r["frame_idx"] % 2 else []) for r in kept)
+    assert snapshot.row_fault(pairs).isEmpty()
+    wild = pairs.withColumn("matching_score", F.when(F.col("frame_idx") == 1, float("nan")).otherwise(F.col("matching_score"))).withColumn("valid_candidate_count", F.when(F.col("frame_idx") == 2, 0).otherwise(1))
+    assert {r["fault"] for r in snapshot.row_fault(wild).collect()} == {"not_finite", "no_valid_candidate"}
+    one_clip = _frames(spark, [row("c0", i, i) for i in range(1, 4)])
+    with pytest.raises(Exception, match="at least two clips"):
+        snapshot.build(one_clip, _frames(spark, [row("s", 1, 9001)]))[1].collect()
     assert counts[None] == len(kept) and counts["idle_downsampled"] == 4 * 11 - sum(r["is_idle"] for r in kept)
     assert sum(r["is_idle"] for r in kept) == 4 * 2 and {r["source_id"] for r in kept} == {9001}
     assert {r["sample_weight"] for r in kept if r["is_idle"]} == {0.25}

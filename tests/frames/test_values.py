@@ -16,7 +16,7 @@ def _rows(df, *keys):
 def test_bbox_reasons(spark):
     df = spark.createDataFrame([(1, 50, 50, 50, 80), (2, -1, 0, 50, 50), (3, 0, 0, 20, 50), (4, 0, 0, 95, 95), (5, 10, 10, 60, 60)], "i int, x1 int, y1 int, x2 int, y2 int")
     got = _rows(df.select("i", geometry.quality_reason(geometry.box(), F.lit(100), F.lit(100)).alias("r")), "i", "r")
-    assert got == [(1, "bbox_invalid"), (2, "bbox_outside_frame"), (3, "bbox_too_small"), (4, "bbox_too_large"), (5, None)]
+    assert got == [(1, "invalid"), (2, "outside_frame"), (3, "too_small"), (4, "too_large"), (5, None)]
 
 
 def test_continuity_compares_with_last_accepted(spark):
@@ -63,9 +63,27 @@ def test_best_lag(spark):
 def test_windows(spark):
     df = spark.createDataFrame([("a", i + 1) for i in range(60)], "c string, frame_idx long")
     assert _rows(sync.window_starts(df, "c", 50, 25), "window_id", "start", "stop") == [(0, 0, 50), (1, 10, 60)]
-    near = sync.nearest_window(df, spark.createDataFrame([("a", 0, 0, 50), ("a", 1, 25, 75)], "c string, window_id long, start long, stop long"), "c")
-    got = dict(_rows(near, "frame_idx", "window_id"))
-    assert got[30] == 0 and got[45] == 1
+    for width, stride, n in ((50, 25, 75), (20, 10, 40), (20, 10, 47), (7, 3, 5), (6, 5, 33)):
+        df = spark.createDataFrame([("a", i + 1) for i in range(n)], "c string, frame_idx long")
+        windows = _rows(sync.window_starts(df, "c", width, stride), "window_id", "start", "stop")
+        want = {i + 1: min(windows, key=lambda w: (abs((w[1] + w[2] - 1) / 2 - i), w[0]))[0] for i in range(n)}
+        assert dict(_rows(sync.nearest_window(df, "c", width, stride), "frame_idx", "window_id")) == want
+    near = dict(_rows(sync.nearest_window(spark.createDataFrame([("a", i + 1) for i in range(40)], "c string, frame_idx long"), "c", 20, 10), "frame_idx", "window_id"))
+    assert near[15] == 0 and near[16] == 1 and near[26] == 2  # 0-based frames 14, 15 and 25; centres 9.5, 19.5 and 29.5
+
+
+def test_window_flags(spark):
+    df = spark.createDataFrame([(True, "low"), (True, "high"), (False, "low")], "s boolean, c string")
+    assert [r[0] for r in df.select(sync.window_flags(F.col("s"), F.col("c"))).collect()] == [["low_sync_confidence"], [], []]
+
+
+def test_folds_keep_other_columns(spark):
+    """64-bit ids beside nulls, decimals and structs pass through a fold unchanged."""
+    rows = [("a", i, float(i), None if i == 1 else 2**60 + i, "x" if i % 2 else None, (2**61 + i, None)) for i in range(6)]
+    df = spark.createDataFrame(rows, "c string, i long, v double, big long, s string, st struct<p:long,q:string>").withColumn("d", F.lit("1.10").cast("decimal(20,2)"))
+    out = series.accepted(df, "c", "i", ["v"], series.near_value(1.0))
+    assert out.columns[:-1] == df.columns and [f.dataType for f in out.schema][:-1] == [f.dataType for f in df.schema]
+    assert sorted(tuple(r)[:-1] for r in out.collect()) == sorted(tuple(r) for r in df.collect())
 
 
 def test_sync_reject(spark):
@@ -73,13 +91,13 @@ def test_sync_reject(spark):
     assert [r[0] for r in df.select(sync.reject_reason(F.col("s"), F.col("c"), F.col("l"))).collect()] == [None, "sync_lag", None, None]
 
 
-def _observation(persona, i, yaw=0.0, roll=0.0, who=0, dx=0.0):
+def _observation(persona, i, yaw=0.0, roll=0.0, who=0, dx=0.0, mouth=0.0):
     e = [0.0] * 4
     e[who] = 1.0
-    return (persona, i, yaw, 0.0, roll, 0.5, 0.5, 0.5, 0.5, e, [dx, 0.0, 0.0, 0.0])
+    return (persona, i, yaw, 0.0, roll, 0.5, 0.5, 0.5, 0.5, [3.0 * x for x in e] if i % 2 else e, [dx, 0.0, 0.0, 0.0], [0.0, mouth])
 
 
-OBSERVATION = "persona string, id long, yaw double, pitch double, roll double, cx double, cy double, w double, h double, embedding array<double>, point array<double>"
+OBSERVATION = "persona string, id long, yaw double, pitch double, roll double, cx double, cy double, w double, h double, embedding array<double>, point array<double>, mouth array<double>"
 
 
 def _decide(spark, target, sources):
@@ -92,6 +110,25 @@ def test_match_alignment_comes_first(spark):
     assert (r["source_id"], r["valid_candidate_count"], r["second_best_score"], r["score_margin"]) == (2, 1, None, None)
 
 
+def test_match_mouth_gate(spark):
+    """The mouth gate rejects by itself; failures are counted per gate where nothing matches."""
+    r = _decide(spark, _observation("p", 100), [_observation("p", 1, mouth=0.2), _observation("p", 2, yaw=1.0)])
+    assert (r["source_id"], r["valid_candidate_count"], r["mouth_failures"]) == (2, 1, 0)
+    r = _decide(spark, _observation("p", 100), [_observation("p", 1, mouth=0.2), _observation("p", 2, dx=0.2, mouth=0.2)])
+    assert (r["reject_reason"], r["stable_failures"], r["mouth_failures"]) == ("post_crop_alignment_mismatch", 1, 2)
+
+
+def test_match_needs_an_observation(spark):
+    whole = _observation("p", 100)
+    assert _decide(spark, (*whole[:9], None, *whole[10:]), [_observation("p", 1)])["reject_reason"] == "identity_embedding_missing"
+    assert _decide(spark, (*whole[:2], None, *whole[3:]), [_observation("p", 1)])["reject_reason"] == "invalid_target_observation"
+
+
+def test_match_ranks_on_the_unrounded_score(spark):
+    r = _decide(spark, _observation("p", 100), [_observation("p", 1, yaw=1e-10), _observation("p", 2, yaw=1e-11)])
+    assert r["source_id"] == 2
+
+
 def test_match_identity(spark):
     r = _decide(spark, _observation("p", 100), [_observation("p", 1, who=1), _observation("p", 2, yaw=1.0)])
     assert (r["source_id"], r["identity_similarity"], r["identity_mismatch_count"], r["max_rejected_similarity"]) == (2, 1.0, 1, 0.0)
@@ -111,7 +148,7 @@ def test_match_ties_and_gates(spark):
 def test_all_pairs_match_without_bins(spark):
     """The binned equi-join finds what a plain comparison of all pairs finds."""
     r = np.random.default_rng(1)
-    make = lambda n, o: [(f"p{i % 3}", o + i, float(r.uniform(-180, 180)), 0.0, 0.0, 0.5, 0.5, 0.5, 0.5, [1.0, 0.0, 0.0, 0.0], [0.0] * 4) for i in range(n)]
+    make = lambda n, o: [(f"p{i % 3}", o + i, float(r.uniform(-180, 180)), 0.0, 0.0, 0.5, 0.5, 0.5, 0.5, [1.0, 0.0, 0.0, 0.0], [0.0] * 4, [0.0] * 2) for i in range(n)]
     t, s = make(80, 0), make(80, 1000)
     got = {(x["target_id"], x["source_id"]) for x in pairing.candidates(spark.createDataFrame(t, OBSERVATION), spark.createDataFrame(s, OBSERVATION)).collect()}
     want = {(a[1], b[1]) for a in t for b in s if a[0] == b[0] and abs((a[2] - b[2] + 180) % 360 - 180) <= 5}
@@ -203,7 +240,7 @@ def test_vectors(spark):
 def test_suppression(spark):
     rows = [("a", 1, 0, 0, 10, 10, 0.9), ("a", 2, 1, 0, 11, 10, 0.8), ("a", 3, 50, 50, 60, 60, 0.1)]
     df = spark.createDataFrame(rows, "g string, box_id long, x1 long, y1 long, x2 long, y2 long, score double")
-    assert [r[0] for r in _rows(metrics.suppressed(df, "g", "score", 0.45), "box_id")] == [1, 3]
+    assert [r[0] for r in _rows(metrics.suppressed(df, ["g"], "score", 0.45), "box_id")] == [1, 3]
 
 
 def test_common_reasons_ties_by_first(spark):
