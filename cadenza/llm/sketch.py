@@ -59,6 +59,16 @@ def shown(hashes: Column) -> Column:
     return F.array_join(hashes, "")
 
 
+def packed_hashes(hashes: Column) -> Column:
+    """A sketch as 8 bytes per hash, for the way between tasks."""
+    return F.unhex(shown(hashes))
+
+
+def unpacked_hashes(data: Column) -> Column:
+    places = F.sequence(F.lit(0), F.floor(F.octet_length(data) / 8).cast("int") - 1)
+    return F.when(F.octet_length(data) > 0, F.transform(places, lambda i: F.lower(F.hex(F.substring(data, i * 8 + 1, 8))))).otherwise(F.array().cast("array<string>"))
+
+
 def likeness(a: Column, b: Column) -> Column:
     smaller = F.least(F.size(a), F.size(b))
     return F.when(smaller > 0, F.size(F.array_intersect(a, b)) / smaller).when(F.size(a) == F.size(b), F.lit(1.0)).otherwise(F.lit(0.0))
@@ -90,7 +100,7 @@ def fingerprints(documents: DataFrame, fraction: float = FRACTION) -> DataFrame:
     docs = one_per_id(keyed_docs(documents))
     links = next_ids(docs.select("doc_id", F.floor(F.length("text") / 2).cast("int").alias("half")))
     # one exchange by doc_id carries texts and sketches, and serves both sides
-    own = spread(docs).withColumn("sketch", sketch(F.col("text"), fraction))
+    own = spread(docs).withColumn("sketch", packed_hashes(sketch(F.col("text"), fraction)))
     # a next document sends the part it is asked for, and its sketch
     asked = links.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("to"), "half")
     sent = own.join(asked.hint("merge"), "doc_id").select("to", "half", F.expr("substring(text, 1, half)").alias("head"), F.col("sketch").alias("next_sketch"))
@@ -98,8 +108,8 @@ def fingerprints(documents: DataFrame, fraction: float = FRACTION) -> DataFrame:
     edited = met.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - half)"), F.col("head")))
     done = edited.withColumn("edited_sketch", sketch(F.col("edited"), fraction))
     return done.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), shown(F.col("sketch")).alias("fingerprint"), shown(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"), likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.lower(F.hex("sketch")).alias("fingerprint"), shown(F.col("edited_sketch")).alias("edited_fingerprint"),
+        likeness(unpacked_hashes(F.col("sketch")), F.col("edited_sketch")).alias("near_edited"), likeness(unpacked_hashes(F.col("sketch")), unpacked_hashes(F.col("next_sketch"))).alias("near_next"),
     )
 
 
