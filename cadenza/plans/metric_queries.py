@@ -86,7 +86,8 @@ def _box_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = {f"{c}_b": F.col(c) + F.pmod(F.col("event_id"), F.lit(7)) for c in ("x1", "y1", "x2", "y2")}
     p = b.withColumns(moved)
     a, o = geometry.box(), geometry.box("x1_b", "y1_b", "x2_b", "y2_b")
-    return p.withColumns({"iou": geometry.iou(a, o), "drift": geometry.center_drift(a, o)})
+    edges = sum((F.abs(F.col(c) - F.col(f"{c}_b")) for c in ("x1", "y1", "x2", "y2")), F.lit(0)) / 4
+    return p.withColumns({"iou": geometry.iou(a, o), "drift": geometry.center_drift(a, o), "edge": edges})
 
 
 def box_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +95,7 @@ def box_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(p.groupBy("event_type").agg(
         F.avg("iou").alias("iou_mean"), F.percentile("iou", 0.95).alias("iou_p95"), F.avg((F.col("iou") >= 0.9).cast("double")).alias("iou_pass"),
         F.avg("drift").alias("drift_mean"), F.percentile("drift", 0.95).alias("drift_p95"), F.avg((F.col("drift") <= 5).cast("double")).alias("drift_pass"),
+        F.avg("edge").alias("edge_mae"),
     ))
 
 
@@ -153,7 +155,7 @@ ORACLE_SQL = {
     "pooled_errors": "WITH e AS (SELECT l_returnflag, abs(l_discount - l_tax) AS e FROM lineitem) SELECT l_returnflag, round(avg(e), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(max(e), 6) AS max_abs, round(20 * log10(255 / sqrt(avg(e * e))), 6) AS psnr FROM e GROUP BY 1",
     "validation_means": "WITH b AS (SELECT o_orderkey // 64 AS b, avg(o_totalprice) AS loss FROM orders GROUP BY 1) SELECT round((SELECT avg(loss) FROM b), 6) AS loss, round((SELECT avg(o_custkey) FROM orders), 6) AS mae",
     "weighted_loss": "SELECT l_returnflag, round(sum(l_extendedprice * l_discount) / sum(l_discount), 6) AS weighted, count(*) AS count FROM lineitem GROUP BY 1",
-    "box_metrics": f"WITH {_PAIRS} SELECT event_type, round(avg(iou), 6) AS iou_mean, round(quantile_cont(iou, 0.95), 6) AS iou_p95, round(avg((iou >= 0.9)::INT), 6) AS iou_pass, round(avg(drift), 6) AS drift_mean, round(quantile_cont(drift, 0.95), 6) AS drift_p95, round(avg((drift <= 5)::INT), 6) AS drift_pass FROM p GROUP BY 1",
+    "box_metrics": f"WITH {_PAIRS} SELECT event_type, round(avg(iou), 6) AS iou_mean, round(quantile_cont(iou, 0.95), 6) AS iou_p95, round(avg((iou >= 0.9)::INT), 6) AS iou_pass, round(avg(drift), 6) AS drift_mean, round(quantile_cont(drift, 0.95), 6) AS drift_p95, round(avg((drift <= 5)::INT), 6) AS drift_pass, round(avg(s), 6) AS edge_mae FROM p GROUP BY 1",
     "geometry_report": f"WITH {_PAIRS} SELECT clip_id, round(avg((iou >= 0.8)::INT), 6) AS passed, bool_and(iou > 0) AS all_overlap, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS kinds FROM p GROUP BY 1",
     "gate_report": f"WITH {_PAIRS}, m AS (SELECT round(avg(iou), 6) AS a, round(avg(drift), 6) AS b, round(quantile_cont(iou, 0.05), 6) AS c FROM p) SELECT 'iou_mean' AS gate, a AS value, 0.8::DOUBLE AS threshold, a >= 0.8 AS passed FROM m UNION ALL SELECT 'drift_mean', b, 1.0::DOUBLE, b <= 1.0 FROM m UNION ALL SELECT 'iou_p05', c, 0.5::DOUBLE, c >= 0.5 FROM m",
     "audit_status": "SELECT CASE WHEN bool_or(o_orderstatus = 'F' AND o_orderkey % 1000 = 1) THEN 'failed' WHEN bool_or(o_orderstatus = 'P') THEN 'blocked' ELSE 'target_met' END AS status, count(*) AS checks, count(*) FILTER (o_orderstatus = 'F' AND o_orderkey % 1000 = 1) AS failed FROM orders",

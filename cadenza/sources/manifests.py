@@ -69,6 +69,18 @@ def read_snapshot(spark: SparkSession, path: str, splits: tuple[str, ...] = ("tr
     return df
 
 
+def split_tables(rows: DataFrame, splits: tuple[str, ...] = ("train", "val"), every: bool = True, order: tuple[str, ...] = ("clip_id", "frame_idx")) -> dict[str, DataFrame]:
+    """A table per split, without the split column, clips one after the other in ``order``.
+
+    With ``every`` each split has to have rows (a snapshot); else empty ones are left out and one has to be left
+    (a processed set). Rows of other splits are in neither.
+    """
+    found = {r["split"] for r in rows.where(F.col("split").isin(*splits)).select("split").distinct().collect()}  # a row per split
+    if not found or (every and found != set(splits)):
+        raise ValueError(f"no rows for splits {sorted(set(splits) - found)}")
+    return {s: rows.where(F.col("split") == s).drop("split").orderBy(*order) for s in splits if s in found}
+
+
 def media_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = VIDEO_SUFFIXES, recursive: bool = False, limit: int = 0) -> DataFrame:
     """(path, length, group): files with a suffix in any case, sorted; group is the first folder below root."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(root).select("path", "length")
