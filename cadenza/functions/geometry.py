@@ -105,7 +105,10 @@ def square_box(cx: Column, top: Column, side: Column, width: Column, height: Col
 
 @dataclass(frozen=True)
 class MatchGates:
-    """Largest accepted differences between a target and a source, and score weights."""
+    """Largest accepted differences between a target and a source, and score weights.
+
+    The vertical centre and the height have the gates of the horizontal centre and the width unless they are given their own.
+    """
 
     yaw: float = 5.0
     pitch: float = 5.0
@@ -119,6 +122,17 @@ class MatchGates:
     pose_weight: float = 1.0
     position_weight: float = 1.0
     scale_weight: float = 1.0
+    center_y: float | None = None
+    low_height: float | None = None
+    high_height: float | None = None
+
+    def centers(self) -> tuple[float, float]:
+        return self.center, self.center if self.center_y is None else self.center_y
+
+    def ratios(self) -> dict[str, tuple[float, float]]:
+        low = self.low_ratio if self.low_height is None else self.low_height
+        high = self.high_ratio if self.high_height is None else self.high_height
+        return {"w": (self.low_ratio, self.high_ratio), "h": (low, high)}
 
 
 def ratio_distance(ratio: Column, low: float, high: float) -> Column:
@@ -129,6 +143,7 @@ def ratio_distance(ratio: Column, low: float, high: float) -> Column:
 
 def match_score(d: dict[str, Column], g: MatchGates) -> Column:
     pose = F.abs(d["yaw"]) / g.yaw + F.abs(d["pitch"]) / g.pitch + F.abs(d["roll"]) / g.roll
-    position = (F.abs(d["cx"]) + F.abs(d["cy"])) / g.center
-    scale = ratio_distance(d["w"], g.low_ratio, g.high_ratio) + ratio_distance(d["h"], g.low_ratio, g.high_ratio)
+    across, down = g.centers()
+    position = F.abs(d["cx"]) / across + F.abs(d["cy"]) / down
+    scale = ratio_distance(d["w"], *g.ratios()["w"]) + ratio_distance(d["h"], *g.ratios()["h"])
     return g.pose_weight * pose + g.position_weight * position + g.scale_weight * scale

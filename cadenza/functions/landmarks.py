@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .geometry import Box
+from .geometry import Box, distance, square_box
 
 #: Landmark numbers of the face mesh.
 MOUTH_CORNERS, MOUTH_MIDDLE, EYES, NOSE, CHIN, CHEEKS = (61, 291), (13, 14), ((33, 133), (362, 263)), 1, 152, (234, 454)
 STABLE = (1, 33, 152, 234, 263, 454)
+OUTER_EYES = (33, 263)
+#: Place and size of the face square: share of the way from eyes to chin, cheek widths, pixels to the right.
+SQUARE_TOP, SQUARE_WIDTH, SQUARE_RIGHT = 0.096, 1.056, -1.0
 #: Which of 98 contour points make the 68: the same point twice, or the middle of two.
 CONTOUR_68 = (
     [(i, i) for i in (*range(0, 34, 2), *range(33, 38), *range(42, 47), *range(51, 61))]
@@ -57,6 +60,18 @@ def alignment(source: Column, source_box: Box, target: Column, target_box: Box)
     return F.sqrt(total / len(gaps)), F.hypot(a[0] - b[0], a[1] - b[1])
 
 
+def face_square(marks: Column, width: Column, height: Column, least: float = 32.0) -> list[Column]:
+    """[x1, y1, x2, y2] of the square a little wider than the cheeks, hung just below the eyes, within the frame; nulls if a landmark is missing."""
+    left, right = (point(marks, i) for i in CHEEKS)
+    eyes, chin = middle(*(point(marks, i) for i in OUTER_EYES)), point(marks, CHIN)
+    side = F.greatest(F.lit(least), distance(left["x"], left["y"], right["x"], right["y"]) * SQUARE_WIDTH)
+    box = square_box(middle(left, right)["x"] + SQUARE_RIGHT, eyes["y"] + (chin["y"] - eyes["y"]) * SQUARE_TOP, side, width, height)
+    whole = F.lit(True)
+    for i in (*CHEEKS, *OUTER_EYES, CHIN):
+        whole = whole & point(marks, i).isNotNull()
+    return [F.when(whole, v) for v in box]
+
+
 def contour_68(points: Column) -> Column:
     """68 contour points from 98."""
     pairs = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in CONTOUR_68))

@@ -72,6 +72,28 @@ def grid_search(params: DataFrame, samples: DataFrame, error: Column, keys: list
     return scored.groupBy(*keys, ordinal).agg(F.round(F.avg("__e"), 9).alias("mean_error"))
 
 
+def proposals(df: DataFrame, keys: list[str], stride: int, scores: str = "scores", offsets: str = "offsets", least: float = 0.3) -> DataFrame:
+    """A detector head's proposals: (keys, box_id, x1, y1, x2, y2, score) of every cell that scores ``least`` or more, for ``suppressed``.
+
+    ``scores`` is array<array<array>> by anchor, row and column; ``offsets`` has four such planes per anchor: the distances of
+    the left, upper, right and lower side from the cell's corner, in strides. Boxes are a pixel wider and higher than the sides say. Cells
+    without a score have no proposal; box_id counts anchors, rows and columns in that order.
+    """
+    flat = lambda c: F.flatten(F.flatten(c))
+    planes = df.select(*keys, flat(scores).alias("__scores"), flat(offsets).alias("__offsets"), F.size(F.get(scores, F.lit(0))).alias("__rows"), F.size(F.get(F.get(scores, F.lit(0)), F.lit(0))).alias("__columns"))
+    plane = F.col("__rows") * F.col("__columns")
+
+    def proposal(cell: Column) -> Column:
+        anchor, place = F.floor(cell["i"] / plane).cast("int"), cell["i"] % plane
+        left, up, right, down = (F.get("__offsets", (anchor * 4 + k) * plane + place).cast("double") * stride for k in range(4))
+        x, y = (place % F.col("__columns")) * stride, F.floor(place / F.col("__columns")) * stride
+        sides = {"x1": x - left, "y1": y - up, "x2": x + right + 1.0, "y2": y + down + 1.0, "score": cell["score"]}
+        return F.struct(cell["i"].cast("long").alias("box_id"), *(v.alias(c) for c, v in sides.items()))
+
+    cells = F.transform("__scores", lambda s, i: F.struct(i.alias("i"), s.cast("double").alias("score")))
+    return planes.select(*keys, F.inline(F.transform(F.filter(cells, lambda c: c["score"] >= least), proposal)))
+
+
 def suppressed(df: DataFrame, group: list[str], score: str, overlap: float = 0.45) -> DataFrame:
     """Greedy non-maximum suppression among one frame's boxes (``group``): by falling score, keep a box that overlaps no kept one by more."""
 

@@ -21,6 +21,7 @@ from ..functions.numeric import angle_delta
 from ..functions.vectors import dot, unit
 
 GEOMETRY = ("yaw", "pitch", "roll", "cx", "cy", "w", "h")
+DIFFERENCES = ("pose_delta_yaw", "pose_delta_pitch", "pose_delta_roll", "center_delta_x", "center_delta_y", "width_ratio", "height_ratio")
 
 
 def in_reach(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
@@ -47,8 +48,8 @@ def in_reach(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGa
     sized = {c: F.col(f"t_{c}") / F.col(f"s_{c}") for c in GEOMETRY[5:]}
     pairs = pairs.select("persona", "target_id", "source_id", *(v.alias(f"d_{c}") for c, v in (turned | moved | sized).items()))
     d = {c: F.col(f"d_{c}") for c in GEOMETRY}
-    inside = [F.abs(d["yaw"]) <= gates.yaw, F.abs(d["pitch"]) <= gates.pitch, F.abs(d["roll"]) <= gates.roll, F.abs(d["cx"]) <= gates.center, F.abs(d["cy"]) <= gates.center]
-    inside += [d[c].between(gates.low_ratio, gates.high_ratio) for c in ("w", "h")]
+    inside = [F.abs(d["yaw"]) <= gates.yaw, F.abs(d["pitch"]) <= gates.pitch, F.abs(d["roll"]) <= gates.roll, F.abs(d["cx"]) <= gates.centers()[0], F.abs(d["cy"]) <= gates.centers()[1]]
+    inside += [d[c].between(*ends) for c, ends in gates.ratios().items()]
     for gate in inside:
         pairs = pairs.where(gate)
     return pairs
@@ -71,7 +72,7 @@ def candidates(targets: DataFrame, sources: DataFrame, gates: MatchGates = Match
 
 
 def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
-    """One row per target: winner, runner-up, margin, counts by stage, and the reason of the unmatched."""
+    """One row per target: winner and its differences, runner-up, margin, counts by stage, and the reason of the unmatched."""
     seen = F.col("yaw").isNotNull()
     for c in GEOMETRY[1:]:
         seen = seen & F.col(c).isNotNull()
@@ -87,7 +88,7 @@ def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchG
         F.count("*").alias("geometry_count"), F.count_if("__alike").alias("identity_count"), F.count_if("__good").alias("valid_candidate_count"),
         F.count_if(~F.col("__alike")).alias("identity_mismatch_count"), F.max(F.when(~F.col("__alike"), F.col("similarity"))).alias("max_rejected_similarity"),
         F.count_if(F.col("__alike") & ~F.col("__stable")).alias("stable_failures"), F.count_if(F.col("__alike") & ~F.col("__mouth")).alias("mouth_failures"),
-        *(pick(c, 1).alias(c) for c in ("source_id", "score", "similarity", "alignment", "mouth_delta")), pick("score", 2).alias("second"),
+        *(pick(c, 1).alias(c) for c in ("source_id", "score", "similarity", "alignment", "mouth_delta", *(f"d_{c}" for c in GEOMETRY))), pick("score", 2).alias("second"),
     )
     joined = targets.select("persona", F.col("id").alias("target_id"), seen.alias("__seen"), known.alias("__known")).join(counts, "target_id", "left")
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
@@ -103,6 +104,7 @@ def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchG
         "source_id", F.round("score", 6).alias("matching_score"), F.round("similarity", 6).alias("identity_similarity"), F.round("alignment", 6).alias("stable_alignment"), F.round("mouth_delta", 6).alias("mouth_delta"),
         count("valid_candidate_count").alias("valid_candidate_count"), count("identity_mismatch_count").alias("identity_mismatch_count"), failed("stable_failures"), failed("mouth_failures"),
         F.round("max_rejected_similarity", 6).alias("max_rejected_similarity"), F.round("second", 6).alias("second_best_score"), F.round(F.col("second") - F.col("score"), 6).alias("score_margin"),
+        *(F.round(f"d_{c}", 6).alias(name) for c, name in zip(GEOMETRY, DIFFERENCES, strict=True)),
     )
 
 

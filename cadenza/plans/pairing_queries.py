@@ -36,14 +36,16 @@ _PAIRS = f"""{OBSERVATIONS}, raw AS (
 PAIR_SQL = f"""WITH {_PAIRS}, c AS (
   SELECT target_id, count(*) AS g, count(*) FILTER (alike) AS i, count(*) FILTER (good) AS v, count(*) FILTER (NOT alike) AS mm, max(similarity) FILTER (NOT alike) AS mr,
     max(source_id) FILTER (good AND n = 1) AS source_id, max(score) FILTER (good AND n = 1) AS s1, max(similarity) FILTER (good AND n = 1) AS sim, max(alignment) FILTER (good AND n = 1) AS al, max(mouth) FILTER (good AND n = 1) AS mo,
-    count(*) FILTER (alike AND NOT stable) AS sf, count(*) FILTER (alike AND NOT central) AS mf, max(score) FILTER (good AND n = 2) AS s2
+    count(*) FILTER (alike AND NOT stable) AS sf, count(*) FILTER (alike AND NOT central) AS mf, max(score) FILTER (good AND n = 2) AS s2,
+    {", ".join(f"max({c}) FILTER (good AND n = 1) AS d_{c}" for c in pairing.GEOMETRY)}
   FROM ranked GROUP BY target_id
 )
 SELECT persona, id AS target_id, CASE WHEN coalesce(v, 0) = 0 THEN 'rejected' ELSE 'matched' END AS status,
   CASE WHEN coalesce(g, 0) = 0 THEN 'pose_geometry_no_match' WHEN i = 0 THEN 'identity_mismatch' WHEN v = 0 THEN 'post_crop_alignment_mismatch' END AS reject_reason,
   source_id, round(s1, 6) AS matching_score, round(sim, 6) AS identity_similarity, round(al, 6) AS stable_alignment, round(mo, 6) AS mouth_delta,
   CASE WHEN v = 0 AND i > 0 THEN sf ELSE 0 END AS stable_failures, CASE WHEN v = 0 AND i > 0 THEN mf ELSE 0 END AS mouth_failures, coalesce(v, 0) AS valid_candidate_count, coalesce(mm, 0) AS identity_mismatch_count,
-  round(mr, 6) AS max_rejected_similarity, round(s2, 6) AS second_best_score, round(s2 - s1, 6) AS score_margin
+  round(mr, 6) AS max_rejected_similarity, round(s2, 6) AS second_best_score, round(s2 - s1, 6) AS score_margin,
+  {", ".join(f"round(d_{c}, 6) AS {n}" for c, n in zip(pairing.GEOMETRY, pairing.DIFFERENCES))}
 FROM obs LEFT JOIN c ON id = target_id WHERE id % 2 = 1"""
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import pair_id
 from ..operators import metrics, sampling
+from . import snapshot
+from .pairing_queries import PAIR_SQL, pair_decisions
 from .standins import BOXES, FRAMES, boxes, frames, table
 
 
@@ -74,6 +76,14 @@ def preview_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("group", "rank", "event_id", "key")
 
 
+def pair_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine preview groups over all matched pairs; every fourth target is of low confidence, every tenth idle."""
+    t = F.col("target_id")
+    pairs = pair_decisions(spark, sf_dir).where("status = 'matched'").withColumns({"frame_idx": t, "confidence": F.when(t % 4 == 1, "low").otherwise("high"), "is_idle": t % 10 == 3})
+    named = pairs.withColumn("pair_id", pair_id(F.col("persona"), t, F.col("source_id")))
+    return snapshot.previews(named).select("group", "rank", "pair_id", F.round("key", 6).alias("key"))
+
+
 def common_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.common_reasons(table(spark, sf_dir, "documents"), "source", "doc_id", 4).select("source", "count", "first_at")
 
@@ -120,7 +130,7 @@ def largest_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    hash_split, tail_split, position_split, listed_split, silence_cap, idle_sample, preview_picks, media_selection, epoch_order, final_order, preview_groups, common_reasons,
+    hash_split, tail_split, position_split, listed_split, silence_cap, idle_sample, preview_picks, media_selection, epoch_order, final_order, preview_groups, pair_previews, common_reasons,
     best_median_worst, nth_record, sequence_rows, grid_search, suppression, largest_box,
 )}
 
@@ -158,6 +168,17 @@ ORACLE_SQL = {
     "preview_groups": f"""WITH {FRAMES}, g AS (SELECT 'lowest' AS "group", event_id, round(value, 6) AS key FROM frames UNION ALL SELECT 'highest', event_id, round(-value, 6) FROM frames
       UNION ALL SELECT 'near_edge', event_id, round((-abs(k - 50))::DOUBLE, 6) FROM frames WHERE event_type = 'view' UNION ALL SELECT 'late_idle', event_id, frame_idx::DOUBLE FROM frames WHERE event_type = 'signup')
       SELECT "group", row_number() OVER (PARTITION BY "group" ORDER BY key, event_id) AS rank, event_id, key FROM g QUALIFY rank <= 4""",
+    "pair_previews": f"""WITH p AS ({PAIR_SQL}), m AS (SELECT *, printf('%s__target_%06d__silent_%06d', persona::VARCHAR, target_id, source_id) AS pair_id FROM p WHERE status = 'matched'), g AS (
+        SELECT 'best_score' AS "group", matching_score AS key, target_id, pair_id FROM m
+        UNION ALL SELECT 'smallest_margin', score_margin, target_id, pair_id FROM m WHERE score_margin IS NOT NULL
+        UNION ALL SELECT 'near_pose_threshold', -greatest(abs(pose_delta_yaw), abs(pose_delta_pitch), abs(pose_delta_roll)), target_id, pair_id FROM m
+        UNION ALL SELECT 'near_center_threshold', -greatest(abs(center_delta_x), abs(center_delta_y)), target_id, pair_id FROM m
+        UNION ALL SELECT 'near_scale_threshold', -greatest(abs(ln(width_ratio)), abs(ln(height_ratio))), target_id, pair_id FROM m
+        UNION ALL SELECT 'near_post_crop_threshold', -greatest(stable_alignment, mouth_delta), target_id, pair_id FROM m
+        UNION ALL SELECT 'near_identity_threshold', identity_similarity, target_id, pair_id FROM m
+        UNION ALL SELECT 'low_sync_confidence', matching_score, target_id, pair_id FROM m WHERE target_id % 4 = 1
+        UNION ALL SELECT 'idle_retained', target_id::DOUBLE, target_id, pair_id FROM m WHERE target_id % 10 = 3)
+      SELECT "group", row_number() OVER (PARTITION BY "group" ORDER BY key, target_id, pair_id) AS rank, pair_id, round(key, 6) AS key FROM g QUALIFY rank <= 8""",
     "common_reasons": "SELECT source, count(*) AS count, min(doc_id) AS first_at FROM documents GROUP BY source ORDER BY count DESC, first_at LIMIT 4",
     "best_median_worst": f"WITH {FRAMES}, r AS (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY value, frame_idx) - 1 AS r, count(*) OVER (PARTITION BY clip_id) AS n FROM frames) SELECT clip_id, CASE WHEN r = 0 THEN 'best' WHEN r = n - 1 THEN 'worst' ELSE 'median' END AS kind, frame_idx, value FROM r WHERE r = 0 OR r = n - 1 OR r = n // 2",
     "nth_record": "SELECT event_id, value FROM events ORDER BY event_id LIMIT 5 OFFSET 100",

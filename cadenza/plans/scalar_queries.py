@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geometry, numeric, text
+from ..functions import geometry, landmarks, numeric, text
+from ..operators import metrics
 from .standins import BOXES, FRAMES, HEIGHT, WIDTH, boxes, frames, table
 
 
@@ -99,7 +100,29 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("event_id", F.format_string("step=%d clip=%d loss=%.4f", "frame_idx", "clip_id", "value").alias("line"))
 
 
+#: Where the landmarks of the stand-in faces lie before an embedding moves them.
+FACE = ((234, 220, 240), (454, 420, 240), (33, 260, 200), (263, 380, 200), (152, 320, 340))
+
+
+def face_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The square cut out of a frame around five landmarks, moved by the first ten numbers of an embedding."""
+    at = lambda n, base: F.element_at("embedding", n).cast("double") * 400 + base
+    marks = F.create_map(*(v for i, (mark, x, y) in enumerate(FACE) for v in (F.lit(mark), F.struct(at(2 * i + 1, x).alias("x"), at(2 * i + 2, y).alias("y")))))
+    placed = table(spark, sf_dir, "embeddings").select("vec_id", marks.alias("marks"))
+    return placed.select("vec_id", *(v.alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), landmarks.face_square(F.col("marks"), F.lit(WIDTH), F.lit(HEIGHT)), strict=True)))
+
+
+def detector_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proposals of two anchors on 2 x 3 cells: the first 12 numbers of an embedding are scores, the next 48 offsets."""
+    plane = lambda first: F.transform(F.array(F.lit(0), F.lit(3)), lambda r: F.slice("embedding", first + r, F.lit(3)))
+    planes = lambda n, first: F.array(*(plane(F.lit(first + 6 * i)) for i in range(n)))
+    heads = table(spark, sf_dir, "embeddings").select("vec_id", planes(2, 1).alias("scores"), planes(8, 13).alias("offsets"))
+    found = metrics.proposals(heads, ["vec_id"], 8, least=0.1)
+    return found.select("vec_id", "box_id", *(F.round(c, 6).alias(c) for c in ("x1", "y1", "x2", "y2", "score")))
+
+
 QUERIES = {f.__name__: f for f in (
+    face_squares, detector_proposals,
     normalized_boxes, angle_deltas, euler_angles, mouth_shapes, moved_boxes, square_boxes, part_boxes, permuted_boxes, safe_names, media_rates, speakers, content_hashes, json_presence, log_lines,
 )}
 
@@ -107,7 +130,15 @@ _E = "SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings"
 _PX = ", ".join(f"e[{2 * i + 1}] * 200 + 300 AS px{i}, e[{2 * i + 2}] * 200 + 200 AS py{i}" for i in range(4))
 _X4, _Y4 = ", ".join(f"px{i}" for i in range(4)), ", ".join(f"py{i}" for i in range(4))
 
+_MARKS = ", ".join(f"e[{2 * i + 1}] * 400 + {x} AS x{m}, e[{2 * i + 2}] * 400 + {y} AS y{m}" for i, (m, x, y) in enumerate(FACE))
+
 ORACLE_SQL = {
+    "face_squares": f"""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), m AS (SELECT vec_id, {_MARKS} FROM e),
+      s AS (SELECT vec_id, least(greatest(1, round_even(greatest(32, sqrt((x234 - x454)^2 + (y234 - y454)^2) * 1.056::DOUBLE), 0)), {HEIGHT}) AS s, (x234 + x454) / 2 - 1 AS cx, (y33 + y263) / 2 + (y152 - (y33 + y263) / 2) * 0.096::DOUBLE AS top FROM m),
+      b AS (SELECT vec_id, s, greatest(0, least(round_even(cx - s / 2, 0), {WIDTH} - s)) AS x, greatest(0, least(round_even(top, 0), {HEIGHT} - s)) AS y FROM s)
+      SELECT vec_id, x::BIGINT AS x1, y::BIGINT AS y1, (x + s)::BIGINT AS x2, (y + s)::BIGINT AS y2 FROM b""",
+    "detector_proposals": """WITH c AS (SELECT vec_id, embedding::DOUBLE[] AS e, unnest(range(0, 12)) AS i FROM embeddings), k AS (SELECT *, e[i + 1] AS score, i // 6 * 24 + i % 6 + 13 AS o, i % 3 * 8 AS x, i % 6 // 3 * 8 AS y FROM c)
+      SELECT vec_id, i AS box_id, round(x - e[o] * 8, 6) AS x1, round(y - e[o + 6] * 8, 6) AS y1, round(x + e[o + 12] * 8 + 1, 6) AS x2, round(y + e[o + 18] * 8 + 1, 6) AS y2, round(score, 6) AS score FROM k WHERE score >= 0.1""",
     "normalized_boxes": f"WITH {BOXES} SELECT event_id, round((x1 + x2) / (2.0 * {WIDTH}), 9)::DOUBLE AS cx, round((y1 + y2) / (2.0 * {HEIGHT}), 9)::DOUBLE AS cy, round((x2 - x1) / {WIDTH}, 9) AS w, round((y2 - y1) / {HEIGHT}, 9) AS h FROM boxes WHERE x1 IS NOT NULL",
     "angle_deltas": f"WITH {FRAMES}, d AS (SELECT event_id, value * 4 - k * -7.0::DOUBLE + 180 AS d FROM frames) SELECT event_id, round(CASE WHEN d - 360 * floor(d / 360) - 180 = -180 THEN 180 ELSE d - 360 * floor(d / 360) - 180 END, 6) AS delta FROM d",
     "euler_angles": f"WITH e AS ({_E}) SELECT vec_id, round(degrees(atan2(-e[7], sqrt(e[1]^2 + e[4]^2))), 6) AS yaw, round(degrees(CASE WHEN sqrt(e[1]^2 + e[4]^2) < 1e-6 THEN atan2(-e[6], e[5]) ELSE atan2(e[8], e[9]) END), 6) AS pitch, round(degrees(CASE WHEN sqrt(e[1]^2 + e[4]^2) < 1e-6 THEN 0 ELSE atan2(e[4], e[1]) END), 6) AS roll FROM e",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import MatchGates
+from ..functions.numeric import distribution
 from ..functions.text import pair_id
 from ..operators import pairing, sampling, sync
 from ..sources import sinks
@@ -36,11 +37,13 @@ def analysed(media: DataFrame, make: Callable[[], Callable[[pd.DataFrame], pd.Da
 class BuildConfig:
     gates: MatchGates = field(default_factory=MatchGates)
     face_blur: float = 60.0
+    source_blur: float = 60.0
     mouth_blur: float = 40.0
     idle_ratio: float = 0.10
     idle_weight: float = 0.25
-    val_share: float = 0.15
+    val_share: float = 0.2
     salt: str = "split"
+    preview: int = 8
 
 
 def early_reason(config: BuildConfig):
@@ -60,7 +63,7 @@ def build(targets: DataFrame, sources: DataFrame, config: BuildConfig = BuildCon
     split within each persona, and a persona with fewer than two clips fails the build when a pair of it is read.
     """
     judged = targets.withColumn("early", early_reason(config))
-    usable = sources.where(F.col("landmark_valid") & F.col("bbox_continuity_valid") & F.col("embedding").isNotNull() & (F.col("face_blur") >= config.face_blur))
+    usable = sources.where(F.col("landmark_valid") & F.col("bbox_continuity_valid") & F.col("embedding").isNotNull() & (F.col("face_blur") >= config.source_blur))
     matched = pairing.decisions(judged.where("early is null"), usable, config.gates).drop("persona")
     joined = judged.join(matched, F.col("id") == F.col("target_id"), "left").withColumn("reason", F.coalesce("early", "reject_reason"))
     splits = sampling.group_split(targets, "persona", "clip_id", config.salt, config.val_share)
@@ -107,17 +110,46 @@ REASONS = (
 
 
 def report(decisions: DataFrame) -> DataFrame:
-    """Counts by reason, rates, and distributions of scores, similarities and alignments per clip, in one aggregate."""
+    """Per clip: counts by reason, rates, distributions of the measures and, as far as ``decisions`` has their columns, of blur, lags and correlations, and window counts."""
     kept = F.col("status") == "retained"
+    spread = lambda v: F.when(F.count(v) > 0, F.struct(*distribution(v)))
+    seen = {"blur_target_face": "face_blur", "blur_target_mouth": "mouth_blur", "best_lag": "best_lag", "correlation": "correlation", "identity_max_rejected_similarity": "max_rejected_similarity"}
+    spreads = {name: F.col(c) for name, c in seen.items() if c in decisions.columns} | {"identity_similarity": F.when(kept, F.col("identity_similarity")), "matching_score": F.when(kept, F.col("matching_score"))}
+    spreads |= {"valid_candidate_count": F.when(kept, F.col("valid_candidate_count")), "matching_score_margin": F.when(kept, F.col("score_margin"))}
+    # reasons that an analysis gave itself are counted too; a clip has a few
+    by_reason = decisions.where("reject_reason is not null").groupBy("clip_id", "reject_reason").agg(F.count("*").alias("n"))
+    named = by_reason.groupBy("clip_id").agg(F.map_from_entries(F.collect_list(F.struct("reject_reason", "n"))).alias("rejection_counts"))
     measures = ("matching_score", "identity_similarity", "stable_alignment", "mouth_delta", "score_margin")
-    return decisions.groupBy("clip_id").agg(
+    counted = decisions.groupBy("clip_id").agg(
         F.count("*").alias("frames"), F.count_if(kept).alias("retained"), (F.count_if(kept) / F.count("*")).alias("retained_share"),
         F.count_if(kept & F.col("speech")).alias("speech"), F.count_if(kept & ~F.col("speech")).alias("idle"), F.count_if(F.col("landmark_valid")).alias("landmarks"), F.count_if(F.col("bbox_continuity_valid")).alias("continuous"),
         *(F.count_if(F.col("reject_reason") == r).alias(r) for r in REASONS),
         F.count_if(kept & F.col("second_best_score").isNull()).alias("without_runner_up"), F.count_if(F.col("stable_failures") > 0).alias("stable_mismatch"), F.count_if(F.col("mouth_failures") > 0).alias("mouth_mismatch"),
         F.avg(F.when(kept, F.col("valid_candidate_count"))).alias("candidates_mean"), F.count_distinct(F.when(kept, F.col("source_id"))).alias("sources_used"),
         *(x for c in measures for x in (F.avg(F.when(kept, F.col(c))).alias(f"{c}_mean"), F.percentile(F.when(kept, F.col(c)), F.lit(0.5)).alias(f"{c}_p50"), F.percentile(F.when(kept, F.col(c)), F.lit(0.95)).alias(f"{c}_p95"))),
+        F.when(F.count_if(kept) > 0, "ready").otherwise("no_valid_samples").alias("clip_status"), F.count_if(F.col("speech")).alias("speech_windows"), F.count_if(~F.col("speech")).alias("idle_windows"),
+        F.count_if(F.col("confidence") == "low").alias("low_confidence_frames"),
+        *(spread(v.cast("double")).alias(f"{name}_distribution") for name, v in spreads.items()),
     )
+    return counted.join(named, "clip_id", "left").withColumn("rejection_counts", F.coalesce("rejection_counts", F.create_map().cast("map<string,bigint>")))
+
+
+def previews(pairs: DataFrame, count: int = 8) -> DataFrame:
+    """(group, rank, key, and the pair's columns): the first ``count`` pairs of nine groups; ties by target frame, then pair_id.
+
+    A pair is listed once for each group it may be in, and ranked within them: one scan, and no more than ``count`` rows of a group leave a task.
+    """
+    most = lambda *cs: F.greatest(*(F.abs(c) for c in cs))
+    c = F.col
+    keys = [
+        ("best_score", c("matching_score"), F.lit(True)), ("smallest_margin", c("score_margin"), c("score_margin").isNotNull()),
+        ("near_pose_threshold", -most(c("pose_delta_yaw"), c("pose_delta_pitch"), c("pose_delta_roll")), F.lit(True)), ("near_center_threshold", -most(c("center_delta_x"), c("center_delta_y")), F.lit(True)),
+        ("near_scale_threshold", -most(F.ln("width_ratio"), F.ln("height_ratio")), F.lit(True)), ("near_post_crop_threshold", -F.greatest("stable_alignment", "mouth_delta"), F.lit(True)),
+        ("near_identity_threshold", c("identity_similarity"), F.lit(True)), ("low_sync_confidence", c("matching_score"), c("confidence") == "low"), ("idle_retained", c("frame_idx"), c("is_idle")),
+    ]
+    listed = F.array_compact(F.array(*(F.when(may, F.struct(F.lit(name).alias("group"), key.cast("double").alias("key"))) for name, key, may in keys)))
+    each = pairs.select("*", F.inline(listed))
+    return sampling.top_by(each, ["group"], [F.col("key"), F.col("frame_idx"), F.col("pair_id")], count)
 
 
 def publish(pairs: DataFrame, decisions: DataFrame, live: str) -> None:

@@ -121,7 +121,13 @@ def test_snapshot_build(spark):
     assert sum(r["is_idle"] for r in kept) == 4 * 2 and {r["source_id"] for r in kept} == {9001}
     assert {r["sample_weight"] for r in kept if r["is_idle"]} == {0.25}
     assert len({r["split"] for r in kept}) == 2 and all(len({r["split"] for r in kept if r["clip_id"] == c}) == 1 for c in ("c0", "c1"))
-    assert snapshot.report(decisions).count() == 4
+    report = {r["clip_id"]: r for r in snapshot.report(decisions).collect()}
+    assert len(report) == 4
+    first = report["c0"]
+    assert first["rejection_counts"] == {"landmark_missing": 1, "face_too_small": 1, "target_face_blur": 1, "pose_geometry_no_match": 1, "idle_downsampled": 9}
+    assert (first["clip_status"], first["speech_windows"], first["idle_windows"], first["low_confidence_frames"]) == ("ready", 29, 11, 20)
+    assert (first["blur_target_face_distribution"]["count"], first["blur_target_face_distribution"]["min"], first["matching_score_distribution"]["count"]) == (40, 10.0, first["retained"])
+    assert first["matching_score_margin_distribution"] is None and "correlation_distribution" not in first.asDict()
 
 
 def test_plug_point_is_made_once_per_task(spark):
