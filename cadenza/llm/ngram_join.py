@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .census import census
 from .common import block_count, bounded_batches, keyed_docs, mixed, one_per_id, packed, unpacked, word_hashes, words_of, written
-from .components import components
+from .components import components, thinned
 
 WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK, FRAGMENTS = 5, 75, 5, 3, 500, 2_048, 4
 #: Sets of a component that one task holds twice, and how many of them a membership matrix has at a time.
@@ -435,7 +435,7 @@ def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
             made = listed.select("a", "na", F.col("all.b").alias("bs"), F.col("all.nb").alias("nbs"), F.col("all.other").alias("labels"))
         else:
             made = between_components(named, divided, size["entries"])
-        links = links.unionByName(written(verified(made, cut, cuts, size["sets"]), "links"))
+        links = links.unionByName(thinned(written(verified(made, cut, cuts, size["sets"]), "links")))
     return links
 
 

@@ -17,7 +17,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cadenza.llm import census, media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, suffixes, tokenids
+from cadenza.llm import census, components, media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, suffixes, tokenids
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block int, size string, n int, label string, sketch int, spans string, rep long, h int"
 PASSAGE = " ".join(f"word{i}" for i in range(60))
@@ -696,3 +696,15 @@ def test_stages_keep_columns_of_any_name(name, docs, labels, spark):
     assert rows and all(r[n] == f"{n}:{r['doc_id']}" for r in rows for n in names)
     empty = STAGES[name](odd.limit(0), labels)
     assert empty.columns == odd.columns and empty.collect() == []
+
+
+@pytest.mark.parametrize("most", [7, 100, 10_000])
+def test_thinned_links_join_the_same(spark, most):
+    dense = [(a, b) for a in range(30) for b in range(a)] + [(100 + i, 101 + i) for i in range(40)] + [(7, 7), (500, 501), (500, 501), (501, 500)]
+    links = spark.createDataFrame(dense, "a long, b long").repartition(5)
+    thin = components.thinned(links, most)
+    assert set(map(tuple, thin.collect())) <= set(dense)
+    assert sorted(map(tuple, components.components(thin).collect())) == sorted(map(tuple, components.components(links).collect()))
+    if most == 10_000:
+        assert thin.count() == 29 + 40 + 1
+    assert components.thinned(links.limit(0)).isEmpty()
