@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, ngram_join, ngrams, pieces, quality, secrets, sketch, suffixes, tokenids
+from . import clusters, lexical, media, mixing, ngram_join, ngrams, personal, pieces, quality, secrets, sketch, suffixes, tokenids
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(_documents(spark, sf_dir))
 
 
+def op11_yinyang_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.scan(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_features": op1_media_features,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -64,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
+    "op11_yinyang_clusters": op11_yinyang_clusters,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_personal_data": op13_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_jaccard": ngram_join.ORACLE,
@@ -71,4 +86,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_secrets": secrets.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op10_fingerprints": sketch.ORACLE,
+    "op11_yinyang_clusters": clusters.ORACLE,
+    "op12_lexical_search": lexical.ORACLE,
+    "op13_personal_data": personal.ORACLE,
 }
