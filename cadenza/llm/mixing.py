@@ -4,8 +4,8 @@ Documents are aggregated by membership pattern (the set of sources they belong t
 routes each pattern's words to the quotas of its sources; the k-th repetition of a pattern costs
 k, so repetitions are spread before they are stacked. Everything is a DataFrame, whatever the
 number of sources: their order and the level at which shares stop come from running sums over
-ranges, a pattern that shares its only source with no other needs no search, and the others are
-routed in one task per group of sources that overlap (it holds totals, not documents).
+ranges, and groups of sources that overlap are routed many to a task, never cut (a task holds totals
+of patterns, not documents).
 
 A pattern's words become whole documents: every document is taken floor(flow / size) times, and
 those first in a seeded order once more until the rest is used up. The order is cut into bins
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from .components import components
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MAX_REPEATS, SEED, BINS_HEX = (5, 2, 1), 1.5, 2, "mix:", 3
+#: Arcs between patterns and sources that a task routes at once, on average.
+ARCS = 5_000
 
 
 def flow(capacity: Sequence[float], members: Sequence[Sequence[int]], quota: Sequence[float], most: int = MAX_REPEATS) -> list[float]:
@@ -134,33 +137,34 @@ def targets(sizes: DataFrame, total: float, weights: Sequence[float] = WEIGHTS,
     return known.select("source", "source_size", F.least(F.col("most").cast("double"), F.col("level") * F.col("weight")).alias("target"), F.col("node").cast("long").alias("node"))
 
 
-def routed(patterns: DataFrame, quotas: DataFrame, overlap: bool, most: int = MAX_REPEATS) -> DataFrame:
+def routed(patterns: DataFrame, quotas: DataFrame, overlap: bool, arcs: int, most: int = MAX_REPEATS) -> DataFrame:
     """(pattern, flow): patterns (pattern, words, sources) routed to quotas (source, source_size, target, node).
 
-    Without ``overlap`` no pattern has more than one source, so each has its quota to itself.
+    Groups of sources that overlap don't touch each other, so a task routes many groups in one flow: about
+    ARCS of the ``arcs`` between patterns and sources, a group never cut. Without ``overlap`` every
+    pattern has one source, which is its group.
     """
-    if not overlap:
-        own = quotas.select(pattern_of(F.array("source")).alias("pattern"), "target")
-        return patterns.join(own, "pattern").select("pattern", F.least("target", (F.col("words") * most).cast("double")).alias("flow"))
     named = quotas.select(F.col("source").alias("of_source"), "target", "node")
-    arcs = written(patterns.select("pattern", "words", F.size("sources").alias("width"), F.explode("sources").alias("source")).join(named, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source", "source"), "mix-arcs")
-    shared = arcs.groupBy("node").agg(F.count("*").alias("patterns"))
-    judged = arcs.join(shared, "node").withColumn("alone", (F.col("width") == 1) & (F.col("patterns") == 1))
-    alone = judged.where("alone").select("pattern", F.least("target", (F.col("words") * most).cast("double")).alias("flow"))
-    several = written(judged.where("not alone").select("pattern", "words", "node", "target"), "mix-overlaps")
-    first = several.groupBy("pattern").agg(F.min("node").alias("first"))
-    links = several.join(first, "pattern").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    group = several.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    found = patterns.select("pattern", "words", F.explode("sources").alias("source")).join(named, F.col("source").eqNullSafe(F.col("of_source"))).select("pattern", "words", "node", "target")
+    if overlap:
+        found = written(found, "mix-arcs")
+        first = found.groupBy("pattern").agg(F.min("node").alias("first"))
+        links = found.join(first, "pattern").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+        found = found.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    else:
+        found = found.withColumn("label", F.col("node"))
 
     def route(arcs_of: pd.DataFrame) -> pd.DataFrame:
         arcs_of = arcs_of.sort_values(["pattern", "node"])
         names, first = arcs_of["pattern"].unique(), arcs_of.drop_duplicates("pattern")
         nodes = arcs_of.drop_duplicates("node")
         place = {node: i for i, node in enumerate(nodes["node"])}
-        members = [[place[x] for x in own] for _, own in arcs_of.groupby("pattern", sort=False)["node"]]
+        starts = arcs_of["pattern"].ne(arcs_of["pattern"].shift()).to_numpy().nonzero()[0]
+        members = [[place[x] for x in own] for own in np.split(arcs_of["node"].to_numpy(), starts[1:])]
         return pd.DataFrame({"pattern": names, "flow": flow(first["words"].tolist(), members, nodes["target"].tolist(), most)})
 
-    return alone.unionByName(group.groupBy("label").applyInPandas(route, "pattern string, flow double"))
+    part = F.pmod(F.xxhash64("label"), F.lit(max(1, -(-arcs // ARCS))))
+    return found.withColumn("part", part).groupBy("part").applyInPandas(route, "pattern string, flow double")
 
 
 def word_count(text: Column) -> Column:
@@ -175,10 +179,10 @@ def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SH
     """From (sources array<string>, size): per source (source, source_size, target), per pattern (pattern, words, flow)."""
     patterns = written(sized.groupBy(pattern_of(F.col("sources")).alias("pattern")).agg(F.sum("size").alias("words"), F.first(F.array_distinct("sources")).alias("sources")), "mix-patterns")
     sizes = patterns.select("words", F.explode("sources").alias("source")).groupBy("source").agg(F.sum("words").alias("source_size"))
-    whole = patterns.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.max(F.size("sources")), F.lit(0)).alias("width")).first()
+    whole = patterns.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.max(F.size("sources")), F.lit(0)).alias("width"), F.coalesce(F.sum(F.size("sources")), F.lit(0)).alias("arcs")).first()
     by_source = written(targets(sizes, share * whole["words"], weights, most), "mix-targets")
     # a pattern without sources has no arc, and no flow
-    by_pattern = patterns.select("pattern", "words").join(routed(patterns, by_source, whole["width"] > 1, most), "pattern", "left")
+    by_pattern = patterns.select("pattern", "words").join(routed(patterns, by_source, whole["width"] > 1, whole["arcs"], most), "pattern", "left")
     capped = F.least(F.coalesce("flow", F.lit(0.0)), (F.col("words") * most).cast("double"))
     return by_source.drop("node"), by_pattern.select("pattern", "words", capped.alias("flow"))
 

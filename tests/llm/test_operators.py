@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import math
 import re
 import struct
@@ -528,6 +529,26 @@ def test_mix_of_overlapping_sources(spark):
     assert all(abs(taken[p] - f) <= 8.5 for p, f in flows.items())
 
 
+def test_mix_of_many_overlaps(spark):
+    """Chains of overlapping sources, many groups a task, against one flow over all of them."""
+    r = np.random.default_rng(17)
+    rows = []
+    for g in range(60):
+        for i in range(12):
+            own = sorted({f"g{g}-{int(x)}" for x in r.integers(0, 4, int(r.integers(1, 3)))})
+            rows.append((f"{g}:{i}", own, int(r.integers(1, 50))))
+    sized = spark.createDataFrame(rows, "row_key string, sources array<string>, size long").repartition(3)
+    by_source, by_pattern = mixing.plan(sized)
+    quota = {x["source"]: x["target"] for x in by_source.collect()}
+    found = {x["pattern"]: (x["words"], x["flow"]) for x in by_pattern.collect()}
+    names, places = sorted(found), {s: i for i, s in enumerate(sorted(quota))}
+    members = [[places[s] for s in json.loads(p)] for p in names]
+    want = mixing.flow([found[p][0] for p in names], members, [quota[s] for s in sorted(quota)])
+    cost = lambda flows: sum(f + max(0.0, f - found[p][0]) for p, f in zip(names, flows, strict=True))
+    assert sum(f for _, f in found.values()) == pytest.approx(sum(want))
+    assert cost([found[p][1] for p in names]) == pytest.approx(cost(want))
+
+
 def test_mix_of_many_sources(spark):
     """200,000 sources, against the water level found directly."""
     n = 200_000
