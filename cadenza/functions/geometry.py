@@ -126,6 +126,10 @@ class MatchGates:
     low_height: float | None = None
     high_height: float | None = None
 
+    def __post_init__(self) -> None:
+        if min(self.yaw, self.pitch, self.roll, *self.centers()) <= 0:
+            raise ValueError("gates of angles and centres have to be above 0: scores are differences in units of their gates")
+
     def centers(self) -> tuple[float, float]:
         return self.center, self.center if self.center_y is None else self.center_y
 

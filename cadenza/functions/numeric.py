@@ -41,10 +41,6 @@ def distribution(x: Column) -> list[Column]:
     ]
 
 
-def summary(x: Column) -> list[Column]:
-    return [F.count(x).alias("count"), F.avg(x).alias("mean"), F.min(x).alias("min"), *(F.percentile(x, p / 100).alias(f"p{p:02d}") for p in (5, 50, 95)), F.max(x).alias("max")]
-
-
 def weighted_mean(x: Column, weight: Column) -> Column:
     """Null where no weight is positive, or any weight is negative or not finite."""
     fair = (F.min(weight) >= 0) & (F.sum(weight) > 0) & (F.count_if(finite(weight).isNull() | finite(x).isNull()) == 0)

@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import psnr
+from ..functions.numeric import finite, psnr
+from .quantiles import quantiles, with_quantiles
+from .scans import same
 
 
 def pooled_errors(df: DataFrame, group: list[str], mae: str, rmse: str, most: str, ssim: str | None = None) -> DataFrame:
@@ -17,15 +19,30 @@ def pooled_errors(df: DataFrame, group: list[str], mae: str, rmse: str, most: st
     return df.groupBy(*group).agg(*aggs)
 
 
+def distributions(df: DataFrame, group: list[str], x: Column) -> DataFrame:
+    """Per group, over finite values: count, min, max, mean, population deviation, exact linear p50 and p90."""
+    v = finite(x)
+    rows = df.groupBy(*group).agg(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
+    both = with_quantiles(rows, quantiles(df, group, {"__q": v}, [0.5, 0.9]), group)
+    return both.withColumns({"p50": F.get("__q", F.lit(0)), "p90": F.get("__q", F.lit(1))}).drop("__q")
+
+
+def summaries(df: DataFrame, group: list[str], x: Column) -> DataFrame:
+    """Per group: count, mean, min, exact linear p05, p50 and p95, max."""
+    rows = df.groupBy(*group).agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"))
+    both = with_quantiles(rows, quantiles(df, group, {"__q": x}, [0.05, 0.5, 0.95]), group)
+    return both.select(*group, "count", "mean", "min", *(F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(("p05", "p50", "p95"))), "max")
+
+
 def bucket_stats(df: DataFrame, group: list[str], by: str, values: list[str]) -> DataFrame:
     """Quartile buckets of ``by`` per group (the last one closed): count, bounds, mean and deviation of ``values``.
 
-    Bounds are exact percentiles, one row per group, joined back; empty buckets have no row.
+    Bounds are exact quantiles, one row per group, joined back; empty buckets have no row.
     """
-    bounds = df.groupBy(*group).agg(F.percentile(by, F.array(*(F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)))).alias("__q"))
+    bounds = quantiles(df, group, {"__q": F.col(by)}, [0.0, 0.25, 0.5, 0.75, 1.0]).withColumnsRenamed({k: f"__of_{k}" for k in group})
     q = [F.get("__q", F.lit(i)) for i in range(5)]
     bucket = F.when(F.col(by) < q[1], 0).when(F.col(by) < q[2], 1).when(F.col(by) < q[3], 2).otherwise(3)
-    marked = df.join(bounds, group).withColumn("bucket", bucket.cast("long"))
+    marked = df.join(bounds, same([(F.col(k), F.col(f"__of_{k}")) for k in group])).withColumn("bucket", bucket.cast("long"))
     low, high = F.first(F.get("__q", F.col("bucket").cast("int"))), F.first(F.get("__q", F.col("bucket").cast("int") + 1))
     stats = [x for v in values for x in (F.avg(v).alias(f"{v}_mean"), F.stddev_pop(v).alias(f"{v}_std"))]
     return marked.groupBy(*group, "bucket").agg(F.count("*").alias("count"), low.alias("low"), high.alias("high"), *stats)
@@ -63,15 +80,6 @@ def audit_status(checks: DataFrame, status: str = "status") -> DataFrame:
     return checks.agg(F.when(worst == 2, "failed").when(worst == 1, "blocked").otherwise("target_met").alias("status"), F.count("*").alias("checks"), F.count_if(F.col(status) == "failed").alias("failed"))
 
 
-def grid_search(params: DataFrame, samples: DataFrame, error: Column, keys: list[str], ordinal: str) -> DataFrame:
-    """Mean error of every parameter row over all samples, with its rank; the first parameters win ties.
-
-    The parameter grid is a stated query set of known size; samples stream past it.
-    """
-    scored = samples.join(F.broadcast(params)).withColumn("__e", error)  # the grid is built by the caller from ranges
-    return scored.groupBy(*keys, ordinal).agg(F.round(F.avg("__e"), 9).alias("mean_error"))
-
-
 def proposals(df: DataFrame, keys: list[str], stride: int, scores: str = "scores", offsets: str = "offsets", least: float = 0.3) -> DataFrame:
     """A detector head's proposals: (keys, box_id, x1, y1, x2, y2, score) of every cell that scores ``least`` or more, for ``suppressed``.
 

@@ -3,7 +3,9 @@
 A pair has to pass seven range gates (pose, centre, size ratio), then an identity gate on the cosine
 of its embeddings, then two alignment gates (stable landmarks, mouth centre); of what is left the
 lowest score wins, ties to the smaller source frame. Every target gets one decision with the first
-reason that applies; a target without box, pose or embedding is decided before any candidate.
+reason that applies. A target without box or pose is decided before any candidate; embeddings count
+only once geometry has: a target without one is told so where some source is in reach, and sources
+without one are in reach but neither alike nor mismatches.
 
 The join is an equi-join: yaw, pitch and horizontal centre are cut into bins as wide as their gates
 and each source is listed in its own and the neighbouring bins, so a persona whose frames all look
@@ -56,16 +58,16 @@ def in_reach(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGa
 
 
 def candidates(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
-    """Pairs in reach with score, similarity, alignment and mouth_delta.
+    """Pairs in reach with score, similarity, alignment and mouth_delta; ``compared`` if both sides have an embedding.
 
     Both sides have persona, id, GEOMETRY, embedding, point (array<double> of aligned coordinates of the
     stable landmarks) and mouth (array<double>, the mouth's centre likewise).
     """
-    own = lambda df, p: df.select(F.col("id").alias("target_id" if p == "t" else "source_id"), unit(F.col("embedding")).alias(f"{p}_unit"), F.col("point").alias(f"{p}_point"), F.col("mouth").alias(f"{p}_mouth"))
+    own = lambda df, p: df.select(F.col("id").alias("target_id" if p == "t" else "source_id"), unit(F.col("embedding")).alias(f"{p}_unit"), F.col("embedding").isNotNull().alias(f"{p}_known"), F.col("point").alias(f"{p}_point"), F.col("mouth").alias(f"{p}_mouth"))
     pairs = in_reach(targets, sources, gates).join(own(targets, "t"), "target_id").join(own(sources, "s"), "source_id")
     square = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y)
     return pairs.select(
-        "persona", "target_id", "source_id", *(f"d_{c}" for c in GEOMETRY), dot(F.col("t_unit"), F.col("s_unit")).alias("similarity"),
+        "persona", "target_id", "source_id", *(f"d_{c}" for c in GEOMETRY), dot(F.col("t_unit"), F.col("s_unit")).alias("similarity"), (F.col("t_known") & F.col("s_known")).alias("compared"),
         F.sqrt(square("t_point", "s_point") / F.size("t_point")).alias("alignment"), F.sqrt(square("t_mouth", "s_mouth")).alias("mouth_delta"),
         match_score({c: F.col(f"d_{c}") for c in GEOMETRY}, gates).alias("score"),
     )
@@ -77,7 +79,7 @@ def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchG
     for c in GEOMETRY[1:]:
         seen = seen & F.col(c).isNotNull()
     known = F.col("embedding").isNotNull()
-    pairs = candidates(targets.where(seen & known), sources.where(seen & known), gates)
+    pairs = candidates(targets.where(seen), sources.where(seen), gates)
     alike = F.coalesce(F.col("similarity") >= gates.similarity, F.lit(False))
     stable, mouth = F.coalesce(F.col("alignment") <= gates.alignment, F.lit(False)), F.coalesce(F.col("mouth_delta") <= gates.mouth, F.lit(False))
     # one shuffle by target serves the ranking and the counts
@@ -86,7 +88,7 @@ def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchG
     pick = lambda c, n: F.max(F.when(F.col("__rank") == n, F.col(c)))
     counts = scored.groupBy("target_id").agg(
         F.count("*").alias("geometry_count"), F.count_if("__alike").alias("identity_count"), F.count_if("__good").alias("valid_candidate_count"),
-        F.count_if(~F.col("__alike")).alias("identity_mismatch_count"), F.max(F.when(~F.col("__alike"), F.col("similarity"))).alias("max_rejected_similarity"),
+        F.count_if(F.col("compared") & ~F.col("__alike")).alias("identity_mismatch_count"), F.max(F.when(~F.col("__alike"), F.col("similarity"))).alias("max_rejected_similarity"),
         F.count_if(F.col("__alike") & ~F.col("__stable")).alias("stable_failures"), F.count_if(F.col("__alike") & ~F.col("__mouth")).alias("mouth_failures"),
         *(pick(c, 1).alias(c) for c in ("source_id", "score", "similarity", "alignment", "mouth_delta", *(f"d_{c}" for c in GEOMETRY))), pick("score", 2).alias("second"),
     )
@@ -94,7 +96,7 @@ def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchG
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     none = count("valid_candidate_count") == 0
     reason = (
-        F.when(~F.col("__seen"), "invalid_target_observation").when(~F.col("__known"), "identity_embedding_missing").when(count("geometry_count") == 0, "pose_geometry_no_match")
+        F.when(~F.col("__seen"), "invalid_target_observation").when(count("geometry_count") == 0, "pose_geometry_no_match").when(~F.col("__known"), "identity_embedding_missing")
         .when(F.col("identity_count") == 0, "identity_mismatch").when(none, "post_crop_alignment_mismatch")
     )
     # failures explain a target without match; a match doesn't report those of its rivals

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import spread_index
+from .scans import SEGMENT, around, same
 
 
 def group_split(ids: DataFrame, group: str, column: str, salt: str, share: float) -> DataFrame:
@@ -74,34 +75,40 @@ def capped_silence(df: DataFrame, clip: str, order: str, silent: Column, share:
     return marked.withColumns({"__cap": cap, "__place": place}).where(~F.col("__silent") | (F.col("__place") <= F.col("__cap"))).drop("__silent", "__cap", "__place")
 
 
-def nearest_distance(df: DataFrame, clip: str, order: str, of: Column, out: str = "distance") -> DataFrame:
-    """Index distance to the nearest row of the clip where ``of`` holds; windows both ways instead of a join."""
-    w = Window.partitionBy(clip).orderBy(order)
-    at = F.when(of, F.col(order))
-    before = F.last(at, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(at, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return df.withColumn(out, F.least(F.col(order) - before, after - F.col(order)))
+def nearest_distance(df: DataFrame, clip: str, order: str, of: Column, out: str = "distance", segment: int = SEGMENT) -> DataFrame:
+    """Index distance to the nearest row of the clip where ``of`` holds, by scans both ways."""
+    near = around(df.withColumn("__at", F.col(order)), clip, order, of, ["__at"], segment)
+    return near.withColumn(out, F.least(F.col(order) - F.col("__before.__at"), F.col("__after.__at") - F.col(order))).drop("__at", "__pos", "__before", "__after")
 
 
-def idle_sample(df: DataFrame, clip: str, order: str, idle: Column, ratio: float) -> DataFrame:
+def is_spread(place: Column, size: Column, picks: Column) -> Column:
+    """Whether the 0-based ``place`` is one of ``picks`` evenly spread picks among ``size``.
+
+    The pick that could be there is found by one division; its neighbours are tried for rounding.
+    """
+    guess = F.floor(place / ((size - 1) / (picks - 1)))
+    met = F.lit(False)
+    for k in (guess - 1, guess, guess + 1):
+        met = met | ((k >= 0) & (k < picks) & (spread_index(k, size, picks) == place))
+    return F.when(picks <= 1, place == 0).otherwise(F.coalesce(met, F.lit(False)))
+
+
+def idle_sample(df: DataFrame, clip: str, order: str, idle: Column, ratio: float, segment: int = SEGMENT) -> DataFrame:
     """Of a clip's idle rows floor(speech * ratio): the four times as many that are nearest to speech, evenly thinned."""
     w = Window.partitionBy(clip)
-    near = nearest_distance(df.withColumn("__idle", idle), clip, order, ~F.col("__idle"), "__gap")
-    near = near.withColumn("__limit", F.floor(F.count_if(~F.col("__idle")).over(w) * ratio)).where(F.col("__idle") & (F.col("__limit") > 0))
+    near = nearest_distance(df.withColumn("__idle", idle), clip, order, ~F.col("__idle"), "__gap", segment)
+    speech = df.groupBy(F.col(clip).alias("__clip")).agg(F.floor(F.count_if(~idle) * ratio).alias("__limit")).where("__limit > 0")
+    near = near.where("__idle").join(speech, same([(F.col(clip), F.col("__clip"))])).drop("__clip")
     ranked = near.withColumn("__rank", F.row_number().over(w.orderBy("__gap", order))).where(F.col("__rank") <= 4 * F.col("__limit"))
-    placed = ranked.withColumns({"__k": F.row_number().over(w.orderBy(order)) - 1, "__m": F.count("*").over(w)})
-    picks = F.least("__m", "__limit")
-    chosen = F.transform(F.sequence(F.lit(0), (picks - 1).cast("int")), lambda k: spread_index(k, F.col("__m"), picks))
-    return placed.where(F.array_contains(chosen, F.col("__k").cast("long"))).drop("__idle", "__gap", "__limit", "__rank", "__k", "__m")
+    placed = ranked.withColumns({"__k": (F.row_number().over(w.orderBy(order)) - 1).cast("long"), "__m": F.count("*").over(w)})
+    return placed.where(is_spread(F.col("__k"), F.col("__m"), F.least("__m", "__limit"))).drop("__idle", "__gap", "__limit", "__rank", "__k", "__m")
 
 
 def spread_picks(df: DataFrame, clip: str, order: str, picks: int) -> DataFrame:
     """``picks`` evenly spread rows of each clip (all, if there are fewer)."""
     w = Window.partitionBy(clip)
     placed = df.withColumns({"__k": (F.row_number().over(w.orderBy(order)) - 1).cast("long"), "__m": F.count("*").over(w)})
-    many = F.least(F.col("__m"), F.lit(picks))
-    chosen = F.transform(F.sequence(F.lit(0), (many - 1).cast("int")), lambda k: spread_index(k, F.col("__m"), many))
-    return placed.where(F.array_contains(chosen, F.col("__k"))).drop("__k", "__m")
+    return placed.where(is_spread(F.col("__k"), F.col("__m"), F.least(F.col("__m"), F.lit(picks)))).drop("__k", "__m")
 
 
 def first_groups(df: DataFrame, group: str, order: str, groups: int, rows: int) -> DataFrame:

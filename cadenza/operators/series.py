@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
+from .scans import SEGMENT, around
+
 
 def folded(df: DataFrame, clip: str, order: str, columns: list[str], start: Callable[[], object], step: Callable[[object, np.ndarray], tuple[object, tuple]], fields: list[StructField]) -> DataFrame:
     """Carry a state through each clip's rows in order; ``step`` returns the next state and the row's new fields.
@@ -78,46 +80,29 @@ def small_jump(width: float, height: float, most: float = 0.25) -> Callable[[np.
     return lambda a, b: np.hypot((a[0] + a[2] - b[0] - b[2]) / 2, (a[1] + a[3] - b[1] - b[3]) / 2) / diagonal <= most
 
 
-def _around(df: DataFrame, clip: str, order: str, present: Column) -> DataFrame:
-    """Adds __pos and, of the nearest rows with a value before and after, their positions."""
-    w = Window.partitionBy(clip).orderBy(order)
-    placed = df.withColumn("__pos", F.row_number().over(w))
-    at = F.when(present, F.col("__pos"))
-    return placed.withColumns({
-        "__before": F.last(at, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "__after": F.first(at, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-    })
-
-
-def _ends(clip: str, order: str, column: str) -> tuple[Column, Column]:
-    w = Window.partitionBy(clip).orderBy(order)
-    before = F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return before, F.first(column, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-
-
-def fill_short_gaps(df: DataFrame, clip: str, order: str, columns: list[str], longest: int, flag: str = "interpolated") -> DataFrame:
+def fill_short_gaps(df: DataFrame, clip: str, order: str, columns: list[str], longest: int, flag: str = "interpolated", segment: int = SEGMENT) -> DataFrame:
     """Fill inner runs of nulls no longer than ``longest``: linear by place in the run, halves to even.
 
     Leading and trailing runs stay null. All columns are null together.
     """
-    around = _around(df, clip, order, F.col(columns[0]).isNotNull())
-    gap = F.col("__after") - F.col("__before") - 1
+    near = around(df, clip, order, F.col(columns[0]).isNotNull(), columns, segment)
+    gap = F.col("__after.at") - F.col("__before.at") - 1
     fills = F.col(columns[0]).isNull() & (gap <= longest)
-    share = (F.col("__pos") - F.col("__before")) / (gap + 1)
+    share = (F.col("__pos") - F.col("__before.at")) / (gap + 1)
     made = {}
     for c in columns:
-        a, b = _ends(clip, order, c)
+        a, b = F.col(f"__before.{c}"), F.col(f"__after.{c}")
         made[c] = F.when(fills, F.rint(a + (b - a) * share).cast(dict(df.dtypes)[c])).otherwise(F.col(c))
-    return around.withColumns(made | {flag: F.coalesce(fills, F.lit(False))}).drop("__pos", "__before", "__after")
+    return near.withColumns(made | {flag: F.coalesce(fills, F.lit(False))}).drop("__pos", "__before", "__after")
 
 
-def fill_signal(df: DataFrame, clip: str, order: str, column: str, out: str) -> DataFrame:
+def fill_signal(df: DataFrame, clip: str, order: str, column: str, out: str, segment: int = SEGMENT) -> DataFrame:
     """Linear inside, nearest value at the ends, 0 where a clip has no value."""
-    around = _around(df, clip, order, F.col(column).isNotNull())
-    a, b = _ends(clip, order, column)
-    share = (F.col("__pos") - F.col("__before")) / (F.col("__after") - F.col("__before"))
+    near = around(df, clip, order, F.col(column).isNotNull(), [column], segment)
+    a, b = F.col(f"__before.{column}"), F.col(f"__after.{column}")
+    share = (F.col("__pos") - F.col("__before.at")) / (F.col("__after.at") - F.col("__before.at"))
     value = F.coalesce(F.col(column), a + (b - a) * share, a, b, F.lit(0.0))
-    return around.withColumn(out, value).drop("__pos", "__before", "__after")
+    return near.withColumn(out, value).drop("__pos", "__before", "__after")
 
 
 def smooth_by_index(df: DataFrame, clip: str, order: str, columns: list[str], radius: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import SEGMENT, around
+
 
 def window_starts(frames: DataFrame, clip: str, width: int, stride: int) -> DataFrame:
     """(clip, window_id, start, stop): every ``stride`` frames, and one more that ends at the last frame if needed.
@@ -19,16 +21,19 @@ def window_starts(frames: DataFrame, clip: str, width: int, stride: int) -> Data
 
 
 def window_frames(frames: DataFrame, clip: str, width: int, stride: int) -> DataFrame:
-    """Frames with the windows they lie in. A frame finds its windows by arithmetic: an equi-join on the start, not a range join."""
-    windows = window_starts(frames, clip, width, stride)
+    """Frames with the windows they lie in (window_id, start, stop), which a frame finds by arithmetic: no join."""
     pos = F.col("frame_idx") - 1
-    frames = frames.withColumn("__n", F.max("frame_idx").over(Window.partitionBy(clip)))
+    n = F.max("frame_idx").over(Window.partitionBy(clip)).cast("long")
     last = F.greatest(F.col("__n") - width, F.lit(0))
-    low = F.greatest(F.lit(0), F.ceil((pos - width + 1) / stride) * stride)
-    high = F.least(F.floor(pos / stride) * stride, last)
-    regular = F.when(high >= low, F.sequence(low.cast("long"), high.cast("long"), F.lit(stride).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    ending = F.when(pos >= last, F.array(last.cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    return frames.withColumn("start", F.explode(F.array_union(regular, ending))).drop("__n").join(windows, [clip, "start"])
+    regular = F.floor(last / stride)  # the last regular start's number
+    low = F.greatest(F.lit(0), F.ceil((pos - width + 1) / stride)).cast("long")
+    high = F.least(F.floor(pos / stride), regular).cast("long")
+    none = F.array().cast("array<bigint>")
+    numbers = F.when(high >= low, F.sequence(low, high)).otherwise(none)
+    ending = F.when((last % stride != 0) & (pos >= last), F.array((regular + 1).cast("long"))).otherwise(none)
+    placed = frames.withColumn("__n", n).withColumn("window_id", F.explode(F.concat(numbers, ending)))
+    start = F.least(F.col("window_id") * stride, last).cast("long")
+    return placed.withColumn("start", start).withColumn("stop", F.least(F.col("start") + width, F.col("__n"))).drop("__n")
 
 
 def speech_windows(frames: DataFrame, clip: str, level: str, width: int, stride: int, voiced: float, share: float) -> DataFrame:
@@ -41,23 +46,34 @@ def best_lags(frames: DataFrame, clip: str, left: str, right: str, width: int, s
 
     A lag pairs left[i] with right[i + lag] inside the window. Flat series correlate 0. Ties go to the
     smaller absolute lag, then the smaller lag. Correlations are rounded to 9 places before ranking.
+
+    A frame brings the values that each lag pairs it with; a window's co-moments come from one aggregation,
+    which merges partial ones before the exchange and is stable where differences of running sums
+    would lose a nearly flat window.
     """
-    inside = window_frames(frames, clip, width, stride)
-    values = inside.groupBy(clip, "window_id", "start", "stop").agg(F.array_sort(F.collect_list(F.struct("frame_idx", F.col(left).alias("l"), F.col(right).alias("r")))).alias("v"))
-    reach = F.least(F.lit(most), F.greatest(F.lit(0), F.size("v") - 2))
-    lags = values.withColumn("lag", F.explode(F.sequence(-reach, reach)))
-    n = F.size("v") - F.abs("lag")
-    ls = F.slice("v", F.greatest(F.lit(0), -F.col("lag")) + 1, n)
-    rs = F.slice("v", F.greatest(F.lit(0), F.col("lag")) + 1, n)
-    pairs = lags.select(clip, "window_id", "lag", F.transform(ls, lambda x: x["l"]).alias("a"), F.transform(rs, lambda x: x["r"]).alias("b"), n.alias("n"))
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
-    pairs = pairs.withColumns({"ma": total("a") / F.col("n"), "mb": total("b") / F.col("n")})
-    pairs = pairs.withColumns({"a": F.transform("a", lambda x: x - F.col("ma")), "b": F.transform("b", lambda x: x - F.col("mb"))})
-    dots = lambda x, y: total(F.zip_with(x, y, lambda p, q: p * q))
-    scale = F.sqrt(dots("a", "a")) * F.sqrt(dots("b", "b"))
-    ranked = pairs.select(clip, "window_id", F.col("lag").cast("long").alias("lag"), F.round(F.when(scale > 1e-12, dots("a", "b") / scale).otherwise(0.0), 9).alias("correlation"))
-    best = Window.partitionBy(clip, "window_id").orderBy(F.desc("correlation"), F.abs("lag"), "lag")
-    return ranked.withColumn("__rank", F.row_number().over(best)).where("__rank = 1").drop("__rank")
+    lags = range(-most, most + 1)
+    name = lambda lag: f"__r{lag + most}"
+    order = Window.partitionBy(clip).orderBy("frame_idx")
+    led = frames.withColumns({name(lag): F.lead(right, lag).over(order).cast("double") for lag in lags})
+    inside = window_frames(led.select(clip, "frame_idx", F.col(left).cast("double").alias("__l"), *map(name, lags)), clip, width, stride)
+    moments = []
+    for lag in lags:
+        met = F.col("frame_idx") - 1 + lag
+        paired = (met >= F.col("start")) & (met < F.col("stop"))
+        x, y = F.when(paired, F.col("__l")), F.when(paired, F.col(name(lag)))
+        moments.append(F.struct(F.covar_pop(x, y).alias("xy"), F.var_pop(x).alias("xx"), F.var_pop(y).alias("yy"), F.count(F.when(paired, 1)).alias("n")))
+    sums = inside.groupBy(clip, "window_id", "start", "stop").agg(F.array(*moments).alias("moments"))
+
+    def candidate(place: int, lag: int) -> Column:
+        m = F.col("moments")[place]
+        scale = F.sqrt(m["xx"] * m["n"]) * F.sqrt(m["yy"] * m["n"])
+        correlation = F.round(F.when(scale > 1e-12, m["xy"] * m["n"] / scale).otherwise(0.0), 9)
+        one = F.struct((-correlation).alias("falling"), F.lit(abs(lag)).alias("apart"), F.lit(lag).cast("long").alias("lag"), correlation.alias("correlation"))
+        reach = F.least(F.lit(most), F.greatest(F.lit(0), F.col("stop") - F.col("start") - 2))
+        return F.when(F.lit(abs(lag)) <= reach, one)
+
+    best = F.array_min(F.array_compact(F.array(*(candidate(i, lag) for i, lag in enumerate(lags)))))
+    return sums.withColumn("__best", best).select(clip, "window_id", "__best.lag", "__best.correlation")
 
 
 def center(start: Column, stop: Column) -> Column:
@@ -102,5 +118,20 @@ def nearest_window(frames: DataFrame, clip: str, width: int, stride: int) -> Dat
     return placed.withColumn("__w", nearest).select(*frames.columns, "__w.window_id", "__w.start", "__w.center")
 
 
+def nearest_of(frames: DataFrame, windows: DataFrame, clip: str, at: str, center: str, number: str, segment: int = SEGMENT) -> DataFrame:
+    """``frames`` with the ``number`` and ``center`` of the window of their clip whose centre is nearest to ``at``; ties to the smaller number.
+
+    The windows are a table and may lie anywhere. Both sides are put into one order and scanned both ways: the
+    nearest centre before a frame and the nearest behind it are the only candidates. Frames of a clip without
+    windows get nulls. Windows without clip, centre or number are left out.
+    """
+    points = windows.where(F.col(center).isNotNull() & F.col(number).isNotNull()).groupBy(F.col(clip).alias("__c"), F.col(center).cast("double").alias("__x")).agg(F.min(number).alias("__id"))
+    rows = frames.select(F.col(clip).alias("__c"), F.col(at).cast("double").alias("__x"), F.struct(*frames.columns).alias("__row"))
+    both = around(rows.unionByName(points, allowMissingColumns=True).withColumn("__center", F.col("__x")), "__c", "__x", F.col("__id").isNotNull(), ["__id", "__center"], segment)
+    side = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.__center") - F.col("__x")).alias("gap"), F.col(f"{c}.__id").alias("id"), F.col(f"{c}.__center").alias("center")))
+    nearest = F.array_min(F.array_compact(F.array(side("__before"), side("__after"))))
+    return both.where(F.col("__row").isNotNull()).withColumn("__w", nearest).select("__row.*", F.col("__w.id").alias(number), F.col("__w.center").alias(center))
+
+
 def reject_reason(has_speech: Column, correlation: Column, lag: Column, least: float = 0.20, most: int = 2) -> Column:
     return F.when(has_speech & (correlation >= least) & (F.abs(lag) > most), "sync_lag")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, numeric, vectors
 from ..operators import metrics
+from ..operators.quantiles import quantiles, with_quantiles
 from .standins import BOXES, FRAMES, HEIGHT, WIDTH, boxes, frames, table
 
 
@@ -17,11 +18,11 @@ def _rounded(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per event type; the 3 largest values count as infinite and are left out."""
     v = F.when(F.col("value") > 350, float("inf")).otherwise(F.col("value"))
-    return _rounded(frames(spark, sf_dir).groupBy("event_type").agg(*numeric.distribution(v)))
+    return _rounded(metrics.distributions(frames(spark, sf_dir), ["event_type"], v))
 
 
 def metric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(frames(spark, sf_dir).groupBy("event_type").agg(*numeric.summary(F.col("value"))))
+    return _rounded(metrics.summaries(frames(spark, sf_dir), ["event_type"], F.col("value")))
 
 
 def quartile_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,14 +37,15 @@ def reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clip_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One aggregate per clip: counts under conditions and distributions, no join."""
+    """Counts under conditions and a distribution per clip."""
     f = frames(spark, sf_dir)
-    return _rounded(f.groupBy("clip_id").agg(
+    rows = f.groupBy("clip_id").agg(
         F.count("*").alias("frames"), F.count_if(F.col("event_type") != "error").alias("valid"), F.count_if(F.col("event_type") == "error").alias("rejected"),
         F.count_if((F.col("event_type") == "view") & (F.col("value") < 20)).alias("low_views"), F.avg(F.when(F.col("event_type") == "click", F.col("value"))).alias("click_mean"),
-        F.percentile(F.when(F.col("event_type") != "error", F.col("value")), 0.9).alias("valid_p90"), F.stddev_pop("k").alias("k_std"),
-        F.when(F.count_if(F.col("event_type") == "purchase") > 0, "ready").otherwise("no_valid_samples").alias("status"),
-    ))
+        F.stddev_pop("k").alias("k_std"), F.when(F.count_if(F.col("event_type") == "purchase") > 0, "ready").otherwise("no_valid_samples").alias("status"),
+    )
+    both = with_quantiles(rows, quantiles(f, ["clip_id"], {"valid_p90": F.when(F.col("event_type") != "error", F.col("value"))}, [0.9]), ["clip_id"])
+    return _rounded(both.withColumn("valid_p90", F.get("valid_p90", F.lit(0))))
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,11 +94,12 @@ def _box_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def box_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _box_pairs(spark, sf_dir)
-    return _rounded(p.groupBy("event_type").agg(
-        F.avg("iou").alias("iou_mean"), F.percentile("iou", 0.95).alias("iou_p95"), F.avg((F.col("iou") >= 0.9).cast("double")).alias("iou_pass"),
-        F.avg("drift").alias("drift_mean"), F.percentile("drift", 0.95).alias("drift_p95"), F.avg((F.col("drift") <= 5).cast("double")).alias("drift_pass"),
+    rows = p.groupBy("event_type").agg(
+        F.avg("iou").alias("iou_mean"), F.avg((F.col("iou") >= 0.9).cast("double")).alias("iou_pass"), F.avg("drift").alias("drift_mean"), F.avg((F.col("drift") <= 5).cast("double")).alias("drift_pass"),
         F.avg("edge").alias("edge_mae"),
-    ))
+    )
+    both = with_quantiles(rows, quantiles(p, ["event_type"], {"iou_p95": F.col("iou"), "drift_p95": F.col("drift")}, [0.95]), ["event_type"])
+    return _rounded(both.withColumns({c: F.get(c, F.lit(0)) for c in ("iou_p95", "drift_p95")}))
 
 
 def geometry_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +109,9 @@ def geometry_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = _box_pairs(spark, sf_dir).agg(F.round(F.avg("iou"), 6).alias("iou"), F.round(F.avg("drift"), 6).alias("drift"), F.round(F.percentile("iou", 0.05), 6).alias("iou_low"))
+    p = _box_pairs(spark, sf_dir)
+    means = p.agg(F.round(F.avg("iou"), 6).alias("iou"), F.round(F.avg("drift"), 6).alias("drift"))
+    one = with_quantiles(means, quantiles(p, [], {"low": F.col("iou")}, [0.05]), []).withColumn("iou_low", F.round(F.get("low", F.lit(0)), 6))
     return metrics.gate_report(one, [("iou_mean", "iou", ">=", 0.8), ("drift_mean", "drift", "<=", 1.0), ("iou_p05", "iou_low", ">=", 0.5)])
 
 

@@ -18,7 +18,7 @@ def pair_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PAIRS = f"""{OBSERVATIONS}, raw AS (
-  SELECT t.persona, t.id AS target_id, s.id AS source_id, t.e AS te, s.e AS se,
+  SELECT t.persona, t.id AS target_id, s.id AS source_id, t.e AS te, s.e AS se, t.known AND s.known AS compared,
     (t.yaw - s.yaw + 180) - 360 * floor((t.yaw - s.yaw + 180) / 360) - 180 AS yaw, (t.pitch - s.pitch + 180) - 360 * floor((t.pitch - s.pitch + 180) / 360) - 180 AS pitch,
     (t.roll - s.roll + 180) - 360 * floor((t.roll - s.roll + 180) / 360) - 180 AS roll, t.cx - s.cx AS cx, t.cy - s.cy AS cy, t.w / s.w AS w, t.h / s.h AS h
   FROM obs t JOIN obs s ON t.persona = s.persona AND t.id % 2 = 1 AND s.id % 2 = 0
@@ -29,19 +29,19 @@ _PAIRS = f"""{OBSERVATIONS}, raw AS (
       + abs(ln(w)) / CASE WHEN w >= 1 THEN ln(1.1) ELSE abs(ln(0.9)) END + abs(ln(h)) / CASE WHEN h >= 1 THEN ln(1.1) ELSE abs(ln(0.9)) END AS score
   FROM raw WHERE abs(yaw) <= 5 AND abs(pitch) <= 5 AND abs(roll) <= 4 AND abs(cx) <= 0.05 AND abs(cy) <= 0.05 AND w BETWEEN 0.9 AND 1.1 AND h BETWEEN 0.9 AND 1.1
 ), ranked AS (
-  SELECT *, similarity >= 0.05 AS alike, alignment <= 0.04 AS stable, mouth <= 0.04 AS central, similarity >= 0.05 AND alignment <= 0.04 AND mouth <= 0.04 AS good,
-    row_number() OVER (PARTITION BY target_id ORDER BY similarity >= 0.05 AND alignment <= 0.04 AND mouth <= 0.04 DESC, score, source_id) AS n FROM near
+  SELECT *, compared AND similarity >= 0.05 AS alike, alignment <= 0.04 AS stable, mouth <= 0.04 AS central, compared AND similarity >= 0.05 AND alignment <= 0.04 AND mouth <= 0.04 AS good,
+    row_number() OVER (PARTITION BY target_id ORDER BY compared AND similarity >= 0.05 AND alignment <= 0.04 AND mouth <= 0.04 DESC, score, source_id) AS n FROM near
 )"""
 
 PAIR_SQL = f"""WITH {_PAIRS}, c AS (
-  SELECT target_id, count(*) AS g, count(*) FILTER (alike) AS i, count(*) FILTER (good) AS v, count(*) FILTER (NOT alike) AS mm, max(similarity) FILTER (NOT alike) AS mr,
+  SELECT target_id, count(*) AS g, count(*) FILTER (alike) AS i, count(*) FILTER (good) AS v, count(*) FILTER (compared AND NOT alike) AS mm, max(similarity) FILTER (compared AND NOT alike) AS mr,
     max(source_id) FILTER (good AND n = 1) AS source_id, max(score) FILTER (good AND n = 1) AS s1, max(similarity) FILTER (good AND n = 1) AS sim, max(alignment) FILTER (good AND n = 1) AS al, max(mouth) FILTER (good AND n = 1) AS mo,
     count(*) FILTER (alike AND NOT stable) AS sf, count(*) FILTER (alike AND NOT central) AS mf, max(score) FILTER (good AND n = 2) AS s2,
     {", ".join(f"max({c}) FILTER (good AND n = 1) AS d_{c}" for c in pairing.GEOMETRY)}
   FROM ranked GROUP BY target_id
 )
 SELECT persona, id AS target_id, CASE WHEN coalesce(v, 0) = 0 THEN 'rejected' ELSE 'matched' END AS status,
-  CASE WHEN coalesce(g, 0) = 0 THEN 'pose_geometry_no_match' WHEN i = 0 THEN 'identity_mismatch' WHEN v = 0 THEN 'post_crop_alignment_mismatch' END AS reject_reason,
+  CASE WHEN yaw IS NULL THEN 'invalid_target_observation' WHEN coalesce(g, 0) = 0 THEN 'pose_geometry_no_match' WHEN NOT known THEN 'identity_embedding_missing' WHEN i = 0 THEN 'identity_mismatch' WHEN v = 0 THEN 'post_crop_alignment_mismatch' END AS reject_reason,
   source_id, round(s1, 6) AS matching_score, round(sim, 6) AS identity_similarity, round(al, 6) AS stable_alignment, round(mo, 6) AS mouth_delta,
   CASE WHEN v = 0 AND i > 0 THEN sf ELSE 0 END AS stable_failures, CASE WHEN v = 0 AND i > 0 THEN mf ELSE 0 END AS mouth_failures, coalesce(v, 0) AS valid_candidate_count, coalesce(mm, 0) AS identity_mismatch_count,
   round(mr, 6) AS max_rejected_similarity, round(s2, 6) AS second_best_score, round(s2 - s1, 6) AS score_margin,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import pair_id
-from ..operators import metrics, sampling
+from ..operators import metrics, sampling, search
 from . import snapshot
 from .pairing_queries import PAIR_SQL, pair_decisions
 from .standins import BOXES, FRAMES, boxes, frames, table
@@ -109,12 +110,29 @@ def sequence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.join(F.broadcast(first), "clip_id").orderBy("frame_idx").limit(12).select("clip_id", "frame_idx", "value")
 
 
+def _price_error(parameters: dict[str, np.ndarray], rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return {"error": np.abs(rows["p_retailprice"] - (rows["p_size"] * parameters["scale"] + parameters["shift"]))}
+
+
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean error of 5 x 4 shifts and scales that map a part's size to its price; the first wins ties."""
-    grid = spark.range(20).select(F.col("id").alias("ordinal"), (F.floor(F.col("id") / 4) * 10.0).alias("shift"), (F.pmod("id", F.lit(4)) * 5.0 + 30).alias("scale"))
-    error = F.abs(F.col("p_retailprice") - (F.col("p_size") * F.col("scale") + F.col("shift")))
-    found = metrics.grid_search(grid, table(spark, sf_dir, "part").select("p_size", "p_retailprice"), error, ["shift", "scale"], "ordinal")
-    return found.withColumn("rank", F.row_number().over(Window.orderBy("mean_error", "ordinal")).cast("long")).select("ordinal", "shift", "scale", F.round("mean_error", 6).alias("mean_error"), "rank")
+    axes = {"shift": [i * 10.0 for i in range(5)], "scale": [i * 5.0 + 30 for i in range(4)]}
+    found = search.grid_sums(table(spark, sf_dir, "part").select("p_size", "p_retailprice"), axes, _price_error, ["error"])
+    mean = found.withColumn("mean_error", F.round(F.col("error") / F.col("samples"), 9))
+    return mean.withColumn("rank", F.row_number().over(Window.orderBy("mean_error", "ordinal")).cast("long")).select("ordinal", "shift", "scale", F.round("mean_error", 6).alias("mean_error"), "rank")
+
+
+#: Axes of the calibration query: 5 x 4 x 3 x 3 squares.
+SQUARES = {"top": [0.0, 0.1, 0.2, 0.3, 0.4], "scale": [0.6, 0.8, 1.0, 1.2], "xoff": [-4.0, 0.0, 4.0], "yoff": [-4.0, 0.0, 4.0]}
+
+
+def square_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best squares over all frames by mean overlap and by share of frames within the gates: a frame's box against squares laid over a face made of its values."""
+    b = boxes(spark, sf_dir).where("x1 is not null and x2 > x1 and y2 > y1")
+    face = {"center": F.col("value") * 2 + F.col("k") + 5, "upper": F.col("k") * 3 - 10, "lower": F.col("k") * 4 + F.col("value"), "width": F.col("k") + F.col("value") + 10}
+    samples = b.select(*(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")), *(v.cast("double").alias(n) for n, v in face.items()))
+    found = search.calibrated(samples, SQUARES)
+    return found.select("key", "ordinal", *SQUARES, "samples", *(F.round(c, 6).alias(c) for c in ("iou", "iou_pass", "drift", "center_pass")))
 
 
 def suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,9 +149,10 @@ def largest_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     hash_split, tail_split, position_split, listed_split, silence_cap, idle_sample, preview_picks, media_selection, epoch_order, final_order, preview_groups, pair_previews, common_reasons,
-    best_median_worst, nth_record, sequence_rows, grid_search, suppression, largest_box,
+    best_median_worst, nth_record, sequence_rows, grid_search, square_search, suppression, largest_box,
 )}
 
+_GRID = "".join(f"{', ' if i else ''}(SELECT unnest({[float(x) for x in v]}::DOUBLE[]) AS {n})" for i, (n, v) in enumerate(SQUARES.items()))
 _SPREAD = "CASE WHEN c <= 1 THEN 0 WHEN k = c - 1 THEN m - 1 ELSE floor(k * ((m - 1) / (c - 1)::DOUBLE))::BIGINT END"
 
 ORACLE_SQL = {
@@ -184,5 +203,14 @@ ORACLE_SQL = {
     "nth_record": "SELECT event_id, value FROM events ORDER BY event_id LIMIT 5 OFFSET 100",
     "sequence_rows": f"WITH {FRAMES} SELECT clip_id, frame_idx, value FROM frames WHERE clip_id = (SELECT arg_min(clip_id, event_id) FROM frames) ORDER BY frame_idx LIMIT 12",
     "grid_search": "WITH g AS (SELECT i AS ordinal, floor(i / 4) * 10.0::DOUBLE AS shift, (i % 4) * 5.0::DOUBLE + 30 AS scale FROM (SELECT unnest(range(20)) AS i)), e AS (SELECT ordinal, shift, scale, round(avg(abs(p_retailprice - (p_size * scale + shift))), 9) AS mean_error FROM g, part GROUP BY 1, 2, 3) SELECT ordinal, shift, scale, round(mean_error, 6) AS mean_error, row_number() OVER (ORDER BY mean_error, ordinal) AS rank FROM e",
+    "square_search": f"""WITH {BOXES}, s AS (SELECT x1::DOUBLE AS x1, y1::DOUBLE AS y1, x2::DOUBLE AS x2, y2::DOUBLE AS y2, value * 2 + k + 5 AS center, k * 3 - 10 AS upper, k * 4 + value AS lower, k + value + 10 AS width
+        FROM boxes WHERE x1 IS NOT NULL AND x2 > x1 AND y2 > y1),
+      g AS (SELECT row_number() OVER (ORDER BY top, scale, xoff, yoff) - 1 AS ordinal, * FROM {_GRID}),
+      q AS (SELECT *, round_even(width * scale, 0) AS side, round_even(center + xoff - round_even(width * scale, 0) / 2, 0) AS a, round_even(upper + (lower - upper) * top + yoff, 0) AS b FROM g, s),
+      i AS (SELECT *, greatest(0, least(x2, a + side) - greatest(x1, a)) * greatest(0, least(y2, b + side) - greatest(y1, b)) AS shared, sqrt(((x1 + x2) / 2 - a - side / 2)^2 + ((y1 + y2) / 2 - b - side / 2)^2) AS drift FROM q),
+      o AS (SELECT *, shared / ((x2 - x1) * (y2 - y1) + side * side - shared) AS iou FROM i),
+      m AS (SELECT ordinal, top, scale, xoff, yoff, count(*) AS samples, round(avg(iou), 12) AS iou, round(avg((iou >= 0.995)::INT), 12) AS iou_pass, round(avg(drift), 12) AS drift, round(avg((drift <= 1)::INT), 12) AS center_pass FROM o GROUP BY ALL),
+      w AS (SELECT 'mean' AS key, * FROM (SELECT * FROM m ORDER BY iou DESC, center_pass DESC, ordinal LIMIT 1) UNION ALL SELECT 'gate', * FROM (SELECT * FROM m ORDER BY iou_pass DESC, center_pass DESC, iou DESC, ordinal LIMIT 1))
+      SELECT key, ordinal, top, scale, xoff, yoff, samples, round(iou, 6) AS iou, round(iou_pass, 6) AS iou_pass, round(drift, 6) AS drift, round(center_pass, 6) AS center_pass FROM w""",
     "largest_box": f"WITH {BOXES} SELECT clip_id, frame_idx AS box_id, x1, y1, x2, y2 FROM boxes WHERE x1 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY (x2 - x1) * (y2 - y1) DESC, frame_idx) = 1",
 }

@@ -72,6 +72,13 @@ def nearest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.nearest_window(f, "clip_id", 20, 10).select("clip_id", "frame_idx", "window_id", "center")
 
 
+def irregular_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frame's nearest window where windows lie anywhere: a purchase is one, numbered by event, its centre up to three frames on."""
+    f = frames(spark, sf_dir).select("clip_id", "frame_idx", "event_id", "event_type", "k")
+    windows = f.where("event_type = 'purchase'").select("clip_id", F.col("event_id").alias("window_id"), (F.col("frame_idx") + F.pmod("k", F.lit(7)) / 2).alias("center"))
+    return sync.nearest_of(f.select("clip_id", "frame_idx"), windows, "clip_id", "frame_idx", "center", "window_id")
+
+
 def window_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window with centre, speech, lag, confidence and the flags it gives its frames."""
     f = frames(spark, sf_dir).select("clip_id", "frame_idx", "value", F.col("k").cast("double").alias("k"))
@@ -173,7 +180,7 @@ best AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY clip_id, window
 _ARRAYS = f"{FRAMES}, v AS (SELECT clip_id, list(k ORDER BY frame_idx) AS v FROM frames GROUP BY 1)"
 
 QUERIES = {f.__name__: f for f in (
-    continuity_fold, box_continuity, jump_fold, gap_fill, fill_signal, smooth_index, smooth_rows, temporal_pairs, temporal_delta, sync_windows, best_lag, nearest_window, window_records,
+    continuity_fold, box_continuity, jump_fold, gap_fill, fill_signal, smooth_index, smooth_rows, temporal_pairs, temporal_delta, sync_windows, best_lag, nearest_window, irregular_windows, window_records,
     sync_reject, lag_sweep, shift_audio, context_windows, session_chunks, session_rows, early_stop, training_phase,
 )}
 
@@ -192,6 +199,7 @@ ORACLE_SQL = {
     "temporal_delta": f"WITH {FRAMES}, d AS (SELECT clip_id, abs(value - lag(value) OVER (PARTITION BY clip_id ORDER BY frame_idx)) AS d FROM frames) SELECT clip_id, round(coalesce(avg(d), 0), 6) AS temporal_delta FROM d GROUP BY 1",
     "sync_windows": f"WITH {_WINDOWS}, {_SPEECH} SELECT clip_id, window_id, start, stop, round(voiced, 6) AS voiced, voiced >= 0.7 AS has_speech FROM speech",
     "best_lag": f"WITH {_WINDOWS}, {_LAGS} SELECT clip_id, window_id, lag, round(correlation, 6) AS correlation FROM best",
+    "irregular_windows": f"WITH {FRAMES}, w AS (SELECT clip_id, event_id AS window_id, frame_idx + (k % 7) / 2.0 AS center FROM frames WHERE event_type = 'purchase') SELECT f.clip_id, f.frame_idx, w.window_id, w.center::DOUBLE AS center FROM frames f LEFT JOIN w ON f.clip_id = w.clip_id QUALIFY row_number() OVER (PARTITION BY f.clip_id, f.frame_idx ORDER BY abs(w.center - f.frame_idx), w.window_id) = 1",
     "nearest_window": f"WITH {_WINDOWS} SELECT f.clip_id, f.frame_idx, w.window_id, (start + stop - 1) / 2.0 AS center FROM frames f JOIN windows w ON f.clip_id = w.clip_id QUALIFY row_number() OVER (PARTITION BY f.clip_id, f.frame_idx ORDER BY abs((start + stop - 1) / 2.0 - (f.frame_idx - 1)), window_id) = 1",
     "window_records": f"WITH {_WINDOWS}, {_SPEECH}, {_LAGS} SELECT clip_id, window_id, start, stop, (start + stop - 1) / 2.0 AS center, voiced >= 0.7 AS has_speech, lag, round(correlation, 6) AS correlation, CASE WHEN correlation >= 0.20 THEN 'high' ELSE 'low' END AS confidence, CASE WHEN voiced >= 0.7 AND correlation < 0.20 THEN 'low_sync_confidence' ELSE '' END AS flags FROM best JOIN speech USING (clip_id, window_id)",
     "sync_reject": f"WITH {_WINDOWS}, {_SPEECH}, {_LAGS} SELECT CASE WHEN voiced >= 0.7 AND correlation >= 0.20 AND abs(lag) > 2 THEN 'sync_lag' ELSE '' END AS reason, count(*) AS count FROM best JOIN speech USING (clip_id, window_id) GROUP BY 1",

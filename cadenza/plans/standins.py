@@ -51,14 +51,18 @@ POINT, MOUTH = (11, 4), (15, 2)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(targets, sources): odd and even vec_id of each label."""
+    """(targets, sources): odd and even vec_id of each label. Every 17th has no embedding and every 23rd no yaw."""
     e = table(spark, sf_dir, "embeddings")
     made = e.select(
-        F.col("label").cast("long").alias("persona"), F.col("vec_id").alias("id"), "embedding",
+        F.col("label").cast("long").alias("persona"), F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 17 != 0, F.col("embedding")).alias("embedding"),
         *((F.element_at("embedding", place).cast("double") * scale + offset).alias(name) for name, place, scale, offset in PARTS),
         F.transform(F.slice("embedding", *POINT), lambda x: x.cast("double") * 0.2).alias("point"), F.transform(F.slice("embedding", *MOUTH), lambda x: x.cast("double") * 0.2).alias("mouth"),
-    )
+    ).withColumn("yaw", F.when(F.col("id") % 23 != 0, F.col("yaw")))
     return made.where("id % 2 = 1"), made.where("id % 2 = 0")
 
 
-OBSERVATIONS = "obs AS (SELECT label::BIGINT AS persona, vec_id AS id, embedding::DOUBLE[] AS e, " + ", ".join(f"embedding[{p}]::DOUBLE * {s} + {o} AS {n}" for n, p, s, o in PARTS) + " FROM embeddings)"
+OBSERVATIONS = (
+    "obs AS (SELECT label::BIGINT AS persona, vec_id AS id, embedding::DOUBLE[] AS e, vec_id % 17 <> 0 AS known, "
+    + ", ".join(f"CASE WHEN {'vec_id % 23 <> 0' if n == 'yaw' else 'true'} THEN embedding[{p}]::DOUBLE * {s} + {o} END AS {n}" for n, p, s, o in PARTS)
+    + " FROM embeddings)"
+)
