@@ -13,8 +13,9 @@ Defined results: a null or empty text is one empty passage; a null doc_id is not
 repeated rows give repeated results; labels with a null or repeated doc_id or null quality:
 the first are left out, of the second the smallest quality counts, and it is learned from the
 smallest text of a repeated doc_id; without usable labels every
-score is 0.5 and ``keep_good`` keeps all rows; a very long text is worked through in slices of
-documents, its passages at once; an empty table gives an empty table; other columns are ignored.
+score is 0.5 and ``keep_good`` keeps all rows; a very long text is scored slice by slice under running
+sums of its attention, so memory is a slice beside the text; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,25 +48,29 @@ def _class_table() -> np.ndarray:
 CLASS_OF = _class_table()
 
 
+def encoded(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage features in float32, passages per text) of texts of ``lengths`` bytes that lie back to back."""
+    ends = np.cumsum(lengths)
+    kinds = CLASS_OF[data].astype(np.int64)
+    passages = np.maximum(1, -(-lengths // PASSAGE))
+    base = np.cumsum(passages) - passages
+    place = np.arange(len(kinds)) - np.repeat(ends - lengths, lengths)
+    of = np.repeat(base, lengths) + place // PASSAGE
+    before = np.concatenate([[0], kinds[:-1]]) if len(kinds) else kinds
+    before[place % PASSAGE == 0] = 0
+    total = int(passages.sum())
+    counts = np.bincount(of * CLASSES**2 + before * CLASSES + kinds, minlength=total * CLASSES**2).reshape(total, -1)
+    shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
+    return np.sqrt(np.concatenate([shares, repeated_words(data, kinds, of, total)], axis=1)).astype(np.float32), passages
+
+
 def encode_passages(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per slice of documents: (passage features in float32, passages per document)."""
+    """Per slice of whole documents: (passage features, passages per document)."""
     data, offsets = string_bytes(column)
     first = 0
     while first < len(offsets) - 1:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
-        lengths = np.diff(offsets[first : last + 1])
-        kinds = CLASS_OF[data[offsets[first] : offsets[last]]].astype(np.int64)
-        passages = np.maximum(1, -(-lengths // PASSAGE))
-        base = np.cumsum(passages) - passages
-        place = np.arange(len(kinds)) - np.repeat(offsets[first:last] - offsets[first], lengths)
-        of = np.repeat(base, lengths) + place // PASSAGE
-        before = np.concatenate([[0], kinds[:-1]]) if len(kinds) else kinds
-        before[place % PASSAGE == 0] = 0
-        total = int(passages.sum())
-        counts = np.bincount(of * CLASSES**2 + before * CLASSES + kinds, minlength=total * CLASSES**2).reshape(total, -1)
-        shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
-        repeats = repeated_words(data[offsets[first] : offsets[last]], kinds, of, total)
-        yield np.sqrt(np.concatenate([shares, repeats], axis=1)).astype(np.float32), passages
+        yield encoded(data[offsets[first] : offsets[last]], np.diff(offsets[first : last + 1]))
         first = last
 
 
@@ -135,8 +140,36 @@ class Model:
             v += 0.01 * (g * g - v)
             w[k] -= (rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-8)).astype(np.float32)
 
-    def scores(self, column: pa.Array) -> np.ndarray:
-        return np.concatenate([self.forward(x, sizes)[-1] for x, sizes in encode_passages(column)] or [np.zeros(0)])
+    def streamed(self, data: np.ndarray, slice_bytes: int) -> float:
+        """The score of one text, its passages a slice at a time: a running maximum of attention logits, and under it
+        the running sums of weights and of weighted passages, are all that is carried."""
+        w, top, weight, total = self.w, -np.inf, 0.0, np.zeros(EMBED)
+        step = max(1, slice_bytes // PASSAGE) * PASSAGE  # passages don't look beyond their ends
+        for at in range(0, max(1, len(data)), step):
+            x, _ = encoded(data[at : at + step], np.array([len(data[at : at + step])]))
+            h = np.tanh(x @ w["E"] + w["e"]).astype(np.float64)
+            logits = ((np.tanh(h @ w["V"]) / (1 + np.exp(-(h @ w["U"])))) @ w["a"]).astype(np.float64)
+            most = max(top, logits.max())
+            raised = np.exp(logits - most)
+            weight, total = weight * np.exp(top - most) + raised.sum(), total * np.exp(top - most) + raised @ h
+            top = most
+        return 1 / (1 + np.exp(-np.clip(total / weight @ w["c"] + w["b"][0], -30, 30)))
+
+    def scores(self, column: pa.Array, slice_bytes: int = SLICE_BYTES) -> np.ndarray:
+        """A score per text; texts of over ``slice_bytes`` are streamed, the others go together in slices."""
+        data, offsets = string_bytes(column)
+        long = np.flatnonzero(np.diff(offsets) > slice_bytes)
+        out = np.empty(len(offsets) - 1)
+        first = 0
+        for stop in np.append(long, len(out)).tolist():
+            while first < stop:
+                last = min(stop, max(first + 1, int(np.searchsorted(offsets, offsets[first] + slice_bytes, "right")) - 1))
+                out[first:last] = self.forward(*encoded(data[offsets[first] : offsets[last]], np.diff(offsets[first : last + 1])))[-1]
+                first = last
+            if stop < len(out):
+                out[stop] = self.streamed(data[offsets[stop] : offsets[stop + 1]], slice_bytes)
+                first = stop + 1
+        return out
 
 
 def fold(doc_id: Column, parts: int = 5) -> Column:

@@ -11,7 +11,8 @@ expression itself verifies them. Rules without a mandatory trigram scan every te
 Spans are code points, end exclusive, leftmost and non-overlapping within a kind.
 
 Defined results: a null or empty text has no spans; a row without doc_id is scanned by every rule;
-repeated rows give repeated results; a very long text is one row, searched whole; spans of equal start
+repeated rows give repeated results; a very long text is one row, searched whole, at a cost little above
+linear in its length and in its matches; spans of equal start
 follow the rules' order; an empty table gives an empty table; columns other than doc_id and text are
 ignored by ``scan`` and kept by ``redact``.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,6 +33,8 @@ from .common import packed, plain_docs, spread, unpacked, written
 _parser, _code = re._parser, re._constants
 #: Candidates (an id and at most ten short names each, some 100 bytes) that may be broadcast.
 BROADCAST_IDS = 500_000
+#: Characters of a chunk of a text that is redacted.
+CHUNK = 4096
 
 
 @dataclass(frozen=True)
@@ -140,23 +144,74 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return each.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))  # no more than there are rules
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def before_each(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For every number of an array<int>, ``step`` carried from 0 over all numbers before it.
+
+    The array is cut into about as many parts as a part has numbers: appending to an array copies it, so
+    one pass over n numbers would take n x n steps. Here it is n times the root of n.
+    """
+    none = F.array().cast("array<int>")
+
+    def part(numbers: Column, start: Column) -> Column:
+        return F.aggregate(numbers, F.struct(start.alias("at"), none.alias("out")), lambda s, x: F.struct(step(s["at"], x).alias("at"), F.array_append(s["out"], s["at"]).alias("out")))
+
+    def parts(whole: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(whole))).cast("int")
+        cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / width).cast("int")), lambda i: F.slice(whole, i * width + 1, width))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("out"))
+        joined = lambda s, x: bound(part(x, s["at"]), lambda p: F.struct(p["at"].alias("at"), F.array_append(s["out"], p["out"]).alias("out")))
+        return F.when(F.size(whole) > 0, F.aggregate(cuts, start, joined, lambda s: F.flatten(s["out"]))).otherwise(none)
+
+    return bound(values, parts)
+
+
 def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     """array<struct<start, order, end>> of the rule's matches in a text."""
-    pattern = F.lit(rule.pattern)
     # a text is cut at its matches: piece 0, match 0, piece 1, ...
-    matches, pieces = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, rule.pattern, -1)
+    matches, pieces = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["match"])
+    def measured(pair: Column) -> Column:
         weighed = F.length(F.regexp_extract(pair["match"], rule.pattern, rule.group)) if rule.group else F.length(pair["match"])
-        one = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(weighed >= rule.least, F.array_append(state["spans"], one)).otherwise(state["spans"]).alias("spans"))
+        return F.struct(F.length(pair["piece"]).alias("gap"), F.length(pair["match"]).alias("wide"), (weighed >= rule.least).alias("counts"))
 
-    empty = F.array().cast("array<struct<start:int,order:int,end:int>>")
-    pairs = F.arrays_zip(pieces.alias("piece"), matches.alias("match"))
-    named = F.transform(F.slice(pairs, 1, F.size(matches)), lambda p: F.struct(p["piece"].alias("piece"), p["match"].alias("match")))
-    return F.aggregate(named, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s["spans"])
+    def placed(sizes: Column) -> Column:
+        starts = before_each(F.transform(sizes, lambda x: x["gap"] + x["wide"]), lambda at, x: at + x)
+        spans = F.zip_with(sizes, starts, lambda x, at: F.struct((at + x["gap"]).alias("start"), F.lit(order).alias("order"), (at + x["gap"] + x["wide"]).alias("end"), x["counts"].alias("counts")))
+        return F.transform(F.filter(spans, lambda s: s["counts"]), lambda s: F.struct(s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end")))
+
+    pairs = F.arrays_zip(pieces.alias("piece"), matches.alias("match"))  # one more piece than matches
+    sizes = F.filter(F.transform(pairs, lambda p: F.when(p["match"].isNotNull(), measured(p))), lambda x: x.isNotNull())
+    return bound(sizes, placed)
+
+
+def covered(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with ``spans`` (sorted by start) replaced by ``mark``, overlapping ones by one.
+
+    A substring is found by counting characters from the start, so the text is cut once into chunks of CHUNK
+    characters, and what lies between two spans is taken from the chunks that hold it.
+    """
+
+    def between(chunks: Column, a: Column, b: Column) -> Column:
+        first, last = F.floor(a / CHUNK).cast("int"), F.floor(b / CHUNK).cast("int")
+        one = F.substring(F.get(chunks, first), a % CHUNK + 1, b - a)
+        inner = F.array_join(F.slice(chunks, first + 2, F.greatest(F.lit(0), last - first - 1)), "")
+        several = F.concat(F.substring(F.get(chunks, first), a % CHUNK + 1, F.lit(CHUNK)), inner, F.coalesce(F.substring(F.get(chunks, last), F.lit(1), b % CHUNK), F.lit("")))
+        return F.when(b <= a, F.lit("")).when(first == last, one).otherwise(several)
+
+    def cut(own: Column) -> Column:
+        done = before_each(F.transform(own, lambda s: s["end"]), F.greatest)
+        gaps = F.zip_with(own, done, lambda s, at: F.struct(at.alias("a"), s["start"].alias("b")))
+        fresh = F.filter(gaps, lambda g: g["b"] >= g["a"])
+        end = F.array_max(F.transform(own, lambda s: s["end"]))
+        joined = lambda chunks: F.concat(F.array_join(F.transform(fresh, lambda g: F.concat(between(chunks, g["a"], g["b"]), F.lit(mark))), ""), between(chunks, end, F.length(text)))
+        return bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), joined)
+
+    return bound(spans, cut)
 
 
 def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
@@ -194,16 +249,7 @@ def scan(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redact(documents: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``documents`` with every secret replaced by ``mark`` (overlapping spans by one) and n_chars set anew where one was."""
-
-    def cut(state: Column, span: Column) -> Column:
-        fresh = F.when(span["start"] >= state["at"], F.concat(F.substring(F.col("text"), state["at"] + 1, span["start"] - state["at"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], fresh).alias("out"))
-
-    clean = F.aggregate(
-        "secret_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut,
-        lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))),
-    )
-    found = scanned(packed(documents), rules).withColumn("clean", F.when(F.size("secret_spans") > 0, clean).otherwise(F.col("text")))
+    found = scanned(packed(documents), rules).withColumn("clean", F.when(F.size("secret_spans") > 0, covered(F.col("text"), F.col("secret_spans"), mark)).otherwise(F.col("text")))
     new = {"text": F.col("clean")}
     if "n_chars" in documents.columns:
         kind = dict(documents.dtypes)["n_chars"]
