@@ -65,6 +65,35 @@ def common_reasons(df: DataFrame, reason: str, order: str, k: int, group: list[s
     return counts.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k).drop("__r")
 
 
+def reason_examples(df: DataFrame, reason: str, order: str, reasons: int, examples: int) -> DataFrame:
+    """The first ``examples`` rows, with their ``place``, of each of the ``reasons`` most frequent reasons (ties: the one that occurs first)."""
+    top = common_reasons(df.where(F.col(reason).isNotNull()), reason, order, reasons)
+    w = Window.partitionBy(reason).orderBy(order)
+    # of a reason no more than ``examples`` rows leave a task
+    return df.join(F.broadcast(top.select(reason)), reason).withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= examples).select(*df.columns, "place")
+
+
+#: The gates of a parity report: name, measure, comparison, threshold (fixed values). Deltas are absolute differences.
+PARITY_GATES = (
+    ("frame_count_equal", "frame_count_delta", "<=", 0.0),
+    ("fps_equal", "fps_delta", "<=", 0.0),
+    ("audio_duration_delta_lte_20ms", "audio_duration_delta_seconds", "<=", 0.020),
+    ("bbox_iou_gte_0_995_for_95pct_frames", "bbox_iou_pass_fraction_at_0_995", ">=", 0.95),
+    ("bbox_center_drift_lte_1px_for_95pct_frames", "bbox_center_pass_fraction_at_1px", ">=", 0.95),
+    ("decoded_full_frame_ssim_gte_0_999", "full_frame_ssim", ">=", 0.999),
+    ("decoded_full_frame_mae_lte_1", "full_frame_mae", "<=", 1.0),
+    ("decoded_roi_ssim_gte_0_995", "roi_ssim", ">=", 0.995),
+    ("decoded_roi_mae_lte_2", "roi_mae", "<=", 2.0),
+    ("decoded_mouth_ssim_gte_0_995", "mouth_ssim", ">=", 0.995),
+    ("decoded_mouth_mae_lte_2", "mouth_mae", "<=", 2.0),
+)
+
+
+def parity_gates(measured: DataFrame) -> DataFrame:
+    """gate_report of a one-row frame for all of PARITY_GATES; a measure that is null doesn't pass."""
+    return gate_report(measured, list(PARITY_GATES))
+
+
 def gate_report(metrics: DataFrame, gates: list[tuple[str, str, str, float]]) -> DataFrame:
     """A row per gate (name, column, '>=' or '<=', threshold) of a one-row frame: value and whether it holds."""
     rows = F.array(*(
@@ -128,3 +157,9 @@ def largest(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """The box of greatest area per group; ties to the smaller box_id."""
     area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
     return df.groupBy(group).agg(F.max_by(F.struct(*columns), F.struct(area, -F.col("box_id"))).alias("__b")).select(group, "__b.*")
+
+
+def cache_map(outcomes: DataFrame, stage: str = "stage", hit: str = "hit") -> DataFrame:
+    """One row with map<stage, struct<hits, misses>> of outcomes (clip, stage, hit); a stage that a clip lacks counts nowhere."""
+    each = outcomes.groupBy(stage).agg(F.count_if(hit).alias("hits"), F.count_if(~F.col(hit)).alias("misses"))
+    return each.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(stage, F.struct("hits", "misses"))))).alias("cache"))  # a row per stage

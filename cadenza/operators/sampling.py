@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,9 +113,17 @@ def spread_picks(df: DataFrame, clip: str, order: str, picks: int) -> DataFrame:
     return placed.where(is_spread(F.col("__k"), F.col("__m"), F.least(F.col("__m"), F.lit(picks)))).drop("__k", "__m")
 
 
-def first_groups(df: DataFrame, group: str, order: str, groups: int, rows: int) -> DataFrame:
-    """The first ``rows`` rows of the ``groups`` groups that appear first."""
-    first = df.groupBy(group).agg(F.min(order).alias("__first")).orderBy("__first").limit(groups)
+def first_groups(df: DataFrame, group: str, order: str, groups: int, rows: int, pinned: Sequence[str] = ()) -> DataFrame:
+    """The first ``rows`` rows of the ``groups`` groups that appear first, or of the ``pinned`` groups, each of which has to exist."""
+    if rows <= 0 or groups <= 0 and not pinned:
+        raise ValueError("rows, and groups where none are pinned, have to be positive")
+    if pinned:
+        first = df.where(F.col(group).isin(*pinned)).groupBy(group).agg(F.min(order).alias("__first"))
+        missing = sorted(set(pinned) - {r[group] for r in first.collect()})  # of the pinned groups
+        if missing:
+            raise ValueError(f"no rows for pinned groups {missing}")
+    else:
+        first = df.groupBy(group).agg(F.min(order).alias("__first")).orderBy("__first").limit(groups)
     w = Window.partitionBy(group).orderBy(order)
     return df.join(F.broadcast(first), group).withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= rows).drop("__n", "__first")
 
@@ -135,3 +145,13 @@ def placed(df: DataFrame, hashed: str, key: str, out: str) -> DataFrame:
 def top_by(df: DataFrame, group: list[str], keys: list[Column], k: int) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*keys)
     return df.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+
+
+def log_rows(df: DataFrame, step: str, last: int, interval: int, always: Sequence[str] = ()) -> DataFrame:
+    """Rows that a log shows: the first step, the last, multiples of ``interval``, and those with a value in one of ``always``; none if ``interval`` is 0."""
+    if interval <= 0:
+        return df.limit(0)
+    shown = F.col(step).isin(1, last) | (F.col(step) % interval == 0)
+    for c in always:
+        shown = shown | F.col(c).isNotNull()
+    return df.where(shown)

@@ -74,6 +74,21 @@ def stage_cache_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def clip_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage per clip, run three times: all clips new, none, and those whose input changed."""
+    root = f"{shared_dir(spark)}/clips-{uuid.uuid4().hex}"
+    f = frames(spark, sf_dir).select("clip_id", "value")
+    clips = f.groupBy("clip_id").agg(F.sha2(F.sum(F.floor(F.col("value") * 100)).cast("string"), 256).alias("digest"))
+    changed = clips.withColumn("digest", F.when(F.col("clip_id") % 10 == 3, F.concat("digest", F.lit("+"))).otherwise(F.col("digest")))
+    stage = lambda todo: f.join(todo, "clip_id").groupBy("clip_id").agg(F.count("*").alias("n"))
+    out = None
+    for i, now in enumerate((clips, clips, changed)):
+        rows, counts = sinks.cached_clips(spark, root, "analysis", now, {"version": 1}, stage)
+        one = rows.agg(F.count("*").alias("clips"), F.sum("n").alias("frames")).select(F.lit(i).cast("long").alias("run"), *(F.lit(counts[c]).cast("long").alias(c) for c in ("hits", "misses")), "clips", "frames")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def image_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image errors, PSNR and SSIM of 16 x 16 images made of embeddings, each against a darker copy; Arrow UDF."""
     e = table(spark, sf_dir, "embeddings")
@@ -105,7 +120,7 @@ def rounded_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames(spark, sf_dir).select("event_id", half_even(F.col("k") / 2).alias("half"))
 
 
-QUERIES = {f.__name__: f for f in (manifest_roundtrip, manifest_faults, snapshot_roundtrip, metrics_union, stage_cache_reuse, image_quality, block_levels, mel_spectra, rounded_halves)}
+QUERIES = {f.__name__: f for f in (manifest_roundtrip, manifest_faults, snapshot_roundtrip, metrics_union, stage_cache_reuse, clip_cache, image_quality, block_levels, mel_spectra, rounded_halves)}
 
 ORACLE_SQL = {
     "manifest_roundtrip": f"WITH {BOXES} SELECT 'clip_' || clip_id AS clip_id, frame_idx::INT AS frame_idx, (frame_idx - 1)::INT AS audio_idx, printf('clips/%d/%06d.jpg', clip_id, frame_idx) AS frame_path, x2::INT AS x2, CASE WHEN clip_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, (value < 5)::BIGINT AS flags FROM boxes WHERE x1 IS NOT NULL",
@@ -113,6 +128,7 @@ ORACLE_SQL = {
     "snapshot_roundtrip": f"WITH {FRAMES} SELECT clip_id, count(*) AS rows, round(sum(value), 4) AS value FROM frames WHERE clip_id % 5 = 0 GROUP BY 1",
     "metrics_union": f"WITH {FRAMES} SELECT round(value, 2) AS loss, NULL::BIGINT AS psnr, event_id AS step FROM frames WHERE event_type = 'click' UNION ALL SELECT NULL, k, event_id FROM frames WHERE event_type = 'view'",
     "stage_cache_reuse": f"WITH {FRAMES}, a AS (SELECT count(DISTINCT clip_id) AS clips, count(*) AS frames FROM frames) SELECT r AS run, r = 1 AS hit, clips, frames FROM a, (SELECT unnest(range(3)) AS r)",
+    "clip_cache": f"WITH {FRAMES}, a AS (SELECT count(DISTINCT clip_id) AS clips, count(DISTINCT clip_id) FILTER (clip_id % 10 = 3) AS odd, count(*) AS frames FROM frames) SELECT r AS run, CASE r WHEN 0 THEN 0 WHEN 1 THEN clips ELSE clips - odd END AS hits, CASE r WHEN 0 THEN clips WHEN 1 THEN 0 ELSE odd END AS misses, clips, frames FROM a, (SELECT unnest(range(3)) AS r)",
     "block_levels": f"WITH {FRAMES} SELECT clip_id, (frame_idx - 1) // 16 AS audio_idx, round(sqrt(sum(value * value) / 16), 6) AS level FROM frames GROUP BY 1, 2",
     "rounded_halves": f"WITH {FRAMES} SELECT event_id, round_even(k / 2, 0)::BIGINT AS half FROM frames",
 }

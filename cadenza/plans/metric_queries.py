@@ -115,6 +115,30 @@ def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.gate_report(one, [("iou_mean", "iou", ">=", 0.8), ("drift_mean", "drift", "<=", 1.0), ("iou_p05", "iou_low", ">=", 0.5)])
 
 
+def parity_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eleven gates: boxes beside their shifted copies, and values of an event type as the errors of a part of the picture."""
+    f, p = frames(spark, sf_dir), _box_pairs(spark, sf_dir)
+    of = lambda kind: F.avg(F.when(F.col("event_type") == kind, F.col("value")))
+    errors = {"full_frame": of("view"), "roi": of("click"), "mouth": of("purchase")}
+    one = f.agg(
+        F.abs(F.count("*") - F.count_distinct("event_id")).alias("frame_count_delta"), (F.max("frame_idx") - F.max("frame_idx")).alias("fps_delta"), F.round(F.avg("k") / 1000, 6).alias("audio_duration_delta_seconds"),
+        *(F.round(1 - v / 10000, 6).alias(f"{n}_ssim") for n, v in errors.items()), *(F.round(v / 20, 6).alias(f"{n}_mae") for n, v in errors.items()),
+    )
+    boxed = p.agg(F.round(F.avg((F.col("iou") >= 0.995).cast("double")), 6).alias("bbox_iou_pass_fraction_at_0_995"), F.round(F.avg((F.col("drift") <= 1).cast("double")), 6).alias("bbox_center_pass_fraction_at_1px"))
+    return metrics.parity_gates(one.crossJoin(F.broadcast(boxed)))  # one row each
+
+
+def reason_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three frames of each of the two most frequent kinds of event."""
+    return metrics.reason_examples(frames(spark, sf_dir).select("event_type", "event_id", "clip_id"), "event_type", "event_id", 2, 3)
+
+
+def cache_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits and misses of all stages as one map."""
+    f = frames(spark, sf_dir).where("event_type <> 'signup'").select("clip_id", F.col("event_type").alias("stage"), (F.col("k") < 50).alias("hit"))
+    return metrics.cache_map(f).select(F.to_json("cache").alias("cache"))
+
+
 def audit_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "P", "blocked").when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 1000 == 1), "failed").otherwise("met").alias("status"))
     return metrics.audit_status(o)
@@ -142,7 +166,7 @@ def unit_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     distribution, metric_summary, quartile_buckets, reason_counts, clip_report, split_counts, drop_counters, stage_cache, pooled_errors, validation_means, weighted_loss,
-    box_metrics, geometry_report, gate_report, audit_status, array_reports, array_errors, unit_cosine,
+    box_metrics, geometry_report, gate_report, parity_gates, reason_examples, cache_map, audit_status, array_reports, array_errors, unit_cosine,
 )}
 
 _PAIRS = f"""{BOXES}, q AS (SELECT *, event_id % 7 AS s FROM boxes WHERE x1 IS NOT NULL AND x2 > x1 AND y2 > y1), i AS (SELECT *, greatest(0, x2 - x1 - s) * greatest(0, y2 - y1 - s) AS shared, sqrt(2 * s * s) AS drift FROM q),
@@ -163,6 +187,17 @@ ORACLE_SQL = {
     "box_metrics": f"WITH {_PAIRS} SELECT event_type, round(avg(iou), 6) AS iou_mean, round(quantile_cont(iou, 0.95), 6) AS iou_p95, round(avg((iou >= 0.9)::INT), 6) AS iou_pass, round(avg(drift), 6) AS drift_mean, round(quantile_cont(drift, 0.95), 6) AS drift_p95, round(avg((drift <= 5)::INT), 6) AS drift_pass, round(avg(s), 6) AS edge_mae FROM p GROUP BY 1",
     "geometry_report": f"WITH {_PAIRS} SELECT clip_id, round(avg((iou >= 0.8)::INT), 6) AS passed, bool_and(iou > 0) AS all_overlap, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS kinds FROM p GROUP BY 1",
     "gate_report": f"WITH {_PAIRS}, m AS (SELECT round(avg(iou), 6) AS a, round(avg(drift), 6) AS b, round(quantile_cont(iou, 0.05), 6) AS c FROM p) SELECT 'iou_mean' AS gate, a AS value, 0.8::DOUBLE AS threshold, a >= 0.8 AS passed FROM m UNION ALL SELECT 'drift_mean', b, 1.0::DOUBLE, b <= 1.0 FROM m UNION ALL SELECT 'iou_p05', c, 0.5::DOUBLE, c >= 0.5 FROM m",
+    "parity_gates": f"""WITH {_PAIRS}, v AS (SELECT abs(count(*) - count(DISTINCT event_id)) AS frames, round(avg(k) / 1000, 6) AS audio, avg(value) FILTER (event_type = 'view') AS a, avg(value) FILTER (event_type = 'click') AS b, avg(value) FILTER (event_type = 'purchase') AS c FROM frames),
+      q2 AS (SELECT round(avg((iou >= 0.995)::INT), 6) AS i, round(avg((drift <= 1)::INT), 6) AS d FROM p),
+      g(gate, value, op, threshold) AS (
+        SELECT 'frame_count_equal', frames::DOUBLE, -1, 0.0::DOUBLE FROM v UNION ALL SELECT 'fps_equal', 0, -1, 0 UNION ALL SELECT 'audio_duration_delta_lte_20ms', audio, -1, 0.02 FROM v
+        UNION ALL SELECT 'bbox_iou_gte_0_995_for_95pct_frames', i, 1, 0.95 FROM q2 UNION ALL SELECT 'bbox_center_drift_lte_1px_for_95pct_frames', d, 1, 0.95 FROM q2
+        UNION ALL SELECT 'decoded_full_frame_ssim_gte_0_999', round(1 - a / 10000, 6), 1, 0.999 FROM v UNION ALL SELECT 'decoded_full_frame_mae_lte_1', round(a / 20, 6), -1, 1 FROM v
+        UNION ALL SELECT 'decoded_roi_ssim_gte_0_995', round(1 - b / 10000, 6), 1, 0.995 FROM v UNION ALL SELECT 'decoded_roi_mae_lte_2', round(b / 20, 6), -1, 2 FROM v
+        UNION ALL SELECT 'decoded_mouth_ssim_gte_0_995', round(1 - c / 10000, 6), 1, 0.995 FROM v UNION ALL SELECT 'decoded_mouth_mae_lte_2', round(c / 20, 6), -1, 2 FROM v)
+      SELECT gate, value, threshold, CASE WHEN op = 1 THEN value >= threshold ELSE value <= threshold END AS passed FROM g""",
+    "reason_examples": f"WITH {FRAMES}, t AS (SELECT event_type FROM frames GROUP BY 1 ORDER BY count(*) DESC, min(event_id) LIMIT 2) SELECT event_type, event_id, clip_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS place FROM frames JOIN t USING (event_type) QUALIFY place <= 3",
+    "cache_map": f"WITH {FRAMES}, s AS (SELECT event_type AS stage, count(*) FILTER (k < 50) AS h, count(*) FILTER (k >= 50) AS m FROM frames WHERE event_type <> 'signup' GROUP BY 1) SELECT '{{' || string_agg('\"' || stage || '\":{{\"hits\":' || h || ',\"misses\":' || m || '}}', ',' ORDER BY stage) || '}}' AS cache FROM s",
     "audit_status": "SELECT CASE WHEN bool_or(o_orderstatus = 'F' AND o_orderkey % 1000 = 1) THEN 'failed' WHEN bool_or(o_orderstatus = 'P') THEN 'blocked' ELSE 'target_met' END AS status, count(*) AS checks, count(*) FILTER (o_orderstatus = 'F' AND o_orderkey % 1000 = 1) AS failed FROM orders",
     "array_reports": "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) SELECT vec_id, len(e)::BIGINT AS size, round(list_min(e), 6) AS min, round(list_max(e), 6) AS max, round(list_avg(e), 6) AS mean, round(list_stddev_pop(e), 6) AS std FROM e",
     "array_errors": "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), u AS (SELECT vec_id, unnest(e) AS a, unnest(list_reverse(e)) AS b FROM e) SELECT vec_id, round(avg(abs(a - b)), 6) AS mae, round(sqrt(avg((a - b)^2)), 6) AS rmse, round(max(abs(a - b)), 6) AS max_abs, max(abs(a - b)) = 0 AS equal FROM u GROUP BY 1",

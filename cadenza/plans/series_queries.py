@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import series, sync
+from ..operators import series, sessions, sync
 from .standins import BOXES, FRAMES, HEIGHT, WIDTH, boxes, frames
 
 
@@ -79,6 +79,14 @@ def irregular_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.nearest_of(f.select("clip_id", "frame_idx"), windows, "clip_id", "frame_idx", "center", "window_id")
 
 
+def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an encoder that passes its input on leaves in every frame's window: a frame's value stands for its block of audio."""
+    f = frames(spark, sf_dir).select("clip_id", (F.col("frame_idx") - 1).alias("block"), F.array(F.col("value").cast("float")).alias("samples"))
+    made = sessions.session_windows(f, "clip_id", "block", "samples", lambda samples: samples)
+    total = F.aggregate("window", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return made.select("clip_id", "block", F.round(total, 4).alias("total"), F.round(F.get("window", F.lit(11)).cast("double"), 4).alias("twelfth"))
+
+
 def window_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window with centre, speech, lag, confidence and the flags it gives its frames."""
     f = frames(spark, sf_dir).select("clip_id", "frame_idx", "value", F.col("k").cast("double").alias("k"))
@@ -180,7 +188,7 @@ best AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY clip_id, window
 _ARRAYS = f"{FRAMES}, v AS (SELECT clip_id, list(k ORDER BY frame_idx) AS v FROM frames GROUP BY 1)"
 
 QUERIES = {f.__name__: f for f in (
-    continuity_fold, box_continuity, jump_fold, gap_fill, fill_signal, smooth_index, smooth_rows, temporal_pairs, temporal_delta, sync_windows, best_lag, nearest_window, irregular_windows, window_records,
+    continuity_fold, box_continuity, jump_fold, gap_fill, fill_signal, smooth_index, smooth_rows, temporal_pairs, temporal_delta, sync_windows, best_lag, nearest_window, irregular_windows, session_windows, window_records,
     sync_reject, lag_sweep, shift_audio, context_windows, session_chunks, session_rows, early_stop, training_phase,
 )}
 
@@ -199,6 +207,10 @@ ORACLE_SQL = {
     "temporal_delta": f"WITH {FRAMES}, d AS (SELECT clip_id, abs(value - lag(value) OVER (PARTITION BY clip_id ORDER BY frame_idx)) AS d FROM frames) SELECT clip_id, round(coalesce(avg(d), 0), 6) AS temporal_delta FROM d GROUP BY 1",
     "sync_windows": f"WITH {_WINDOWS}, {_SPEECH} SELECT clip_id, window_id, start, stop, round(voiced, 6) AS voiced, voiced >= 0.7 AS has_speech FROM speech",
     "best_lag": f"WITH {_WINDOWS}, {_LAGS} SELECT clip_id, window_id, lag, round(correlation, 6) AS correlation FROM best",
+    "session_windows": f"""WITH {FRAMES}, b AS (SELECT clip_id, frame_idx - 1 AS block, value::FLOAT::DOUBLE AS v FROM frames),
+      c AS (SELECT *, CASE WHEN block < 20 THEN 0 ELSE 20 + (block - 20) // 50 * 50 END AS start, CASE WHEN block < 20 THEN 20 ELSE 50 END AS size FROM b),
+      w AS (SELECT clip_id, block, start, start + size AS stop, start + greatest(block - start - 1, 0) - 10 AS low FROM c)
+      SELECT w.clip_id, w.block, round(coalesce(sum(b.v), 0), 4) AS total, round(coalesce(max(b.v) FILTER (b.block = low + 11), 0), 4) AS twelfth FROM w LEFT JOIN b ON b.clip_id = w.clip_id AND b.block BETWEEN low AND low + 19 AND b.block < stop GROUP BY 1, 2""",
     "irregular_windows": f"WITH {FRAMES}, w AS (SELECT clip_id, event_id AS window_id, frame_idx + (k % 7) / 2.0 AS center FROM frames WHERE event_type = 'purchase') SELECT f.clip_id, f.frame_idx, w.window_id, w.center::DOUBLE AS center FROM frames f LEFT JOIN w ON f.clip_id = w.clip_id QUALIFY row_number() OVER (PARTITION BY f.clip_id, f.frame_idx ORDER BY abs(w.center - f.frame_idx), w.window_id) = 1",
     "nearest_window": f"WITH {_WINDOWS} SELECT f.clip_id, f.frame_idx, w.window_id, (start + stop - 1) / 2.0 AS center FROM frames f JOIN windows w ON f.clip_id = w.clip_id QUALIFY row_number() OVER (PARTITION BY f.clip_id, f.frame_idx ORDER BY abs((start + stop - 1) / 2.0 - (f.frame_idx - 1)), window_id) = 1",
     "window_records": f"WITH {_WINDOWS}, {_SPEECH}, {_LAGS} SELECT clip_id, window_id, start, stop, (start + stop - 1) / 2.0 AS center, voiced >= 0.7 AS has_speech, lag, round(correlation, 6) AS correlation, CASE WHEN correlation >= 0.20 THEN 'high' ELSE 'low' END AS confidence, CASE WHEN voiced >= 0.7 AND correlation < 0.20 THEN 'low_sync_confidence' ELSE '' END AS flags FROM best JOIN speech USING (clip_id, window_id)",

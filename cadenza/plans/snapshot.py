@@ -152,10 +152,16 @@ def previews(pairs: DataFrame, count: int = 8) -> DataFrame:
     return sampling.top_by(each, ["group"], [F.col("key"), F.col("frame_idx"), F.col("pair_id")], count)
 
 
-def publish(pairs: DataFrame, decisions: DataFrame, live: str) -> None:
-    """Pairs as a snapshot by split, decisions beside it; nothing is published if a row is at fault."""
-    worst = row_fault(pairs).groupBy("fault").agg(F.count("*").alias("rows"), F.min("pair_id").alias("first")).collect()  # a row per kind of fault
+def publish(pairs: DataFrame, decisions: DataFrame, live: str, audio: str | None = None, shape: tuple[int, int] = (20, 256), splits: tuple[str, ...] = ("train", "val")) -> None:
+    """Pairs as a snapshot by split, decisions beside it; nothing is published if a row is at fault or a split has no rows.
+
+    ``audio`` names the column of feature windows, array<array<..>>, every one of which must have ``shape`` and finite values.
+    """
+    worst = row_fault(pairs, audio, shape).groupBy("fault").agg(F.count("*").alias("rows"), F.min("pair_id").alias("first")).collect()  # a row per kind of fault
     if worst:
         raise ValueError("; ".join(f"{r['rows']} rows {r['fault']}, first {r['first']}" for r in worst))
+    empty = set(splits) - {r["split"] for r in pairs.groupBy("split").count().collect()}  # a row per split
+    if empty:
+        raise ValueError(f"no rows for splits {sorted(empty)}")
     sinks.write_snapshot(pairs, live)
     sinks.write_decisions(decisions, f"{live}-decisions")

@@ -102,3 +102,39 @@ def cached(spark: SparkSession, root: str, stage: str, key: dict, build: Callabl
     build().write.parquet(staged)
     publish(spark, staged, live)
     return spark.read.parquet(live), False
+
+
+def _runs(spark: SparkSession, path: str) -> list[str]:
+    """The tables below a folder, by name. They are read by these names: Spark takes two scans of one folder for the same, though files came in between."""
+    fs, cls = _fs(spark, path)
+    return sorted(f.getPath().toString() for f in fs.listStatus(cls(path))) if fs.exists(cls(path)) else []
+
+
+def cached_clips(spark: SparkSession, root: str, stage: str, clips: DataFrame, settings: dict, compute: Callable[[DataFrame], DataFrame], clip: str = "clip_id", digest: str = "digest", batches: int = 4) -> tuple[DataFrame, dict[str, int]]:
+    """(rows of all ``clips``, {"hits", "misses"}) of a stage that works clip by clip.
+
+    ``clips`` has a row per clip with the digest of its input; ``compute`` gets such rows and gives any number of rows
+    with the clip's column. An entry is known by clip, digest and settings (with the stage's version among them), so
+    only new or changed clips are computed. They are computed in ``batches`` by a hash of the clip, and each batch is
+    kept before the next begins: a run that fails leaves its finished batches for the next one. Rows are written
+    before the list that makes them count, and rows of a batch that isn't listed are never read.
+    """
+    base, known = f"{root}/{stage}/{config_hash(settings)}", clips.select(clip, digest).dropna().distinct()
+    finished = _runs(spark, f"{base}/done")
+    todo = known.join(spark.read.parquet(*finished), [clip, digest], "left_anti") if finished else known
+    counts = {"hits": known.count(), "misses": todo.count()}
+    counts["hits"] -= counts["misses"]
+    for i in range(batches if counts["misses"] else 0):
+        part = todo.where(F.pmod(F.xxhash64(F.col(clip).cast("string")), F.lit(batches)) == i)
+        if part.isEmpty():
+            continue
+        run = uuid.uuid4().hex
+        compute(part).withColumn("run", F.lit(run)).write.parquet(f"{base}/rows/{run}")
+        part.select(clip, digest, F.lit(run).alias("run")).write.parquet(f"{base}/done/{run}")
+    finished = _runs(spark, f"{base}/done")
+    if not finished:
+        return compute(known), counts  # no clips: an empty table with the stage's columns
+    # a clip may be listed twice if two runs met; one of its entries counts
+    current = known.join(spark.read.parquet(*finished), [clip, digest]).groupBy(clip).agg(F.min("run").alias("run"))
+    rows = spark.read.parquet(*(f"{base}/rows/{path.rsplit('/', 1)[-1]}" for path in finished))
+    return rows.join(current, [clip, "run"]).drop("run"), counts
