@@ -105,9 +105,10 @@ def cached(spark: SparkSession, root: str, stage: str, key: dict, build: Callabl
 
 
 def _runs(spark: SparkSession, path: str) -> list[str]:
-    """The tables below a folder, by name. They are read by these names: Spark takes two scans of one folder for the same, though files came in between."""
+    """The finished tables below a folder, by name. They are read by these names: Spark takes two scans of one folder for the same, though files came in between."""
     fs, cls = _fs(spark, path)
-    return sorted(f.getPath().toString() for f in fs.listStatus(cls(path))) if fs.exists(cls(path)) else []
+    found = [f.getPath().toString() for f in fs.listStatus(cls(path))] if fs.exists(cls(path)) else []
+    return sorted(x for x in found if fs.exists(cls(f"{x}/_SUCCESS")))
 
 
 def cached_clips(spark: SparkSession, root: str, stage: str, clips: DataFrame, settings: dict, compute: Callable[[DataFrame], DataFrame], clip: str = "clip_id", digest: str = "digest", batches: int = 4) -> tuple[DataFrame, dict[str, int]]:
