@@ -97,6 +97,41 @@ def blended(under: np.ndarray, over: np.ndarray, alpha: np.ndarray) -> np.ndarra
     return np.clip(np.rint(over * alpha + under * (1 - alpha)), 0, 255).astype(np.uint8)
 
 
+def as_picture(planes: np.ndarray) -> np.ndarray:
+    """Three planes in [-1, 1] as a picture of bytes, cut off below the next whole number."""
+    if planes.shape[0] != 3:
+        raise ValueError(f"three planes expected, got shape {planes.shape}")
+    return np.clip((np.moveaxis(planes, 0, -1) + 1.0) * 127.5, 0, 255).astype(np.uint8)
+
+
+def side_by_side(given: np.ndarray, made: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Input, result and target as pictures in a row, then the difference of the last two."""
+    pictures = [as_picture(p) for p in (given, made, wanted)]
+    gap = np.abs(pictures[1].astype(int) - pictures[2]).astype(np.uint8)
+    return np.hstack([*pictures, gap])
+
+
+def pasted(frame: np.ndarray, box: tuple[int, int, int, int], roi: np.ndarray, made: np.ndarray, edge: int = 4, keep: np.ndarray | None = None, resize=None) -> np.ndarray:
+    """A frame whose box shows ``roi`` with ``made`` inside its edge; ``keep`` (bytes) says how much of the roi shines through.
+
+    ``resize(image, width, height)`` brings the roi to the box's size and is needed where they differ.
+    """
+    face, (h, w) = roi.copy(), made.shape[:2]
+    if face.shape[:2] != (h + 2 * edge, w + 2 * edge):
+        raise ValueError(f"a roi of {face.shape[:2]} does not fit a result of {(h, w)} with an edge of {edge}")
+    inner = face[edge : edge + h, edge : edge + w]
+    share = 0.0 if keep is None else (keep.astype(np.float32) / 255.0)[..., None]
+    inner[...] = np.clip(inner.astype(np.float32) * share + made.astype(np.float32) * (1.0 - share), 0, 255).astype(np.uint8)
+    x1, y1, x2, y2 = box
+    if face.shape[:2] != (y2 - y1, x2 - x1):
+        if resize is None:
+            raise ValueError("a box of another size than the roi needs a resize")
+        face = resize(face, x2 - x1, y2 - y1)
+    out = frame.copy()
+    out[y1:y2, x1:x2] = face
+    return out
+
+
 def charbonnier(a: np.ndarray, b: np.ndarray, eps: float = 1e-3) -> np.ndarray:
     """Per sample: mean of a smooth absolute difference."""
     return np.sqrt((a - b) ** 2 + eps**2).reshape(len(a), -1).mean(axis=1)

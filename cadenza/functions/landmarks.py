@@ -46,6 +46,14 @@ def in_box(p: Column, b: Box) -> tuple[Column, Column]:
     return (p["x"] - x1) / (x2 - x1), (p["y"] - y1) / (y2 - y1)
 
 
+def aligned(marks: Column, b: Box) -> tuple[Column, Column]:
+    """(coordinates of the stable landmarks in turn, centre of the mouth), both as arrays of shares of a box's sides; null if a landmark is missing."""
+    stable = [v for i in STABLE for v in in_box(point(marks, i), b)]
+    mouth = in_box(middle(*(point(marks, i) for i in MOUTH_CORNERS)), b)
+    whole = lambda values: F.when(~F.exists(F.array(*values), F.isnull), F.array(*(v.cast("double") for v in values)))
+    return whole(stable), whole(mouth)
+
+
 def alignment(source: Column, source_box: Box, target: Column, target_box: Box) -> tuple[Column, Column]:
     """(root mean square gap of the stable landmarks inside their boxes, distance of the mouth centres)."""
     gaps = []

@@ -15,10 +15,12 @@ geometry only; vectors are fetched for the pairs that pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
-from ..functions.geometry import MatchGates, match_score
+from ..functions.geometry import MatchGates, box, match_score, normalized
+from ..functions.landmarks import aligned
 from ..functions.numeric import angle_delta
 from ..functions.vectors import dot, unit
 
@@ -26,6 +28,16 @@ GEOMETRY = ("yaw", "pitch", "roll", "cx", "cy", "w", "h")
 DIFFERENCES = ("pose_delta_yaw", "pose_delta_pitch", "pose_delta_roll", "center_delta_x", "center_delta_y", "width_ratio", "height_ratio")
 
 
+def observed(frames: DataFrame, marks: str = "landmarks", width: str = "frame_width", height: str = "frame_height") -> DataFrame:
+    """``frames`` with what pairing compares: centre and size of the box x1, y1, x2, y2 as shares of the frame, and landmarks as shares of the box.
+
+    ``marks`` is a map<int, struct<x, y>>. A frame without box or frame size has null geometry; one that lacks a stable
+    landmark or a mouth corner is in reach of others but aligned with none.
+    """
+    point, mouth = aligned(F.col(marks), box())
+    return frames.withColumns(normalized(box(), F.col(width), F.col(height)) | {"point": point, "mouth": mouth})
+
+
 def in_reach(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchGates()) -> DataFrame:
     """Pairs that pass the range gates: (persona, target_id, source_id) and the differences d_*."""
 
@@ -64,7 +76,8 @@ def candidates(targets: DataFrame, sources: DataFrame, gates: MatchGates = Match
     stable landmarks) and mouth (array<double>, the mouth's centre likewise).
     """
     own = lambda df, p: df.select(F.col("id").alias("target_id" if p == "t" else "source_id"), unit(F.col("embedding")).alias(f"{p}_unit"), F.col("embedding").isNotNull().alias(f"{p}_known"), F.col("point").alias(f"{p}_point"), F.col("mouth").alias(f"{p}_mouth"))
-    pairs = in_reach(targets, sources, gates).join(own(targets, "t"), "target_id").join(own(sources, "s"), "source_id")
+    # the target's vectors come last, so that pairs leave this join partitioned by target
+    pairs = in_reach(targets, sources, gates).join(own(sources, "s"), "source_id").join(own(targets, "t"), "target_id")
     square = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y)
     return pairs.select(
         "persona", "target_id", "source_id", *(f"d_{c}" for c in GEOMETRY), dot(F.col("t_unit"), F.col("s_unit")).alias("similarity"), (F.col("t_known") & F.col("s_known")).alias("compared"),
@@ -82,16 +95,17 @@ def decisions(targets: DataFrame, sources: DataFrame, gates: MatchGates = MatchG
     pairs = candidates(targets.where(seen), sources.where(seen), gates)
     alike = F.coalesce(F.col("similarity") >= gates.similarity, F.lit(False))
     stable, mouth = F.coalesce(F.col("alignment") <= gates.alignment, F.lit(False)), F.coalesce(F.col("mouth_delta") <= gates.mouth, F.lit(False))
-    # one shuffle by target serves the ranking and the counts
-    ranked = Window.partitionBy("target_id").orderBy(F.desc("__good"), "score", "source_id")
-    scored = pairs.withColumns({"__alike": alike, "__stable": stable, "__mouth": mouth, "__good": alike & stable & mouth}).withColumn("__rank", F.when(F.col("__good"), F.row_number().over(ranked)))
-    pick = lambda c, n: F.max(F.when(F.col("__rank") == n, F.col(c)))
+    scored = pairs.withColumns({"__alike": alike, "__stable": stable, "__mouth": mouth, "__good": alike & stable & mouth})
+    won = ("source_id", "similarity", "alignment", "mouth_delta", *(f"d_{c}" for c in GEOMETRY))
+    # a buffer of two per target, combined in the tasks that make the pairs: no pair is sorted or kept
+    best = InternalFunction.collect_top_k(F.when(F.col("__good"), F.struct("score", *won)), 2, True)
     counts = scored.groupBy("target_id").agg(
         F.count("*").alias("geometry_count"), F.count_if("__alike").alias("identity_count"), F.count_if("__good").alias("valid_candidate_count"),
         F.count_if(F.col("compared") & ~F.col("__alike")).alias("identity_mismatch_count"), F.max(F.when(~F.col("__alike"), F.col("similarity"))).alias("max_rejected_similarity"),
-        F.count_if(F.col("__alike") & ~F.col("__stable")).alias("stable_failures"), F.count_if(F.col("__alike") & ~F.col("__mouth")).alias("mouth_failures"),
-        *(pick(c, 1).alias(c) for c in ("source_id", "score", "similarity", "alignment", "mouth_delta", *(f"d_{c}" for c in GEOMETRY))), pick("score", 2).alias("second"),
+        F.count_if(F.col("__alike") & ~F.col("__stable")).alias("stable_failures"), F.count_if(F.col("__alike") & ~F.col("__mouth")).alias("mouth_failures"), best.alias("__best"),
     )
+    first, second = F.get("__best", F.lit(0)), F.get("__best", F.lit(1))
+    counts = counts.select("*", first["score"].alias("score"), *(first[c].alias(c) for c in won), second["score"].alias("second")).drop("__best")
     joined = targets.select("persona", F.col("id").alias("target_id"), seen.alias("__seen"), known.alias("__known")).join(counts, "target_id", "left")
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     none = count("valid_candidate_count") == 0

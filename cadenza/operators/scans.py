@@ -23,6 +23,21 @@ def same(pairs: list[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, (x.eqNullSafe(y) for x, y in pairs))
 
 
+def numbered(df: DataFrame, group: str, clip: str, order: str, out: str = "place", segment: int = SEGMENT) -> DataFrame:
+    """``df`` with the place (1, 2, ...) of each row of a group in order of (clip, order).
+
+    Rows are ranked within their segment and start at the sum of the segments before it; one task per group
+    sums a row per segment, none holds a clip or a group. Nulls come first, rows of equal order in some order.
+    """
+    cut = df.withColumn("__seg", F.floor(F.col(order) / segment))
+    before = Window.partitionBy("__group").orderBy("__clip", "__of").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(F.col(group).alias("__group"), F.col(clip).alias("__clip"), F.col("__seg").alias("__of")).agg(F.count("*").alias("__rows"))
+    bases = sizes.select("__group", "__clip", "__of", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__base"))
+    ranked = cut.withColumn("__n", F.row_number().over(Window.partitionBy(group, clip, "__seg").orderBy(order)))
+    joined = ranked.join(bases, same([(F.col(group), F.col("__group")), (F.col(clip), F.col("__clip")), (F.col("__seg"), F.col("__of"))]))
+    return joined.withColumn(out, F.col("__n") + F.col("__base")).drop("__seg", "__n", "__group", "__clip", "__of", "__base")
+
+
 def around(df: DataFrame, clip: str, order: str, present: Column, values: list[str], segment: int = SEGMENT) -> DataFrame:
     """``df`` with __pos (1, 2, ... in a clip) and, of the nearest rows at or before and at or behind each row where
     ``present`` holds, structs __before and __after of their position ``at`` and ``values``; null where there is none.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.geometry import MatchGates
 from ..operators import pairing, sampling
-from .standins import FRAMES, OBSERVATIONS, frames, observations, table
+from .standins import FACES, FRAMES, OBSERVATIONS, faces, frames, observations, table
 
 GATES = MatchGates(similarity=0.05, alignment=0.04)
 
@@ -17,14 +17,16 @@ def pair_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairing.decisions(*observations(spark, sf_dir), GATES)
 
 
+_MOUTH = "sqrt((te[15]*0.2-se[15]*0.2)^2 + (te[16]*0.2-se[16]*0.2)^2) AS mouth"
+_ALIGNMENT = "sqrt(((te[11]*0.2-se[11]*0.2)^2 + (te[12]*0.2-se[12]*0.2)^2 + (te[13]*0.2-se[13]*0.2)^2 + (te[14]*0.2-se[14]*0.2)^2) / 4) AS alignment"
 _PAIRS = f"""{OBSERVATIONS}, raw AS (
   SELECT t.persona, t.id AS target_id, s.id AS source_id, t.e AS te, s.e AS se, t.known AND s.known AS compared,
     (t.yaw - s.yaw + 180) - 360 * floor((t.yaw - s.yaw + 180) / 360) - 180 AS yaw, (t.pitch - s.pitch + 180) - 360 * floor((t.pitch - s.pitch + 180) / 360) - 180 AS pitch,
     (t.roll - s.roll + 180) - 360 * floor((t.roll - s.roll + 180) / 360) - 180 AS roll, t.cx - s.cx AS cx, t.cy - s.cy AS cy, t.w / s.w AS w, t.h / s.h AS h
   FROM obs t JOIN obs s ON t.persona = s.persona AND t.id % 2 = 1 AND s.id % 2 = 0
 ), near AS (
-  SELECT *, list_dot_product(te, se) / sqrt(list_dot_product(te, te)) / sqrt(list_dot_product(se, se)) AS similarity, sqrt((te[15]*0.2-se[15]*0.2)^2 + (te[16]*0.2-se[16]*0.2)^2) AS mouth,
-    sqrt(((te[11]*0.2-se[11]*0.2)^2 + (te[12]*0.2-se[12]*0.2)^2 + (te[13]*0.2-se[13]*0.2)^2 + (te[14]*0.2-se[14]*0.2)^2) / 4) AS alignment,
+  SELECT *, list_dot_product(te, se) / sqrt(list_dot_product(te, te)) / sqrt(list_dot_product(se, se)) AS similarity, {_MOUTH},
+    {_ALIGNMENT},
     abs(yaw) / 5 + abs(pitch) / 5 + abs(roll) / 4 + (abs(cx) + abs(cy)) / 0.05
       + abs(ln(w)) / CASE WHEN w >= 1 THEN ln(1.1) ELSE abs(ln(0.9)) END + abs(ln(h)) / CASE WHEN h >= 1 THEN ln(1.1) ELSE abs(ln(0.9)) END AS score
   FROM raw WHERE abs(yaw) <= 5 AND abs(pitch) <= 5 AND abs(roll) <= 4 AND abs(cx) <= 0.05 AND abs(cy) <= 0.05 AND w BETWEEN 0.9 AND 1.1 AND h BETWEEN 0.9 AND 1.1
@@ -49,6 +51,20 @@ SELECT persona, id AS target_id, CASE WHEN coalesce(v, 0) = 0 THEN 'rejected' EL
 FROM obs LEFT JOIN c ON id = target_id WHERE id % 2 = 1"""
 
 
+def landmark_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions from boxes and landmarks instead of ready geometry."""
+    targets, sources = faces(spark, sf_dir)
+    return pairing.decisions(pairing.observed(targets), pairing.observed(sources), GATES)
+
+
+_SELECTED = "t.e AS te, s.e AS se, t.known"
+FACE_PAIR_SQL = PAIR_SQL.replace(OBSERVATIONS, FACES).replace(_SELECTED, f"t.points AS tp, s.points AS sp, t.centre AS tm, s.centre AS sm, {_SELECTED}")
+_GAPS = " + ".join(f"(tp[{i}] - sp[{i}])^2" for i in range(1, 13))
+FACE_PAIR_SQL = FACE_PAIR_SQL.replace(_MOUTH, "sqrt((tm[1] - sm[1])^2 + (tm[2] - sm[2])^2) AS mouth").replace(_ALIGNMENT, f"sqrt(({_GAPS}) / 12) AS alignment")
+# a face without its landmarks is aligned with none
+FACE_PAIR_SQL = FACE_PAIR_SQL.replace("alignment <= 0.04", "coalesce(alignment <= 0.04, false)")
+
+
 def reject_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = frames(spark, sf_dir)
     checks = [("landmark_missing", F.col("event_type") == "error"), ("bbox_discontinuity", F.col("k") > 90), ("target_face_blur", F.col("value") < 5), ("bnf_out_of_range", F.col("frame_idx") > 60)]
@@ -120,11 +136,12 @@ def idle_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "pair_decisions": pair_decisions, "reject_cascade": reject_cascade, "frame_audio_join": frame_audio_join, "frame_level_join": frame_level_join, "looped_source": looped_source,
+    "pair_decisions": pair_decisions, "landmark_pairs": landmark_pairs, "reject_cascade": reject_cascade, "frame_audio_join": frame_audio_join, "frame_level_join": frame_level_join, "looped_source": looped_source,
     "speaker_files": speaker_files, "speaker_counts": speaker_counts, "paired_lookup": paired_lookup, "box_sets": box_sets, "idle_distance": idle_distance,
 }
 ORACLE_SQL = {
     "pair_decisions": PAIR_SQL,
+    "landmark_pairs": FACE_PAIR_SQL,
     "reject_cascade": CASCADE_SQL,
     "frame_audio_join": f"WITH {AUDIO} SELECT f.clip_id, f.frame_idx, audio_idx, level FROM frames f JOIN audio a ON f.clip_id = a.clip_id AND audio_idx = f.frame_idx - 1",
     "frame_level_join": f"WITH {AUDIO} SELECT f.clip_id, count(*) AS frames, round(sum(coalesce(level, 0)), 6) AS level, count(*) FILTER (level IS NULL) AS missing FROM frames f LEFT JOIN audio a ON f.clip_id = a.clip_id AND audio_idx = f.frame_idx - 1 GROUP BY 1",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import pair_id
-from ..operators import metrics, sampling, search
+from ..operators import metrics, sampling, scans, search
 from . import snapshot
 from .pairing_queries import PAIR_SQL, pair_decisions
 from .standins import BOXES, FRAMES, boxes, frames, table
@@ -66,6 +66,12 @@ def final_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("weight", F.when(F.col("value") < 10, 0.25).otherwise(1.0)).select("split", "clip_id", "frame_idx", "place", "pair_id", "weight")
 
 
+def split_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every kept frame in its split, in (clip, frame) order: the row it has when a split's clips are put together."""
+    f = frames(spark, sf_dir).where("event_type = 'click'").withColumn("split", F.when(F.col("clip_id") % 5 == 0, "val").otherwise("train"))
+    return scans.numbered(f, "split", "clip_id", "frame_idx").select("split", "clip_id", "frame_idx", "place")
+
+
 def preview_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Named top-4 groups, each with its own key and filter, ties by event_id."""
     f = frames(spark, sf_dir)
@@ -148,7 +154,7 @@ def largest_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    hash_split, tail_split, position_split, listed_split, silence_cap, idle_sample, preview_picks, media_selection, epoch_order, final_order, preview_groups, pair_previews, common_reasons,
+    hash_split, tail_split, position_split, listed_split, silence_cap, idle_sample, preview_picks, media_selection, epoch_order, final_order, split_order, preview_groups, pair_previews, common_reasons,
     best_median_worst, nth_record, sequence_rows, grid_search, square_search, suppression, largest_box,
 )}
 
@@ -184,6 +190,7 @@ ORACLE_SQL = {
     SELECT clip_id, picture, unnest(kept).id AS box_id FROM last""",
     "epoch_order": "SELECT vec_id, n FROM (SELECT vec_id, row_number() OVER (ORDER BY md5('17:3:' || vec_id)) AS n FROM embeddings) WHERE n > 40",
     "final_order": f"WITH {FRAMES} SELECT CASE WHEN clip_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, clip_id, frame_idx, row_number() OVER (PARTITION BY clip_id ORDER BY frame_idx) AS place, printf('%s__target_%06d__silent_%06d', clip_id::VARCHAR, frame_idx, k) AS pair_id, CASE WHEN value < 10 THEN 0.25::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM frames WHERE event_type = 'click'",
+    "split_order": f"WITH {FRAMES} SELECT CASE WHEN clip_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, clip_id, frame_idx, row_number() OVER (PARTITION BY clip_id % 5 = 0 ORDER BY clip_id, frame_idx) AS place FROM frames WHERE event_type = 'click'",
     "preview_groups": f"""WITH {FRAMES}, g AS (SELECT 'lowest' AS "group", event_id, round(value, 6) AS key FROM frames UNION ALL SELECT 'highest', event_id, round(-value, 6) FROM frames
       UNION ALL SELECT 'near_edge', event_id, round((-abs(k - 50))::DOUBLE, 6) FROM frames WHERE event_type = 'view' UNION ALL SELECT 'late_idle', event_id, frame_idx::DOUBLE FROM frames WHERE event_type = 'signup')
       SELECT "group", row_number() OVER (PARTITION BY "group" ORDER BY key, event_id) AS rank, event_id, key FROM g QUALIFY rank <= 4""",

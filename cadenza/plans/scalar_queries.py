@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry, landmarks, numeric, text
-from ..operators import metrics
+from ..operators import metrics, series
 from .standins import BOXES, FRAMES, HEIGHT, WIDTH, boxes, frames, table
 
 
@@ -100,6 +100,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("event_id", F.format_string("step=%d clip=%d loss=%.4f", "frame_idx", "clip_id", "value").alias("line"))
 
 
+def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the logged steps of every clip's run: frames are steps of 60, purchases are validated. No number here is a tie of its last digit, which SQL rounds by the binary value."""
+    steps = frames(spark, sf_dir).select(
+        "clip_id", F.col("frame_idx").alias("step"), F.floor((F.col("frame_idx") - 1) / 20).alias("epoch"), series.phase(F.col("frame_idx"), 60, 10, 12).alias("phase"),
+        (F.col("k") / 1e6).alias("learning_rate"), (F.col("value") * 100).alias("train_loss"), F.when(F.col("event_type") == "purchase", F.col("value") / 1000).alias("val_loss"),
+        F.when((F.col("event_type") == "purchase") & (F.col("k") > 50), F.col("value")).alias("val_mouth_mae"),
+    )
+    return steps.where(text.logged(60, 25, steps.columns)).select("clip_id", "step", text.training_line(60, steps.columns).alias("line"))
+
+
 #: Where the landmarks of the stand-in faces lie before an embedding moves them.
 FACE = ((234, 220, 240), (454, 420, 240), (33, 260, 200), (263, 380, 200), (152, 320, 340))
 
@@ -123,7 +133,7 @@ def detector_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     face_squares, detector_proposals,
-    normalized_boxes, angle_deltas, euler_angles, mouth_shapes, moved_boxes, square_boxes, part_boxes, permuted_boxes, safe_names, media_rates, speakers, content_hashes, json_presence, log_lines,
+    normalized_boxes, angle_deltas, euler_angles, mouth_shapes, moved_boxes, square_boxes, part_boxes, permuted_boxes, safe_names, media_rates, speakers, content_hashes, json_presence, log_lines, training_log,
 )}
 
 _E = "SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings"
@@ -154,5 +164,8 @@ ORACLE_SQL = {
     "speakers": "WITH d AS (SELECT source, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN source ELSE lang END AS other FROM documents) SELECT CASE WHEN source <> '' AND (other = '' OR other = source) THEN source ELSE '' END AS speaker, count(*) AS count FROM d GROUP BY 1",
     "content_hashes": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
     "json_presence": "SELECT json_extract(props, '$.k') IS NOT NULL AS has_k, json_extract(props, '$.k.z') IS NOT NULL AS has_z, value > 300 AS infinite, count(*) AS count FROM events GROUP BY 1, 2, 3",
+    "training_log": f"""WITH {FRAMES} SELECT clip_id, frame_idx AS step, printf('[train] step=%d/60 epoch=%d phase=%s lr=%.3g train_loss=%.6g', frame_idx, (frame_idx - 1) // 20, CASE WHEN frame_idx <= 10 THEN 'warmup' WHEN frame_idx > 48 THEN 'stabilization' ELSE 'main' END, k / 1e6::DOUBLE, value * 100)
+      || CASE WHEN event_type = 'purchase' THEN printf(' val_loss=%.6g', value / 1000) ELSE '' END || CASE WHEN event_type = 'purchase' AND k > 50 THEN printf(' val_mouth_mae=%.6g', value) ELSE '' END AS line
+      FROM frames WHERE frame_idx IN (1, 60) OR frame_idx % 25 = 0 OR event_type = 'purchase'""",
     "log_lines": f"WITH {FRAMES} SELECT event_id, printf('step=%d clip=%d loss=%.4f', frame_idx, clip_id, value) AS line FROM frames",
 }

@@ -57,11 +57,13 @@ def early_reason(config: BuildConfig):
 
 
 def build(targets: DataFrame, sources: DataFrame, config: BuildConfig = BuildConfig()) -> tuple[DataFrame, DataFrame]:
-    """(decisions, pairs). Both sides have the pairing columns; targets also clip_id, frame_idx, speech, confidence and the gated values.
+    """(decisions, pairs). Both sides have the pairing columns, or the boxes and landmarks that ``pairing.observed`` makes them from;
+    targets also clip_id, frame_idx, speech, confidence and the gated values.
 
     Rows that fail early never reach the join; exactly one decision is made per target frame. Clips are
     split within each persona, and a persona with fewer than two clips fails the build when a pair of it is read.
     """
+    targets, sources = (side if "point" in side.columns else pairing.observed(side) for side in (targets, sources))
     judged = targets.withColumn("early", early_reason(config))
     usable = sources.where(F.col("landmark_valid") & F.col("bbox_continuity_valid") & F.col("embedding").isNotNull() & (F.col("face_blur") >= config.source_blur))
     matched = pairing.decisions(judged.where("early is null"), usable, config.gates).drop("persona")
@@ -102,7 +104,7 @@ def row_fault(pairs: DataFrame, audio: str | None = None, shape: tuple[int, int]
     return pairs.select("pair_id", fault.alias("fault")).where("fault is not null")
 
 
-#: Reasons counted one by one in the report.
+#: Reasons counted one by one in the report.
 REASONS = (
     "landmark_missing", "bbox_discontinuity", "target_face_blur", "target_mouth_blur", "bnf_out_of_range", "sync_lag", "invalid_target_observation", "identity_embedding_missing",
     "pose_geometry_no_match", "identity_mismatch", "post_crop_alignment_mismatch", "idle_downsampled",
@@ -139,6 +141,7 @@ def previews(pairs: DataFrame, count: int = 8) -> DataFrame:
 
     A pair is listed once for each group it may be in, and ranked within them: one scan, and no more than ``count`` rows of a group leave a task.
     """
+    # fixed values: the names of the groups
     most = lambda *cs: F.greatest(*(F.abs(c) for c in cs))
     c = F.col
     keys = [

@@ -66,3 +66,38 @@ OBSERVATIONS = (
     + ", ".join(f"CASE WHEN {'vec_id % 23 <> 0' if n == 'yaw' else 'true'} THEN embedding[{p}]::DOUBLE * {s} + {o} END AS {n}" for n, p, s, o in PARTS)
     + " FROM embeddings)"
 )
+
+#: Where the landmarks of a stand-in face lie in its box before an embedding moves them: (landmark, share of width, share of height).
+FACE_MARKS = ((1, 0.5, 0.5), (33, 0.25, 0.25), (61, 0.375, 0.75), (152, 0.5, 1.0), (234, 0.0, 0.5), (263, 0.75, 0.25), (291, 0.625, 0.75), (454, 1.0, 0.5))
+
+
+def faces(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Targets and sources like ``observations``, with a box and landmarks instead of geometry and ready points.
+
+    Landmark i moves by numbers 11 + i and 21 + i of the embedding; every 29th face has no tip of the nose.
+    """
+    n = lambda at: F.element_at("embedding", at).cast("double")
+    e = table(spark, sf_dir, "embeddings")
+    sized = e.withColumns({"x1": F.floor(n(4) * 100 + 200).cast("double"), "y1": F.floor(n(5) * 100 + 120).cast("double"), "bw": F.floor(n(6) * 60 + 200).cast("double"), "bh": F.floor(n(7) * 60 + 200).cast("double")})
+    marks = F.create_map(*(v for i, (mark, x, y) in enumerate(FACE_MARKS) for v in (F.lit(mark), F.struct((F.col("x1") + F.col("bw") * x + n(11 + i) * 32).alias("x"), (F.col("y1") + F.col("bh") * y + n(21 + i) * 32).alias("y")))))
+    made = sized.select(
+        F.col("label").cast("long").alias("persona"), F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 17 != 0, F.col("embedding")).alias("embedding"),
+        *(F.when(F.lit(name != "yaw") | (F.col("vec_id") % 23 != 0), n(place) * scale + offset).alias(name) for name, place, scale, offset in PARTS[:3]),
+        "x1", "y1", (F.col("x1") + F.col("bw")).alias("x2"), (F.col("y1") + F.col("bh")).alias("y2"), F.lit(WIDTH).alias("frame_width"), F.lit(HEIGHT).alias("frame_height"),
+        F.map_filter(marks, lambda k, v: (k != 1) | (F.col("vec_id") % 29 != 0)).alias("landmarks"),
+    )
+    return made.where("id % 2 = 1"), made.where("id % 2 = 0")
+
+
+_STABLE = [i for i, (mark, *_) in enumerate(FACE_MARKS) if mark not in (61, 291)]
+_CORNERS = [i for i, (mark, *_) in enumerate(FACE_MARKS) if mark in (61, 291)]
+_AT = [(f"({x}::DOUBLE + e[{11 + i}] * 32 / bw)", f"({y}::DOUBLE + e[{21 + i}] * 32 / bh)") for i, (_, x, y) in enumerate(FACE_MARKS)]
+_POINTS = ", ".join(v for i in _STABLE for v in _AT[i])
+_CENTRE = ", ".join("(" + " + ".join(_AT[i][axis] for i in _CORNERS) + ") / 2" for axis in (0, 1))
+FACES = f"""raw_faces AS (SELECT label::BIGINT AS persona, vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), sized_faces AS (
+  SELECT *, floor(e[4] * 100 + 200) AS x1, floor(e[5] * 100 + 120) AS y1, floor(e[6] * 60 + 200) AS bw, floor(e[7] * 60 + 200) AS bh FROM raw_faces
+), obs AS (
+  SELECT persona, id, e, id % 17 <> 0 AS known, {", ".join(f"CASE WHEN {'id % 23 <> 0' if n == 'yaw' else 'true'} THEN e[{p}] * {s} + {o} END AS {n}" for n, p, s, o in PARTS[:3])},
+    (x1 + x1 + bw) / {2.0 * WIDTH}::DOUBLE AS cx, (y1 + y1 + bh) / {2.0 * HEIGHT}::DOUBLE AS cy, bw / {WIDTH} AS w, bh / {HEIGHT} AS h,
+    CASE WHEN id % 29 <> 0 THEN [{_POINTS}] END AS points, [{_CENTRE}] AS centre FROM sized_faces
+)"""
