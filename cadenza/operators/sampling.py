@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import spread_index
-from .scans import SEGMENT, around, same
+from .scans import SEGMENT, around, numbered, same
 
 
 def group_split(ids: DataFrame, group: str, column: str, salt: str, share: float) -> DataFrame:
@@ -67,14 +67,18 @@ def list_split(clips: DataFrame, column: str, share: float) -> DataFrame:
     return placed_.select(*clips.columns, F.when(F.col("__place") + F.col("__before") > F.col("__n") - val, "val").otherwise("train").alias("split"))
 
 
-def capped_silence(df: DataFrame, clip: str, order: str, silent: Column, share: float) -> DataFrame:
-    """All voiced rows and the first silent ones, so that these are at most ``share`` of what stays; one if nothing is voiced."""
-    w = Window.partitionBy(clip)
-    marked = df.withColumn("__silent", silent)
-    voiced = F.count_if(~F.col("__silent")).over(w)
+def capped_silence(df: DataFrame, clip: str, order: str, silent: Column, share: float, segment: int = SEGMENT) -> DataFrame:
+    """All voiced rows and the first silent ones, so that these are at most ``share`` of what stays; one if nothing is voiced.
+
+    A row of which silence isn't known counts as voiced. Silent rows are numbered by segments, and a row per clip says how many of them stay.
+    """
+    marked = df.withColumn("__silent", F.coalesce(silent, F.lit(False)))
+    voiced = F.count_if(~F.col("__silent"))
     cap = F.when(voiced == 0, F.lit(1)).otherwise(F.floor(voiced * F.lit(share) / (F.lit(1.0) - F.lit(share))))
-    place = F.row_number().over(Window.partitionBy(clip, "__silent").orderBy(order))
-    return marked.withColumns({"__cap": cap, "__place": place}).where(~F.col("__silent") | (F.col("__place") <= F.col("__cap"))).drop("__silent", "__cap", "__place")
+    caps = marked.groupBy(F.col(clip).alias("__clip")).agg(cap.alias("__cap"))
+    quiet = numbered(marked.where("__silent"), clip, clip, order, "__place", segment)
+    quiet = quiet.join(caps, same([(F.col(clip), F.col("__clip"))])).where(F.col("__place") <= F.col("__cap")).drop("__clip", "__cap", "__place")
+    return marked.where(~F.col("__silent")).unionByName(quiet).drop("__silent")
 
 
 def nearest_distance(df: DataFrame, clip: str, order: str, of: Column, out: str = "distance", segment: int = SEGMENT) -> DataFrame:
@@ -106,11 +110,11 @@ def idle_sample(df: DataFrame, clip: str, order: str, idle: Column, ratio: float
     return placed.where(is_spread(F.col("__k"), F.col("__m"), F.least("__m", "__limit"))).drop("__idle", "__gap", "__limit", "__rank", "__k", "__m")
 
 
-def spread_picks(df: DataFrame, clip: str, order: str, picks: int) -> DataFrame:
+def spread_picks(df: DataFrame, clip: str, order: str, picks: int, segment: int = SEGMENT) -> DataFrame:
     """``picks`` evenly spread rows of each clip (all, if there are fewer)."""
-    w = Window.partitionBy(clip)
-    placed = df.withColumns({"__k": (F.row_number().over(w.orderBy(order)) - 1).cast("long"), "__m": F.count("*").over(w)})
-    return placed.where(is_spread(F.col("__k"), F.col("__m"), F.least(F.col("__m"), F.lit(picks)))).drop("__k", "__m")
+    sizes = df.groupBy(F.col(clip).alias("__of")).agg(F.count("*").alias("__m"))
+    placed = numbered(df, clip, clip, order, "__k", segment).join(sizes, same([(F.col(clip), F.col("__of"))])).drop("__of")
+    return placed.where(is_spread(F.col("__k") - 1, F.col("__m"), F.least(F.col("__m"), F.lit(picks)))).drop("__k", "__m")
 
 
 def first_groups(df: DataFrame, group: str, order: str, groups: int, rows: int, pinned: Sequence[str] = ()) -> DataFrame:

@@ -38,6 +38,18 @@ def numbered(df: DataFrame, group: str, clip: str, order: str, out: str = "place
     return joined.withColumn(out, F.col("__n") + F.col("__base")).drop("__seg", "__n", "__group", "__clip", "__of", "__base")
 
 
+def overlapping(df: DataFrame, at: str, radius: int, segment: int = SEGMENT) -> DataFrame:
+    """Rows with their segment __seg of ``at``; those within ``radius`` of a neighbouring segment are in that one too, without __own."""
+    own, low, high = (F.floor((F.col(at) + d) / segment) for d in (0, -radius, radius))
+    listed = df.withColumn("__seg", F.explode_outer(F.sequence(low, high)))
+    return listed.withColumn("__own", F.col("__seg").eqNullSafe(own))
+
+
+def own_rows(df: DataFrame) -> DataFrame:
+    """What windows over ``overlapping`` segments found, each row once."""
+    return df.where("__own").drop("__seg", "__own")
+
+
 def around(df: DataFrame, clip: str, order: str, present: Column, values: list[str], segment: int = SEGMENT) -> DataFrame:
     """``df`` with __pos (1, 2, ... in a clip) and, of the nearest rows at or before and at or behind each row where
     ``present`` holds, structs __before and __after of their position ``at`` and ``values``; null where there is none.

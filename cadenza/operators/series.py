@@ -5,79 +5,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
-
-from .scans import SEGMENT, around
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 
+from .folds import Follows, leaps
+from .scans import SEGMENT, around, numbered, overlapping, own_rows
 
-def folded(df: DataFrame, clip: str, order: str, columns: list[str], start: Callable[[], object], step: Callable[[object, np.ndarray], tuple[object, tuple]], fields: list[StructField]) -> DataFrame:
-    """Carry a state through each clip's rows in order; ``step`` returns the next state and the row's new fields.
 
-    Clips are partitioned and sorted by Spark and stream through in Arrow batches, so only a batch and
-    one state are held however long a clip is. Only the fold's own columns are turned into numbers;
-    all others pass as they are.
-    """
-    kinds = {"boolean": pa.bool_(), "bigint": pa.int64(), "double": pa.float64()}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state = object(), None
-        for batch in batches:
-            own = np.column_stack([batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns]) if batch.num_rows else []
-            made = []
-            for key, values in zip(batch.column(clip).to_pylist(), own, strict=True):
-                if key != current:
-                    current, state = key, start()
-                state, new = step(state, values)
-                made.append(new)
-            new_columns = list(zip(*made, strict=True)) or [()] * len(fields)
-            arrays = [pa.array(c, kinds[f.dataType.simpleString()]) for f, c in zip(fields, new_columns, strict=True)]
-            yield pa.record_batch([*batch.columns, *arrays], names=[*batch.schema.names, *(f.name for f in fields)])
-
-    ordered = df.repartition(clip).sortWithinPartitions(clip, order)
-    return ordered.mapInArrow(run, StructType([*df.schema.fields, *fields]))
-
-
-def accepted(df: DataFrame, clip: str, order: str, columns: list[str], close: Callable[[np.ndarray, np.ndarray], bool], out: str = "accepted") -> DataFrame:
+def accepted(df: DataFrame, clip: str, order: str, columns: list[str], close: Follows, out: str = "accepted") -> DataFrame:
     """Mark rows that are close to the last accepted row of their clip; the first row with values is accepted.
 
     Rows with a null among ``columns`` get null and change nothing. A rejected row never becomes the
     row to compare with, so this is a fold rather than a lag.
     """
+    shown = lambda usable, reached, last, since: [pa.array(reached, mask=~usable)]
+    return leaps(df, clip, order, columns, lambda v: np.ones(len(v), bool), close, [StructField(out, BooleanType())], shown)
 
-    def step(last: np.ndarray | None, values: np.ndarray) -> tuple[np.ndarray | None, tuple]:
-        if np.isnan(values).any():
-            return last, (None,)
-        good = last is None or bool(close(last, values))
-        return (values if good else last), (good,)
-
-    return folded(df, clip, order, columns, lambda: None, step, [StructField(out, BooleanType())])
 
+def near_value(most: float) -> Follows:
+    return lambda last, v: np.abs(v[..., 0] - last[..., 0]) <= most
 
-def near_value(most: float) -> Callable[[np.ndarray, np.ndarray], bool]:
-    return lambda last, v: abs(v[0] - last[0]) <= most
 
-
-def near_box(width: float, height: float, center: float = 0.05, ratio: float = 1.15) -> Callable[[np.ndarray, np.ndarray], bool]:
+def near_box(width: float, height: float, center: float = 0.05, ratio: float = 1.15) -> Follows:
     """Centres within a share of the frame, and sides within a ratio of each other."""
 
-    def close(a: np.ndarray, b: np.ndarray) -> bool:
-        drift = np.hypot((a[0] + a[2] - b[0] - b[2]) / 2 / width, (a[1] + a[3] - b[1] - b[3]) / 2 / height)
-        sides = [(b[2] - b[0]) / max(a[2] - a[0], 1e-9), (b[3] - b[1]) / max(a[3] - a[1], 1e-9)]
-        return drift <= center and all(1 / ratio <= s <= ratio for s in sides)
+    def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        (a0, a1, a2, a3), (b0, b1, b2, b3) = np.moveaxis(a, -1, 0), np.moveaxis(b, -1, 0)
+        near = np.hypot((a0 + a2 - b0 - b2) / 2 / width, (a1 + a3 - b1 - b3) / 2 / height) <= center
+        for own, theirs in ((b2 - b0, a2 - a0), (b3 - b1, a3 - a1)):
+            side = own / np.maximum(theirs, 1e-9)
+            near = near & (1 / ratio <= side) & (side <= ratio)
+        return near
 
     return close
 
 
-def small_jump(width: float, height: float, most: float = 0.25) -> Callable[[np.ndarray, np.ndarray], bool]:
+def small_jump(width: float, height: float, most: float = 0.25) -> Follows:
     """Centre moves at most a share of the frame's diagonal."""
     diagonal = np.hypot(width, height)
-    return lambda a, b: np.hypot((a[0] + a[2] - b[0] - b[2]) / 2, (a[1] + a[3] - b[1] - b[3]) / 2) / diagonal <= most
+    return lambda a, b: np.hypot((a[..., 0] + a[..., 2] - b[..., 0] - b[..., 2]) / 2, (a[..., 1] + a[..., 3] - b[..., 1] - b[..., 3]) / 2) / diagonal <= most
 
 
 def fill_short_gaps(df: DataFrame, clip: str, order: str, columns: list[str], longest: int, flag: str = "interpolated", segment: int = SEGMENT) -> DataFrame:
@@ -105,22 +74,27 @@ def fill_signal(df: DataFrame, clip: str, order: str, column: str, out: str, seg
     return near.withColumn(out, value).drop("__pos", "__before", "__after")
 
 
-def smooth_by_index(df: DataFrame, clip: str, order: str, columns: list[str], radius: int) -> DataFrame:
+def smoothed(df: DataFrame, clip: str, at: str, columns: list[str], radius: int, segment: int) -> DataFrame:
+    """Mean of the rows whose ``at`` differs by at most ``radius``, halves to even, in segments that overlap by it."""
+    w = Window.partitionBy(clip, "__seg").orderBy(at).rangeBetween(-radius, radius)
+    return own_rows(overlapping(df, at, radius, segment).withColumns({f"{c}_smooth": F.rint(F.avg(c).over(w)).cast("long") for c in columns}))
+
+
+def smooth_by_index(df: DataFrame, clip: str, order: str, columns: list[str], radius: int, segment: int = SEGMENT) -> DataFrame:
     """Mean of rows whose index differs by at most ``radius`` (not of neighbouring rows), halves to even."""
-    w = Window.partitionBy(clip).orderBy(order).rangeBetween(-radius, radius)
-    return df.withColumns({f"{c}_smooth": F.rint(F.avg(c).over(w)).cast("long") for c in columns})
+    return smoothed(df, clip, order, columns, radius, segment)
 
 
-def smooth_by_row(df: DataFrame, clip: str, order: str, columns: list[str], radius: int) -> DataFrame:
-    w = Window.partitionBy(clip).orderBy(order).rowsBetween(-radius, radius)
-    return df.withColumns({f"{c}_smooth": F.rint(F.avg(c).over(w)).cast("long") for c in columns})
+def smooth_by_row(df: DataFrame, clip: str, order: str, columns: list[str], radius: int, segment: int = SEGMENT) -> DataFrame:
+    """Mean of ``radius`` rows on either side, whatever their index, halves to even."""
+    return smoothed(numbered(df, clip, clip, order, "__place", segment), clip, "__place", columns, radius, segment).drop("__place")
 
 
-def consecutive_deltas(df: DataFrame, clip: str, order: str, column: str) -> DataFrame:
+def consecutive_deltas(df: DataFrame, clip: str, order: str, column: str, segment: int = SEGMENT) -> DataFrame:
     """Change from the previous row, only where it is the previous index too."""
-    w = Window.partitionBy(clip).orderBy(order)
-    steps = df.withColumns({"__before": F.lag(order).over(w), "delta": F.abs(F.col(column) - F.lag(column).over(w))})
-    return steps.where(F.col(order) == F.col("__before") + 1).drop("__before")
+    w = Window.partitionBy(clip, "__seg").orderBy(order)
+    steps = overlapping(df, order, 1, segment).withColumns({"__before": F.lag(order).over(w), "delta": F.abs(F.col(column) - F.lag(column).over(w))})
+    return own_rows(steps).where(F.col(order) == F.col("__before") + 1).drop("__before")
 
 
 def shift_window(values: Column, by: int) -> Column:
@@ -160,16 +134,15 @@ def session_chunks(total: Column, first: int = 20, step: int = 50) -> Column:
 def improvements(df: DataFrame, clip: str, order: str, column: str, least: float, patience: int) -> DataFrame:
     """Best value so far, steps since it moved, and whether patience has run out.
 
-    The best moves only for a value smaller by more than ``least``, so it is folded.
+    The best moves only for a value smaller by more than ``least``, so it is a fold; null values count as steps.
     """
 
-    def step(state: tuple[float, int], values: np.ndarray) -> tuple[tuple[float, int], tuple]:
-        best, stale = state
-        best, stale = (float(values[0]), 0) if values[0] < best - least else (best, stale + 1)
-        return (best, stale), (best, stale, stale >= patience)
+    def shown(usable: np.ndarray, reached: np.ndarray, last: np.ndarray, since: np.ndarray) -> list[pa.Array]:
+        best = np.where(np.isnan(last[:, 0]), np.inf, last[:, 0])
+        return [pa.array(best), pa.array(since), pa.array(since >= patience)]
 
     fields = [StructField("best", DoubleType()), StructField("stale", LongType()), StructField("stopped", BooleanType())]
-    return folded(df, clip, order, [column], lambda: (float("inf"), 0), step, fields)
+    return leaps(df, clip, order, [column], lambda v: v[..., 0] < np.inf, lambda best, v: v[..., 0] < best[..., 0] - least, fields, shown)
 
 
 def phase(step: Column, last: int, warmup: int, stabilise: int) -> Column:
