@@ -13,9 +13,10 @@ Sets are the distinct five-word shingles of whole texts. Equal sets are one clas
    with one leader and joins components; what is left are pairs between different components,
    which the last step finds inside its tasks, sending on lists of candidates. So no link that could
    join two components is missed, while pairs inside a component are not made.
-5. All links lie within components. To count them, a component's sets are dealt to chunks, and every
-   two chunks meet in one task. It adds up partial overlaps of rare shingles by their pairs and of
-   common ones by products of membership matrices, and sends on counts, never pairs.
+5. All links lie within components. A large component whose prefix shingles are each in few sets, as in a
+   chain, has few candidates: these are listed and verified like those of step 3. Any other is dealt to
+   chunks, and every two chunks meet in one task. It adds up partial overlaps of rare shingles by their
+   pairs and of common ones by products of membership matrices, and sends on counts, never pairs.
 
 Defined results: a null, empty or wordless text has no shingles and links with nothing; rows
 without doc_id are left out; of rows with equal doc_id the smallest text counts; a very long text is
@@ -38,6 +39,8 @@ from .components import components, thinned
 WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK, FRAGMENTS = 5, 75, 5, 3, 500, 2_048, 4
 #: Sets of a component that one task holds twice, and how many of them a membership matrix has at a time.
 DEALT, SLICE = 4_096, 1_024
+#: Candidates are listed in a component of more than DEALT sets if they are at most so many a set, with at most CHUNK sets a shingle.
+LISTED = 512
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -408,6 +411,33 @@ def link_counts(labels: DataFrame, cut: DataFrame, sizes: DataFrame, dealt: int
     return keyed.groupBy("cell", "i", "j").applyInArrow(count, COUNTS).groupBy("rep").agg(F.sum("linked").alias("linked"))
 
 
+def counted_links(labels: DataFrame, cut: DataFrame, sizes: DataFrame, dealt: int = DEALT, most: int = LISTED) -> DataFrame:
+    """As ``link_counts``, with the work of a large component growing with its candidates where these are few.
+
+    The sum of squares of a component's prefix shingles bounds its candidates before any is made.
+    """
+    large = written(labels.groupBy("label").agg(F.count("*").alias("sets")).where(F.col("sets") > dealt), "large")
+    if large.isEmpty():
+        return link_counts(labels, cut, sizes, dealt)
+    named = labels.join(large, "label").select(F.col("node").alias("rep"), "label")
+    entries = written(named.join(cut.select("rep", "n", "prefix"), "rep").select("label", "rep", "n", F.explode("prefix").alias("h")), "inside")
+    met = entries.groupBy("label", "h").agg(F.count("*").alias("m")).groupBy("label").agg(F.sum(F.col("m") * F.col("m")).alias("pairs"), F.max("m").alias("most"))
+    sparse = written(met.join(large, "label").where((F.col("pairs") <= most * F.col("sets")) & (F.col("most") <= CHUNK)).select("label", "sets"), "sparse")
+    sets = sparse.agg(F.coalesce(F.sum("sets"), F.lit(0))).first()[0]
+    if not sets:
+        return link_counts(labels, cut, sizes, dealt)
+    kept = entries.join(sparse.select("label"), "label")
+    left, right = (kept.select("label", "h", F.col("rep").alias(r), F.col("n").alias(n)) for r, n in (("a", "na"), ("b", "nb")))
+    near = (F.col("a") < F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * LEAST)
+    listed = left.join(right, ["label", "h"]).where(near).groupBy("a", "na").agg(F.collect_set(F.struct("b", "nb")).alias("all"))
+    # labels of their own, so that every link is told
+    made = listed.select("a", "na", F.col("all.b").alias("bs"), F.col("all.nb").alias("nbs"), F.col("all.b").alias("labels"))
+    links = written(verified(made, cut, pivots(cut), sets), "listed")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = both.join(sizes.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("members").alias("linked"))
+    return counts.unionByName(link_counts(labels.join(sparse, "label", "left_anti"), cut, sizes, dealt))
+
+
 def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(a, b): verified links that join all that any links join."""
     spark = cut.sparkSession
@@ -450,7 +480,7 @@ def labelled(docs: DataFrame, block_mb: float = BLOCK_MB, counted: bool = False)
     named = known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     others = [F.col("n").alias("n_shingles"), "label", "rep"]
     if counted:
-        named = named.join(written(link_counts(labels, cut, known.select("rep", "members")), "counts"), "rep", "left").withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
+        named = named.join(written(counted_links(labels, cut, known.select("rep", "members")), "counts"), "rep", "left").withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
         others.append("n_links")
     listed = rows.select("d1", "d2", "n", "doc_ids").join(named.drop("core"), ["d1", "d2", "n"]).select(F.explode("doc_ids").alias("doc_id"), *others)
     alone = F.col("n_shingles") == 0

@@ -265,6 +265,31 @@ def test_overlaps_and_chunks(spark):
         assert found == {k: v for k, v in want.items() if v} and len(found) > 5
 
 
+def test_links_of_a_chain_are_listed(spark, monkeypatch):
+    """A long chain has few candidates and isn't dealt to chunks; a dense group beside it is, and both count all links."""
+    r = np.random.default_rng(15)
+    texts = [" ".join(f"c{k}" for k in range(3 * i, 3 * i + 60)) for i in range(150)]
+    for _ in range(60):
+        w = [f"w{k}" for k in range(120)]
+        for k in r.choice(120, r.integers(0, 5), replace=False):
+            w[k] = f"own{r.integers(10**6)}"
+        texts.append(" ".join(w))
+    texts += texts[:10] + ["alone in the world with these words"]
+    sets = [_shingles(t) for t in texts]
+    want = {i: sum(i != j and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)}
+    dealt, plain, split = [], ngram_join.link_counts, ngram_join.counted_links
+    monkeypatch.setattr(ngram_join, "link_counts", lambda labels, *rest: dealt.append(labels.count()) or plain(labels, *rest))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    linked = lambda rows: len({frozenset(sets[i]) for i in rows if any(sets[i] != b and 100 * len(sets[i] & b) >= 75 * len(sets[i] | b) for b in sets)})
+    for most, rest in ((512, linked(range(150, 210))), (1, linked(range(210)))):
+        monkeypatch.setattr(ngram_join, "counted_links", lambda *given, most=most: split(*given, dealt=20, most=most))
+        dealt.clear()
+        found = _found(ngram_join.join(df, 0.02))
+        assert {i: x["n_links"] for i, x in found.items()} == want
+        assert {i: x["component_id"] for i, x in found.items()} == _components(dict(enumerate(sets)))
+        assert dealt == [rest] and rest > 40  # sets that link with nothing have no label
+
+
 def test_keep_one(docs):
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
