@@ -106,3 +106,44 @@ def test_pasting():
     assert arrays.pasted(frame, (0, 0, 3, 3), roi, made, edge=1, resize=lambda image, w, h: image[:h, :w])[1, 1, 0] == 201
     with pytest.raises(ValueError, match="does not fit"):
         arrays.pasted(frame, (0, 0, 6, 6), roi, made, edge=2)
+
+
+SEEN = "persona string, id long, yaw double, pitch double, roll double, cx double, cy double, w double, h double, embedding array<double>, point array<double>, mouth array<double>"
+
+
+def _seen(r, first, n):
+    """Observations of two personas round the turn of yaw, some without vectors, with a zero or a short one, or without points."""
+    out = []
+    for i in range(first, first + n):
+        vector = {0: None, 1: [0.0] * 3, 2: [1.0, 0.5], 3: [1.0, None, 0.0]}.get(i % 13, [float(x) for x in r.normal(size=3)])
+        points = {0: None, 1: [0.0]}.get(i % 11, [float(x) for x in r.normal(0, 0.03, 2)])
+        out.append((f"p{i % 2}", i, float(r.integers(176, 184)), float(r.normal(0, 3)), float(r.normal(0, 3)), float(r.normal(0.5, 0.05)), float(r.normal(0.5, 0.02)), 1.0, float(r.uniform(0.9, 1.1)), vector, points, [0.0, 0.0]))
+    return out + [(None, first + n, 180.0, 0.0, 0.0, 0.5, 0.5, 1.0, 1.0, [1.0, 0.0, 0.0], [0.0, 0.0], [0.0, 0.0])]
+
+
+@pytest.mark.parametrize(("dealt", "cells"), [(16_384, 1 << 18), (17, 40)])
+def test_decisions_in_tiles_are_those_of_all_pairs(spark, monkeypatch, dealt, cells):
+    """No pair is exchanged, and chunks of a cell give what a list of all pairs gives."""
+    r = np.random.default_rng(8)
+    t, s = (spark.createDataFrame(_seen(r, first, 240), SEEN) for first in (0, 1000))
+    gates = pairing.MatchGates(similarity=0.1)
+    want = {}
+    for x in pairing.candidates(t, s, gates).collect():
+        want.setdefault(x["target_id"], []).append(x)
+    monkeypatch.setattr(pairing, "DEALT", dealt)
+    monkeypatch.setattr(pairing, "CELLS", cells)
+    decided = pairing.decisions(t, s, gates)
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "__cx" not in plan
+    got = {x["target_id"]: x for x in decided.collect()}
+    assert len(got) == 241 and sum(map(len, want.values())) > 1000
+    for i, x in got.items():
+        pairs = want.get(i, [])
+        alike = [p for p in pairs if p["similarity"] is not None and p["similarity"] >= 0.1]
+        other = [p for p in pairs if p["compared"] and p not in alike]
+        good = sorted((p["score"], p["source_id"]) for p in alike if p["alignment"] is not None and p["alignment"] <= 0.04 and p["mouth_delta"] <= 0.04)
+        first, second = (*good, (None, None), (None, None))[:2]
+        near = lambda v: None if v is None else pytest.approx(v, abs=1e-6)
+        assert (x["source_id"], x["matching_score"], x["second_best_score"], x["valid_candidate_count"]) == (first[1], near(first[0]), near(second[0]), len(good))
+        assert (x["identity_mismatch_count"], x["max_rejected_similarity"]) == (len(other), near(max((p["similarity"] for p in other if p["similarity"] is not None), default=None)))
+        assert x["stable_failures"] == (0 if good else sum(p["alignment"] is None or p["alignment"] > 0.04 for p in alike))
