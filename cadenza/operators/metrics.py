@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,23 +132,22 @@ def proposals(df: DataFrame, keys: list[str], stride: int, scores: str = "scores
 def suppressed(df: DataFrame, group: list[str], score: str, overlap: float = 0.45) -> DataFrame:
     """Greedy non-maximum suppression among one frame's boxes (``group``): by falling score, keep a box that overlaps no kept one by more."""
 
-    def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([score, "box_id"], ascending=[False, True], kind="stable")
-        b = rows[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        area = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
-        kept: list[int] = []
-        for i in range(len(b)):
-            if kept:
-                k = np.array(kept)
-                wide = np.maximum(0, np.minimum(b[i, 2], b[k, 2]) - np.maximum(b[i, 0], b[k, 0]))
-                high = np.maximum(0, np.minimum(b[i, 3], b[k, 3]) - np.maximum(b[i, 1], b[k, 1]))
-                both = wide * high
-                if (both / np.maximum(area[i] + area[k] - both, 1e-12) > overlap).any():
-                    continue
-            kept.append(i)
-        return rows.iloc[kept]
-
-    return df.groupBy(*group).applyInPandas(keep, df.schema)
+    side = lambda b, c: b[c].cast("double")
+    area = lambda b: (side(b, "x2") - side(b, "x1")) * (side(b, "y2") - side(b, "y1"))
+    along = lambda a, b, low, high: F.greatest(F.lit(0.0), F.least(side(a, high), side(b, high)) - F.greatest(side(a, low), side(b, low)))
+
+    def hides(kept: Column, b: Column) -> Column:
+        both = along(kept, b, "x1", "x2") * along(kept, b, "y1", "y2")
+        either = area(kept) + area(b) - both
+        share = both / F.when(either.isNotNull(), F.greatest(either, F.lit(1e-12)))
+        return (share > overlap) & ~F.isnan(share)
+
+    # by falling score, those without one last
+    order = F.struct(F.coalesce(-F.col(score).cast("double"), F.lit(float("nan"))), F.col("box_id").isNull(), "box_id", F.struct(*df.columns).alias("box"))
+    boxes = F.transform(F.array_sort(F.collect_list(order)), lambda o: o["box"])
+    add = lambda kept, b: F.when(F.exists(kept, lambda k: hides(k, b)), kept).otherwise(F.concat(kept, F.array(b)))
+    found = df.groupBy(*group).agg(boxes.alias("__boxes"))
+    return found.select(F.inline(F.aggregate("__boxes", F.slice("__boxes", 1, 0), add)))
 
 
 def largest(df: DataFrame, group: str, columns: list[str]) -> DataFrame:

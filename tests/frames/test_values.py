@@ -243,6 +243,31 @@ def test_suppression(spark):
     assert [r[0] for r in _rows(metrics.suppressed(df, ["g"], "score", 0.45), "box_id")] == [1, 3]
 
 
+def test_suppression_of_many_frames_has_no_python(spark):
+    """Ties go to the smaller box_id, boxes without score come last, unknown sides overlap nothing; frames are an aggregate."""
+    r = np.random.default_rng(3)
+    rows = []
+    for g in ("a", "b", None):
+        for i in range(40):
+            x, y = (float(v) for v in r.integers(0, 30, 2))
+            rows.append((g, i, x, y, None if i == 7 else float("nan") if i == 8 else x + 20, y + 20, None if i % 9 == 4 else float(r.integers(0, 5))))
+    out = metrics.suppressed(spark.createDataFrame(rows, "g string, box_id long, x1 double, y1 double, x2 double, y2 double, score double"), ["g"], "score", 0.3)
+    assert "Pandas" not in out._jdf.queryExecution().executedPlan().toString()
+    want = set()
+    for g in ("a", "b", None):
+        kept = []
+        for b in sorted((b for b in rows if b[0] == g), key=lambda b: (b[6] is None, -(b[6] or 0.0), b[1])):
+            if b[4] is None or b[4] != b[4] or not any(_overlap(b, k) > 0.3 for k in kept if k[4] is not None and k[4] == k[4]):
+                kept.append(b)
+        want |= {(g, b[1]) for b in kept}
+    assert {(x["g"], x["box_id"]) for x in out.collect()} == want and 6 < len(want) < 100
+
+
+def _overlap(a, b):
+    both = max(0.0, min(a[4], b[4]) - max(a[2], b[2])) * max(0.0, min(a[5], b[5]) - max(a[3], b[3]))
+    return both / ((a[4] - a[2]) * (a[5] - a[3]) + (b[4] - b[2]) * (b[5] - b[3]) - both)
+
+
 def test_common_reasons_ties_by_first(spark):
     df = spark.createDataFrame([(0, "b"), (1, "a"), (2, "a"), (3, "b"), (4, "c")], "i int, r string")
     assert [x["r"] for x in metrics.common_reasons(df, "r", "i", 2).collect()] == ["b", "a"]
