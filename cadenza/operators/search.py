@@ -1,8 +1,8 @@
 """Grid search in blocks: matrices of parameters against samples inside tasks, of which only sums leave.
 
 A grid is given by its axes, so that every task makes its parameters itself from a number. Samples are
-packed into blocks; each block meets each chunk of parameters once, in some task, as matrices of bounded
-size. What leaves is a row of sums per parameter, chunk and block, and those are added up before and after
+cut into blocks; each block meets each chunk of parameters once, in some task, as matrices of bounded
+size. A grid of one chunk is measured where the samples are read, else blocks travel to tasks. What leaves is a row of sums per parameter, chunk and block, and those are added up before and after
 the exchange. The best parameters come from an aggregate over the grid, without a sort.
 """
 
@@ -39,12 +39,15 @@ def grid_sums(samples: DataFrame, axes: Mapping[str, Sequence[float]], measure:
     columns, total = samples.columns, math.prod(map(len, axes.values()))
     values = {n: np.asarray(v, float) for n, v in axes.items()}
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             for at in range(0, batch.num_rows, SAMPLES):
                 part = batch.slice(at, SAMPLES)
-                held = np.stack([part.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns])
-                yield pa.record_batch([pa.array([held.tobytes()], pa.binary())], names=["block"])
+                yield np.stack([part.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in blocks_of(batches):
+            yield pa.record_batch([pa.array([held.tobytes()], pa.binary())], names=["block"])
 
     def parameters(first: int, last: int) -> dict[str, np.ndarray]:
         place, out = np.arange(first, last), {}
@@ -53,28 +56,42 @@ def grid_sums(samples: DataFrame, axes: Mapping[str, Sequence[float]], measure:
             place = place // len(values[n])
         return out
 
+    def measured(held: np.ndarray, first: int, last: int) -> np.ndarray:
+        rows, m = dict(zip(columns, held[:, None], strict=True)), held.shape[1]
+        sums = np.empty((len(names), last - first))
+        step = max(1, CELLS // m)
+        for a in range(first, last, step):
+            b = min(last, a + step)
+            found = measure(parameters(a, b), rows)
+            for i, n in enumerate(names):
+                sums[i, a - first : b - first] = np.broadcast_to(found[n], (b - a, m)).sum(1)
+        return sums
+
+    def told(first: int, last: int, m: int, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(np.arange(first, last)), pa.array(np.full(last - first, m)), *(pa.array(s) for s in sums)], names=["ordinal", "__m", *names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, chunk in zip(batch.column("block"), batch.column("chunk").to_pylist(), strict=True):
-                held = np.frombuffer(block.as_buffer(), float).reshape(len(columns), 1, -1)
-                rows = dict(zip(columns, held, strict=True))
-                m = held.shape[2]
+                held = np.frombuffer(block.as_buffer(), float).reshape(len(columns), -1)
                 first, last = chunk * CHUNK, min(total, (chunk + 1) * CHUNK)
-                sums = np.empty((len(names), last - first))
-                step = max(1, CELLS // m)
-                for a in range(first, last, step):
-                    b = min(last, a + step)
-                    found = measure(parameters(a, b), rows)
-                    for i, n in enumerate(names):
-                        sums[i, a - first : b - first] = np.broadcast_to(found[n], (b - a, m)).sum(1)
-                yield pa.record_batch([pa.array(np.arange(first, last)), pa.array(np.full(last - first, m)), *(pa.array(s) for s in sums)], names=["ordinal", "__m", *names])
-
-    blocks = samples.mapInArrow(pack, "block binary")
-    chunks = -(-total // CHUNK)
-    units = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    if chunks > 1:
-        units = units.repartition(samples.sparkSession.sparkContext.defaultParallelism * 3)
-    each = units.mapInArrow(run, "ordinal long, __m long, " + ", ".join(f"{n} double" for n in names))
+                yield told(first, last, held.shape[1], measured(held, first, last))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, m = np.zeros((len(names), total)), 0
+        for held in blocks_of(batches):
+            sums += measured(held, 0, total)
+            m += held.shape[1]
+        if m:
+            yield told(0, total, m, sums)
+
+    schema, chunks = "ordinal long, __m long, " + ", ".join(f"{n} double" for n in names), -(-total // CHUNK)
+    if chunks == 1:
+        # samples stay where they are read, a batch at a time
+        each = samples.mapInArrow(whole, schema)
+    else:
+        units = samples.mapInArrow(pack, "block binary").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        each = units.repartition(samples.sparkSession.sparkContext.defaultParallelism * 3).mapInArrow(run, schema)
     summed = each.groupBy("ordinal").agg(F.sum("__m").alias("samples"), *(F.sum(n).alias(n) for n in names))
     return summed.select("ordinal", *(axis_value(axes, n, F.col("ordinal")).alias(n) for n in axes), "samples", *names)
 

@@ -214,3 +214,12 @@ def test_reasons_put_geometry_before_embeddings(spark):
 def test_gates_are_above_zero():
     with pytest.raises(ValueError, match="above 0"):
         MatchGates(yaw=0.0)
+
+
+def test_small_grid_is_measured_where_samples_are_read(spark):
+    """No blocks travel between two Python steps, and a task tells one sum per parameter, whatever its batches."""
+    df = spark.range(30_000, numPartitions=2).selectExpr("cast(id as double) x")
+    found = search.grid_sums(df, {"p": [1.0, 2.0]}, lambda p, r: {"e": r["x"] * p["p"]}, ["e"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    total = 29_999 * 15_000.0
+    assert sorted((r["ordinal"], r["samples"], r["e"]) for r in found.collect()) == [(0, 30_000, total), (1, 30_000, 2 * total)]
