@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -22,6 +23,15 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Give back the shuffle files of plans that nothing holds any more.
+
+    Spark deletes them when the driver's JVM collects their handles, which a driver with memory to spare puts off while disks fill.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Both sides hold a batch of texts, which can be long.
 BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "5000"}
 

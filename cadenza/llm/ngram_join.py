@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .census import census
-from .common import block_count, bounded_batches, keyed_docs, mixed, one_per_id, packed, unpacked, word_hashes, words_of, written
+from .common import block_count, bounded_batches, keyed_docs, mixed, one_per_id, packed, released, unpacked, word_hashes, words_of, written
 from .components import components, thinned
 
 WIDTH, LEAST, BLOCK_MB, STAR_ROUNDS, CELL_SETS, CHUNK, FRAGMENTS = 5, 75, 5, 3, 500, 2_048, 4
@@ -466,15 +466,18 @@ def links_between(cut: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
         else:
             made = between_components(named, divided, size["entries"])
         links = links.unionByName(thinned(written(verified(made, cut, cuts, size["sets"]), "links")))
+        released(spark)
     return links
 
 
 def labelled(docs: DataFrame, block_mb: float = BLOCK_MB, counted: bool = False) -> DataFrame:
     """From (doc_id, text) without nulls or repeated ids: (doc_id, n_shingles, component_id, class_id), and n_links if ``counted``."""
     rows = written(classes(docs, block_mb), "classes")
+    released(docs.sparkSession)  # the texts and messages of the census
     reps = rows.groupBy("d1", "d2", "n").agg(F.min(F.array_min("doc_ids")).alias("rep"), F.max("core").alias("core"), F.sum(F.size("doc_ids")).alias("members"))
     known = written(reps, "reps")
     cut = written(in_order(known.where("core is not null").select("rep", "n", "core")), "ordered")
+    released(docs.sparkSession)
     links = links_between(cut)
     labels = components(links)
     named = known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
