@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def safe_component(name: Column, default: str = "sample") -> Column:
-    """A name fit for a path: other characters become _, outer . and _ go."""
-    cleaned = F.regexp_replace(F.regexp_replace(name, "[^A-Za-z0-9._-]+", "_"), "^[._]+|[._]+$", "")
-    return F.when(cleaned == "", default).otherwise(cleaned)
+    """A name fit for a path: other characters become _, outer . and _ go; ``default`` if nothing is left or the name is null."""
+    cleaned = F.btrim(F.regexp_replace(name, "[^A-Za-z0-9._-]++", "_"), F.lit("._"))
+    return F.coalesce(F.nullif(cleaned, F.lit("")), F.lit(default))
 
 
 def folder_prefix(path: Column) -> Column:

@@ -232,6 +232,13 @@ def test_strings(spark):
     assert [tuple(r) for r in got] == [("a_b_c.mp4", 25.0, "Al"), ("sample", 7.0, ""), ("x", None, "")]
 
 
+def test_names_take_one_pass(spark):
+    """Outer dots and bars go without a second expression over the text, whose runs inside would be tried from each of their places; null has the default name."""
+    df = spark.createDataFrame([("a" + "_." * 200_000 + "b",), (None,), ("._a b_.",)], "n string").select(text.safe_component(F.col("n")).alias("n"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 1
+    assert [r["n"] for r in df.collect()] == ["a" + "_." * 200_000 + "b", "sample", "a_b"]
+
+
 def test_vectors(spark):
     r = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<double>, z array<double>").select(vectors.unit(F.col("a")), vectors.unit(F.col("z")), vectors.dot(F.col("a"), F.col("a"))).first()
     assert r[0] == [0.6, 0.8] and r[1] is None and r[2] == 25.0
