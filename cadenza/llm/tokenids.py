@@ -10,7 +10,7 @@ A row of the stored table is one segment file: its partition and number there, t
 ids and lengths, the words and the block offsets. Segments are of bounded size.
 
 A text is cut at ASCII white space, which the tokenizer drops anyway, so that every distinct
-word of a batch is tokenised once.
+word of a batch is tokenised once, and a bounded number of words once per worker.
 
 Defined results: a null or empty text has only the end id; rows without doc_id are left out;
 rows with equal doc_id are ordered by their text and keep one result each; other columns are
@@ -34,9 +34,14 @@ from pyspark.sql import functions as F
 from .common import gathered, keyed_docs, words_of, written
 
 BLOCK, END_ID, SEGMENT_IDS, GATHERED_BYTES = 256, 1, 1 << 20, 12_000_000
-#: Letters that lower-casing and normalising leave alone, and words of them.
-LATIN = "[a-zß-öø-ÿ]"
+#: Letters that lower-casing and normalising leave alone or lower one by one, and a word of them with signs after it.
+LATIN, LETTER = "[a-zß-öø-ÿ]", "[A-Za-zÀ-ÖØ-öø-ÿ]"
 PLAIN = f"^{LATIN}+$"
+#: ASCII signs but the apostrophe, which can start a pretoken with letters.
+SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+SIGNED = rf"^{LETTER}+[!-&(-/:-@\[-`{{-~]*$"
+#: Distinct words whose ids a worker keeps, and batches after which it starts anew.
+KNOWN, RENEWED = 1_000_000, 64
 #: Ids per word and bits per id, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -50,10 +55,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    body = np.zeros(blocks * BLOCK, np.uint64)
+    body = np.zeros((blocks + 1) * BLOCK, np.uint64)
     body[:n] = ids
-    width = np.frexp(body.astype(np.float64))[1].astype(np.uint8)
-    large = body >= np.uint64(1 << 52)
+    width = np.frexp(body[: blocks * BLOCK].astype(np.float64))[1].astype(np.uint8)
+    large = body[: blocks * BLOCK] >= np.uint64(1 << 52)
     if large.any():  # no selector between 30 and 60 bits, so the width need not be exact
         width[large] = 60
     # widest id among the next k, for each k that a selector packs
@@ -72,34 +77,32 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             break
         selector = np.where(fits, choice, selector)
     sizes = np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
-    at, live = np.zeros(blocks, np.int64), np.arange(blocks)
-    made: list[tuple[np.ndarray, int, np.ndarray]] = []
-    order = 0
+    at, live, selector = np.zeros(blocks, np.int64), np.arange(blocks), selector.reshape(-1)
+    made: list[np.ndarray] = []
     while len(live):
-        here = at[live]
-        chosen = selector[live, here]
-        words = chosen.astype(np.uint64) << np.uint64(60)
-        escaped = (chosen == 15) & (body[live * BLOCK + here] >= ESCAPE)
-        for choice in np.unique(chosen):
-            bits, count = int(BITS[choice]), int(COUNTS[choice])
-            if bits:
-                of = np.flatnonzero((chosen == choice) & ~escaped)
-                inside = here[of, None] + np.arange(count)
-                values = np.where(inside < BLOCK, body[np.minimum(live[of, None] * BLOCK + inside, len(body) - 1)], np.uint64(0))
-                words[of] |= (values << (np.arange(count) * bits).astype(np.uint64)).sum(axis=1, dtype=np.uint64)
-        words[escaped] |= ESCAPE
-        made.append((live, order, words))
-        if escaped.any():
-            made.append((live[escaped], order + 1, body[(live * BLOCK + here)[escaped]]))
-        order += 2
-        at[live] += COUNTS[chosen]
+        start = live * BLOCK + at[live]
+        made.append(start)
+        at[live] += COUNTS[selector[start]]
         live = live[at[live] < sizes[live]]
-    block = np.concatenate([m[0] for m in made])
-    place = np.concatenate([np.full(len(m[0]), m[1]) for m in made])
-    words = np.concatenate([m[2] for m in made])
-    words = words[np.lexsort((place, block))]
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(block, minlength=blocks))[:-1]])
-    return words, offsets.astype(np.uint32)
+    start = np.sort(np.concatenate(made))
+    chosen = selector[start]
+    words = chosen.astype(np.uint64) << np.uint64(60)
+    escaped = (chosen == 15) & (body[start] >= ESCAPE)
+    words[escaped] |= ESCAPE
+    for choice in range(2, 16):
+        of = np.flatnonzero((chosen == choice) & ~escaped)
+        first, count = start[of], int(COUNTS[choice])
+        left, packed = BLOCK - first % BLOCK, words[of]
+        over = np.flatnonzero(left < count)  # words that end beyond their block
+        for k in range(count):
+            values = body[first + k]
+            values[over[left[over] <= k]] = 0
+            packed |= values << np.uint64(k * int(BITS[choice]))
+        words[of] = packed
+    count = np.bincount(start // BLOCK, minlength=blocks) + np.bincount(start[escaped] // BLOCK, minlength=blocks)
+    if escaped.any():
+        words = np.insert(words, np.flatnonzero(escaped) + 1, body[start[escaped]])
+    return words, (np.cumsum(count) - count).astype(np.uint32)
 
 
 def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
@@ -136,26 +139,38 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def gathered_runs(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs flat[begin : begin + size], back to back."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(begin - before, sizes) + np.arange(sizes.sum())]
+
+
 class ChunkTokenizer:
-    """The library's tokenizer, called once for every distinct word of a batch.
+    """The library's tokenizer, called once for every distinct word that a worker doesn't know yet.
 
-    A lower-case Latin word with one comma or point after it is two pretokens, and a text of such
-    words is tokenised word by word: these are given to the library many at a time, and cut apart
-    at the tokens that end a word. All other chunks are given to it one by one.
+    A Latin word with ASCII signs after it is two pretokens, the letters and the signs, and letters are
+    lowered one by one: both are words of their own here. A text of lower-case Latin words is tokenised
+    word by word: these are given to the library many at a time, and cut apart at the tokens that end a
+    word. All other words are given to it one by one.
+
+    Ids of words met are kept for later batches, up to ``known`` words.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, known: int = KNOWN, renewed: int = RENEWED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tool = Tokenizer.from_file(path)
+        self.tool, self.most, self.renewed, self.batches = Tokenizer.from_file(path), known, renewed, 0
         names = self.tool.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(names.values()) + 1, bool)
         self.ends_word[[i for name, i in names.items() if name.endswith("</w>")]] = True
-        self.stops = np.array([0, *(self.tool.encode(x, add_special_tokens=False).ids[0] for x in ".,")], np.uint32)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.flat, self.sizes = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, ids per word)."""
+    def _new_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids per word), from the library."""
         plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
         sizes = np.zeros(len(words), np.int64)
         texts = words.filter(pa.array(plain)).to_pylist()
@@ -171,30 +186,52 @@ class ChunkTokenizer:
         ids[~of] = np.concatenate(single) if single else []
         return ids, sizes
 
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat ids, first of each word, ids per word) of distinct words."""
+        if self.batches and self.batches % self.renewed == 0:
+            self._forget()
+        self.batches += 1
+        place = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh = words.take(pa.array(new))
+        ids, counts = self._new_ids(fresh)
+        place[new] = len(self.sizes) + np.arange(len(new))
+        flat, sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, counts])
+        keep = min(len(new), self.most - len(self.words))
+        if keep > 0:
+            self.words = pa.concat_arrays([self.words, fresh[:keep]])
+            self.sizes = sizes[: len(self.words)].copy()
+            self.flat = flat[: self.sizes.sum()].copy()
+        return flat, (np.cumsum(sizes) - sizes)[place], sizes[place]
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, ids per chunk)."""
+        signed = np.flatnonzero(pc.match_substring_regex(chunks, SIGNED).to_numpy(zero_copy_only=False))
+        whole = chunks.take(pa.array(signed))
+        heads = pc.ascii_rtrim(whole, characters=SIGNS)
+        ending = np.flatnonzero(pc.not_equal(pc.binary_length(heads), pc.binary_length(whole)).to_numpy(zero_copy_only=False))
+        tails = pc.replace_substring_regex(whole.take(pa.array(ending)), f"^{LETTER}+", "")
+        other = np.ones(len(chunks), bool)
+        other[signed] = False
+        coded = pa.concat_arrays([pc.utf8_lower(heads), tails, chunks.filter(pa.array(other))]).dictionary_encode()
+        flat, begin, sizes = self._ids(coded.dictionary)
+        of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # each chunk's first word, then its signs if it has any
+        owner = np.concatenate([signed, signed[ending], np.flatnonzero(other)])
+        of = of[np.argsort(owner, kind="stable")]
+        lengths = np.bincount(owner, weights=sizes[coded.indices.to_numpy(zero_copy_only=False)], minlength=len(chunks)).astype(np.int64)
+        return gathered_runs(flat, begin[of], sizes[of]), lengths
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END_ID; ids per text)."""
         chunks, index, per_row = words_of(column, lower=False)
-        low = pc.ascii_lower(chunks)
-        cut = pc.replace_substring_regex(low, f"({LATIN})[.,]$", r"\1")
-        stop = np.where(pc.not_equal(cut, low).to_numpy(zero_copy_only=False), np.where(pc.ends_with(low, ".").to_numpy(zero_copy_only=False), 1, 2), 0)
-        # other chunks keep their letters' case: the library's own rules decide
-        cut = pc.if_else(pc.match_substring_regex(cut, PLAIN), cut, chunks)
-        stop[pc.equal(cut, chunks).to_numpy(zero_copy_only=False)] = 0
-        coded = cut.dictionary_encode()
-        flat, sizes = self._ids(coded.dictionary)
-        of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        begin = np.cumsum(sizes) - sizes
+        flat, sizes = self._chunk_ids(chunks)
         # one more chunk stands for the end of a text
-        index = np.insert(index, np.cumsum(per_row), len(of))
-        flat = np.append(flat, np.uint32(END_ID))
-        begin, sizes = np.append(begin[of], len(flat) - 1), np.append(sizes[of], 1)
-        stop = np.append(stop, 0)
-        lengths = sizes[index] + (stop[index] > 0)
+        index = np.insert(index, np.cumsum(per_row), len(sizes))
+        flat, sizes = np.append(flat, np.uint32(END_ID)), np.append(sizes, 1)
+        lengths = sizes[index]
+        ids = gathered_runs(flat, (np.cumsum(sizes) - sizes)[index], lengths)
         total = np.concatenate([[0], np.cumsum(lengths)])
-        places = np.repeat(begin[index] - total[:-1], lengths) + np.arange(total[-1])
-        ids = flat[np.minimum(places, len(flat) - 1)]
-        stopped = np.flatnonzero(stop[index])
-        ids[total[stopped + 1] - 1] = self.stops[stop[index[stopped]]]
         ends = np.cumsum(per_row) + np.arange(1, len(per_row) + 1)
         return ids, np.diff(total[ends], prepend=0)
 

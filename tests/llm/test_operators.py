@@ -491,6 +491,30 @@ def test_tokens(docs):
         start += len(ids)
 
 
+def test_words_are_asked_once():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Only Été!! and été.%%% or don't", "<|endoftext|>é! x<|startoftext|>", "É! e\u0301! a\u0338 \u212b\u0130 ÀÿßÞ[]`{}~^_", "", "a\x1cb ×a÷ a'b's 'S 12.5"]
+    for known, renewed in ((1000, 64), (2, 64), (0, 64), (1000, 2)):
+        coder, asked = tokenids.ChunkTokenizer(path, known, renewed), []
+        tool = coder.tool
+
+        class Told:
+            def encode_batch_fast(self, texts, **options):
+                asked.extend(texts)
+                return tool.encode_batch_fast(texts, **options)
+
+        coder.tool = Told()
+        for turn in range(4):
+            asked.clear()
+            ids, lengths = coder.encode(pa.array(texts))
+            want = [[*tool.encode(x, add_special_tokens=False).ids, 1] for x in texts]
+            assert ids.tolist() == sum(want, []) and lengths.tolist() == [len(x) for x in want]
+            # letters and the signs after them are words of their own, whatever their case
+            assert not any(x in asked for x in ("Été!!", "été.%%%", "É!"))
+            assert bool(asked) == (turn == 0 or known < 1000 or turn % renewed == 0)
+            assert len(coder.words) <= known
+
+
 def test_simple8b():
     r = np.random.default_rng(6)
     for n in (0, 1, 255, 256, 257, 3000):
