@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import planes, unplanes
+from .common import planes, released, unplanes, written
 
 MESSAGE = "to int, sender int, hashes binary, counts binary"
 ANSWER = "to int, part int, totals binary"
@@ -63,9 +63,17 @@ class Route:
         return self.cuts(hashes, low, min(low + self.span, self.ranges), 1)
 
 
-def census(rows: DataFrame, blocks: int, ask: Ask, finish: Finish, schema: str, width: int = 8, per_range: float = 1, messages: int = MESSAGES) -> DataFrame:
+def without_relays(blocks: int, most: float = 8, messages: int = MESSAGES) -> float:
+    """Of how many blocks a range holds the hashes: one, or as many up to ``most`` as make relays needless."""
+    return min(most, max(1, blocks * blocks / messages))
+
+
+def census(rows: DataFrame, blocks: int, ask: Ask, finish: Finish, schema: str, width: int = 8, per_range: float = 1, messages: int = MESSAGES, staged: bool = False) -> DataFrame:
     """``rows`` has a column ``block``; ``ask`` runs twice per block, the second time beside the answers.
 
+    If ``staged``, answers are written and the messages given back before rows meet their answers. Rows then
+    cross the network twice, but never lie on disk beside the messages and the result.
+
     A range holds as many hashes as ``per_range`` blocks. Only the first ``width`` bytes of a hash are
     sent and compared. With fewer than 8 some counts may be too high, which a caller that only prunes
     with them can afford.
@@ -127,4 +135,7 @@ def census(rows: DataFrame, blocks: int, ask: Ask, finish: Finish, schema: str,
         found = sent.groupBy("to").cogroup(ranged.groupBy("to")).applyInArrow(back, ANSWER)
     else:
         found = sent.groupBy("to").applyInArrow(add, ANSWER)
+    if staged:
+        found = written(found, "answers")
+        released(rows.sparkSession)
     return rows.groupBy("block").cogroup(found.groupBy("to")).applyInArrow(end, schema)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .census import census
+from .census import census, without_relays
 from .common import block_count, bounded_batches, keyed_docs, mixed, one_per_id, packed, released, unpacked, word_hashes, words_of, written
 from .components import components, thinned
 
@@ -134,7 +134,7 @@ def classes(docs: DataFrame, block_mb: float) -> DataFrame:
         )
 
     # counts only prune here, so six bytes of a hash do
-    return census(blocked, blocks, ask, finish, CLASSES, 6)
+    return census(blocked, blocks, ask, finish, CLASSES, 6, without_relays(blocks), staged=True)
 
 
 ORDERED = "rep long, n long, ordered binary, ends array<int>, prefix array<long>, at array<int>"
@@ -178,7 +178,7 @@ def in_order(sets: DataFrame) -> DataFrame:
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in ORDERED.split(", ")])
 
-    return census(blocked, blocks, ask, finish, ORDERED)
+    return census(blocked, blocks, ask, finish, ORDERED, 8, without_relays(blocks), staged=True)
 
 
 def pivots(cut: DataFrame, fragments: int = FRAGMENTS) -> list[int]:

@@ -491,6 +491,19 @@ def test_tokens(docs):
         start += len(ids)
 
 
+def test_census_gives_messages_back(docs):
+    known = ngram_join.one_per_id(ngram_join.keyed_docs(docs))
+    made = ngram_join.classes(known, 0.001)
+    # what joins rows with answers has no step that sends hashes, so no exchange of them outlives the answers
+    assert "hashes" not in made._jdf.queryExecution().toString()
+    sets = made.where("core is not null").select(F.array_min("doc_ids").alias("rep"), "n", "core")
+    assert "hashes" not in ngram_join.in_order(sets)._jdf.queryExecution().toString()
+    # 30 GB in 10,000 blocks: ranges widen before relays are needed
+    for blocks, per_range in ((170, 1), (4_472, 1), (10_000, 5), (50_000, 8)):
+        assert math.ceil(census.without_relays(blocks)) == per_range
+        assert census.Route(blocks, math.ceil(blocks / census.without_relays(blocks))).relayed == (blocks == 50_000)
+
+
 def test_words_are_asked_once():
     path = public_tokenizers.path("word_bpe_49k.json")
     texts = ["Only Été!! and été.%%% or don't", "<|endoftext|>é! x<|startoftext|>", "É! e\u0301! a\u0338 \u212b\u0130 ÀÿßÞ[]`{}~^_", "", "a\x1cb ×a÷ a'b's 'S 12.5"]
